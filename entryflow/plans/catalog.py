@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entryflow.functions.keys import day_key, iso_day_key, strip_dashes
 from entryflow.operators.matching import cogroup_summary
 from entryflow.operators.numbering import assign_numbers
-from entryflow.plans import chartdata, raffle, reports
+from entryflow.plans import chartdata, jobs, raffle, reports
+from entryflow.schemas import POSTS_TABLE
+from entryflow.session import scratch_path
 from entryflow.sources import driver_tables as dt
 
 AS_OF_DAY = "2024-01-15"
@@ -67,6 +69,54 @@ def day_keys(spark, sf):
                           strip_dashes("day").alias("stripped"), "events")
 
 
+# -- the same jobs as streams (file-fed, run to completion) ----------------
+
+STREAM_FILES = 4
+
+
+def _stream_run(spark, name: str, records: DataFrame) -> tuple[str, dict]:
+    """Lay the records out as a topic-like folder of several files, read
+    one file per micro-batch."""
+    run = scratch_path(spark, "runs", name)
+    records.repartition(STREAM_FILES).write.parquet(f"{run}/input")
+    return run, {"source": "parquet", "path": f"{run}/input",
+                 "options": {"maxFilesPerTrigger": "1"}}
+
+
+def entries_stream(spark, sf):
+    run, src = _stream_run(spark, "entries", dt.entries_kv(spark, sf))
+    jobs.run_entries(spark, src, f"{run}/out", f"{run}/checkpoint",
+                     trigger="available_now").awaitTermination()
+    return spark.read.parquet(f"{run}/out")
+
+
+def winners_stream(spark, sf):
+    run, src = _stream_run(spark, "winners", dt.entries_kv(spark, sf))
+    jobs.run_winners(spark, src, dt.promotions(spark, sf), f"{run}/out", f"{run}/checkpoint",
+                     trigger="available_now").awaitTermination()
+    return spark.read.parquet(f"{run}/out")
+
+
+def flagged_stream(spark, sf):
+    run, src = _stream_run(spark, "flagged", dt.entries_kv(spark, sf))
+    winners = dt.daily_winners(spark, sf)
+    jobs.run_flagged(spark, src, winners, f"{run}/table",
+                     {"format": "json", "path": f"{run}/topic"}, f"{run}/checkpoint",
+                     trigger="available_now", as_of=None).awaitTermination()
+    cols = [f.name for f in raffle.FLAGGED_TABLE.fields]
+    return spark.read.parquet(f"{run}/table").select(*cols)
+
+
+def transcode_posts(spark, sf):
+    posts = dt.posts(spark, sf)
+    records = posts.select(F.col("url").alias("key"),
+                           F.to_json(F.struct(*posts.columns)).alias("value"))
+    run, src = _stream_run(spark, "transcode", records)
+    jobs.run_transcode(spark, src, POSTS_TABLE, f"{run}/out", f"{run}/checkpoint",
+                       fmt="parquet", trigger="available_now").awaitTermination()
+    return spark.read.parquet(f"{run}/out")
+
+
 # -- reports ---------------------------------------------------------------
 
 def top_viewed(spark, sf):
@@ -147,4 +197,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_active": yearly_active,
     "user_share": user_share,
     "preview": preview,
+    "entries_stream": entries_stream,
+    "winners_stream": winners_stream,
+    "flagged_stream": flagged_stream,
+    "transcode_posts": transcode_posts,
 }

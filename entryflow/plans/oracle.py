@@ -196,3 +196,9 @@ SELECT year, active_users, total_users,
        CAST(total_users AS DOUBLE) / (active_users + total_users) AS total_users_share
 FROM ({ACTIVE_VS_TOTAL})""", *QA),
 }
+
+# Streaming runs produce the same rows as their batch twins.
+SQL["entries_stream"] = SQL["entries_parsed"]
+SQL["winners_stream"] = SQL["winners_inner"]
+SQL["flagged_stream"] = SQL["flagged_entries"]
+SQL["transcode_posts"] = with_views("SELECT title, body, url, view_count, tags FROM posts", "posts")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from entryflow.functions.keys import daily_winner_key, entry_time_text
 from entryflow.operators.matching import flag_winners, match_winners, unique_by
 from entryflow.operators.payload import add_json_field, parse_entries, parse_json
-from entryflow.schemas import FLAGGED_TABLE
+from entryflow.schemas import FLAGGED_TABLE  # noqa: F401  (re-exported)
 from entryflow.sources.tables import read_promotions_for_day
 
 # Payload as the flagging job decodes it: numbers come back as doubles.

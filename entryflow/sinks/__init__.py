@@ -1,0 +1,11 @@
+"""Sinks: tables (create, conform, append, per-batch overwrite) and topics."""
+
+from entryflow.sinks.tables import (
+    append_table, conform, create_table, insert_promotions, overwrite_batch, promotion_rows,
+)
+from entryflow.sinks.topics import topic_stream_writer, write_topic
+
+__all__ = [
+    "append_table", "conform", "create_table", "insert_promotions", "overwrite_batch",
+    "promotion_rows", "topic_stream_writer", "write_topic",
+]

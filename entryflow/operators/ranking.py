@@ -27,16 +27,20 @@ def top_distinct(df: DataFrame, cols: Sequence[str], by: str, k: int,
 
 
 def running_total(df: DataFrame, order_col: str, value_col: str,
-                  out_col: str = "running_total") -> DataFrame:
+                  out_col: str = "running_total", one_row_per_value: bool = False) -> DataFrame:
     """Per distinct ``order_col`` value, the sum of ``value_col`` over all rows
     whose ``order_col`` is at most it (RANGE frame: peers included).
 
     The input is first reduced to one row per ``order_col`` value, so the
     single ordered window only sees as many rows as there are distinct values
-    (years, days), however large the input.
+    (years, days), however large the input.  With ``one_row_per_value`` the
+    caller states that ``df`` already is such a reduction (e.g. the output of
+    a group-by on ``order_col``); its columns are kept and the total added.
     """
-    per_value = df.groupBy(order_col).agg(F.sum(value_col).alias("_rt_v"))
     w = Window.orderBy(order_col).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    if one_row_per_value:
+        return df.withColumn(out_col, F.sum(value_col).over(w))
+    per_value = df.groupBy(order_col).agg(F.sum(value_col).alias("_rt_v"))
     return per_value.select(order_col, F.sum("_rt_v").over(w).alias(out_col))
 
 

@@ -67,18 +67,18 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
 
     Equals grouping the join posts x questions (on title) x answers (on id)
     x unnested tags by (id, language), because MIN ignores repeats: the
-    answers are reduced to their first date per question before the join,
-    and the posts to their distinct (title, language) pairs, so no join
-    multiplies rows over a shared title.
+    posts are reduced to their distinct (title, language) pairs and the
+    answers to their first date per question before they are joined, so no
+    join multiplies rows over a shared title or a question's answers.
     """
     langs = title_languages(posts, rules)
+    q = questions.select("id", "title", "creation_date").where(F.col("id").isNotNull())
+    per_q = (q.join(langs, "title", "inner")
+             .groupBy("id", LANG).agg(F.min("creation_date").alias("post_date")))
     first_answer = (answers.where(F.col("parent_id").isNotNull())
                     .groupBy("parent_id").agg(F.min("creation_date").alias("answer_date")))
-    q = questions.select("id", "title", "creation_date").where(F.col("id").isNotNull())
-    qa = q.join(first_answer, q["id"] == first_answer["parent_id"], "inner").drop("parent_id")
-    qal = qa.join(langs, "title", "inner")
-    per_q = qal.groupBy("id", LANG).agg(F.min("creation_date").alias("post_date"),
-                                        F.min("answer_date").alias("answer_date"))
+    per_q = per_q.join(first_answer, per_q["id"] == first_answer["parent_id"], "inner") \
+        .drop("parent_id")
     days = F.datediff(F.col("answer_date"), F.col("post_date"))
     return (per_q.withColumn("days", days).where(F.col("days") >= 0))
 
@@ -119,9 +119,10 @@ def users_running_total(users: DataFrame) -> DataFrame:
     running total over years (peers included)."""
     per_year = users.groupBy(F.year("creation_date").cast("long").alias("year")) \
         .agg(F.count("id").alias("number_of_users"))
-    totals = running_total(per_year, "year", "number_of_users", "total_users")
-    return per_year.join(totals, "year").select(
-        "year", "number_of_users", F.col("total_users").cast("long").alias("total_users"))
+    totals = running_total(per_year, "year", "number_of_users", "total_users",
+                           one_row_per_value=True)
+    return totals.select("year", "number_of_users",
+                         F.col("total_users").cast("long").alias("total_users"))
 
 
 def active_vs_total(posts: DataFrame, questions: DataFrame, answers: DataFrame,

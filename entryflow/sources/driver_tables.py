@@ -82,13 +82,17 @@ def promotion_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(day_key("ts").alias("day")).where(F.col("day").isNotNull()).distinct()
 
 
+_PROMOTIONS_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def promotions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> DataFrame:
     """``day, promotion, participation_number``: each day x the fixed offers.
 
     Built by exploding the offer list per day (no join).  With
-    ``materialize`` the few rows are written once to the shared scratch
-    folder and read back, so the planner sees the true (small) file size
-    and broadcasts it by its own size check, as for a stored table.
+    ``materialize`` the rows are written to the shared scratch folder once
+    per session (the promotions are a stored dimension table, filled by their
+    own daily job) and read back, so the planner sees the true file size and
+    broadcasts the table by its own size check.
     """
     offers = F.array(*[F.struct(F.lit(p).alias("promotion"), F.lit(n).cast("long").alias("n"))
                        for p, n in PROMOTION_OFFERS])
@@ -98,15 +102,17 @@ def promotions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
                   F.col("o.n").alias("participation_number")))
     if not materialize:
         return df
-    return write_small_table(df, "promotions")
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _PROMOTIONS_WRITTEN:
+        _PROMOTIONS_WRITTEN[key] = write_small_table(df, "promotions")
+    return spark.read.parquet(_PROMOTIONS_WRITTEN[key])
 
 
-def write_small_table(df: DataFrame, name: str) -> DataFrame:
-    """Write a small derived table under the scratch folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "tables", name)
+def write_small_table(df: DataFrame, name: str) -> str:
+    """Write a small derived table under the scratch folder; return its path."""
+    path = scratch_path(df.sparkSession, "tables", name)
     df.coalesce(1).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return path
 
 
 def daily_winners(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -47,18 +47,17 @@ def unique_by(df: DataFrame, keys: Sequence[str], on_duplicate: str = "error",
     ordered = list(order_by) + [c for c in others if c not in order_by]
     packed = F.struct(*[F.col(c) for c in ordered])
     agg = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ub_n"), F.min(packed).alias("_ub_row"))
+    key_cols = [F.col(k) for k in keys]
     if on_duplicate == "error":
+        # the check sits on the key itself, so it survives column pruning
         label = F.concat_ws("_", *[F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys])
-        row = F.when(F.col("_ub_n") > 1,
-                     F.raise_error(F.concat(F.lit("duplicate rows for key "), label))
-                     ).otherwise(F.col("_ub_row"))
-    elif on_duplicate == "first":
-        row = F.col("_ub_row")
-    else:
+        fail = F.raise_error(F.concat(F.lit("duplicate rows for key "), label))
+        key_cols[0] = F.when(F.col("_ub_n") > 1, fail).otherwise(F.col(keys[0]))
+    elif on_duplicate != "first":
         raise ValueError(f"on_duplicate must be error, first or keep, not {on_duplicate!r}")
-    out = agg.select(*keys, row.alias("_ub_row"))
-    return out.select(*[F.col(c) for c in keys], *[F.col(f"_ub_row.{c}").alias(c) for c in others]) \
-              .select(*df.columns)
+    out = agg.select(*[c.alias(k) for c, k in zip(key_cols, keys)],
+                     *[F.col(f"_ub_row.{c}").alias(c) for c in others])
+    return out.select(*df.columns)
 
 
 def flag_winners(entries: DataFrame, promotions: DataFrame, entry_key: "Column | str",
@@ -75,8 +74,7 @@ def flag_winners(entries: DataFrame, promotions: DataFrame, entry_key: "Column |
     ek = F.col(entry_key) if isinstance(entry_key, str) else entry_key
     keys = promotions.select(pk.alias("_fw_key"))
     if on_duplicate == "error":
-        keys = unique_by(keys.withColumn("_fw_one", F.lit(1)), ["_fw_key"], "error") \
-            .select("_fw_key")
+        keys = unique_by(keys, ["_fw_key"], "error")
     else:
         keys = keys.distinct()
     keys = keys.withColumn("_fw_hit", F.lit(True))

@@ -1,0 +1,109 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from entryflow.operators.matching import cogroup_summary, match_winners, unique_by
+from entryflow.plans import raffle
+
+from conftest import SAMPLE_RECORDS, promotion_rows, record
+
+PROMO_SCHEMA = "day string, promotion string, participation_number long"
+
+
+def kv(spark, rows):
+    return spark.createDataFrame(rows, "key string, value string")
+
+
+def daily(spark, rows):
+    return spark.createDataFrame(rows, "day date, winnernumber long")
+
+
+def test_golden_no_winner(spark):
+    promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
+    assert raffle.winners(kv(spark, SAMPLE_RECORDS), promos).count() == 0
+
+
+def test_golden_winners(spark):
+    promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
+    rows = SAMPLE_RECORDS + [record("20220915", n) for n in (5, 13, 21)] + \
+        [record("20220916", 5)]  # other day: no promotion that day
+    out = raffle.winners(kv(spark, rows), promos)
+    assert out.columns == ["email", "name", "entry_time", "day", "participation_number",
+                           "promotion"]
+    got = sorted((r.participation_number, r.promotion) for r in out.collect())
+    assert got == [(5, "5 day cruise to Alaska"),
+                   (13, "14 day hiking trip to Kilimanjaro, Tanzania"),
+                   (21, "A week in Cambodia")]
+
+
+def test_duplicate_promotion_multiplies(spark):
+    promos = spark.createDataFrame([("20220915", "a", 5), ("20220915", "b", 5)], PROMO_SCHEMA)
+    out = raffle.winners(kv(spark, [record("20220915", 5)]), promos)
+    assert sorted(r.promotion for r in out.collect()) == ["a", "b"]
+
+
+def test_unique_by_error_and_first(spark):
+    promos = spark.createDataFrame([("20220915", "b", 5), ("20220915", "a", 5),
+                                    ("20220915", "c", 6)], PROMO_SCHEMA)
+    first = unique_by(promos, ["day", "participation_number"], "first", order_by=["promotion"])
+    assert sorted(tuple(r) for r in first.collect()) == [("20220915", "a", 5),
+                                                          ("20220915", "c", 6)]
+    assert first.columns == promos.columns
+    with pytest.raises(Exception, match="duplicate rows for key 20220915_5"):
+        unique_by(promos, ["day", "participation_number"], "error").collect()
+
+
+def test_flag_entries(spark):
+    winners = daily(spark, [(dt.date(2022, 9, 15), 19498), (dt.date(2022, 9, 15), 777)])
+    out = raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners)
+    assert out.columns == ["entry_time", "winner", "name", "participationnumber", "day", "email"]
+    rows = {r.participationnumber: r.winner for r in out.collect()}
+    assert len(rows) == 6  # promotion-only key 777 gives no row
+    assert rows[19498.0] is True and sum(rows.values()) == 1
+
+
+def test_flag_entries_as_of(spark):
+    winners = daily(spark, [(dt.date(2022, 9, 15), 19498), (dt.date(2022, 9, 16), 19499)])
+    out = raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners, as_of="2022-09-16")
+    assert out.where("winner").count() == 0  # 19499 wins on the 16th, the entry is the 15th
+
+
+def test_flag_duplicate_winner_fails(spark):
+    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)] * 2)
+    with pytest.raises(Exception, match="duplicate rows for key"):
+        raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners).collect()
+
+
+def test_flagged_records(spark):
+    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)])
+    recs = raffle.flagged_records(kv(spark, SAMPLE_RECORDS), winners)
+    dec = {r.key: r for r in raffle.decode_records(recs).collect()}
+    assert dec["20220915_19498"].winner is True
+    assert dec["20220915_19497"].winner is False
+    assert dec["20220915_19497"].participationnumber == 19497
+
+
+def test_cogroup_summary(spark):
+    left = spark.createDataFrame([("k1", 1), ("k1", 2), ("k2", 3), (None, 4)], "key string, v int")
+    right = spark.createDataFrame([("k2", "x"), ("k3", "y")], "key string, p string")
+    out = cogroup_summary(left, right, "key", "v", "p", "entries", "promos")
+    got = {r.key: (r.n_entries, r.n_promos, r.only_entries, r.only_promos) for r in out.collect()}
+    assert got == {"k1": (2, 0, 1, None), "k2": (1, 1, 3, "x"), "k3": (0, 1, None, "y"),
+                   None: (1, 0, 4, None)}
+
+
+def test_match_winners_stream_static(spark, tmp_dir):
+    import json
+    import os
+    os.makedirs(f"{tmp_dir}/in")
+    with open(f"{tmp_dir}/in/part1.json", "w") as fh:
+        for k, v in SAMPLE_RECORDS + [record("20220915", 5)]:
+            fh.write(json.dumps({"key": k, "value": v}) + "\n")
+    from entryflow.sources.topics import read_records_stream
+    stream = read_records_stream(spark, "json", f"{tmp_dir}/in")
+    promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
+    q = (raffle.winners(stream, promos).writeStream.format("memory").queryName("w_test")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r.participation_number for r in spark.table("w_test").collect()] == [5]

@@ -61,6 +61,13 @@ def assign_numbers_q(spark, sf):
         .select("event_id", "day", "participation_number")
 
 
+def produce_records(spark, sf):
+    """Q11: number the day's new entries, encode them as topic records
+    (decoded again here for the check)."""
+    records, _ = raffle.produce_entries(dt.new_entries(spark, sf), ["ts", "event_id"])
+    return raffle.decode_records(records).drop("winner")
+
+
 def day_keys(spark, sf):
     ev = dt.table(spark, sf, "events").where(F.col("ts").isNotNull())
     per_day = ev.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("events"))
@@ -107,6 +114,22 @@ def flagged_stream(spark, sf):
     return spark.read.parquet(f"{run}/table").select(*cols)
 
 
+def numbered_stream(spark, sf):
+    """T14 on a stream: per-day numbers continued across micro-batches;
+    summarised per day (rows, lowest, highest and distinct numbers)."""
+    from entryflow.streaming.numbering import number_stream
+    base = dt.table(spark, sf, "events").select("event_id", "ts", day_key("ts").alias("day"))
+    run, src = _stream_run(spark, "numbered", base)
+    stream = (spark.readStream.schema(base.schema).option("maxFilesPerTrigger", "1")
+              .parquet(src["path"]))
+    number_stream(stream, "day", ["ts", "event_id"], "n", f"{run}/out", f"{run}/state",
+                  f"{run}/checkpoint", trigger="available_now").awaitTermination()
+    out = spark.read.parquet(f"{run}/out")
+    return out.groupBy("day").agg(F.count(F.lit(1)).alias("rows"), F.min("n").alias("min_n"),
+                                  F.max("n").alias("max_n"),
+                                  F.countDistinct("n").alias("distinct_n"))
+
+
 def transcode_posts(spark, sf):
     posts = dt.posts(spark, sf)
     records = posts.select(F.col("url").alias("key"),
@@ -183,6 +206,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_promotions": unique_promotions,
     "promotions_for_day": promotions_for_day,
     "assign_numbers": assign_numbers_q,
+    "produce_records": produce_records,
     "day_keys": day_keys,
     "top_viewed": top_viewed,
     "posts_by_language": posts_by_language,
@@ -201,4 +225,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "winners_stream": winners_stream,
     "flagged_stream": flagged_stream,
     "transcode_posts": transcode_posts,
+    "numbered_stream": numbered_stream,
 }

@@ -202,3 +202,11 @@ SQL["entries_stream"] = SQL["entries_parsed"]
 SQL["winners_stream"] = SQL["winners_inner"]
 SQL["flagged_stream"] = SQL["flagged_entries"]
 SQL["transcode_posts"] = with_views("SELECT title, body, url, view_count, tags FROM posts", "posts")
+SQL["produce_records"] = with_views("""
+SELECT day || '_' || participation_number AS key, email, name, entry_time, day,
+       participation_number AS participationnumber
+FROM entries""", "entries")
+SQL["numbered_stream"] = """
+SELECT strftime(ts, '%Y%m%d') AS day, COUNT(*) AS rows, CAST(0 AS BIGINT) AS min_n,
+       CAST(COUNT(*) - 1 AS BIGINT) AS max_n, COUNT(*) AS distinct_n
+FROM events GROUP BY 1"""

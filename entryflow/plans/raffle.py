@@ -9,12 +9,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from entryflow.functions.keys import daily_winner_key, entry_time_text
+from typing import Sequence
+
+from entryflow.functions.keys import daily_winner_key, entry_key, entry_time_text
 from entryflow.operators.matching import flag_winners, match_winners, unique_by
-from entryflow.operators.payload import add_json_field, parse_entries, parse_json
+from entryflow.operators.numbering import assign_numbers, next_numbers
+from entryflow.operators.payload import add_json_field, parse_entries, parse_json, to_records
 from entryflow.schemas import FLAGGED_TABLE  # noqa: F401  (re-exported)
 from entryflow.sources.tables import read_promotions_for_day
 
+# Payload fields of an entry record, in the order they are written.
+PAYLOAD_FIELDS = ("email", "name", "entry_time", "day", "participationnumber")
+
 # Payload as the flagging job decodes it: numbers come back as doubles.
 FLAG_PAYLOAD = T.StructType([
     T.StructField("email", T.StringType(), True),
@@ -96,3 +102,26 @@ def unique_promotions(promotions: DataFrame, on_duplicate: str = "first") -> Dat
     alphabetically first promotion text, ``error`` fails on a duplicate."""
     return unique_by(promotions, ["day", "participation_number"], on_duplicate,
                      order_by=["promotion"])
+
+
+def number_entries(entries: DataFrame, order_cols: Sequence[str] = ("entry_time",),
+                   last_by_day: DataFrame | None = None) -> DataFrame:
+    """Give new entries (``email, name, entry_time, day``) their
+    ``participationnumber``: dense per day in ``order_cols`` order (add a
+    unique id as last tie-breaker), continuing from ``last_by_day``
+    (``day, next_number``) when given."""
+    return assign_numbers(entries, "day", list(order_cols), out_col="participationnumber",
+                          start=last_by_day)
+
+
+def entry_records(numbered: DataFrame) -> DataFrame:
+    """``key, value`` topic records: key ``<day>_<number>``, JSON payload."""
+    return to_records(numbered, entry_key("day", "participationnumber"), PAYLOAD_FIELDS)
+
+
+def produce_entries(entries: DataFrame, order_cols: Sequence[str] = ("entry_time",),
+                    last_by_day: DataFrame | None = None):
+    """Q11: number new entries and encode them; returns ``(records,
+    next_by_day)`` where ``next_by_day`` is what to store for the next run."""
+    numbered = number_entries(entries, order_cols, last_by_day)
+    return entry_records(numbered), next_numbers(numbered, "day", "participationnumber")

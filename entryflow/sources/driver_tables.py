@@ -56,19 +56,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``email, name, entry_time (double), day, participation_number, event_id``."""
+def new_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries before numbering: ``email, name, entry_time, day, ts, event_id``."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    base = ev.select(
+    named = ev.select(
         "event_id", "ts",
         F.concat(F.lit("User "), F.col("user_id").cast("string")).alias("name"),
         epoch_seconds("ts").alias("entry_time"),
         day_key("ts").alias("day"),
     )
-    numbered = assign_numbers(base, "day", ["ts", "event_id"], out_col="participation_number")
-    return numbered.select(
-        email_from_name("name").alias("email"), "name", "entry_time", "day",
-        "participation_number", "event_id")
+    return named.select(email_from_name("name").alias("email"), "name", "entry_time", "day",
+                        "ts", "event_id")
+
+
+def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``email, name, entry_time (double), day, participation_number, event_id``."""
+    numbered = assign_numbers(new_entries(spark, sf_dir), "day", ["ts", "event_id"],
+                              out_col="participation_number")
+    return numbered.select("email", "name", "entry_time", "day", "participation_number",
+                           "event_id")
 
 
 def entries_kv(spark: SparkSession, sf_dir: str) -> DataFrame:

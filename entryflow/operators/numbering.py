@@ -2,7 +2,9 @@
 
 A window ``row_number() OVER (PARTITION BY day ORDER BY ...)`` puts a whole
 day into one task; when one day holds a third of all rows that task does a
-third of the work.  Instead the rows are range-partitioned on the full sort
+third of the work.  So the group sizes are counted first (one aggregation
+with a map-side partial step).  When the largest group fits one task the
+window is used.  Otherwise the rows are range-partitioned on the full sort
 key (so a hot day spreads over many tasks), each task numbers its slice, and
 a small table of per-(task, group) row counts gives every slice its offset.
 
@@ -25,27 +27,53 @@ _PID, _POS, _FIRST, _ROWS, _BEFORE, _BASE = (
     "_nb_pid", "_nb_pos", "_nb_first", "_nb_rows", "_nb_before", "_nb_base")
 
 
-def count_groups_upto(df: DataFrame, group_col: str, limit: int) -> int:
-    """Number of distinct groups, counted no further than ``limit + 1``."""
-    return df.select(group_col).distinct().limit(limit + 1).count()
+def group_stats(df: DataFrame, group_col: str) -> tuple[int, int]:
+    """``(rows in the largest group, number of groups)``, exactly."""
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_gs_n"))
+    row = sizes.agg(F.max("_gs_n"), F.count(F.lit(1))).head()
+    return int(row[0] or 0), int(row[1] or 0)
+
+
+def _with_start(df: DataFrame, group_col: str, start: DataFrame | None,
+                start_col: str) -> tuple[DataFrame, "F.Column"]:
+    """Attach the stored next number per group (0 when absent)."""
+    if start is None:
+        return df, F.lit(0).cast("long")
+    base = start.select(F.col(group_col).alias("_nb_g"), F.col(start_col).cast("long").alias(_BASE))
+    # one row per group: the planner broadcasts it when its size allows
+    joined = df.join(base, df[group_col].eqNullSafe(base["_nb_g"]), "left").drop("_nb_g")
+    return joined, F.coalesce(F.col(_BASE), F.lit(0).cast("long"))
 
 
 def assign_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str],
                    out_col: str = "number", start: DataFrame | None = None,
                    start_col: str = "next_number", num_partitions: int | None = None,
-                   max_broadcast_rows: int = 2_000_000,
-                   max_groups: int | None = None) -> DataFrame:
+                   max_task_rows: int = 1_000_000,
+                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """Number rows 0, 1, 2, ... within each ``group_col`` in ``order_cols`` order.
 
     ``(group_col, *order_cols)`` must be unique (add an id as last tie-breaker).
     ``start`` holds ``(group_col, start_col)``: the first free number per group
-    from earlier runs; numbering continues from it (0 when absent).
+    from earlier runs (one row per group); numbering continues from it.
 
-    The offsets table has at most ``partitions + groups`` rows.  It is
-    broadcast when that bound is below ``max_broadcast_rows`` (the number of
-    groups is counted unless ``max_groups`` is given); beyond it the join is
-    left to the planner.
+    Groups of at most ``max_task_rows`` rows are numbered by a window (one
+    task per group); larger ones by the range split.  The split's offsets
+    table has at most ``partitions + groups`` rows and is broadcast when that
+    is below ``max_broadcast_rows``, else the join is left to the planner.
     """
+    largest, groups = group_stats(df, group_col)
+    if largest <= max_task_rows:
+        w = Window.partitionBy(group_col).orderBy(*order_cols)
+        out, base = _with_start(df, group_col, start, start_col)
+        return (out.withColumn(out_col, (F.row_number().over(w) - 1 + base).cast("long"))
+                   .drop(_BASE))
+    return _range_numbers(df, group_col, order_cols, out_col, start, start_col,
+                          num_partitions, groups, max_broadcast_rows)
+
+
+def _range_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str], out_col: str,
+                   start: DataFrame | None, start_col: str, num_partitions: int | None,
+                   groups: int, max_broadcast_rows: int) -> DataFrame:
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group_col)] + [F.col(c) for c in order_cols]
@@ -72,8 +100,7 @@ def assign_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str],
     spans = spans.select(F.col(_PID).alias("_nb_spid"), F.col(group_col).alias("_nb_sgrp"),
                          _FIRST, _BEFORE, F.coalesce(F.col(_BASE), F.lit(0)).alias(_BASE))
 
-    groups = max_groups if max_groups is not None else count_groups_upto(
-        df, group_col, max_broadcast_rows)
+    # at most one row per (task, group) run: n + groups - 1 rows
     if n + groups <= max_broadcast_rows:
         spans = F.broadcast(spans)
     cond = (tagged[_PID] == spans["_nb_spid"]) & tagged[group_col].eqNullSafe(spans["_nb_sgrp"])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entryflow.functions.keys import day_key, iso_day_key, strip_dashes
 from entryflow.operators.matching import cogroup_summary
 from entryflow.operators.numbering import assign_numbers
-from entryflow.plans import chartdata, jobs, raffle, reports
+from entryflow.plans import chartdata, jobs, raffle, reports, sql_reports
 from entryflow.schemas import POSTS_TABLE
 from entryflow.session import scratch_path
 from entryflow.sources import driver_tables as dt
@@ -159,6 +159,15 @@ def active_vs_total(spark, sf):
     return reports.active_vs_total(*_qa(spark, sf))
 
 
+def _sql_report(name: str):
+    def run(spark, sf):
+        sql_reports.register_report_views(spark, *_qa(spark, sf))
+        return sql_reports.run_report(spark, name)
+    run.__name__ = f"{name}_sql"
+    run.__doc__ = f"The {name} report as Spark SQL over temp views."
+    return run
+
+
 def tag_unnest(spark, sf):
     return reports.tag_rows(dt.posts(spark, sf), "url")
 
@@ -226,4 +235,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_stream": flagged_stream,
     "transcode_posts": transcode_posts,
     "numbered_stream": numbered_stream,
+    **{f"{name}_sql": _sql_report(name) for name in sql_reports.REPORTS},
 }

@@ -93,3 +93,45 @@ def test_chart_data(spark):
         assert abs(r.active_users_share + r.total_users_share - 1.0) < 1e-12
     assert [tuple(r) for r in chartdata.yearly_active(
         reports.active_vs_total(posts, q, a, u)).collect()] == [(2020, 4), (2021, 1)]
+
+
+def test_sql_api_matches_dataframe_api(spark):
+    from entryflow.plans import sql_reports
+    posts, q, a, u = fixture(spark)
+    sql_reports.register_report_views(spark, posts, q, a, u)
+    pairs = {
+        "top_viewed": reports.top_viewed(posts),
+        "posts_by_language": reports.posts_by_language(posts),
+        "days_to_answer": reports.days_to_answer(posts, q, a),
+        "active_vs_total": reports.active_vs_total(posts, q, a, u),
+    }
+    for name, df in pairs.items():
+        got = sql_reports.run_report(spark, name)
+        assert got.columns == df.columns, name
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in df.collect()], name
+
+
+def test_hot_title_skew(spark):
+    """One title shared by most questions: results equal the brute-force join."""
+    import duckdb
+    from pyspark.sql import functions as F
+    from entryflow.plans.oracle import DAYS_TO_ANSWER
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    lineitem = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    hot = F.when(F.col("o_orderkey") % 3 != 0, F.lit("hot")).otherwise(
+        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")))
+    posts = orders.select(hot.alias("title"), F.lit("b").alias("body"), F.lit("u").alias("url"),
+                          F.lit(1).cast("long").alias("view_count"),
+                          F.array(F.lit("python"), F.lit("mysql")).alias("tags"))
+    q = orders.select(F.col("o_orderkey").alias("id"), hot.alias("title"),
+                      F.col("o_orderdate").alias("creation_date"),
+                      F.col("o_custkey").alias("owner_user_id"))
+    a = lineitem.select(F.col("l_orderkey").alias("parent_id"),
+                        F.col("l_shipdate").alias("creation_date"),
+                        F.col("l_partkey").alias("owner_user_id"))
+    got = sorted((r[0], r[1], round(r[2], 9)) for r in reports.days_to_answer(posts, q, a).collect())
+    con = duckdb.connect()
+    for name, df in (("posts", posts), ("questions", q), ("answers", a)):
+        con.register(name, df.toPandas())
+    exp = sorted((r[0], r[1], round(r[2], 9)) for r in con.sql(DAYS_TO_ANSWER).fetchall())
+    assert got == exp and len(got) > 0

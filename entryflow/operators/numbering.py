@@ -61,7 +61,10 @@ def assign_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str],
     table has at most ``partitions + groups`` rows and is broadcast when that
     is below ``max_broadcast_rows``, else the join is left to the planner.
     """
-    largest, groups = group_stats(df, group_col)
+    # the total row count is a metadata read on a plain scan; only when it
+    # exceeds one task are the groups sized exactly
+    total = df.count()
+    largest, groups = (total, None) if total <= max_task_rows else group_stats(df, group_col)
     if largest <= max_task_rows:
         w = Window.partitionBy(group_col).orderBy(*order_cols)
         out, base = _with_start(df, group_col, start, start_col)
@@ -84,7 +87,7 @@ def _range_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str], out
                     .withColumn(_POS, F.monotonically_increasing_id()))
     path = scratch_path(spark, "numbering")
     tagged.write.mode("overwrite").parquet(path)
-    tagged = spark.read.parquet(path)
+    tagged = spark.read.schema(tagged.schema).parquet(path)
 
     spans = (tagged.groupBy(_PID, group_col)
              .agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS)))

@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from entryflow.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA
 
-_PARSED = "_payload"
-
 
 def kv_strings(df: DataFrame, key_col: str = "key", value_col: str = "value",
                key_alias: str = "key", value_alias: str = "value") -> DataFrame:
@@ -27,13 +25,17 @@ def parse_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     ``keep`` keeps such all-NULL rows, ``drop`` removes them, ``split``
     returns ``(good, bad)`` where ``bad`` holds the raw kept columns and value.
     """
-    parsed = df.withColumn(_PARSED, F.from_json(F.col(value_col), schema))
     names = [f.name for f in schema.fields]
-    all_null = F.lit(True)
+    # The parse runs inside a generator (one struct -> one row), so filters
+    # on the parsed fields (e.g. the IS NOT NULL that a join on them infers)
+    # stay above it: each value is parsed once, not once per referenced field.
+    carried = list(dict.fromkeys(list(keep) + ([value_col] if on_bad == "split" else [])))
+    parsed = df.select(*[F.col(c) for c in carried],
+                       F.inline(F.array(F.from_json(F.col(value_col), schema))))
+    bad = F.lit(True)
     for n in names:
-        all_null = all_null & F.col(f"{_PARSED}.{n}").isNull()
-    bad = F.col(_PARSED).isNull() | all_null
-    out_cols = [F.col(k) for k in keep] + [F.col(f"{_PARSED}.{n}").alias(n) for n in names]
+        bad = bad & F.col(n).isNull()
+    out_cols = [F.col(k) for k in keep] + [F.col(n) for n in names]
     if on_bad == "keep":
         return parsed.select(*out_cols)
     if on_bad == "drop":

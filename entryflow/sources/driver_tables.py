@@ -52,8 +52,16 @@ POST_TAGS: tuple[str, ...] = (
 ENTRY_PAYLOAD_FIELDS = ("email", "name", "entry_time", "day", "participationnumber")
 
 
+_SCHEMAS: dict[str, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table.  The tables are read-only, so the schema read from the
+    Parquet footer once is reused (no schema-inference job per read)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def new_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +119,7 @@ def promotions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _PROMOTIONS_WRITTEN:
         _PROMOTIONS_WRITTEN[key] = write_small_table(df, "promotions")
-    return spark.read.parquet(_PROMOTIONS_WRITTEN[key])
+    return spark.read.schema(df.schema).parquet(_PROMOTIONS_WRITTEN[key])
 
 
 def write_small_table(df: DataFrame, name: str) -> str:

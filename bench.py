@@ -1,7 +1,7 @@
 """Time the headline queries; print one JSON line.
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-     BENCH_REPEAT (default 3; the median of the warm runs is reported).
+     BENCH_REPEAT (default 5; the median of the warm runs is reported).
 
 Each query is run to completion with the ``noop`` sink (every row is
 produced, nothing is collected to the driver).  One cold run per query
@@ -41,7 +41,7 @@ def run_once(spark, fn, sf_dir: str) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     spark = build_session(f"local[{cpus}]", app_name="entryflow-bench",
                           shuffle_partitions=max(cpus, 8),
                           extra={"spark.ui.showConsoleProgress": "false",

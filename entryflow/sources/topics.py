@@ -18,10 +18,11 @@ from entryflow.schemas import KV_SCHEMA
 
 def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None,
                   api_secret: str | None = None, starting_offsets: str = "earliest",
-                  fail_on_data_loss: bool = True,
+                  fail_on_data_loss: bool = True, min_partitions: int | None = None,
                   extra: Mapping[str, str] | None = None) -> dict[str, str]:
     """Source options for a SASL/PLAIN-over-TLS topic, read from the earliest
-    offset and failing when offsets were lost.  ``extra`` passes further
+    offset and failing when offsets were lost.  ``min_partitions`` splits a
+    topic with few partitions into more read tasks.  ``extra`` passes further
     options (``kafka.request.timeout.ms`` and the like) through unchanged.
     Secrets are placed in the options only, never printed.
     """
@@ -31,6 +32,8 @@ def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "true" if fail_on_data_loss else "false",
     }
+    if min_partitions:
+        opts["minPartitions"] = str(int(min_partitions))
     if api_key is not None:
         jaas = ("org.apache.kafka.common.security.plain.PlainLoginModule required "
                 f'username="{api_key}" password="{api_secret}";')

@@ -7,6 +7,7 @@ micro-batch and writes no duplicates.
 
 from __future__ import annotations
 
+import time
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,6 +54,24 @@ def sync_stream_to_table(df: DataFrame, table: str, checkpoint: str,
     return append_stream(df, table, checkpoint, trigger, as_table=True)
 
 
+def run_until_stopped(query: StreamingQuery, timeout_s: float | None = None) -> bool:
+    """Block until the query ends (or ``timeout_s`` passes); re-raises the
+    query's failure.  Returns whether it has ended."""
+    if timeout_s is None:
+        query.awaitTermination()
+        return True
+    return bool(query.awaitTermination(timeout_s))
+
+
+def stop_gracefully(query: StreamingQuery, timeout_s: float = 120.0, poll_s: float = 0.2) -> None:
+    """Stop after the micro-batch in progress has committed (polls the
+    query status, not data), or after ``timeout_s`` at the latest."""
+    deadline = time.monotonic() + timeout_s
+    while query.isActive and query.status.get("isTriggerActive") and time.monotonic() < deadline:
+        time.sleep(poll_s)
+    query.stop()
+
+
 def tail_stream(df: DataFrame, name: str, output_mode: str = "append") -> StreamingQuery:
     """Push query: changes land in in-memory table ``name`` as they come
     (for interactive looks; the memory sink keeps everything on the driver,

@@ -59,6 +59,7 @@ def test_kafka_options():
     assert 'username="KEY" password="SECRET"' in o["kafka.sasl.jaas.config"]
     assert o["kafka.request.timeout.ms"] == "20000"
     assert "kafka.sasl.jaas.config" not in kafka_options("b:9092", "t")
+    assert kafka_options("b:9092", "t", min_partitions=8)["minPartitions"] == "8"
 
 
 def test_records_roundtrip(spark, tmp_dir):

@@ -146,3 +146,14 @@ def test_sync_to_table_and_tail(spark, tmp_dir):
     t.processAllAvailable()
     t.stop()
     assert spark.table("tail_entries").count() == 6
+
+
+def test_graceful_stop(spark, tmp_dir):
+    from entryflow.streaming.queries import run_until_stopped, stop_gracefully
+    write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS)
+    q = jobs.run_entries(spark, src(f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                         trigger="1 second")
+    q.processAllAvailable()
+    stop_gracefully(q, timeout_s=30)
+    assert not q.isActive and run_until_stopped(q, 1)
+    assert spark.read.parquet(f"{tmp_dir}/out").count() == 6

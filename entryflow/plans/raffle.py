@@ -65,14 +65,25 @@ def promotion_keys(daily_winners: DataFrame, as_of=None) -> DataFrame:
                        F.col("day"), F.col("winnernumber"))
 
 
+def check_unique_entries(kv: DataFrame) -> DataFrame:
+    """Fail the job when two entry records share a key (batch frames: one
+    aggregation over the keys, joined back on the key)."""
+    keys = unique_by(kv.select("key"), ["key"], "error")
+    return kv.join(keys, "key", "left_semi")
+
+
 def flag_entries(kv: DataFrame, daily_winners: DataFrame, as_of=None,
-                 on_duplicate: str = "error") -> DataFrame:
+                 on_duplicate: str = "error", entries_unique: bool = False) -> DataFrame:
     """One flagged row per entry record (``FLAGGED_TABLE`` columns).
 
     ``winner`` is true when the record key has a daily-winners row.  A key
     with two winners rows fails the job (``on_duplicate="error"``); winners
-    rows without an entry produce nothing.
+    rows without an entry produce nothing.  ``entries_unique`` also fails on
+    two entry records with one key (batch only; it costs a shuffle of the
+    entry keys, and topic keys are unique by construction).
     """
+    if entries_unique:
+        kv = check_unique_entries(kv)
     keys = promotion_keys(daily_winners, as_of).select("key")
     flagged = flag_winners(kv, keys, entry_key="key", promo_key="key",
                            on_duplicate=on_duplicate)

@@ -75,6 +75,15 @@ def test_flag_duplicate_winner_fails(spark):
         raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners).collect()
 
 
+def test_flag_duplicate_entry_fails_when_asked(spark):
+    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)])
+    rows = SAMPLE_RECORDS + [SAMPLE_RECORDS[0]]
+    assert raffle.flag_entries(kv(spark, rows), winners).count() == 7
+    with pytest.raises(Exception, match="duplicate rows for key 20220915_19497"):
+        raffle.flag_entries(kv(spark, rows), winners, entries_unique=True).collect()
+    assert raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners, entries_unique=True).count() == 6
+
+
 def test_flagged_records(spark):
     winners = daily(spark, [(dt.date(2022, 9, 15), 19498)])
     recs = raffle.flagged_records(kv(spark, SAMPLE_RECORDS), winners)

@@ -201,6 +201,11 @@ def user_share(spark, sf):
     return chartdata.user_share(active_vs_total(spark, sf))
 
 
+def record_count_by_year(spark, sf):
+    """The charts' default metric: rows of the days-to-answer report per year."""
+    return chartdata.record_count(days_to_answer(spark, sf), "year")
+
+
 def preview(spark, sf):
     """A table preview: the first rows a scan returns (any 100 rows)."""
     return raffle.winners(dt.entries_kv(spark, sf), dt.promotions(spark, sf)).limit(100)
@@ -229,6 +234,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_answer_days": yearly_answer_days,
     "yearly_active": yearly_active,
     "user_share": user_share,
+    "record_count_by_year": record_count_by_year,
     "preview": preview,
     "entries_stream": entries_stream,
     "winners_stream": winners_stream,

@@ -211,6 +211,9 @@ SELECT strftime(ts, '%Y%m%d') AS day, COUNT(*) AS rows, CAST(0 AS BIGINT) AS min
        CAST(COUNT(*) - 1 AS BIGINT) AS max_n, COUNT(*) AS distinct_n
 FROM events GROUP BY 1"""
 
+SQL["record_count_by_year"] = with_views(f"""
+SELECT year, COUNT(*) AS record_count FROM ({DAYS_TO_ANSWER}) GROUP BY year""", *QA)
+
 # The SQL-API versions of the reports give the same rows.
 for _name in ("top_viewed", "posts_by_language", "days_to_answer", "active_vs_total"):
     SQL[f"{_name}_sql"] = SQL[_name]

@@ -91,6 +91,11 @@ def test_chart_data(spark):
     share = chartdata.user_share(reports.active_vs_total(posts, q, a, u)).collect()
     for r in share:
         assert abs(r.active_users_share + r.total_users_share - 1.0) < 1e-12
+    assert [tuple(r) for r in chartdata.record_count(days, "year").collect()] == \
+        [(2020, 1), (2021, 3)]
+    from entryflow.operators.ranking import rollup_metric
+    assert rollup_metric(days, "year", "average_number_of_days_for_answer", "m", "max") \
+        .collect()[0].m == 10.0
     assert [tuple(r) for r in chartdata.yearly_active(
         reports.active_vs_total(posts, q, a, u)).collect()] == [(2020, 4), (2021, 1)]
 

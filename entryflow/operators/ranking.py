@@ -11,17 +11,19 @@ def top_distinct(df: DataFrame, cols: Sequence[str], by: str, k: int,
                  tie_breakers: Sequence[str] = ()) -> DataFrame:
     """``SELECT DISTINCT cols ORDER BY by DESC, tie_breakers LIMIT k``.
 
-    The k-th largest distinct value of ``by`` is a lower bound for the ``by``
-    of every result row (there are at least k distinct rows at or above it).
-    It is found on the single column ``by`` and applied as a filter before
-    the distinct, so only the rows near the top are deduplicated and sorted.
+    The smallest of the k largest distinct values of ``by`` is a lower bound
+    for the ``by`` of every result row (with fewer than k distinct values it
+    is the overall minimum, so nothing is cut).  It is found on the single
+    column ``by`` and applied before the distinct as ``by >= t OR by IS
+    NULL`` (one scalar subquery; both predicates can reach a Parquet scan's
+    row-group statistics), so only rows near the top are deduplicated and
+    sorted.  NULL ``by`` rows stay candidates because they sort last.
     """
     rows = df.select(*cols)
     top_values = (rows.where(F.col(by).isNotNull()).select(by).distinct()
                   .orderBy(F.col(by).desc()).limit(k))
-    kth = top_values.agg(F.when(F.count(F.lit(1)) >= k, F.min(by)).alias("kth")).scalar()
-    # fewer than k distinct values: no bound, keep everything
-    candidates = rows.where(F.coalesce(F.col(by) >= kth, kth.isNull()))
+    threshold = top_values.agg(F.min(by)).scalar()
+    candidates = rows.where((F.col(by) >= threshold) | F.col(by).isNull())
     order = [F.col(by).desc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tie_breakers]
     return candidates.distinct().orderBy(*order).limit(k)
 

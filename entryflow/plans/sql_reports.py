@@ -32,13 +32,13 @@ _TAGS = f"""
 
 REPORTS: dict[str, str] = {
     "top_viewed": """
-WITH kth AS (
-  SELECT CASE WHEN count(1) >= 10 THEN min(view_count) END AS v
-  FROM (SELECT DISTINCT view_count FROM posts WHERE view_count IS NOT NULL
-        ORDER BY view_count DESC LIMIT 10)),
-near_top AS (
+WITH near_top AS (
   SELECT title, body, url, view_count FROM posts
-  WHERE coalesce(view_count >= (SELECT v FROM kth), (SELECT v FROM kth) IS NULL))
+  WHERE view_count >= (SELECT min(view_count)
+                       FROM (SELECT DISTINCT view_count FROM posts
+                             WHERE view_count IS NOT NULL
+                             ORDER BY view_count DESC LIMIT 10))
+     OR view_count IS NULL)
 SELECT DISTINCT title, body, url, view_count FROM near_top
 ORDER BY view_count DESC NULLS LAST, title, url, body
 LIMIT 10""",

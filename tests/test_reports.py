@@ -140,3 +140,15 @@ def test_hot_title_skew(spark):
         con.register(name, df.toPandas())
     exp = sorted((r[0], r[1], round(r[2], 9)) for r in con.sql(DAYS_TO_ANSWER).fetchall())
     assert got == exp and len(got) > 0
+
+
+def test_top_viewed_null_counts(spark):
+    posts = spark.createDataFrame([
+        ("a", "b", "u1", None, None), ("b", "b", "u2", 5, None), ("c", "b", "u3", 7, None),
+        ("c", "b", "u3", 7, None),
+    ], POSTS)
+    assert [(r.title, r.view_count) for r in reports.top_viewed(posts, 3).collect()] == \
+        [("c", 7), ("b", 5), ("a", None)]  # NULL sorts last but fills the top 3
+    assert [r.title for r in reports.top_viewed(posts, 1).collect()] == ["c"]
+    only_null = spark.createDataFrame([("a", "b", "u", None, None)], POSTS)
+    assert reports.top_viewed(only_null, 2).count() == 1

@@ -52,11 +52,16 @@ def number_stream(df: DataFrame, group_col: str, order_cols: Sequence[str], out_
     """Number a stream's rows per group in arrival order (within a batch by
     ``order_cols``) and append them to ``target/batch_id=N``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        numbered = number_batch(batch, batch_id, group_col, order_cols, out_col, state_path)
+        # sizing and numbering read the batch more than once: read the source once
+        batch.persist()
         try:
-            overwrite_batch(numbered, target, batch_id)
+            numbered = number_batch(batch, batch_id, group_col, order_cols, out_col, state_path)
+            try:
+                overwrite_batch(numbered, target, batch_id)
+            finally:
+                numbered.unpersist()
         finally:
-            numbered.unpersist()
+            batch.unpersist()
 
     return (df.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**trigger_options(trigger)).foreachBatch(run).start())

@@ -1,4 +1,12 @@
-"""Schemas of the records and tables the jobs read and write."""
+"""Schemas of the records and tables the jobs read and write.
+
+Fixed values: the field names below (payload ``email, name, entry_time,
+day, participationnumber``; tables ``participation_number``, ``promotion``,
+``winner``, ``winnernumber``; posts ``title, body, url, view_count, tags``;
+questions/answers/users ``id, parent_id, creation_date, owner_user_id``)
+are those of the reference's records and tables, so that data written by
+one side reads on the other.
+"""
 
 from __future__ import annotations
 

@@ -11,7 +11,7 @@ from typing import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from entryflow.functions.keys import day_key
+from entryflow.functions.keys import day_key, iso_day_key
 from entryflow.schemas import PROMOTIONS_TABLE, ddl
 
 
@@ -67,21 +67,25 @@ def overwrite_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parqu
     return path
 
 
-def promotion_rows(spark: SparkSession, offers: Iterable[tuple[str, int]], day=None) -> DataFrame:
+def promotion_rows(spark: SparkSession, offers: Iterable[tuple[str, int]], day=None,
+                   iso_week_year: bool = False) -> DataFrame:
     """Rows for the promotions table: one per (promotion, number) for ``day``
-    (a date or ``yyyyMMdd`` text; default today), calendar-year day key."""
+    (a date or ``yyyyMMdd`` text; default today).  The day key uses the
+    calendar year; ``iso_week_year`` reproduces a ``%G%m%d`` insert, whose
+    year part is the ISO week-numbering year (differs around New Year)."""
     offers = list(offers)
     base = spark.createDataFrame(offers, "promotion string, participation_number bigint")
+    key = iso_day_key if iso_week_year else day_key
     if day is None:
-        d = day_key(F.current_date())
+        d = key(F.current_date())
     elif isinstance(day, (_dt.date, _dt.datetime)):
-        d = F.lit(day.strftime("%Y%m%d"))
+        d = key(F.lit(day.isoformat()[:10]).cast("date"))
     else:
         d = F.lit(str(day))
     return base.select(d.alias("day"), "promotion", "participation_number")
 
 
 def insert_promotions(spark: SparkSession, offers: Iterable[tuple[str, int]], target: str,
-                      day=None) -> None:
+                      day=None, iso_week_year: bool = False) -> None:
     """Append a day's promotions, checked against the required schema."""
-    append_table(promotion_rows(spark, offers, day), target, PROMOTIONS_TABLE)
+    append_table(promotion_rows(spark, offers, day, iso_week_year), target, PROMOTIONS_TABLE)

@@ -40,6 +40,9 @@ def test_promotion_rows_today(spark):
     import datetime as dt
     rows = promotion_rows(spark, [("x", 5)]).collect()
     assert rows[0].day == dt.date.today().strftime("%Y%m%d")
+    ny = dt.date(2021, 1, 1)
+    assert promotion_rows(spark, [("x", 5)], ny).head().day == "20210101"
+    assert promotion_rows(spark, [("x", 5)], ny, iso_week_year=True).head().day == "20200101"
 
 
 def test_day_filters(spark):

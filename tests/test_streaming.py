@@ -157,3 +157,18 @@ def test_graceful_stop(spark, tmp_dir):
     stop_gracefully(q, timeout_s=30)
     assert not q.isActive and run_until_stopped(q, 1)
     assert spark.read.parquet(f"{tmp_dir}/out").count() == 6
+
+
+def test_flag_entries_on_stream_directly(spark, tmp_dir):
+    """Stream-static left join: the aggregated, checked promotion keys are
+    the static side; the flag needs no foreachBatch."""
+    import datetime as dt
+    from entryflow.sources.topics import read_records_stream
+    write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS)
+    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 19501)], "day date, winnernumber long")
+    stream = read_records_stream(spark, "json", f"{tmp_dir}/in")
+    q = (raffle.flag_entries(stream, winners).writeStream.format("memory")
+         .queryName("flag_direct").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.participationnumber: r.winner for r in spark.table("flag_direct").collect()}
+    assert len(got) == 6 and got[19501.0] is True and sum(got.values()) == 1

@@ -102,7 +102,7 @@ JOIN users u ON a.owner_user_id = u.id"""
 
 USERS_TOTALS = """
 SELECT year, number_of_users,
-       CAST(SUM(number_of_users) OVER (ORDER BY year) AS BIGINT) AS total_users
+       CAST(SUM(number_of_users) OVER (ORDER BY year NULLS FIRST) AS BIGINT) AS total_users
 FROM (SELECT CAST(EXTRACT(YEAR FROM creation_date) AS BIGINT) AS year,
              COUNT(id) AS number_of_users
       FROM users GROUP BY 1)"""

@@ -60,6 +60,10 @@ def assign_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str],
     task per group); larger ones by the range split.  The split's offsets
     table has at most ``partitions + groups`` rows and is broadcast when that
     is below ``max_broadcast_rows``, else the join is left to the planner.
+
+    The sizing reads ``df`` before the numbering does; on a plain scan that
+    is a metadata read, but an expensive ``df`` (joins, a stream batch)
+    should be persisted or written first.
     """
     # the total row count is a metadata read on a plain scan; only when it
     # exceeds one task are the groups sized exactly

@@ -1,5 +1,5 @@
-"""Command line for the jobs: ``spark-submit -m entryflow <job> ...`` or
-``python -m entryflow <job> ...``.
+"""Command line for the jobs: ``python -m entryflow <job> ...``, or
+``spark-submit --py-files entryflow.zip entryflow/__main__.py <job> ...``.
 
     entries    topic -> parsed entries table                    (Q1)
     winners    topic x promotions -> winners table              (Q2)

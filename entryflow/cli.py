@@ -97,7 +97,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("name", choices=["top_viewed", "posts_by_language", "days_to_answer",
                                     "active_vs_total"])
     for t in ("posts", "questions", "answers", "users"):
-        p.add_argument(f"--{t}", required=t in ("posts", "questions"))
+        p.add_argument(f"--{t}", required=t == "posts")
     p.add_argument("--out", help="write the result here (Parquet) instead of showing it")
     return parser
 
@@ -134,13 +134,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
         insert_promotions(spark, offers, a.target, a.day, a.iso_week_year)
         return None
     if a.job == "report":
-        tabs = {t: _table(spark, getattr(a, t)) for t in ("posts", "questions", "answers", "users")
-                if getattr(a, t)}
-        fn = getattr(reports, a.name)
-        args = {"top_viewed": ["posts"], "posts_by_language": ["posts"],
-                "days_to_answer": ["posts", "questions", "answers"],
-                "active_vs_total": ["posts", "questions", "answers", "users"]}[a.name]
-        df = fn(*[tabs[t] for t in args])
+        needed = {"top_viewed": ["posts"], "posts_by_language": ["posts"],
+                  "days_to_answer": ["posts", "questions", "answers"],
+                  "active_vs_total": ["posts", "questions", "answers", "users"]}[a.name]
+        missing = [t for t in needed if not getattr(a, t)]
+        if missing:
+            build_parser().error(f"{a.name} needs --" + ", --".join(missing))
+        df = getattr(reports, a.name)(*[_table(spark, getattr(a, t)) for t in needed])
         if a.out:
             df.write.mode("overwrite").parquet(a.out)
         return df

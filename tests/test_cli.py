@@ -34,9 +34,10 @@ def test_promotions_and_report_from_cli(spark, tmp_dir):
     spark.createDataFrame([("t", "b", "u", 3, ["python"])],
                           "title string, body string, url string, view_count long, "
                           "tags array<string>").write.parquet(f"{tmp_dir}/posts")
-    df = main(["report", "posts_by_language", "--posts", f"{tmp_dir}/posts",
-               "--questions", f"{tmp_dir}/posts"], spark=spark)
+    df = main(["report", "posts_by_language", "--posts", f"{tmp_dir}/posts"], spark=spark)
     assert [tuple(r) for r in df.collect()] == [("Python", 1)]
+    with pytest.raises(SystemExit):
+        main(["report", "days_to_answer", "--posts", f"{tmp_dir}/posts"], spark=spark)
 
 
 def test_kafka_source_options_not_printed(capsys):

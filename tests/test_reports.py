@@ -152,3 +152,18 @@ def test_top_viewed_null_counts(spark):
     assert [r.title for r in reports.top_viewed(posts, 1).collect()] == ["c"]
     only_null = spark.createDataFrame([("a", "b", "u", None, None)], POSTS)
     assert reports.top_viewed(only_null, 2).count() == 1
+
+
+def test_register_views_and_sql(spark):
+    from entryflow.plans import sql_reports
+    from entryflow.sources.driver_tables import register_views
+    register_views(spark, "/root/testdata/sf0.001")
+    counts = {t: spark.sql(f"SELECT count(*) FROM {t}").head()[0]
+              for t in ("entries", "entries_kv", "promotions", "posts", "questions", "answers",
+                        "users")}
+    assert counts["entries"] == counts["entries_kv"] == 1000
+    assert counts["posts"] == counts["questions"] == 1500 and counts["answers"] == 6000
+    assert counts["promotions"] == 15 * 30
+    by_lang = sql_reports.run_report(spark, "posts_by_language").collect()
+    assert {r.programming_language for r in by_lang} == {
+        "Python", "Node.js", "Java", "Ruby", "C#", "C++", "SQL", "CSS", "HTML", "React"}

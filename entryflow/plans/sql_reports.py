@@ -12,18 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from entryflow.functions.classify import LANGUAGE_RULES, NO_LANGUAGE
-
-
-def _lit(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def language_case(col: str, rules=LANGUAGE_RULES, default: str = NO_LANGUAGE) -> str:
-    """The ordered rules as a SQL CASE (keywords matched as literal text)."""
-    whens = " ".join(f"WHEN contains(lower({col}), {_lit(kw.lower())}) THEN {_lit(label)}"
-                     for kw, label in rules)
-    return f"CASE {whens} ELSE {_lit(default)} END"
+from entryflow.functions.classify import classify_sql as language_case
 
 
 _TAGS = f"""

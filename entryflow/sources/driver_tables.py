@@ -141,21 +141,21 @@ def _title(custkey: str, status: str) -> F.Column:
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``title, body, url, view_count, tags``; one post per order."""
-    o = table(spark, sf_dir, "orders")
-    vocab = F.array(*[F.lit(t) for t in POST_TAGS])
-    k = F.col("o_orderkey")
-    two_tags = F.array(F.element_at(vocab, (k % 12 + 1).cast("int")),
-                       F.element_at(vocab, (k % 7 + 1).cast("int")))
-    tags = (F.when(k % 25 == 0, F.lit(None).cast("array<string>"))
-             .when(k % 25 == 12, F.array().cast("array<string>"))
-             .otherwise(two_tags))
-    return o.select(
-        _title("o_custkey", "o_orderstatus").alias("title"),
-        F.col("o_orderpriority").alias("body"),
-        F.concat(F.lit("http://q/"), k.cast("string")).alias("url"),
-        F.floor("o_totalprice").cast("long").alias("view_count"),
-        tags.alias("tags"),
+    """``title, body, url, view_count, tags``; one post per order.
+
+    Written as one SQL projection (a single planner call instead of one per
+    literal and function)."""
+    vocab = "array(" + ", ".join("'" + t.replace("'", "\\'") + "'" for t in POST_TAGS) + ")"
+    tags = (f"CASE WHEN o_orderkey % 25 = 0 THEN CAST(NULL AS array<string>) "
+            f"WHEN o_orderkey % 25 = 12 THEN CAST(array() AS array<string>) "
+            f"ELSE array(element_at({vocab}, CAST(o_orderkey % 12 + 1 AS INT)), "
+            f"element_at({vocab}, CAST(o_orderkey % 7 + 1 AS INT))) END")
+    return table(spark, sf_dir, "orders").selectExpr(
+        "concat('order ', CAST(o_custkey AS STRING), ' ', o_orderstatus) AS title",
+        "o_orderpriority AS body",
+        "concat('http://q/', CAST(o_orderkey AS STRING)) AS url",
+        "CAST(floor(o_totalprice) AS BIGINT) AS view_count",
+        f"{tags} AS tags",
     )
 
 

@@ -37,3 +37,20 @@ def test_running_total_and_shares(spark, vals):
     shares = row_share(spark.createDataFrame([(a + 1, b + 1) for a, b in vals], "a long, b long"),
                        ["a", "b"]).collect()
     assert all(abs(r.a_share + r.b_share - 1) < 1e-12 for r in shares)
+
+
+@SETTINGS
+@given(rows=st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 5)),
+                     min_size=1, max_size=40),
+       parts=st.integers(1, 6))
+def test_range_split_equals_window(spark, rows, parts):
+    from pyspark.sql import Window, functions as F
+    from entryflow.operators.numbering import assign_numbers
+    df = spark.createDataFrame([(i, g, t) for i, (g, t) in enumerate(rows)],
+                               "id long, g string, t long")
+    split = assign_numbers(df, "g", ["t", "id"], out_col="n", num_partitions=parts,
+                           max_task_rows=0)
+    w = Window.partitionBy("g").orderBy("t", "id")
+    exp = {r.id: r.e for r in df.select("id", (F.row_number().over(w) - 1).alias("e")).collect()}
+    got = {r.id: r.n for r in split.collect()}
+    assert got == exp

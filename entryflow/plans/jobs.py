@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from entryflow.plans import raffle
 from entryflow.sources.topics import declare_stream, read_records_stream
+from entryflow.sinks.tables import overwrite_batch
 from entryflow.streaming.queries import (
     append_stream, fan_out, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
 )
@@ -75,11 +76,18 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
         return dw
 
     kv = with_taps(_records(spark, source), "entries", records=F.count(F.lit(1)))
-    sinks = [
-        table_batch_sink(table_target, lambda b: raffle.flag_entries(b, winners_now(), day)),
-        topic_batch_sink(topic_sink, lambda b: raffle.flagged_records(b, winners_now(), day)),
-    ]
-    return fan_out(kv, sinks, checkpoint, trigger)
+    to_topic = topic_batch_sink(topic_sink, raffle.flagged_to_records)
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        # one flag join per batch, shared by the table and the topic
+        flagged = raffle.flag_keys(batch, winners_now(), day).persist()
+        try:
+            overwrite_batch(raffle.flagged_rows(flagged), table_target, batch_id)
+            to_topic(flagged, batch_id)
+        finally:
+            flagged.unpersist()
+
+    return fan_out(kv, [both], checkpoint, trigger)
 
 
 def run_transcode(spark: SparkSession, source: Mapping, schema, target: str, checkpoint: str,

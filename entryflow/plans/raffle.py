@@ -72,9 +72,9 @@ def check_unique_entries(kv: DataFrame) -> DataFrame:
     return kv.join(keys, "key", "left_semi")
 
 
-def flag_entries(kv: DataFrame, daily_winners: DataFrame, as_of=None,
-                 on_duplicate: str = "error", entries_unique: bool = False) -> DataFrame:
-    """One flagged row per entry record (``FLAGGED_TABLE`` columns).
+def flag_keys(kv: DataFrame, daily_winners: DataFrame, as_of=None,
+              on_duplicate: str = "error", entries_unique: bool = False) -> DataFrame:
+    """``key, value, winner`` for every entry record.
 
     ``winner`` is true when the record key has a daily-winners row.  A key
     with two winners rows fails the job (``on_duplicate="error"``); winners
@@ -85,20 +85,33 @@ def flag_entries(kv: DataFrame, daily_winners: DataFrame, as_of=None,
     if entries_unique:
         kv = check_unique_entries(kv)
     keys = promotion_keys(daily_winners, as_of).select("key")
-    flagged = flag_winners(kv, keys, entry_key="key", promo_key="key",
-                           on_duplicate=on_duplicate)
+    return flag_winners(kv, keys, entry_key="key", promo_key="key", on_duplicate=on_duplicate)
+
+
+def flagged_rows(flagged: DataFrame) -> DataFrame:
+    """Rows of the flagged-entries table (``FLAGGED_TABLE``) from ``flag_keys``."""
     parsed = parse_json(flagged, FLAG_PAYLOAD, keep=["key", "winner"])
     return parsed.select(*[F.col(f.name).cast(f.dataType) for f in FLAGGED_TABLE.fields])
 
 
+def flagged_to_records(flagged: DataFrame) -> DataFrame:
+    """Outgoing ``key, value`` records from ``flag_keys``: the entry JSON with
+    ``winner`` added."""
+    return flagged.select("key", add_json_field("value", RECORD_PAYLOAD, "winner",
+                                                F.col("winner")).alias("value"))
+
+
+def flag_entries(kv: DataFrame, daily_winners: DataFrame, as_of=None,
+                 on_duplicate: str = "error", entries_unique: bool = False) -> DataFrame:
+    """One flagged row per entry record (``FLAGGED_TABLE`` columns); see
+    ``flag_keys`` for the rules."""
+    return flagged_rows(flag_keys(kv, daily_winners, as_of, on_duplicate, entries_unique))
+
+
 def flagged_records(kv: DataFrame, daily_winners: DataFrame, as_of=None,
                     on_duplicate: str = "error") -> DataFrame:
     """Outgoing ``key, value`` records: the entry JSON with ``winner`` added."""
-    keys = promotion_keys(daily_winners, as_of).select("key")
-    flagged = flag_winners(kv, keys, entry_key="key", promo_key="key",
-                           on_duplicate=on_duplicate)
-    return flagged.select("key", add_json_field("value", RECORD_PAYLOAD, "winner",
-                                                F.col("winner")).alias("value"))
+    return flagged_to_records(flag_keys(kv, daily_winners, as_of, on_duplicate))
 
 
 def decode_records(records: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from typing import Sequence
 
 from pyspark.sql import SparkSession
 
+from entryflow.operators.payload import REGISTRY_HEADER_BYTES
 from entryflow.schemas import load_table_schema
 from entryflow.session import apply_defaults
 from entryflow.sources.tables import read_static
@@ -33,6 +34,8 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--api-secret")
     p.add_argument("--min-partitions", type=int)
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--registry-framed", action="store_true",
+                   help="values carry a schema-registry frame (5 bytes) before the JSON")
 
 
 def _sink_args(p: argparse.ArgumentParser) -> None:
@@ -43,14 +46,15 @@ def _sink_args(p: argparse.ArgumentParser) -> None:
 
 
 def _source(a: argparse.Namespace) -> dict:
+    header = REGISTRY_HEADER_BYTES if getattr(a, "registry_framed", False) else 0
     if a.source == "kafka":
-        return {"source": "kafka",
+        return {"source": "kafka", "value_header_bytes": header,
                 "options": kafka_options(a.bootstrap, a.topic, a.api_key, a.api_secret,
                                          min_partitions=a.min_partitions)}
     opts = {}
     if a.max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(a.max_files_per_trigger)
-    return {"source": a.source, "path": a.path, "options": opts}
+    return {"source": a.source, "path": a.path, "options": opts, "value_header_bytes": header}
 
 
 def _table(spark: SparkSession, ref: str):

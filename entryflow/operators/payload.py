@@ -9,11 +9,25 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from entryflow.schemas import ENTRY_COLUMNS, ENTRY_SCHEMA
 
 
+# Length of the schema-registry frame ahead of a registered value: one magic
+# byte and a four-byte schema id.
+REGISTRY_HEADER_BYTES = 5
+
+
 def kv_strings(df: DataFrame, key_col: str = "key", value_col: str = "value",
-               key_alias: str = "key", value_alias: str = "value") -> DataFrame:
-    """Binary (or string) key/value of a topic record as strings."""
+               key_alias: str = "key", value_alias: str = "value",
+               value_header_bytes: int = 0) -> DataFrame:
+    """Binary (or string) key/value of a topic record as strings.
+
+    ``value_header_bytes`` drops a fixed-length prefix from the binary value
+    first (``REGISTRY_HEADER_BYTES`` for values written by a schema-registry
+    serializer), so the rest parses as plain JSON text.
+    """
+    value = F.col(value_col)
+    if value_header_bytes:
+        value = F.substring(value.cast("binary"), value_header_bytes + 1, 2**31 - 1)
     return df.select(F.col(key_col).cast("string").alias(key_alias),
-                     F.col(value_col).cast("string").alias(value_alias))
+                     value.cast("string").alias(value_alias))
 
 
 def parse_json(df: DataFrame, schema: T.StructType, value_col: str = "value",

@@ -2,7 +2,8 @@
 
 ``source`` is a dict for ``read_records_stream``: ``{"source": "kafka",
 "options": kafka_options(...)}`` or ``{"source": "parquet"|"json", "path":
-..., "options": {"maxFilesPerTrigger": "1"}}``.
+..., "options": {"maxFilesPerTrigger": "1"}}``; ``"value_header_bytes": 5``
+drops a schema-registry frame ahead of each value.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from entryflow.streaming.queries import (
 
 def _records(spark: SparkSession, source: Mapping) -> DataFrame:
     return read_records_stream(spark, source.get("source", "kafka"), source.get("path"),
-                               source.get("options"))
+                               source.get("options"),
+                               value_header_bytes=source.get("value_header_bytes", 0))
 
 
 def _static(side) -> DataFrame:

@@ -56,21 +56,24 @@ def _file_reader(reader, fmt: str, schema: T.StructType, options: Mapping[str, s
 
 def read_records_stream(spark: SparkSession, source: str = "kafka", path: str | None = None,
                         options: Mapping[str, str] | None = None,
-                        schema: T.StructType = KV_SCHEMA) -> DataFrame:
+                        schema: T.StructType = KV_SCHEMA,
+                        value_header_bytes: int = 0) -> DataFrame:
     """Streaming ``key, value`` strings from a topic (``source="kafka"``) or
-    from a folder of ``json``/``parquet`` files (new files = new records)."""
+    from a folder of ``json``/``parquet`` files (new files = new records).
+    ``value_header_bytes``: see ``operators.payload.kv_strings``."""
     if source == "kafka":
         r = spark.readStream.format("kafka")
         for k, v in (options or {}).items():
             r = r.option(k, v)
-        return kv_strings(r.load())
+        return kv_strings(r.load(), value_header_bytes=value_header_bytes)
     df = _file_reader(spark.readStream, source, schema, options).load(path)
-    return kv_strings(df)
+    return kv_strings(df, value_header_bytes=value_header_bytes)
 
 
 def read_records_batch(spark: SparkSession, source: str = "kafka", path: str | None = None,
                        options: Mapping[str, str] | None = None,
-                       schema: T.StructType = KV_SCHEMA) -> DataFrame:
+                       schema: T.StructType = KV_SCHEMA,
+                       value_header_bytes: int = 0) -> DataFrame:
     """Bounded read of everything in the topic (or files) from the start."""
     if source == "kafka":
         r = spark.read.format("kafka")
@@ -79,8 +82,9 @@ def read_records_batch(spark: SparkSession, source: str = "kafka", path: str | N
         opts.setdefault("endingOffsets", "latest")
         for k, v in opts.items():
             r = r.option(k, v)
-        return kv_strings(r.load())
-    return kv_strings(_file_reader(spark.read, source, schema, options).load(path))
+        return kv_strings(r.load(), value_header_bytes=value_header_bytes)
+    return kv_strings(_file_reader(spark.read, source, schema, options).load(path),
+                      value_header_bytes=value_header_bytes)
 
 
 def declare_stream(df: DataFrame, name: str, schema: T.StructType,

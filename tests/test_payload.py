@@ -63,3 +63,13 @@ def test_add_json_field_keeps_fields(spark):
     parsed = out.select(F.from_json("v", "email string, participationnumber int, winner boolean")
                         .alias("j")).select("j.*").head()
     assert tuple(parsed) == ("edwardklare52@mail.kz", 19497, True)
+
+
+def test_registry_framed_values(spark):
+    from entryflow.operators.payload import REGISTRY_HEADER_BYTES
+    framed = bytearray(b"\x00\x00\x00\x00\x07") + bytearray(SAMPLE_RECORDS[0][1].encode())
+    df = spark.createDataFrame([(bytearray(b"k"), framed)], "key binary, value binary")
+    out = parse_entries(kv_strings(df, value_header_bytes=REGISTRY_HEADER_BYTES)).head()
+    assert out.participation_number == 19497 and out.email == "edwardklare52@mail.kz"
+    # without dropping the frame the value is not JSON: all fields NULL
+    assert parse_entries(kv_strings(df)).head().participation_number is None

@@ -61,6 +61,14 @@ def assign_numbers_q(spark, sf):
         .select("event_id", "day", "participation_number")
 
 
+def assign_numbers_split(spark, sf):
+    """The same numbering through the range split used for hot groups (every
+    day is treated as larger than one task), checked against the same SQL."""
+    ev = dt.table(spark, sf, "events").select("event_id", "ts", day_key("ts").alias("day"))
+    return assign_numbers(ev, "day", ["ts", "event_id"], out_col="participation_number",
+                          max_task_rows=0).select("event_id", "day", "participation_number")
+
+
 def produce_records(spark, sf):
     """Q11: number the day's new entries, encode them as topic records
     (decoded again here for the check)."""
@@ -220,6 +228,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unique_promotions": unique_promotions,
     "promotions_for_day": promotions_for_day,
     "assign_numbers": assign_numbers_q,
+    "assign_numbers_split": assign_numbers_split,
     "produce_records": produce_records,
     "day_keys": day_keys,
     "top_viewed": top_viewed,

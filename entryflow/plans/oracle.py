@@ -202,6 +202,7 @@ SQL["entries_stream"] = SQL["entries_parsed"]
 SQL["winners_stream"] = SQL["winners_inner"]
 SQL["flagged_stream"] = SQL["flagged_entries"]
 SQL["transcode_posts"] = with_views("SELECT title, body, url, view_count, tags FROM posts", "posts")
+SQL["assign_numbers_split"] = SQL["assign_numbers"]
 SQL["produce_records"] = with_views("""
 SELECT day || '_' || participation_number AS key, email, name, entry_time, day,
        participation_number AS participationnumber

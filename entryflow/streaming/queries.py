@@ -124,8 +124,13 @@ def table_batch_sink(target: str, transform: Callable[[DataFrame], DataFrame] |
 
 def topic_batch_sink(sink: Mapping, transform: Callable[[DataFrame], DataFrame] | None = None
                      ) -> BatchFn:
-    """Sink writing ``key, value`` records of ``transform(batch)`` to a topic;
-    for record folders each batch goes to its own sub-folder (replace)."""
+    """Sink writing ``key, value`` records of ``transform(batch)``.
+
+    Record folders: each batch goes to its own sub-folder, replaced on a
+    retry (exactly once).  Kafka topics: a retried batch writes its records
+    again (at least once); consumers should treat the record key as the
+    identity.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         if sink.get("format", "kafka") == "kafka":

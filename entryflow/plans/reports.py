@@ -55,9 +55,15 @@ def posts_by_language(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
 
 
 def title_languages(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
-    """Distinct (title, language) with language <> NA: at most 10 per title."""
+    """``title, languages``: the set of labels (not NA) of a title's tags.
+
+    The set holds at most one entry per rule (10), however many posts share
+    the title, and is built with a map-side partial step.  Grouped by title
+    alone, it comes out partitioned by title, which a sort-merge join on
+    title reuses without another shuffle.
+    """
     return (label_tags(posts, rules).where(F.col(LANG) != NO_LANGUAGE)
-            .select("title", LANG).distinct())
+            .groupBy("title").agg(F.collect_set(LANG).alias("languages")))
 
 
 def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame,
@@ -67,13 +73,17 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
 
     Equals grouping the join posts x questions (on title) x answers (on id)
     x unnested tags by (id, language), because MIN ignores repeats: the
-    posts are reduced to their distinct (title, language) pairs and the
-    answers to their first date per question before they are joined, so no
-    join multiplies rows over a shared title or a question's answers.
+    posts are reduced to one set of languages per title and the answers to
+    their first date per question before they are joined, so no join
+    multiplies rows over a shared title or a question's answers.
     """
     langs = title_languages(posts, rules)
     q = questions.select("id", "title", "creation_date").where(F.col("id").isNotNull())
+    # partitioned by id once: both the (id, language) aggregate and the join
+    # with the first answers (keyed by question id) use this partitioning
     per_q = (q.join(langs, "title", "inner")
+             .select("id", "creation_date", F.explode("languages").alias(LANG))
+             .repartition("id")
              .groupBy("id", LANG).agg(F.min("creation_date").alias("post_date")))
     first_answer = (answers.where(F.col("parent_id").isNotNull())
                     .groupBy("parent_id").agg(F.min("creation_date").alias("answer_date")))

@@ -40,13 +40,16 @@ GROUP BY programming_language
 ORDER BY total_num_of_posts DESC, programming_language""",
     "days_to_answer": f"""
 WITH langs AS (
-  SELECT DISTINCT title, programming_language FROM ({_TAGS})
-  WHERE programming_language <> 'NA'),
+  SELECT title, collect_set(programming_language) AS languages FROM ({_TAGS})
+  WHERE programming_language <> 'NA'
+  GROUP BY title),
 per_q AS (
-  SELECT q.id, l.programming_language, min(q.creation_date) AS post_date
-  FROM questions q JOIN langs l ON q.title = l.title
-  WHERE q.id IS NOT NULL
-  GROUP BY q.id, l.programming_language),
+  SELECT id, programming_language, min(creation_date) AS post_date
+  FROM (SELECT /*+ REPARTITION(id) */ q.id, q.creation_date, lang AS programming_language
+        FROM questions q JOIN langs l ON q.title = l.title
+        LATERAL VIEW explode(l.languages) x AS lang
+        WHERE q.id IS NOT NULL)
+  GROUP BY id, programming_language),
 first_answer AS (
   SELECT parent_id, min(creation_date) AS answer_date
   FROM answers WHERE parent_id IS NOT NULL GROUP BY parent_id),

@@ -108,8 +108,9 @@ def active_user_years(posts: DataFrame, questions: DataFrame, answers: DataFrame
     title appears in posts, or answered one.
 
     Only existence matters, so posts, questions and users enter through
-    left-semi joins (each reduced to distinct keys first); the union of the
-    two (year, user) sets is deduplicated once.
+    left-semi joins (each reduced to distinct keys first).  The union of the
+    two (year, user) sets is deduplicated per user, as a set of years, in the
+    same shuffle that the semi join with users uses.
     """
     titles = posts.select("title").where(F.col("title").isNotNull()).distinct()
     asked = questions.join(titles, "title", "left_semi")
@@ -119,9 +120,15 @@ def active_user_years(posts: DataFrame, questions: DataFrame, answers: DataFrame
     answered = answers.join(asked_ids, answers["parent_id"] == asked_ids["id"], "left_semi")
     a_years = answered.select(F.year("creation_date").cast("long").alias("year"),
                               F.col("owner_user_id").alias("user_id"))
-    pairs = q_years.unionByName(a_years).distinct()
+    # one shuffle keyed by user: each user's set of active years (at most one
+    # entry per distinct year, reduced map-side) is both the DISTINCT and the
+    # input of the semi join on user id, which reuses its partitioning
+    per_user = (q_years.unionByName(a_years).where(F.col("user_id").isNotNull())
+                .groupBy("user_id").agg(F.collect_set(F.struct("year")).alias("years")))
     known = users.select(F.col("id").alias("user_id")).where(F.col("user_id").isNotNull()).distinct()
-    return pairs.join(known, "user_id", "left_semi").select("year", "user_id")
+    return (per_user.join(known, "user_id", "left_semi")
+            .select(F.explode("years").alias("y"), "user_id")
+            .select(F.col("y.year").alias("year"), "user_id"))
 
 
 def users_running_total(users: DataFrame) -> DataFrame:

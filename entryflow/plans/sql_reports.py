@@ -65,16 +65,20 @@ ORDER BY programming_language, year, average_number_of_days_for_answer""",
 WITH titles AS (SELECT DISTINCT title FROM posts WHERE title IS NOT NULL),
 asked AS (SELECT * FROM questions q LEFT SEMI JOIN titles t ON q.title = t.title),
 asked_ids AS (SELECT DISTINCT id FROM asked WHERE id IS NOT NULL),
-pairs AS (
-  SELECT CAST(year(creation_date) AS BIGINT) AS year, owner_user_id AS user_id FROM asked
-  UNION
-  SELECT CAST(year(a.creation_date) AS BIGINT) AS year, a.owner_user_id AS user_id
-  FROM answers a LEFT SEMI JOIN asked_ids i ON a.parent_id = i.id),
+per_user AS (
+  SELECT user_id, collect_set(struct(year)) AS years
+  FROM (SELECT CAST(year(creation_date) AS BIGINT) AS year, owner_user_id AS user_id FROM asked
+        UNION ALL
+        SELECT CAST(year(a.creation_date) AS BIGINT) AS year, a.owner_user_id AS user_id
+        FROM answers a LEFT SEMI JOIN asked_ids i ON a.parent_id = i.id)
+  WHERE user_id IS NOT NULL
+  GROUP BY user_id),
 known AS (SELECT DISTINCT id FROM users WHERE id IS NOT NULL),
 active AS (
-  SELECT year, count(user_id) AS active_users
-  FROM pairs p LEFT SEMI JOIN known k ON p.user_id = k.id
-  GROUP BY year),
+  SELECT y.year AS year, count(user_id) AS active_users
+  FROM (SELECT * FROM per_user p LEFT SEMI JOIN known k ON p.user_id = k.id)
+  LATERAL VIEW explode(years) t AS y
+  GROUP BY y.year),
 totals AS (
   SELECT year, CAST(sum(n) OVER (ORDER BY year) AS BIGINT) AS total_users
   FROM (SELECT CAST(year(creation_date) AS BIGINT) AS year, count(id) AS n

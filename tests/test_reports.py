@@ -167,3 +167,12 @@ def test_register_views_and_sql(spark):
     by_lang = sql_reports.run_report(spark, "posts_by_language").collect()
     assert {r.programming_language for r in by_lang} == {
         "Python", "Node.js", "Java", "Ruby", "C#", "C++", "SQL", "CSS", "HTML", "React"}
+
+
+def test_active_pairs_keep_null_year(spark):
+    posts, q, a, u = fixture(spark)
+    q2 = q.unionByName(spark.createDataFrame([(6, "t1", None, 100)], QUESTIONS))
+    pairs = sorted(reports.active_user_years(posts, q2, a, u).collect(),
+                   key=lambda r: (r.year is not None, r.year or 0, r.user_id))
+    assert tuple(pairs[0]) == (None, 100)  # NULL year kept as its own pair, like DISTINCT
+    assert len(pairs) == 6

@@ -58,3 +58,12 @@ def test_json_parsed_once(spark):
     text = plan_text(catalog.QUERIES["winners_inner"](spark, SF_SMALL), "extended")
     physical = text.split("== Physical Plan ==")[1]
     assert physical.count("from_json(") == 1
+
+
+def test_day_filter_prunes_partitions(spark, tmp_dir):
+    from entryflow.sources.tables import read_promotions_for_day
+    dt.daily_winners(spark, SF_SMALL).write.partitionBy("day").parquet(f"{tmp_dir}/dw")
+    one_day = read_promotions_for_day(spark.read.parquet(f"{tmp_dir}/dw"), "2024-01-15")
+    text = plan_text(one_day, "formatted")
+    assert "PartitionFilters: [isnotnull(day" in text and "2024-01-15" in text
+    assert one_day.count() == 15

@@ -58,9 +58,17 @@ def row_share(df: DataFrame, cols: Sequence[str], suffix: str = "_share") -> Dat
 
 
 def rollup_metric(df: DataFrame, dim: str, metric: str, out_col: str | None = None,
-                  how: str = "sum") -> DataFrame:
-    """One-level rollup of ``metric`` by ``dim``, largest first."""
+                  how: str = "sum", scale: int | None = None) -> DataFrame:
+    """One-level rollup of ``metric`` by ``dim``, largest first.
+
+    A sum of doubles depends on the order of addition (and so on the
+    partitioning) in its last bits; ``scale`` returns it as
+    ``decimal(38, scale)``, which is the same however the rows were added.
+    """
     out_col = out_col or f"{how}_{metric}"
     fn = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "count": F.count}[how]
-    return (df.groupBy(dim).agg(fn(metric).alias(out_col))
+    value = fn(metric)
+    if scale is not None:
+        value = value.cast(f"decimal(38,{scale})")
+    return (df.groupBy(dim).agg(value.alias(out_col))
               .orderBy(F.col(out_col).desc(), F.col(dim)))

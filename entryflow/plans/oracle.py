@@ -183,10 +183,11 @@ FROM (SELECT url, unnest(tags) AS tag FROM posts)""", "posts"),
     "union_distinct_users": with_views(ACTIVE_PAIRS, *QA),
     "running_total_users": with_views(USERS_TOTALS, "users"),
     "language_rollup": with_views(f"""
-SELECT programming_language, SUM(average_number_of_days_for_answer) AS sum_average_days
+SELECT programming_language,
+       CAST(SUM(average_number_of_days_for_answer) AS DECIMAL(38,6)) AS sum_average_days
 FROM ({DAYS_TO_ANSWER}) GROUP BY 1""", *QA),
     "yearly_answer_days": with_views(f"""
-SELECT year, SUM(average_number_of_days_for_answer) AS sum_average_days
+SELECT year, CAST(SUM(average_number_of_days_for_answer) AS DECIMAL(38,6)) AS sum_average_days
 FROM ({DAYS_TO_ANSWER}) GROUP BY 1""", *QA),
     "yearly_active": with_views(f"""
 SELECT year, active_users FROM ({ACTIVE_VS_TOTAL})""", *QA),

@@ -51,7 +51,12 @@ def build_session(master: str | None = None, app_name: str = "entryflow",
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Fill in the runtime SQL defaults that are still unset on a session."""
+    """Fill in the settings of ``SCALE_DEFAULTS`` that have no value at all.
+
+    A setting with a value (one Spark defines a default for, or one the
+    cluster set) is kept as it is; the plans do not depend on these values
+    for their results, only for their speed.
+    """
     for k, v in SCALE_DEFAULTS.items():
         try:
             if spark.conf.get(k, None) is None:

@@ -50,3 +50,18 @@ def test_kafka_source_options_not_printed(capsys):
     assert "S3CRET" not in capsys.readouterr().out
     with pytest.raises(SystemExit):
         build_parser().parse_args(["winners", "--target", "x", "--checkpoint", "y"])
+
+
+def test_flagged_job_from_cli(spark, tmp_dir):
+    import datetime as dt
+    write_json(f"{tmp_dir}/in", SAMPLE_RECORDS)
+    spark.createDataFrame([(dt.date(2022, 9, 15), 19499)], "day date, winnernumber long") \
+        .write.parquet(f"{tmp_dir}/dw")
+    q = main(["flagged", "--source", "json", "--path", f"{tmp_dir}/in",
+              "--daily-winners", f"{tmp_dir}/dw", "--as-of", "2022-09-15",
+              "--target", f"{tmp_dir}/table", "--out-path", f"{tmp_dir}/records",
+              "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available_now"], spark=spark)
+    q.awaitTermination()
+    table = spark.read.parquet(f"{tmp_dir}/table")
+    assert table.count() == 6 and [r.participationnumber for r in table.where("winner").collect()] == [19499.0]
+    assert spark.read.json(f"{tmp_dir}/records").count() == 6

@@ -23,6 +23,16 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from entryflow.plans import catalog  # noqa: E402
 from entryflow.session import build_session  # noqa: E402
 
+# Driver tables each headline query reads (for input rows per second).
+INPUTS = {
+    "q2_winners": ["events"],
+    "q3_flagged": ["events"],
+    "q5_top_viewed": ["orders"],
+    "q6_posts_by_language": ["orders"],
+    "q7_days_to_answer": ["orders", "orders", "lineitem"],
+    "q8_active_vs_total": ["orders", "orders", "lineitem", "customer"],
+}
+
 HEADLINE = {
     "q2_winners": "winners_inner",
     "q3_flagged": "flagged_entries",
@@ -55,12 +65,17 @@ def main() -> None:
         fn = catalog.QUERIES[name]
         times[label] = round(statistics.median(run_once(spark, fn, sf_dir)
                                                for _ in range(repeat)), 3)
+    rows = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet").count()
+            for t in {t for ts in INPUTS.values() for t in ts}}
+    rate = {label: round(sum(rows[t] for t in INPUTS[label]) / sec) if sec else None
+            for label, sec in times.items()}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total_median_sec",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
+        "input_rows_per_sec": rate,
         "sf": float(m.group(1)) if m else sf_dir,
         "cpus": cpus,
         "repeat": repeat,

@@ -10,11 +10,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import bpe, url_filter
+from entryflow.llm import bpe, packing, sharding, url_filter
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
 VOCABULARY = "word_bpe_49k.json"
+#: Id after the last id of every packed document, and tokens of a sequence.
+END_ID, SEQUENCE_TOKENS = 2, 4096
+
+SHARDS = 40
 
 URL_RULES = [
     url_filter.parse_rule("block", "net/"),
@@ -34,12 +38,29 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Law ``rows``; the method deals single rows, so equal texts need not meet."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    text = F.coalesce("row.text", F.lit(""))
+    return placed.select("row.doc_id", (F.octet_length(text) + 16).cast("long").alias("size"),
+                         F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard",
+                         "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
     return judged.withColumnRenamed("id", "page_id")
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS)
+    return packing.pack(pieces, SEQUENCE_TOKENS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
+    "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,
+    "op9_packing": op9_packing,
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import bpe, packing, sharding, url_filter
+from entryflow.llm import bpe, packing, quality, secret_scan, sharding, url_filter
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -33,6 +33,16 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents"))
+    return judged.drop("row", "drop_lines").withColumnRenamed("id", "doc_id")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
+    return found.drop("row", "redact").withColumnRenamed("id", "doc_id")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.encode_digests(docs, vocabulary_path()).withColumnRenamed("id", "doc_id")
@@ -59,6 +69,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,

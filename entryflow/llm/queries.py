@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import bpe, packing, quality, secret_scan, sharding, url_filter
+from entryflow.llm import bpe, katz, packing, quality, secret_scan, sharding, url_filter
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -62,6 +62,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumnRenamed("id", "page_id")
 
 
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS)
@@ -74,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,
+    "op8_katz": op8_katz,
     "op9_packing": op9_packing,
 }

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import bpe, katz, packing, quality, secret_scan, sharding, url_filter
+from entryflow.llm import ann, bpe, katz, packing, quality, secret_scan, sharding, url_filter
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -38,6 +38,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("row", "drop_lines").withColumnRenamed("id", "doc_id")
 
 
+def op2_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ann.nearest(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(20)) == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, sf_dir, "documents"))
     return found.drop("row", "redact").withColumnRenamed("id", "doc_id")
@@ -74,6 +79,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_adaptive_scan": op2_adaptive_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
     "op6_sharding": op6_sharding,

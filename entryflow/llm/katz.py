@@ -33,7 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import as_batch, lower_words, map_rows, mix64, stage, word_hashes
+from entryflow.llm.common import (as_batch, expand, expand_keys, lower_words, map_rows, mix64,
+                                  squeeze, squeeze_keys, stage, word_hashes)
 from entryflow.session import scratch_path
 
 BLOCK_TOKENS = 1 << 21
@@ -53,27 +54,6 @@ def is_held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 7 == 2
 
 
-def squeeze(a: np.ndarray) -> bytes:
-    """64-bit numbers as compressed byte planes."""
-    import zstandard
-    planes = np.ascontiguousarray(a, dtype="<u8").view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
-
-
-def expand(data: bytes) -> np.ndarray:
-    import zstandard
-    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), dtype=np.uint8)
-    return np.ascontiguousarray(raw.reshape(8, -1).T).view("<u8").ravel()
-
-
-def squeeze_keys(keys: np.ndarray) -> bytes:
-    return squeeze(np.diff(keys, prepend=np.uint64(0)))
-
-
-def expand_keys(data: bytes) -> np.ndarray:
-    return np.cumsum(expand(data), dtype=np.uint64)
-
-
 # -- blocks ----------------------------------------------------------------
 
 _BLOCK = ("ids array<long>, held array<boolean>, lengths array<int>, stream binary, words binary, "

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import ann, bpe, katz, packing, quality, secret_scan, sharding, url_filter
+from entryflow.llm import ann, bpe, katz, ngram_join, packing, quality, secret_scan, sharding, url_filter
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -53,6 +53,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(docs, vocabulary_path()).withColumnRenamed("id", "doc_id")
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ngram_join.near_components(table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Law ``rows``; the method deals single rows, so equal texts need not meet."""
     placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
@@ -82,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_adaptive_scan": op2_adaptive_scan,
     "op3_secret_scan": op3_secret_scan,
     "op4_bpe": op4_bpe,
+    "op5_ngram_join": op5_ngram_join,
     "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,
     "op8_katz": op8_katz,

@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import ann, bpe, katz, ngram_join, packing, quality, secret_scan, sharding, url_filter
+from entryflow.llm import (ann, bpe, katz, ngram_join, packing, quality, secret_scan, sharding,
+                           substring_dedup, url_filter)
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -82,6 +83,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces, SEQUENCE_TOKENS)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.repeated_regions(table(spark, sf_dir, "documents"))
+    return found.drop("cuts").withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_adaptive_scan": op2_adaptive_scan,
@@ -92,4 +98,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_filter": op7_url_filter,
     "op8_katz": op8_katz,
     "op9_packing": op9_packing,
+    "op10_substring_dedup": op10_substring_dedup,
 }

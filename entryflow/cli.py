@@ -22,6 +22,7 @@ from entryflow.operators.payload import REGISTRY_HEADER_BYTES
 from entryflow.schemas import load_table_schema
 from entryflow.session import apply_defaults
 from entryflow.sources.tables import read_static
+from entryflow.sinks.topics import kafka_sink
 from entryflow.sources.topics import kafka_options
 
 
@@ -33,13 +34,20 @@ def _source_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--api-key")
     p.add_argument("--api-secret")
     p.add_argument("--min-partitions", type=int)
+    p.add_argument("--max-offsets-per-trigger", type=int, default=10_000_000,
+                   help="records of a micro-batch at most (topics)")
+    p.add_argument("--option", action="append", default=[], metavar="KEY=VALUE",
+                   help="further source option, passed through (such as "
+                        "kafka.request.timeout.ms=60000)")
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--registry-framed", action="store_true",
                    help="values carry a schema-registry frame (5 bytes) before the JSON")
 
 
 def _sink_args(p: argparse.ArgumentParser) -> None:
-    p.add_argument("--target", required=True, help="output folder or table")
+    p.add_argument("--target", required=True, help="output folder, or table with --as-table")
+    p.add_argument("--as-table", action="store_true", help="the target is a catalog table")
+    p.add_argument("--dead-letters", help="folder for records that do not parse")
     p.add_argument("--checkpoint", required=True, help="stable checkpoint folder")
     p.add_argument("--trigger", default="60 seconds",
                    help='"available_now", "once" or an interval such as "60 seconds"')
@@ -47,11 +55,14 @@ def _sink_args(p: argparse.ArgumentParser) -> None:
 
 def _source(a: argparse.Namespace) -> dict:
     header = REGISTRY_HEADER_BYTES if getattr(a, "registry_framed", False) else 0
+    extra = dict(o.split("=", 1) for o in a.option)
     if a.source == "kafka":
         return {"source": "kafka", "value_header_bytes": header,
                 "options": kafka_options(a.bootstrap, a.topic, a.api_key, a.api_secret,
-                                         min_partitions=a.min_partitions)}
-    opts = {}
+                                         min_partitions=a.min_partitions,
+                                         max_offsets_per_trigger=a.max_offsets_per_trigger,
+                                         extra=extra)}
+    opts = dict(extra)
     if a.max_files_per_trigger:
         opts["maxFilesPerTrigger"] = str(a.max_files_per_trigger)
     return {"source": a.source, "path": a.path, "options": opts, "value_header_bytes": header}
@@ -90,6 +101,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--schema-json", required=True, help="JSON field-spec file of the values")
     p.add_argument("--format", default="avro")
     p.add_argument("--out-topic")
+    p.add_argument("--view", required=True, help="name of the parsed stream's temp view")
 
     p = sub.add_parser("promotions")
     p.add_argument("--target", required=True)
@@ -114,21 +126,22 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
     from entryflow.sinks.tables import insert_promotions
 
     if a.job == "entries":
-        return jobs.run_entries(spark, _source(a), a.target, a.checkpoint, a.trigger)
+        return jobs.run_entries(spark, _source(a), a.target, a.checkpoint, a.trigger,
+                                as_table=a.as_table, dead_letters=a.dead_letters)
     if a.job == "winners":
         return jobs.run_winners(spark, _source(a), lambda: _table(spark, a.promotions),
-                                a.target, a.checkpoint, a.trigger, refresh=a.refresh)
+                                a.target, a.checkpoint, a.trigger, refresh=a.refresh,
+                                as_table=a.as_table)
     if a.job == "flagged":
-        sink = ({"format": "kafka", "topic": a.out_topic,
-                 "options": {k: v for k, v in _source(a).get("options", {}).items()
-                             if k.startswith("kafka.")}}
+        sink = (kafka_sink(a.out_topic, _source(a).get("options"))
                 if a.out_topic else {"format": "json", "path": a.out_path})
         as_of = None if a.as_of == "all" else a.as_of
         return jobs.run_flagged(spark, _source(a), lambda: _table(spark, a.daily_winners),
-                                a.target, sink, a.checkpoint, a.trigger, as_of=as_of)
+                                a.target, sink, a.checkpoint, a.trigger, as_of=as_of,
+                                as_table=a.as_table, dead_letters=a.dead_letters)
     if a.job == "transcode":
         return jobs.run_transcode(spark, _source(a), load_table_schema(a.schema_json), a.target,
-                                  a.checkpoint, fmt=a.format, trigger=a.trigger,
+                                  a.checkpoint, a.view, fmt=a.format, trigger=a.trigger,
                                   topic=a.out_topic)
     if a.job == "promotions":
         offers = []

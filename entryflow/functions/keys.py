@@ -70,6 +70,7 @@ def entry_time_text(c: "Column | str") -> Column:
 
     A JSON number parsed straight into a string column comes out as
     ``1.6632069589132204E9``; through ``decimal(20,7)`` it is
-    ``1663206958.9132204``.
+    ``1663206958.9132204``.  A value that is no number, or too large for
+    the decimal, gives NULL instead of failing the job.
     """
-    return _c(c).cast("decimal(20,7)").cast("string")
+    return _c(c).try_cast("decimal(20,7)").cast("string")

@@ -2,11 +2,9 @@
 
 A window ``row_number() OVER (PARTITION BY day ORDER BY ...)`` puts a whole
 day into one task; when one day holds a third of all rows that task does a
-third of the work.  So the group sizes are counted first (one aggregation
-with a map-side partial step).  When the largest group fits one task the
-window is used.  Otherwise the rows are range-partitioned on the full sort
-key (so a hot day spreads over many tasks), each task numbers its slice, and
-a small table of per-(task, group) row counts gives every slice its offset.
+third of the work.  So the rows are range-partitioned on the full sort key (a
+hot day spreads over many tasks), each task numbers its slice, and a small
+table of per-(task, group) row counts gives every slice its offset.
 
 The sliced, position-tagged rows are written once to the shared scratch
 folder (``spark.checkpoint.dir``) and read back.  Range bounds come from a
@@ -27,74 +25,35 @@ _PID, _POS, _FIRST, _ROWS, _BEFORE, _BASE = (
     "_nb_pid", "_nb_pos", "_nb_first", "_nb_rows", "_nb_before", "_nb_base")
 
 
-def group_stats(df: DataFrame, group_col: str) -> tuple[int, int]:
-    """``(rows in the largest group, number of groups)``, exactly."""
-    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_gs_n"))
-    row = sizes.agg(F.max("_gs_n"), F.count(F.lit(1))).head()
-    return int(row[0] or 0), int(row[1] or 0)
-
-
-def _with_start(df: DataFrame, group_col: str, start: DataFrame | None,
-                start_col: str) -> tuple[DataFrame, "F.Column"]:
-    """Attach the stored next number per group (0 when absent)."""
-    if start is None:
-        return df, F.lit(0).cast("long")
-    base = start.select(F.col(group_col).alias("_nb_g"), F.col(start_col).cast("long").alias(_BASE))
-    # one row per group: the planner broadcasts it when its size allows
-    joined = df.join(base, df[group_col].eqNullSafe(base["_nb_g"]), "left").drop("_nb_g")
-    return joined, F.coalesce(F.col(_BASE), F.lit(0).cast("long"))
-
-
 def assign_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str],
                    out_col: str = "number", start: DataFrame | None = None,
-                   start_col: str = "next_number", num_partitions: int | None = None,
-                   max_task_rows: int = 1_000_000,
-                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                   start_col: str = "next_number", num_partitions: int | None = None
+                   ) -> DataFrame:
     """Number rows 0, 1, 2, ... within each ``group_col`` in ``order_cols`` order.
 
     ``(group_col, *order_cols)`` must be unique (add an id as last tie-breaker).
     ``start`` holds ``(group_col, start_col)``: the first free number per group
     from earlier runs (one row per group); numbering continues from it.
 
-    Groups of at most ``max_task_rows`` rows are numbered by a window (one
-    task per group); larger ones by the range split.  The split's offsets
-    table has at most ``partitions + groups`` rows and is broadcast when that
-    is below ``max_broadcast_rows``, else the join is left to the planner.
-
-    The sizing reads ``df`` before the numbering does; on a plain scan that
-    is a metadata read, but an expensive ``df`` (joins, a stream batch)
-    should be persisted or written first.
+    ``df`` is evaluated once, in ``num_partitions`` slices; without a number
+    the job's ``spark.sql.shuffle.partitions`` holds, as for its other
+    shuffles, and AQE joins slices that come out small.
     """
-    # the total row count is a metadata read on a plain scan; only when it
-    # exceeds one task are the groups sized exactly
-    total = df.count()
-    largest, groups = (total, None) if total <= max_task_rows else group_stats(df, group_col)
-    if largest <= max_task_rows:
-        w = Window.partitionBy(group_col).orderBy(*order_cols)
-        out, base = _with_start(df, group_col, start, start_col)
-        return (out.withColumn(out_col, (F.row_number().over(w) - 1 + base).cast("long"))
-                   .drop(_BASE))
-    return _range_numbers(df, group_col, order_cols, out_col, start, start_col,
-                          num_partitions, groups, max_broadcast_rows)
-
-
-def _range_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str], out_col: str,
-                   start: DataFrame | None, start_col: str, num_partitions: int | None,
-                   groups: int, max_broadcast_rows: int) -> DataFrame:
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(group_col)] + [F.col(c) for c in order_cols]
-
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
     # monotonically_increasing_id is (task index << 33) + row index in the task
-    tagged = (ranged.withColumn(_PID, F.spark_partition_id())
-                    .withColumn(_POS, F.monotonically_increasing_id()))
+    tagged = (ranged.sortWithinPartitions(*keys)
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn(_POS, F.monotonically_increasing_id()))
     path = scratch_path(spark, "numbering")
     tagged.write.mode("overwrite").parquet(path)
     tagged = spark.read.schema(tagged.schema).parquet(path)
 
     spans = (tagged.groupBy(_PID, group_col)
              .agg(F.min(_POS).alias(_FIRST), F.count(F.lit(1)).alias(_ROWS)))
+    # a window row per (task, group) run, not per row
     before = Window.partitionBy(group_col).orderBy(_PID)
     spans = spans.withColumn(_BEFORE, F.sum(_ROWS).over(before) - F.col(_ROWS))
     if start is not None:
@@ -107,9 +66,8 @@ def _range_numbers(df: DataFrame, group_col: str, order_cols: Sequence[str], out
     spans = spans.select(F.col(_PID).alias("_nb_spid"), F.col(group_col).alias("_nb_sgrp"),
                          _FIRST, _BEFORE, F.coalesce(F.col(_BASE), F.lit(0)).alias(_BASE))
 
-    # at most one row per (task, group) run: n + groups - 1 rows
-    if n + groups <= max_broadcast_rows:
-        spans = F.broadcast(spans)
+    # keyed by slice, so no key is hot; the planner broadcasts the spans when
+    # their measured size allows
     cond = (tagged[_PID] == spans["_nb_spid"]) & tagged[group_col].eqNullSafe(spans["_nb_sgrp"])
     out = tagged.join(spans, cond, "inner")
     number = F.col(_POS) - F.col(_FIRST) + F.col(_BEFORE) + F.col(_BASE)

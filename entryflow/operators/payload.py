@@ -66,13 +66,15 @@ def parse_entries(kv: DataFrame, value_col: str = "value", keep: Sequence[str] =
     """Entry payloads -> ``email, name, entry_time, day, participation_number``.
 
     The payload field ``participationnumber`` is renamed to
-    ``participation_number`` and widened to bigint.
+    ``participation_number`` and widened to bigint; an ``entry_time`` that is
+    no number becomes NULL.
     """
     res = parse_json(kv, ENTRY_SCHEMA, value_col=value_col, keep=keep, on_bad=on_bad)
 
     def _rename(df: DataFrame) -> DataFrame:
-        return df.toDF(*list(keep), *ENTRY_COLUMNS).withColumn(
-            "participation_number", F.col("participation_number").cast("long"))
+        return df.toDF(*list(keep), *ENTRY_COLUMNS).withColumns({
+            "entry_time": F.col("entry_time").try_cast("double"),
+            "participation_number": F.col("participation_number").cast("long")})
 
     if isinstance(res, tuple):
         return _rename(res[0]), res[1]
@@ -87,13 +89,25 @@ def to_records(df: DataFrame, key: "str | F.Column", fields: Sequence[str],
                      F.to_json(F.struct(*[F.col(f) for f in fields])).alias(value_alias))
 
 
-def add_json_field(value: "str | F.Column", schema: T.StructType, name: str,
-                   field: F.Column) -> F.Column:
-    """Parse a JSON document, add (or replace) one field, and re-encode it.
+def add_json_field(value: "str | F.Column", name: str, field: F.Column) -> F.Column:
+    """A JSON object's text with one field added or replaced, the others kept.
 
-    Field order: the schema's fields, then the new one.
+    The object's fields are taken as they are, whatever their names and
+    types (numbers come out in plain form, ``5.0`` as ``5``).  Text that is no
+    JSON object gives NULL: such records belong to a dead-letter output (see
+    ``split_objects``).
     """
     v = F.col(value) if isinstance(value, str) else value
-    parsed = F.from_json(v, schema)
-    members = [parsed[f.name].alias(f.name) for f in schema.fields if f.name != name]
-    return F.to_json(F.struct(*members, field.alias(name)))
+    fields = F.from_json(v, "map<string,variant>")
+    others = F.map_filter(fields, lambda k, x: k != F.lit(name))
+    added = F.map_from_arrays(F.array(F.lit(name)),
+                              F.array(F.parse_json(F.to_json(F.struct(field.alias("f"))))
+                                      .try_cast("map<string,variant>")["f"]))
+    return F.to_json(F.map_concat(others, added))
+
+
+def split_objects(records: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(good, bad)``: records whose value is the text of a JSON object, and the others."""
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(value_col)).startswith("OBJECT"),
+                           F.lit(False))
+    return records.where(is_object), records.where(~is_object)

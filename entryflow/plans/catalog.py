@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -9,12 +10,21 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entryflow.functions.keys import day_key, iso_day_key, strip_dashes
 from entryflow.operators.matching import cogroup_summary
 from entryflow.operators.numbering import assign_numbers
+from entryflow.operators.payload import add_json_field, split_objects
 from entryflow.plans import chartdata, jobs, raffle, reports, sql_reports
-from entryflow.schemas import POSTS_TABLE
+from entryflow.schemas import (
+    ENTRIES_TABLE, FLAGGED_TABLE, POSTS_TABLE, PROMOTIONS_TABLE, WINNERS_TABLE,
+)
 from entryflow.session import scratch_path
+from entryflow.sinks.tables import append_table, create_table, insert_promotions
+from entryflow.sinks.topics import write_topic
 from entryflow.sources import driver_tables as dt
+from entryflow.sources.topics import read_records_batch, read_records_stream
+from entryflow.streaming.queries import sync_stream_to_table
 
 AS_OF_DAY = "2024-01-15"
+#: A day without entries in the test tables.
+INSERT_DAY = "20310102"
 
 
 def _qa(spark: SparkSession, sf: str):
@@ -62,11 +72,11 @@ def assign_numbers_q(spark, sf):
 
 
 def assign_numbers_split(spark, sf):
-    """The same numbering through the range split used for hot groups (every
-    day is treated as larger than one task), checked against the same SQL."""
+    """The same numbering in a given number of slices, more than there are
+    days, so that every day is spread over several; checked against the same SQL."""
     ev = dt.table(spark, sf, "events").select("event_id", "ts", day_key("ts").alias("day"))
     return assign_numbers(ev, "day", ["ts", "event_id"], out_col="participation_number",
-                          max_task_rows=0).select("event_id", "day", "participation_number")
+                          num_partitions=64).select("event_id", "day", "participation_number")
 
 
 def produce_records(spark, sf):
@@ -86,16 +96,24 @@ def day_keys(spark, sf):
 
 # -- the same jobs as streams (file-fed, run to completion) ----------------
 
-STREAM_FILES = 4
+#: Files of a micro-batch: what bounds a batch here, as offsets do on a topic.
+FILES_PER_BATCH = 64
 
 
 def _stream_run(spark, name: str, records: DataFrame) -> tuple[str, dict]:
-    """Lay the records out as a topic-like folder of several files, read
-    one file per micro-batch."""
+    """Lay the records out as a topic-like folder, a file per partition of
+    the records, read ``FILES_PER_BATCH`` files per micro-batch."""
     run = scratch_path(spark, "runs", name)
-    records.repartition(STREAM_FILES).write.parquet(f"{run}/input")
+    records.write.parquet(f"{run}/input")
     return run, {"source": "parquet", "path": f"{run}/input",
-                 "options": {"maxFilesPerTrigger": "1"}}
+                 "options": {"maxFilesPerTrigger": str(FILES_PER_BATCH)}}
+
+
+def _created(spark, run: str, schema) -> str:
+    """A new catalog table with the declared columns, stored below ``run``."""
+    name = f"entryflow_{uuid.uuid4().hex}"
+    create_table(spark, name, schema, location=f"{run}/table")
+    return name
 
 
 def entries_stream(spark, sf):
@@ -118,8 +136,89 @@ def flagged_stream(spark, sf):
     jobs.run_flagged(spark, src, winners, f"{run}/table",
                      {"format": "json", "path": f"{run}/topic"}, f"{run}/checkpoint",
                      trigger="available_now", as_of=None).awaitTermination()
-    cols = [f.name for f in raffle.FLAGGED_TABLE.fields]
-    return spark.read.parquet(f"{run}/table").select(*cols)
+    return spark.read.parquet(f"{run}/table")
+
+
+def flagged_topic_stream(spark, sf):
+    """Q3's topic side: the records it sent, read back and decoded."""
+    run, src = _stream_run(spark, "flagged_topic", dt.entries_kv(spark, sf))
+    jobs.run_flagged(spark, src, dt.daily_winners(spark, sf), f"{run}/table",
+                     {"format": "json", "path": f"{run}/topic"}, f"{run}/checkpoint",
+                     trigger="available_now", as_of=None).awaitTermination()
+    return raffle.decode_records(read_records_batch(spark, "json", f"{run}/topic"))
+
+
+def entries_into_table(spark, sf):
+    """Q1 into a catalog table that was created with declared columns (K1, K2, K7)."""
+    run, src = _stream_run(spark, "entries_table", dt.entries_kv(spark, sf))
+    name = _created(spark, run, ENTRIES_TABLE)
+    jobs.run_entries(spark, src, name, f"{run}/checkpoint", trigger="available_now",
+                     as_table=True).awaitTermination()
+    return spark.table(name)
+
+
+def winners_into_table(spark, sf):
+    """Q2 with promotions re-read per micro-batch (T9), into a created table."""
+    run, src = _stream_run(spark, "winners_table", dt.entries_kv(spark, sf))
+    name = _created(spark, run, WINNERS_TABLE)
+    jobs.run_winners(spark, src, lambda: dt.promotions(spark, sf), name, f"{run}/checkpoint",
+                     trigger="available_now", refresh="batch", as_table=True).awaitTermination()
+    return spark.table(name)
+
+
+def flagged_into_table(spark, sf):
+    """Q3's table side into a created table, dead letters apart."""
+    run, src = _stream_run(spark, "flagged_table", dt.entries_kv(spark, sf))
+    name = _created(spark, run, FLAGGED_TABLE)
+    jobs.run_flagged(spark, src, dt.daily_winners(spark, sf), name,
+                     {"format": "json", "path": f"{run}/topic"}, f"{run}/checkpoint",
+                     trigger="available_now", as_of=None, as_table=True,
+                     dead_letters=f"{run}/dead").awaitTermination()
+    return spark.table(name)
+
+
+def synced_table(spark, sf):
+    """K5: a catalog table kept in step with a stream, created by it."""
+    run, src = _stream_run(spark, "synced", dt.entries_kv(spark, sf))
+    name = f"entryflow_{uuid.uuid4().hex}"
+    stream = raffle.entries_table(read_records_stream(spark, src["source"], src["path"],
+                                                      src["options"]))
+    sync_stream_to_table(stream, name, f"{run}/checkpoint", "available_now").awaitTermination()
+    return spark.table(name)
+
+
+def inserted_promotions(spark, sf):
+    """K6, Q10: the offers of a day appended to a created promotions table, beside
+    those of the days in the test tables."""
+    run = scratch_path(spark, "runs", "promotions")
+    name = _created(spark, run, PROMOTIONS_TABLE)
+    append_table(dt.promotions(spark, sf), name, PROMOTIONS_TABLE, by_path=False)
+    insert_promotions(spark, dt.PROMOTION_OFFERS, name, INSERT_DAY)
+    return spark.table(name)
+
+
+def records_round_trip(spark, sf):
+    """K8, S7: numbered entries written as keyed records, read back bounded."""
+    run = scratch_path(spark, "runs", "records")
+    records, _ = raffle.produce_entries(dt.new_entries(spark, sf), ["ts", "event_id"])
+    write_topic(records, {"format": "json", "path": f"{run}/topic"})
+    return raffle.decode_records(read_records_batch(spark, "json", f"{run}/topic")).drop("winner")
+
+
+def json_fields_kept(spark, sf):
+    """P10: one field added to JSON documents of any shape, the others kept; some
+    values are no objects and go to the dead letters (``kept`` false)."""
+    ev = dt.table(spark, sf, "events")
+    odd = F.col("event_id") % 10 == 3
+    doc = F.to_json(F.struct(
+        F.col("event_id").alias("id"), (F.col("event_id") + 0.25).alias("score"),
+        F.struct(F.array("event_id", F.lit(None)).alias("list"), F.lit("x").alias("name")).alias("inner"),
+        F.lit("old").alias("winner")))
+    records = ev.select(F.col("event_id").cast("string").alias("key"),
+                        F.when(odd, F.lit("not json")).otherwise(doc).alias("value"))
+    good, bad = split_objects(records)
+    added = good.select("key", add_json_field("value", "winner", F.lit(True)).alias("value"))
+    return added.withColumn("kept", F.lit(True)).union(bad.withColumn("kept", F.lit(False)))
 
 
 def numbered_stream(spark, sf):
@@ -128,8 +227,7 @@ def numbered_stream(spark, sf):
     from entryflow.streaming.numbering import number_stream
     base = dt.table(spark, sf, "events").select("event_id", "ts", day_key("ts").alias("day"))
     run, src = _stream_run(spark, "numbered", base)
-    stream = (spark.readStream.schema(base.schema).option("maxFilesPerTrigger", "1")
-              .parquet(src["path"]))
+    stream = spark.readStream.schema(base.schema).options(**src["options"]).parquet(src["path"])
     number_stream(stream, "day", ["ts", "event_id"], "n", f"{run}/out", f"{run}/state",
                   f"{run}/checkpoint", trigger="available_now").awaitTermination()
     out = spark.read.parquet(f"{run}/out")
@@ -144,7 +242,8 @@ def transcode_posts(spark, sf):
                            F.to_json(F.struct(*posts.columns)).alias("value"))
     run, src = _stream_run(spark, "transcode", records)
     jobs.run_transcode(spark, src, POSTS_TABLE, f"{run}/out", f"{run}/checkpoint",
-                       fmt="parquet", trigger="available_now").awaitTermination()
+                       f"posts_{uuid.uuid4().hex}", fmt="parquet",
+                       trigger="available_now").awaitTermination()
     return spark.read.parquet(f"{run}/out")
 
 
@@ -169,8 +268,9 @@ def active_vs_total(spark, sf):
 
 def _sql_report(name: str):
     def run(spark, sf):
-        sql_reports.register_report_views(spark, *_qa(spark, sf))
-        return sql_reports.run_report(spark, name)
+        prefix = f"report_{uuid.uuid4().hex}_"
+        sql_reports.register_report_views(spark, *_qa(spark, sf), prefix=prefix)
+        return sql_reports.run_report(spark, name, prefix)
     run.__name__ = f"{name}_sql"
     run.__doc__ = f"The {name} report as Spark SQL over temp views."
     return run
@@ -214,9 +314,23 @@ def record_count_by_year(spark, sf):
     return chartdata.record_count(days_to_answer(spark, sf), "year")
 
 
+PREVIEW_ROWS = 100
+
+
 def preview(spark, sf):
-    """A table preview: the first rows a scan returns (any 100 rows)."""
-    return raffle.winners(dt.entries_kv(spark, sf), dt.promotions(spark, sf)).limit(100)
+    """A preview of the winners table: its first rows by day, number and promotion."""
+    rows = raffle.winners(dt.entries_kv(spark, sf), dt.promotions(spark, sf))
+    return rows.orderBy("day", "participation_number", "promotion").limit(PREVIEW_ROWS)
+
+
+def preview_entries(spark, sf):
+    rows = raffle.entries_table(dt.entries_kv(spark, sf))
+    return rows.orderBy("day", "participation_number").limit(PREVIEW_ROWS)
+
+
+def preview_promotions(spark, sf):
+    rows = dt.promotions(spark, sf)
+    return rows.orderBy("day", "participation_number", "promotion").limit(PREVIEW_ROWS)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -245,6 +359,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "user_share": user_share,
     "record_count_by_year": record_count_by_year,
     "preview": preview,
+    "preview_entries": preview_entries,
+    "preview_promotions": preview_promotions,
+    "json_fields_kept": json_fields_kept,
+    "records_round_trip": records_round_trip,
+    "inserted_promotions": inserted_promotions,
+    "entries_into_table": entries_into_table,
+    "winners_into_table": winners_into_table,
+    "flagged_into_table": flagged_into_table,
+    "flagged_topic_stream": flagged_topic_stream,
+    "synced_table": synced_table,
     "entries_stream": entries_stream,
     "winners_stream": winners_stream,
     "flagged_stream": flagged_stream,

@@ -2,8 +2,12 @@
 
 ``source`` is a dict for ``read_records_stream``: ``{"source": "kafka",
 "options": kafka_options(...)}`` or ``{"source": "parquet"|"json", "path":
-..., "options": {"maxFilesPerTrigger": "1"}}``; ``"value_header_bytes": 5``
+..., "options": {"maxFilesPerTrigger": "100"}}``; ``"value_header_bytes": 5``
 drops a schema-registry frame ahead of each value.
+
+A target is a folder, or with ``as_table`` a catalog table (see
+``sinks.tables.create_table``), whose declared columns the rows are conformed
+to.  Every mode of a job writes the same columns.
 """
 
 from __future__ import annotations
@@ -13,13 +17,16 @@ from typing import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from entryflow.operators.payload import parse_entries
 from entryflow.plans import raffle
+from entryflow.schemas import ENTRIES_TABLE, FLAGGED_TABLE, WINNERS_TABLE
+from entryflow.sinks.topics import kafka_sink
 from entryflow.sources.topics import declare_stream, read_records_stream
-from entryflow.sinks.tables import overwrite_batch
 from entryflow.streaming.queries import (
     append_stream, fan_out, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
 )
 
+
 def _records(spark: SparkSession, source: Mapping) -> DataFrame:
     return read_records_stream(spark, source.get("source", "kafka"), source.get("path"),
                                source.get("options"),
@@ -30,44 +37,75 @@ def _static(side) -> DataFrame:
     return side() if callable(side) else side
 
 
+def _tapped_entries(kv: DataFrame) -> DataFrame:
+    return with_taps(kv, "entries", records=F.count(F.lit(1)))
+
+
+def _tapped_winners(rows: DataFrame) -> DataFrame:
+    return with_taps(rows, "winners", matches=F.count(F.lit(1)),
+                     promotions=F.approx_count_distinct("promotion"))
+
+
 def run_entries(spark: SparkSession, source: Mapping, target: str, checkpoint: str,
-                trigger: str | None = "60 seconds") -> StreamingQuery:
+                trigger: str | None = "60 seconds", as_table: bool = False,
+                dead_letters: str | None = None) -> StreamingQuery:
     """Q1: entry records -> parsed rows appended to the entries table.
+
     Records that do not parse are appended as NULL rows (as the plain
-    consumer does)."""
-    return append_stream(raffle.entries_table(_records(spark, source)), target, checkpoint,
-                         trigger)
+    consumer does), or with ``dead_letters`` go to that folder as they came.
+    Metrics: ``entries.records``.
+    """
+    kv = _tapped_entries(_records(spark, source))
+    if dead_letters is None:
+        return append_stream(raffle.entries_table(kv), target, checkpoint, trigger,
+                             as_table=as_table, schema=ENTRIES_TABLE)
+
+    def bad(batch: DataFrame) -> DataFrame:
+        return parse_entries(batch, keep=["key"], on_bad="split")[1]
+
+    good = table_batch_sink(target, lambda b: raffle.entries_table(b, on_bad="drop"),
+                            as_table=as_table, schema=ENTRIES_TABLE)
+    return fan_out(kv, [good, table_batch_sink(dead_letters, bad)], checkpoint, trigger)
 
 
 def run_winners(spark: SparkSession, source: Mapping, promotions, target: str,
                 checkpoint: str, trigger: str | None = "60 seconds",
-                refresh: str = "none") -> StreamingQuery:
+                refresh: str = "none", as_table: bool = False) -> StreamingQuery:
     """Q2: entry records matched with the promotions -> winners table.
 
     ``refresh="none"``: a plain stream-static join; the promotions are the
     rows the static side listed when the query started.  ``refresh="batch"``:
     ``promotions`` (a frame or a function returning one) is re-read for every
-    micro-batch, so promotions added while the job runs are seen; each batch
-    replaces ``target/batch_id=N``, so a retried batch writes no duplicates.
+    micro-batch, so promotions added while the job runs are seen; a retried
+    batch replaces its files, so it writes no duplicates.  Metrics:
+    ``entries.records`` and, without refresh, ``winners.matches`` and
+    ``winners.promotions`` (distinct promotions won, estimated).
     """
-    kv = _records(spark, source)
+    kv = _tapped_entries(_records(spark, source))
     if refresh == "none":
-        return append_stream(raffle.winners(kv, _static(promotions)), target, checkpoint, trigger)
+        rows = _tapped_winners(raffle.winners(kv, _static(promotions)))
+        return append_stream(rows, target, checkpoint, trigger, as_table=as_table,
+                             schema=WINNERS_TABLE)
     if refresh == "batch":
-        sink = table_batch_sink(target, lambda b: raffle.winners(b, _static(promotions)))
+        sink = table_batch_sink(target, lambda b: raffle.winners(b, _static(promotions)),
+                                as_table=as_table, schema=WINNERS_TABLE)
         return fan_out(kv, [sink], checkpoint, trigger)
     raise ValueError("refresh must be none or batch")
 
 
 def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_target: str,
                 topic_sink: Mapping, checkpoint: str, trigger: str | None = "60 seconds",
-                as_of="today") -> StreamingQuery:
+                as_of="today", as_table: bool = False,
+                dead_letters: str | None = None) -> StreamingQuery:
     """Q3: every entry with a ``winner`` flag -> flagged-entries table and
     outgoing topic, from one read of each micro-batch.
 
     The daily winners (``day`` date, ``winnernumber``) are re-read per batch
     and restricted to ``as_of`` (``"today"`` = current date, None = all days),
-    so the flag is computed against all winners known for the day.
+    so the flag is computed against all winners known for the day.  Records
+    that are no JSON objects reach the table as NULL rows but not the topic;
+    with ``dead_letters`` they are also written to that folder.  Metrics:
+    ``entries.records``.
     """
     day = None if as_of == "today" else as_of
 
@@ -77,25 +115,23 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
             return dw.where(F.col("day") == F.current_date())
         return dw
 
-    kv = with_taps(_records(spark, source), "entries", records=F.count(F.lit(1)))
-    to_topic = topic_batch_sink(topic_sink, raffle.flagged_to_records)
-
-    def both(batch: DataFrame, batch_id: int) -> None:
-        # one flag join per batch, shared by the table and the topic
-        flagged = raffle.flag_keys(batch, winners_now(), day).persist()
-        try:
-            overwrite_batch(raffle.flagged_rows(flagged), table_target, batch_id)
-            to_topic(flagged, batch_id)
-        finally:
-            flagged.unpersist()
-
-    return fan_out(kv, [both], checkpoint, trigger)
+    sinks = [table_batch_sink(table_target, raffle.flagged_rows, as_table=as_table,
+                              schema=FLAGGED_TABLE),
+             topic_batch_sink(topic_sink, raffle.flagged_to_records)]
+    if dead_letters is not None:
+        sinks.append(table_batch_sink(dead_letters, raffle.unflaggable))
+    # one flag join per micro-batch, shared by all sinks
+    return fan_out(_tapped_entries(_records(spark, source)), sinks, checkpoint, trigger,
+                   prepare=lambda batch: raffle.flag_keys(batch, winners_now(), day))
 
 
 def run_transcode(spark: SparkSession, source: Mapping, schema, target: str, checkpoint: str,
-                  fmt: str = "avro", trigger: str | None = None,
-                  view_name: str = "mystream", topic: str | None = None) -> StreamingQuery:
+                  view_name: str, fmt: str = "avro", trigger: str | None = None,
+                  topic: str | None = None) -> StreamingQuery:
     """Q4: JSON records with a known schema -> the same rows re-encoded
-    (Avro records, or files of ``fmt``), as a persistent query."""
+    (Avro records, or files of ``fmt``), as a persistent query.  A ``topic``
+    is written on the brokers that the source reads from."""
     parsed = declare_stream(_records(spark, source), view_name, schema)
-    return transcode_stream(parsed, target, checkpoint, fmt=fmt, trigger=trigger, topic=topic)
+    options = kafka_sink(topic, source.get("options"))["options"] if topic else None
+    return transcode_stream(parsed, target, checkpoint, fmt=fmt, trigger=trigger, topic=topic,
+                            options=options)

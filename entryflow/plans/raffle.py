@@ -14,23 +14,26 @@ from typing import Sequence
 from entryflow.functions.keys import daily_winner_key, entry_key, entry_time_text
 from entryflow.operators.matching import flag_winners, match_winners, unique_by
 from entryflow.operators.numbering import assign_numbers, next_numbers
-from entryflow.operators.payload import add_json_field, parse_entries, parse_json, to_records
+from entryflow.operators.payload import (
+    add_json_field, parse_entries, parse_json, split_objects, to_records,
+)
 from entryflow.schemas import FLAGGED_TABLE  # noqa: F401  (re-exported)
 from entryflow.sources.tables import read_promotions_for_day
 
 # Payload fields of an entry record, in the order they are written.
 PAYLOAD_FIELDS = ("email", "name", "entry_time", "day", "participationnumber")
 
-# Payload as the flagging job decodes it: numbers come back as doubles.
+# Payload as the flagging job decodes it: numbers come back as doubles, and
+# ``entry_time`` may be a number or text.
 FLAG_PAYLOAD = T.StructType([
     T.StructField("email", T.StringType(), True),
     T.StructField("name", T.StringType(), True),
-    T.StructField("entry_time", T.DoubleType(), True),
+    T.StructField("entry_time", T.StringType(), True),
     T.StructField("day", T.StringType(), True),
     T.StructField("participationnumber", T.DoubleType(), True),
 ])
 
-# Payload as re-encoded for the outgoing topic: numbers keep their kind.
+# Payload of an outgoing record, for checks: numbers keep their kind.
 RECORD_PAYLOAD = T.StructType([
     T.StructField("email", T.StringType(), True),
     T.StructField("name", T.StringType(), True),
@@ -67,9 +70,13 @@ def promotion_keys(daily_winners: DataFrame, as_of=None) -> DataFrame:
 
 def check_unique_entries(kv: DataFrame) -> DataFrame:
     """Fail the job when two entry records share a key (batch frames: one
-    aggregation over the keys, joined back on the key)."""
-    keys = unique_by(kv.select("key"), ["key"], "error")
-    return kv.join(keys, "key", "left_semi")
+    aggregation over the keys, joined back on the key).  Records without a
+    key are kept and are no duplicates of each other."""
+    fail = F.raise_error(F.concat(F.lit("duplicate rows for key "), F.col("key")))
+    keys = (kv.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+            .select(F.when((F.col("n") > 1) & F.col("key").isNotNull(), fail)
+                    .otherwise(F.col("key")).alias("key")))
+    return kv.join(keys, kv["key"].eqNullSafe(keys["key"]), "left_semi")
 
 
 def flag_keys(kv: DataFrame, daily_winners: DataFrame, as_of=None,
@@ -91,14 +98,21 @@ def flag_keys(kv: DataFrame, daily_winners: DataFrame, as_of=None,
 def flagged_rows(flagged: DataFrame) -> DataFrame:
     """Rows of the flagged-entries table (``FLAGGED_TABLE``) from ``flag_keys``."""
     parsed = parse_json(flagged, FLAG_PAYLOAD, keep=["key", "winner"])
-    return parsed.select(*[F.col(f.name).cast(f.dataType) for f in FLAGGED_TABLE.fields])
+    return parsed.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name)
+                           for f in FLAGGED_TABLE.fields])
 
 
 def flagged_to_records(flagged: DataFrame) -> DataFrame:
     """Outgoing ``key, value`` records from ``flag_keys``: the entry JSON with
-    ``winner`` added."""
-    return flagged.select("key", add_json_field("value", RECORD_PAYLOAD, "winner",
-                                                F.col("winner")).alias("value"))
+    ``winner`` added and every other field kept.  Records whose value is no
+    JSON object are left out; ``unflaggable`` has them."""
+    good, _ = split_objects(flagged)
+    return good.select("key", add_json_field("value", "winner", F.col("winner")).alias("value"))
+
+
+def unflaggable(flagged: DataFrame) -> DataFrame:
+    """The ``key, value`` records of ``flag_keys`` that are no JSON objects (dead letters)."""
+    return split_objects(flagged)[1].select("key", "value")
 
 
 def flag_entries(kv: DataFrame, daily_winners: DataFrame, as_of=None,

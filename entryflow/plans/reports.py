@@ -20,6 +20,9 @@ from entryflow.operators.ranking import running_total, top_distinct
 
 LANG = "programming_language"
 
+#: Rows of a title that a semi join against titles sees at most.
+TITLE_COPIES = 8
+
 
 def tag_rows(posts: DataFrame, *cols: str) -> DataFrame:
     """One row per (post, tag); posts with NULL or empty tags give none."""
@@ -55,15 +58,15 @@ def posts_by_language(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
 
 
 def title_languages(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
-    """``title, languages``: the set of labels (not NA) of a title's tags.
+    """Distinct ``title, programming_language`` (not NA) of a title's tags.
 
-    The set holds at most one entry per rule (10), however many posts share
-    the title, and is built with a map-side partial step.  Grouped by title
-    alone, it comes out partitioned by title, which a sort-merge join on
-    title reuses without another shuffle.
+    At most one row per title and rule (10 a title), however many posts share
+    the title, built with a map-side partial step.  The rows are partitioned
+    by (title, language), so a join on title shuffles both of its sides, and
+    a hot title is a skewed key that AQE splits.
     """
-    return (label_tags(posts, rules).where(F.col(LANG) != NO_LANGUAGE)
-            .groupBy("title").agg(F.collect_set(LANG).alias("languages")))
+    return (label_tags(posts, rules).where((F.col(LANG) != NO_LANGUAGE) & F.col("title").isNotNull())
+            .select("title", LANG).distinct())
 
 
 def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame,
@@ -73,7 +76,7 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
 
     Equals grouping the join posts x questions (on title) x answers (on id)
     x unnested tags by (id, language), because MIN ignores repeats: the
-    posts are reduced to one set of languages per title and the answers to
+    posts are reduced to the languages of each title and the answers to
     their first date per question before they are joined, so no join
     multiplies rows over a shared title or a question's answers.
     """
@@ -82,7 +85,7 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
     # partitioned by id once: both the (id, language) aggregate and the join
     # with the first answers (keyed by question id) use this partitioning
     per_q = (q.join(langs, "title", "inner")
-             .select("id", "creation_date", F.explode("languages").alias(LANG))
+             .select("id", "creation_date", LANG)
              .repartition("id")
              .groupBy("id", LANG).agg(F.min("creation_date").alias("post_date")))
     first_answer = (answers.where(F.col("parent_id").isNotNull())
@@ -108,15 +111,20 @@ def active_user_years(posts: DataFrame, questions: DataFrame, answers: DataFrame
     title appears in posts, or answered one.
 
     Only existence matters, so posts, questions and users enter through
-    left-semi joins (each reduced to distinct keys first).  The union of the
-    two (year, user) sets is deduplicated per user, as a set of years, in the
-    same shuffle that the semi join with users uses.
+    left-semi joins.  No aggregate stands between a semi join on title or
+    question id and its shuffles, so that AQE can split a hot title and a
+    question with very many answers; the titles are reduced before, to at
+    most ``TITLE_COPIES`` rows each.  The union of the two (year, user) sets
+    is deduplicated per user, as a set of years, in the same shuffle that the
+    semi join with users uses.
     """
-    titles = posts.select("title").where(F.col("title").isNotNull()).distinct()
+    part = F.pmod(F.xxhash64("url"), F.lit(TITLE_COPIES))
+    titles = (posts.where(F.col("title").isNotNull())
+              .select("title", part.alias("part")).distinct().select("title"))
     asked = questions.join(titles, "title", "left_semi")
     q_years = asked.select(F.year("creation_date").cast("long").alias("year"),
                            F.col("owner_user_id").alias("user_id"))
-    asked_ids = asked.select("id").where(F.col("id").isNotNull()).distinct()
+    asked_ids = asked.select("id").where(F.col("id").isNotNull())
     answered = answers.join(asked_ids, answers["parent_id"] == asked_ids["id"], "left_semi")
     a_years = answered.select(F.year("creation_date").cast("long").alias("year"),
                               F.col("owner_user_id").alias("user_id"))

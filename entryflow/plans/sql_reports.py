@@ -10,9 +10,12 @@ logical plans from either API.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from entryflow.functions.classify import classify_sql as language_case
+from entryflow.plans.reports import TITLE_COPIES
 
 
 _TAGS = f"""
@@ -40,14 +43,12 @@ GROUP BY programming_language
 ORDER BY total_num_of_posts DESC, programming_language""",
     "days_to_answer": f"""
 WITH langs AS (
-  SELECT title, collect_set(programming_language) AS languages FROM ({_TAGS})
-  WHERE programming_language <> 'NA'
-  GROUP BY title),
+  SELECT DISTINCT title, programming_language FROM ({_TAGS})
+  WHERE programming_language <> 'NA' AND title IS NOT NULL),
 per_q AS (
   SELECT id, programming_language, min(creation_date) AS post_date
-  FROM (SELECT /*+ REPARTITION(id) */ q.id, q.creation_date, lang AS programming_language
+  FROM (SELECT /*+ REPARTITION(id) */ q.id, q.creation_date, l.programming_language
         FROM questions q JOIN langs l ON q.title = l.title
-        LATERAL VIEW explode(l.languages) x AS lang
         WHERE q.id IS NOT NULL)
   GROUP BY id, programming_language),
 first_answer AS (
@@ -61,10 +62,12 @@ SELECT programming_language, CAST(year(post_date) AS BIGINT) AS year,
 FROM days WHERE days >= 0
 GROUP BY programming_language, year(post_date)
 ORDER BY programming_language, year, average_number_of_days_for_answer""",
-    "active_vs_total": """
-WITH titles AS (SELECT DISTINCT title FROM posts WHERE title IS NOT NULL),
+    "active_vs_total": f"""
+WITH titles AS (
+  SELECT title FROM (SELECT DISTINCT title, pmod(xxhash64(url), {TITLE_COPIES}L) AS part
+                     FROM posts WHERE title IS NOT NULL)),
 asked AS (SELECT * FROM questions q LEFT SEMI JOIN titles t ON q.title = t.title),
-asked_ids AS (SELECT DISTINCT id FROM asked WHERE id IS NOT NULL),
+asked_ids AS (SELECT id FROM asked WHERE id IS NOT NULL),
 per_user AS (
   SELECT user_id, collect_set(struct(year)) AS years
   FROM (SELECT CAST(year(creation_date) AS BIGINT) AS year, owner_user_id AS user_id FROM asked
@@ -89,13 +92,22 @@ ORDER BY a.year""",
 }
 
 
-def run_report(spark: SparkSession, name: str) -> DataFrame:
+VIEWS = ("posts", "questions", "answers", "users")
+
+
+def report_sql(name: str, prefix: str = "") -> str:
+    """The statement, over views whose names begin with ``prefix``."""
+    return re.sub(rf"\b(FROM|JOIN)(\s+)({'|'.join(VIEWS)})\b", rf"\1\2{prefix}\3", REPORTS[name])
+
+
+def run_report(spark: SparkSession, name: str, prefix: str = "") -> DataFrame:
     """Run one report over the views already registered in ``spark``."""
-    return spark.sql(REPORTS[name])
+    return spark.sql(report_sql(name, prefix))
 
 
 def register_report_views(spark: SparkSession, posts: DataFrame, questions: DataFrame,
-                          answers: DataFrame, users: DataFrame) -> None:
-    for view, df in (("posts", posts), ("questions", questions), ("answers", answers),
-                     ("users", users)):
-        df.createOrReplaceTempView(view)
+                          answers: DataFrame, users: DataFrame, prefix: str = "") -> None:
+    """Register the tables as temp views ``<prefix>posts`` and so on (a view of
+    that name is replaced)."""
+    for view, df in zip(VIEWS, (posts, questions, answers, users)):
+        df.createOrReplaceTempView(prefix + view)

@@ -15,13 +15,13 @@ from typing import Iterable
 
 from pyspark.sql import types as T
 
-# Parse schema of one entry payload.  ``entry_time`` is a JSON number (epoch
-# seconds); it is parsed as a double, and rendered as text only where a table
-# asks for text (see ``functions.keys.entry_time_text``).
+# Parse schema of one entry payload.  ``entry_time`` is epoch seconds, as a JSON
+# number or as text; it is read as text, so that both survive, and then taken
+# as a double (see ``operators.payload.parse_entries``).
 ENTRY_SCHEMA = T.StructType([
     T.StructField("email", T.StringType(), True),
     T.StructField("name", T.StringType(), True),
-    T.StructField("entry_time", T.DoubleType(), True),
+    T.StructField("entry_time", T.StringType(), True),
     T.StructField("day", T.StringType(), True),
     T.StructField("participationnumber", T.IntegerType(), True),
 ])

@@ -6,6 +6,7 @@ only fills in defaults that are unset, so a cluster's own configuration wins.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -51,36 +52,37 @@ def build_session(master: str | None = None, app_name: str = "entryflow",
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Fill in the settings of ``SCALE_DEFAULTS`` that have no value at all.
+    """Set those of ``SCALE_DEFAULTS`` that nobody has set.
 
-    A setting with a value (one Spark defines a default for, or one the
-    cluster set) is kept as it is; the plans do not depend on these values
-    for their results, only for their speed.
+    A setting given when the session was built (or by the launcher) is kept;
+    a value that is only Spark's own default is replaced.  The plans depend
+    on these values for speed, not for results; the time zone is the
+    exception, and a zone that somebody set is kept like the rest.
     """
+    given = dict(spark.sparkContext.getConf().getAll())
     for k, v in SCALE_DEFAULTS.items():
-        try:
-            if spark.conf.get(k, None) is None:
+        if k not in given:
+            try:
                 spark.conf.set(k, v)
-        except Exception:  # static or locked settings stay as they are
-            pass
+            except Exception:  # static or locked settings stay as they are
+                pass
     return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from ``spark.checkpoint.dir`` of the session.  Only when it is unset
-    (local tests) is a private folder created and registered.
+    Read from ``spark.checkpoint.dir`` of the session.  Where it is unset, a
+    local master gets a private folder; a cluster, whose executors do not
+    share local folders, gets an error.
     """
-    root = None
-    try:
-        root = spark.conf.get("spark.checkpoint.dir", None)
-    except Exception:
-        root = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_SCRATCH:
         path = tempfile.mkdtemp(prefix="entryflow-ckpt-")

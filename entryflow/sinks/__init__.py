@@ -2,10 +2,11 @@
 
 from entryflow.sinks.tables import (
     append_table, conform, create_table, insert_promotions, overwrite_batch, promotion_rows,
+    replace_batch, table_location,
 )
-from entryflow.sinks.topics import topic_stream_writer, write_topic
+from entryflow.sinks.topics import kafka_sink, write_topic
 
 __all__ = [
     "append_table", "conform", "create_table", "insert_promotions", "overwrite_batch",
-    "promotion_rows", "topic_stream_writer", "write_topic",
+    "kafka_sink", "promotion_rows", "replace_batch", "table_location", "write_topic",
 ]

@@ -12,6 +12,12 @@ from typing import Mapping
 from pyspark.sql import DataFrame
 
 
+def kafka_sink(topic: str, source_options: Mapping[str, str] | None) -> dict:
+    """Sink on the brokers, and with the credentials, of a topic source's options."""
+    return {"format": "kafka", "topic": topic,
+            "options": {k: v for k, v in (source_options or {}).items() if k.startswith("kafka.")}}
+
+
 def _records(df: DataFrame) -> DataFrame:
     return df.select(df["key"].cast("string").alias("key"),
                      df["value"].cast("string").alias("value"))
@@ -28,16 +34,3 @@ def write_topic(df: DataFrame, sink: Mapping, mode: str = "append") -> None:
         w.save()
     else:
         rec.write.mode(mode).format(fmt).save(sink["path"])
-
-
-def topic_stream_writer(df: DataFrame, sink: Mapping, checkpoint: str):
-    """A ``DataStreamWriter`` of records to a topic or record folder."""
-    rec = _records(df)
-    fmt = sink.get("format", "kafka")
-    w = rec.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if fmt == "kafka":
-        w = w.format("kafka").option("topic", sink["topic"])
-        for k, v in (sink.get("options") or {}).items():
-            w = w.option(k, v)
-        return w
-    return w.format(fmt).option("path", sink["path"])

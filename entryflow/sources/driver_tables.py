@@ -125,7 +125,7 @@ def promotions(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Da
 def write_small_table(df: DataFrame, name: str) -> str:
     """Write a small derived table under the scratch folder; return its path."""
     path = scratch_path(df.sparkSession, "tables", name)
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 

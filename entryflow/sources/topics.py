@@ -12,17 +12,18 @@ from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from entryflow.operators.payload import kv_strings
+from entryflow.operators.payload import kv_strings, parse_json
 from entryflow.schemas import KV_SCHEMA
 
 
 def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None,
                   api_secret: str | None = None, starting_offsets: str = "earliest",
                   fail_on_data_loss: bool = True, min_partitions: int | None = None,
-                  extra: Mapping[str, str] | None = None) -> dict[str, str]:
+                  max_offsets_per_trigger: int | None = None, extra: Mapping[str, str] | None = None) -> dict[str, str]:
     """Source options for a SASL/PLAIN-over-TLS topic, read from the earliest
     offset and failing when offsets were lost.  ``min_partitions`` splits a
-    topic with few partitions into more read tasks.  ``extra`` passes further
+    topic with few partitions into more read tasks; ``max_offsets_per_trigger``
+    bounds a micro-batch (without it the first one is the whole topic).  ``extra`` passes further
     options (``kafka.request.timeout.ms`` and the like) through unchanged.
     Secrets are placed in the options only, never printed.
     """
@@ -34,6 +35,8 @@ def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None
     }
     if min_partitions:
         opts["minPartitions"] = str(int(min_partitions))
+    if max_offsets_per_trigger:
+        opts["maxOffsetsPerTrigger"] = str(int(max_offsets_per_trigger))
     if api_key is not None:
         jaas = ("org.apache.kafka.common.security.plain.PlainLoginModule required "
                 f'username="{api_key}" password="{api_secret}";')
@@ -93,7 +96,7 @@ def declare_stream(df: DataFrame, name: str, schema: T.StructType,
 
     The parsed columns are exposed as temp view ``name`` (for ``spark.sql``).
     """
-    parsed = df.select(F.from_json(F.col(value_col), schema).alias("_v")).select("_v.*")
+    parsed = parse_json(df, schema, value_col)
     parsed.createOrReplaceTempView(name)
     return parsed
 

@@ -31,9 +31,13 @@ EPOCH_SIZE = 100
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The state at ``path``, None before it was written.  State that is there
+    but cannot be read is an error: starting again at 0 would repeat numbers."""
     try:
         return spark.read.parquet(path)
-    except AnalysisException:  # not written yet
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -61,7 +65,7 @@ def epoch_snapshot(spark: SparkSession, state_path: str, epoch: int, group_col:
     merged = _merge([prev, deltas], group_col, start_col)
     if merged is None:
         return None
-    merged.coalesce(1).write.mode("overwrite").parquet(path)
+    merged.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
@@ -100,17 +104,12 @@ def number_stream(df: DataFrame, group_col: str, order_cols: Sequence[str], out_
     """Number a stream's rows per group in arrival order (within a batch by
     ``order_cols``) and append them to ``target/batch_id=N``."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        # sizing and numbering read the batch more than once: read the source once
-        batch.persist()
+        numbered = number_batch(batch, batch_id, group_col, order_cols, out_col,
+                                state_path, epoch_size=epoch_size)
         try:
-            numbered = number_batch(batch, batch_id, group_col, order_cols, out_col,
-                                    state_path, epoch_size=epoch_size)
-            try:
-                overwrite_batch(numbered, target, batch_id)
-            finally:
-                numbered.unpersist()
+            overwrite_batch(numbered, target, batch_id)
         finally:
-            batch.unpersist()
+            numbered.unpersist()
 
     return (df.writeStream.option("checkpointLocation", checkpoint)
             .trigger(**trigger_options(trigger)).foreachBatch(run).start())

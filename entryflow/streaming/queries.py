@@ -10,10 +10,10 @@ from __future__ import annotations
 import time
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from entryflow.sinks.tables import overwrite_batch
+from entryflow.sinks.tables import conform, overwrite_batch, replace_batch
 from entryflow.sinks.topics import write_topic
 
 
@@ -32,10 +32,12 @@ def trigger_options(trigger: str | None) -> dict:
 
 def append_stream(df: DataFrame, target: str, checkpoint: str, trigger: str | None = "60 seconds",
                   fmt: str = "parquet", as_table: bool = False,
-                  query_name: str | None = None,
-                  partition_by: Sequence[str] = ()) -> StreamingQuery:
+                  query_name: str | None = None, partition_by: Sequence[str] = (),
+                  schema: T.StructType | None = None) -> StreamingQuery:
     """Append each micro-batch to a folder (``fmt``) or a catalog table
-    (created from the stream's schema when missing)."""
+    (created from the stream's schema when missing).  With a ``schema`` the
+    rows are conformed to it (see ``sinks.tables.conform``)."""
+    df = conform(df, schema) if schema is not None else df
     w = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(**trigger_options(trigger)))
     if query_name:
@@ -72,11 +74,18 @@ def stop_gracefully(query: StreamingQuery, timeout_s: float = 120.0, poll_s: flo
     query.stop()
 
 
-def tail_stream(df: DataFrame, name: str, output_mode: str = "append") -> StreamingQuery:
-    """Push query: changes land in in-memory table ``name`` as they come
-    (for interactive looks; the memory sink keeps everything on the driver,
-    so it is not for production volumes)."""
-    return df.writeStream.format("memory").queryName(name).outputMode(output_mode).start()
+def tail_stream(df: DataFrame, name: str, checkpoint: str, rows: int = 1000,
+                trigger: str | None = None) -> StreamingQuery:
+    """Push query: temp view ``name`` shows up to ``rows`` rows of the latest
+    micro-batch that had any.  Nothing piles up on the driver."""
+    def show(batch: DataFrame, batch_id: int) -> None:
+        latest = batch.limit(rows).collect()
+        if latest:
+            spark = batch.sparkSession
+            spark.createDataFrame(latest, batch.schema).createOrReplaceGlobalTempView(name)
+
+    return (df.writeStream.option("checkpointLocation", checkpoint).queryName(name)
+            .trigger(**trigger_options(trigger)).foreachBatch(show).start())
 
 
 def with_taps(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
@@ -92,15 +101,16 @@ BatchFn = Callable[[DataFrame, int], None]
 
 
 def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
-            trigger: str | None = "60 seconds", query_name: str | None = None) -> StreamingQuery:
-    """One source, several sinks: each micro-batch is computed once
-    (persisted), then handed to every sink function ``fn(batch_df, batch_id)``.
+            trigger: str | None = "60 seconds", query_name: str | None = None,
+            prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+    """One source, several sinks: each micro-batch (after ``prepare``) is
+    computed once, persisted, and handed to every sink ``fn(batch_df, batch_id)``.
 
     Sinks should replace by ``batch_id`` (see ``table_batch_sink``) so that a
     retried batch does not duplicate rows.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        batch = (prepare(batch) if prepare else batch).persist()
         try:
             for sink in sinks:
                 sink(batch, batch_id)
@@ -115,10 +125,14 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
 
 
 def table_batch_sink(target: str, transform: Callable[[DataFrame], DataFrame] | None = None,
-                     fmt: str = "parquet") -> BatchFn:
-    """Sink writing ``transform(batch)`` to ``target/batch_id=N`` (replace)."""
+                     fmt: str = "parquet", as_table: bool = False,
+                     schema: T.StructType | None = None) -> BatchFn:
+    """Sink writing ``transform(batch)``, conformed to ``schema`` if given, to a
+    folder or catalog table; a retried batch replaces its files."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        overwrite_batch(transform(batch) if transform else batch, target, batch_id, fmt)
+        out = transform(batch) if transform else batch
+        replace_batch(conform(out, schema) if schema is not None else out, target, batch_id, fmt,
+                      as_table)
     return sink
 
 

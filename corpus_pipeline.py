@@ -1,22 +1,122 @@
-"""The corpus pipeline: stages over ``documents``, each written and read again."""
+"""The corpus pipeline: from ``documents`` to packed token sequences, in five stages.
+
+1. quality rules: documents that fail are dropped, boilerplate lines removed;
+2. n-gram join: one document of each group of similar ones stays, the least id;
+3. substring dedup: repeated passages are cut out of all but their first document,
+   and documents that consist of nothing else are dropped;
+4. secret scans: credentials are replaced by a mark, widely copied examples are not;
+5. packing: token ids in sequences, as pieces of documents.
+
+Each function takes what its predecessor kept and returns the columns of
+documents; the last returns a row per piece, with its ids. ``n_chars`` follows
+the text. Where a stage joins verdicts to documents, it first writes the
+documents with row numbers, so ids may be null or repeated; documents without an
+id pass the stages that compare documents by id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType
 
+from entryflow.llm import ngram_join, packing, quality, secret_scan, substring_dedup
 from entryflow.llm.common import stage, table
+from entryflow.llm.queries import END_ID, SEQUENCE_TOKENS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """The documents as ``doc``, with a ``row`` number that stays."""
+    return stage(docs.select(F.struct("*").alias("doc"),
+                             F.monotonically_increasing_id().alias("row")), name)
+
+
+def _fields(rows: DataFrame) -> DataFrame:
+    return rows.select("row", "doc.doc_id", "doc.text", "doc.source")
+
+
+def _with_text(rows: DataFrame, text: Column) -> DataFrame:
+    doc = (F.col("doc").withField("text", text)
+           .withField("n_chars", F.length(text).cast("long")))
+    return rows.select(doc.alias("doc")).select("doc.*")
+
+
+@F.pandas_udf(StringType())
+def _drop_lines(text: pd.Series, numbers: pd.Series) -> pd.Series:
+    return pd.Series([t if n is None else quality.without_lines(t, n)
+                      for t, n in zip(text, numbers)])
+
+
+@F.pandas_udf(StringType())
+def _cut_out(text: pd.Series, cuts: pd.Series) -> pd.Series:
+    return pd.Series([t if c is None else
+                      substring_dedup.cut_out(t, [(x["start"], x["end"]) for x in c])
+                      for t, c in zip(text, cuts)])
+
+
+@F.pandas_udf(StringType())
+def _redact(text: pd.Series, spans: pd.Series) -> pd.Series:
+    return pd.Series([t if s is None else
+                      secret_scan.redact(t, [(x["start"], x["end"]) for x in s])
+                      for t, s in zip(text, spans)])
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "quality_docs")
+    kept = quality.judge(_fields(rows), row_col="row").where("kept").select("row", "drop_lines")
+    return _with_text(rows.join(kept, "row"), _drop_lines("doc.text", "drop_lines"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "join_docs")
+    found = stage(ngram_join.near_components(_fields(rows), row_col="row"), "join_components")
+    first = (found.where("component_id is not null").groupBy("component_id")
+             .agg(F.min(F.struct("id", "row")).alias("first")).select("first.row"))
+    stay = first.union(found.where("component_id is null").select("row"))
+    return rows.join(stay, "row", "left_semi").select("doc.*")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "passage_rows")
+    regions = substring_dedup.repeated_regions(_fields(rows)).where("removed")
+    cuts = stage(regions.groupBy("id").agg(F.flatten(F.collect_list("cuts")).alias("cuts")),
+                 "passage_cuts")
+    marked = rows.join(cuts, rows["doc.doc_id"] == cuts["id"], "left")
+    text = _cut_out("doc.text", "cuts")
+    left = marked.select("doc", text.alias("left"), F.col("cuts").isNotNull().alias("was_cut"))
+    return _with_text(left.where("not was_cut or left <> ''"), F.col("left"))
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    rows = _numbered(docs, "secret_docs")
+    found = secret_scan.find_secrets(_fields(rows), row_col="row").where(F.size("redact") > 0)
+    marked = rows.join(found.select("row", "redact"), "row", "left")
+    return _with_text(marked, _redact("doc.text", "redact"))
+
+
+def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS, keep_ids=True)
+    return packing.pack(pieces, SEQUENCE_TOKENS)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality rules", quality_rules),
+    ("ngram join", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("secret scans", secrets),
+    ("packing", packed_sequences),
+]
+
+#: Hashes, components and a tokenizer: not to be expressed in SQL; tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents of ``sf_dir``."""
+    """All stages on the documents of ``sf_dir``, each written and read again."""
     docs = table(spark, sf_dir, "documents")
     for name, fn in STAGES:
         docs = stage(fn(spark, docs, sf_dir), name.replace(" ", "_"))

@@ -26,3 +26,32 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+SQL["op5_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE
+    WHEN len(ws) = 0 THEN CAST([] AS VARCHAR[])
+    WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')))
+    END AS shingles
+  FROM w),
+t AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM s),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM t a JOIN t b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT x, y FROM links
+  UNION
+  SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles,
+       least(s.doc_id, coalesce((SELECT min(y) FROM reach WHERE reach.x = s.doc_id), s.doc_id))
+         AS component_id
+FROM s
+"""

@@ -21,6 +21,9 @@ END_ID, SEQUENCE_TOKENS = 2, 4096
 
 SHARDS = 40
 
+#: Shingles and similarity of the join's query (the operator's own are 5 words and 80 %).
+JOIN_WORDS, JOIN_PERCENT = 4, 85
+
 URL_RULES = [
     url_filter.parse_rule("block", "net/"),
     url_filter.parse_rule("allow", "example.net/en/"),
@@ -55,8 +58,9 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = ngram_join.near_components(table(spark, sf_dir, "documents"))
-    return found.withColumnRenamed("id", "doc_id")
+    found = ngram_join.near_components(table(spark, sf_dir, "documents"), k=JOIN_WORDS,
+                                       percent=JOIN_PERCENT)
+    return found.drop("row").withColumnRenamed("id", "doc_id")
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

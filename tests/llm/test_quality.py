@@ -1,0 +1,102 @@
+import random
+import re
+from collections import defaultdict
+
+from entryflow.llm.common import shingle_hashes, word_hashes
+from entryflow.llm.quality import judge, measures, without_lines
+from helpers import ODD, documents, with_clashing, words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute_force(text):
+    ws = WORD.findall(text)
+    seen, dup = set(), 0
+    for line in text.split("\n"):
+        if WORD.search(line):
+            dup += line in seen
+            seen.add(line)
+    windows = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
+    inside = set()
+    for i, w in enumerate(windows):
+        if windows.count(w) > 1:
+            inside |= {i, i + 1, i + 2}
+    return {"n_words": len(ws), "word_chars": sum(map(len, ws)),
+            "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_dup_lines": dup,
+            "n_repeat_words": len(inside)}
+
+
+def test_measures_equal_brute_force():
+    rng = random.Random(1)
+    texts = [t for t in ODD if t] + ["a a a a", "a b c a b c", "x\n\nx\n x\nx", "# * | <b> & $1 50%"]
+    texts += ["\n".join(words(rng, 6, 4) for _ in range(8)) for _ in range(20)]
+    for text in texts:
+        assert measures(text) == brute_force(text)
+    assert measures(None) == measures("") == dict.fromkeys(measures(""), 0)
+
+
+def test_without_lines():
+    assert without_lines("a\n\nb\n \nc", [1]) == "a\n\n \nc"
+    assert without_lines("a", [0]) == "" and without_lines("a\nb", []) == "a\nb"
+
+
+FOOT = "Read   MORE at page 17 of this site"
+
+
+def fixture(rng):
+    texts, sources = [], []
+    for i in range(40):  # a footer on half of one host's documents, and in five of another's
+        body = words(rng, 60)
+        texts.append(f"{body}\n{FOOT.replace('17', f'{i:02}')}" if i % 2 else body)
+        sources.append("h1")
+    for i in range(60):
+        texts.append(words(rng, 60) + (f"\n{FOOT}" if i < 5 else ""))
+        sources.append("h2")
+    lines = [words(rng, 10) for _ in range(16)]
+    for i in range(60):  # made of frequent lines for the most part
+        texts.append("\n".join(rng.sample(lines, 8) + [words(rng, 15)]))
+        sources.append("h3")
+    for i in range(20):  # copies, exact and near, which make none of their lines frequent
+        texts.append(texts[41] if i < 10 else texts[41] + f" tail{i}")
+        sources.append("h4")
+    return texts, sources
+
+
+def lost_words(texts, sources):
+    """Words in lines of more than a tenth, and ten, of a host's distinct documents."""
+    documents_of, with_line, lines_of = defaultdict(set), defaultdict(set), {}
+    for i, (text, host) in enumerate(zip(texts, sources)):
+        ws = text.lower().split()
+        sketch = int(shingle_hashes(word_hashes([w.encode() for w in ws]), 5).min())
+        documents_of[host].add(sketch)
+        lines_of[i] = [" ".join(re.sub("[0-9]", "0", x).lower().split()) for x in text.split("\n")]
+        for line in lines_of[i]:
+            with_line[host, line].add(sketch)
+    return {i: sum(len(x.split()) for x in lines
+                   if len(with_line[sources[i], x]) >= max(10, 0.1 * len(documents_of[sources[i]]) + 1e-9))
+            for i, lines in lines_of.items()}
+
+
+def test_line_frequency_per_host(spark):
+    texts, sources = fixture(random.Random(2))
+    df = with_clashing(documents(spark, texts, sources=sources))
+    got = {r.id: r for r in judge(df).collect()}
+    for i, r in got.items():
+        assert not r.base_failed
+        if sources[i] == "h1":
+            assert r.kept and (r.n_lost_words, r.drop_lines) == ((8, [1]) if i % 2 else (0, None))
+        elif sources[i] != "h3":
+            assert r.kept and r.n_lost_words == 0
+    want = lost_words(texts, sources)
+    assert {i: r.n_lost_words for i, r in got.items()} == want
+    assert all(r.kept == (want[i] <= 0.5 * r.n_words) for i, r in got.items())
+    assert sum(not r.kept for r in got.values()) > 30
+
+
+def test_odd_rows(spark):
+    ids = [None, 1, 1, *range(3, len(ODD))]
+    df = documents(spark, ODD, ids, sources=[None] * len(ODD))
+    got = judge(df).collect()
+    assert sorted(str(r.id) for r in got) == sorted(map(str, ids))
+    assert all(r.base_failed and not r.kept for r in got)
+    assert judge(df.limit(0)).count() == 0

@@ -13,15 +13,16 @@ the work grows linearly; each leaves one part-filled sequence or a few.
 from __future__ import annotations
 
 import zlib
-from array import array
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm import bpe
-from entryflow.llm.common import map_rows, stage
+from entryflow.llm.common import as_batch, stage
+from entryflow.llm.word_merge import WordMerger, simple_words
 
 GROUP_PIECES = 20_000
 
@@ -63,20 +64,107 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> list[tuple[int, i
     return out
 
 
-#: Little-endian unsigned 32-bit ids of chunks, memoised in each Python worker.
-_ID_BYTES: dict[str, bpe._Memo] = {}
+class ChunkIds:
+    """Ids of whole texts by the tokenizers library.
 
+    The vocabulary ignores white space and merges within words only, so a
+    text's ids are those of its chunks between ASCII white space. Arrow cuts
+    the texts and numbers the distinct chunks. Of those not met lately, plain
+    words are merged together by ``WordMerger``, which gives the library's
+    ids; the others are encoded by the library in one call, kept apart by a
+    special token. numpy puts the ids of all chunks in order.
+    """
 
-def id_bytes(text: str | None, path: str) -> bytes:
-    """Ids of a whole text as little-endian unsigned 32-bit numbers."""
-    coder = bpe.model(path)
-    if path not in _ID_BYTES:
-        _ID_BYTES[path] = bpe._Memo(lambda chunk: array("I", coder.encode_chunk(chunk)).tobytes())
-    if not text:
-        return b""
-    if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return array("I", chain.from_iterable(coder.pieces(text))).tobytes()
-    return b"".join(map(_ID_BYTES[path].__getitem__, text.split()))
+    #: Chunks remembered, and bytes of text cut at a time.
+    MEMO, SLICE = 500_000, 8_000_000
+
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
+        self.coder = Tokenizer.from_file(path)
+        special = [(t.content, i) for i, t in self.coder.get_added_tokens_decoder().items()]
+        if not special:
+            raise ValueError("a vocabulary without special tokens has nothing to keep chunks apart")
+        self.mark, self.mark_id = special[0]
+        self.special = [text for text, _ in special]
+        self.merger = WordMerger(path)
+        self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.coder.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _learn(self, chunks: list[str]) -> None:
+        words: dict[str, int] = {}
+        simple, others = [], []
+        for chunk in chunks:
+            found = simple_words(chunk)
+            if found is None:
+                others.append(chunk)
+            else:
+                simple.append((chunk, [words.setdefault(w, len(words)) for w in found]))
+        ids, count = self.merger(list(words))
+        data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(count)).tolist()
+        at = [0, *ends]
+        for chunk, of in simple:
+            self.memo[chunk] = b"".join([data[at[w]:at[w + 1]] for w in of])
+        self._learn_others(others)
+
+    def _learn_others(self, chunks: list[str]) -> None:
+        plain = [c for c in chunks if not any(x in c for x in self.special)]
+        for c in set(chunks).difference(plain):
+            self.memo[c] = self.ids(c).tobytes()
+        ids = self.ids(self.mark.join(plain))
+        bounds = np.flatnonzero(ids == self.mark_id).tolist()
+        data = ids.tobytes()
+        for chunk, a, b in zip(plain, [-1, *bounds], [*bounds, len(ids)]):
+            self.memo[chunk] = data[4 * a + 4:4 * b]
+
+    def chunk_ids(self, chunks: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of every chunk."""
+        if len(self.memo) > self.MEMO:
+            self.older, self.memo = self.memo, {}
+        new = [c for c in chunks if c not in self.memo]
+        self.memo.update({c: self.older[c] for c in new if c in self.older})
+        if new := [c for c in new if c not in self.memo]:
+            self._learn(new)
+        return list(map(self.memo.__getitem__, chunks))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text, in order (null: none)."""
+        texts = texts.fill_null("")
+        sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+        a = 0
+        while a < len(texts):
+            done = sizes[a - 1] if a else 0
+            z = max(a + 1, int(np.searchsorted(sizes, done + self.SLICE, side="right")))
+            yield from self._slice(texts.slice(a, z - a))
+            a = z
+
+    def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        cut = pc.ascii_split_whitespace(texts)
+        chunks = cut.flatten().dictionary_encode()
+        known = self.chunk_ids(chunks.dictionary.to_pylist())
+        table = np.frombuffer(b"".join(known), dtype="<u4")
+        size = np.fromiter(map(len, known), dtype=np.int64, count=len(known)) // 4
+        of = chunks.indices.to_numpy()
+        count = size[of]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        # where the ids of each chunk stand in the table, less where they go
+        shift = (np.cumsum(size) - size)[of] - ends[:-1]
+        ids = table[np.arange(ends[-1]) + np.repeat(shift, count)]
+        bounds = ends[cut.offsets.to_numpy() - cut.offsets[0].as_py()]
+        for a, z in zip(bounds[:-1], bounds[1:]):
+            yield ids[a:z]
+
+
+_CODERS: dict[str, ChunkIds] = {}
+
+
+def coder(path: str) -> ChunkIds:
+    """The encoder of a file, loaded once in a Python worker."""
+    if path not in _CODERS:
+        _CODERS[path] = ChunkIds(path)
+    return _CODERS[path]
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_ids: bool = False,
@@ -86,25 +174,25 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_id
     A null or empty text has the end id alone. With ``keep_ids`` a row also
     carries its ids as ``array<int>``.
     """
-    end = array("I", [end_id]).tobytes()
-
-    def run(cols):
-        names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"] + ["ids"] * keep_ids
-        out = {k: [] for k in names}
-        for doc, text in zip(cols["id"], cols["text"]):
-            data = id_bytes(text, path) + end
-            n = len(data) // 4
-            for start in range(0, n, capacity):
-                part = data[4 * start:4 * (start + capacity)]
-                row = [doc, start, len(part) // 4, zlib.crc32(part), n]
-                if keep_ids:
-                    row.append(np.frombuffer(part, dtype="<u4").astype(np.int32))
-                for k, v in zip(names, row):
-                    out[k].append(v)
-        return out
-
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return map_rows(rows, run, PIECE + ", ids array<int>" * keep_ids)
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    ddl = PIECE + ", ids array<int>" * keep_ids
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for doc, ids in zip(batch.column(0).to_pylist(), coder(path).encode(batch.column(1))):
+                ids = np.append(ids, np.uint32(end_id))
+                for start in range(0, len(ids), capacity):
+                    part = ids[start:start + capacity]
+                    row = (doc, start, len(part), zlib.crc32(part), len(ids))
+                    rows.append(row + (part.astype(np.int32),) if keep_ids else row)
+            yield as_batch(dict(zip(schema.names, list(zip(*rows)) or [[]] * len(schema))), schema)
+
+    rows = docs.select(F.col(id_col).cast("long").alias("id"),
+                       F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, ddl)
 
 
 def pack(pieces: DataFrame, capacity: int, seed: int = 42,

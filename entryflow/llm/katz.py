@@ -37,9 +37,9 @@ from entryflow.llm.common import (as_batch, expand, expand_keys, lower_words, ma
                                   squeeze, squeeze_keys, stage, word_hashes)
 from entryflow.session import scratch_path
 
-BLOCK_TOKENS = 1 << 21
+BLOCK_TOKENS = 1 << 19
 #: Keys of a range's task, on average.
-RANGE_KEYS = 1_000_000
+RANGE_KEYS = 300_000
 #: Turing's estimate is used up to this count, a fitted power law beyond.
 TURING_COUNTS = 5
 #: The power law is fitted on counts up to this.

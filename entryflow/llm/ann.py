@@ -32,6 +32,8 @@ TRAIN_ROWS = 30_000
 #: Probed lists hold this share of the true neighbours of sampled queries.
 PROBE_RECALL, PROBE_QUERIES = 0.97, 256
 CHUNK_ROWS, BATCH_QUERIES = 20_000, 5_000
+#: Pairs of queries and vectors that a task scans at a time.
+SCAN_PAIRS = 1_000_000
 #: Columns of a block, and how sure a test is before it abandons a candidate.
 BLOCK_COLUMNS, EPSILON = 16, 2.1
 
@@ -111,37 +113,44 @@ class Space:
 
 
 def adaptive_scan(queries: np.ndarray, rows: np.ndarray, k: int,
-                  allowed: np.ndarray | None = None) -> list[np.ndarray]:
-    """For each query the rows whose distance was not abandoned, ``k`` nearest included
-    unless a test erred. ``allowed`` masks pairs that do not count."""
-    width = queries.shape[1]
-    cuts = [*range(0, width, BLOCK_COLUMNS), width]
-
-    def part(q, x, a, b):
-        q, x = q[..., a:b], x[:, a:b]
-        return (q * q).sum(-1, keepdims=True) + (x * x).sum(1) - 2 * q @ x.T
-
-    first = part(queries, rows, 0, cuts[1])
-    if allowed is not None:
-        first = np.where(allowed, first, np.inf)
-    out = []
-    for i, q in enumerate(queries):
-        alive = np.flatnonzero(np.isfinite(first[i]))
-        if len(alive) > k:
-            partial = first[i][alive]
-            near = alive[np.argpartition(partial, k - 1)[:k]]
-            limit = part(q, rows[near], 0, width).max()  # k rows are no farther
-            for a, b in zip(cuts[1:], cuts[2:] + [None]):
-                bound = (a / width) * (1 + EPSILON / math.sqrt(a)) ** 2 * limit if a < width else limit
-                stay = partial <= bound * (1 + 1e-9) + 1e-12
-                alive, partial = alive[stay], partial[stay]
-                if b is None:
-                    break
-                partial = partial + part(q, rows[alive], a, b)
-                near = alive[np.argpartition(partial, k - 1)[:k]]
-                limit = min(limit, part(q, rows[near], 0, width).max())
-        out.append(alive)
-    return out
+                  allowed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(query, row) pairs whose distance was not abandoned, by query; the ``k`` nearest
+    rows of a query are among them unless a test erred.
+
+    ``allowed`` masks pairs that count. Distances of all pairs grow block by
+    block, in bulk while most pairs live and pair by pair when few do.
+    """
+    width, n = queries.shape[1], len(rows)
+    if allowed is None:
+        allowed = np.ones((len(queries), n), dtype=bool)
+    if n <= k:
+        return np.nonzero(allowed)
+    every = np.arange(len(queries))[:, None]
+
+    def far(a, b):
+        """Squared distances over columns a to b, all pairs."""
+        q, x = queries[:, a:b], rows[:, a:b]
+        return (q * q).sum(1)[:, None] + (x * x).sum(1) - 2 * q @ x.T
+
+    partial = np.where(allowed, far(0, BLOCK_COLUMNS), np.inf)
+    limit = np.full(len(queries), np.inf)
+    seen = min(BLOCK_COLUMNS, width)
+    while True:
+        near = np.argpartition(partial, k - 1, axis=1)[:, :k]
+        whole = ((rows[near] - queries[:, None]) ** 2).sum(2)
+        whole[np.isinf(partial[every, near])] = np.inf
+        limit = np.minimum(limit, whole.max(1))  # k rows are no farther
+        spare = (1 + EPSILON / math.sqrt(seen)) ** 2 * seen / width if seen < width else 1.0
+        partial[partial > (spare * limit * (1 + 1e-9) + 1e-12)[:, None]] = np.inf
+        if seen == width:
+            return np.nonzero(np.isfinite(partial))
+        b = min(seen + BLOCK_COLUMNS, width)
+        at = np.nonzero(np.isfinite(partial))
+        if len(at[0]) * 8 > partial.size:
+            partial += far(seen, b)
+        else:
+            partial[at] += ((queries[at[0], seen:b] - rows[at[1], seen:b]) ** 2).sum(1)
+        seen = b
 
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
@@ -225,14 +234,19 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id",
         if queries.num_rows and candidates.num_rows:
             space, ids = shared.value, candidates["id"].to_numpy()
             x, q = matrix(candidates["v"], width), matrix(queries["v"], width)
-            own = queries["id"].to_numpy()
-            found = adaptive_scan(space.asked(q), space.stored(x), k, own[:, None] != ids)
-            for i, alive in enumerate(found):
+            own, stored, asked = queries["id"].to_numpy(), space.stored(x), space.asked(q)
+            step = max(1, SCAN_PAIRS // len(x))
+            for a in range(0, len(q), step):
+                of, row = adaptive_scan(asked[a:a + step], stored, k, own[a:a + step, None] != ids)
+                of += a
                 # row by row, so that equal vectors get equal scores
-                score = (x[alive] * q[i]).sum(1)
-                best = np.lexsort((ids[alive], -score))[:k]
-                out["query_id"].append(np.full(len(best), own[i]))
-                out["id"].append(ids[alive][best])
+                score = (x[row] * q[of]).sum(1)
+                order = np.lexsort((ids[row], -score, of))
+                of, row, score = of[order], row[order], score[order]
+                first = np.searchsorted(of, of)
+                best = np.arange(len(of)) - first < k
+                out["query_id"].append(own[of[best]])
+                out["id"].append(ids[row[best]])
                 out["score"].append(score[best])
         empty = np.empty(0)
         return pa.table({c: pa.array(np.concatenate(v) if v else empty, t) for (c, v), t in

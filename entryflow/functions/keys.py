@@ -69,8 +69,8 @@ def entry_time_text(c: "Column | str") -> Column:
     """Epoch seconds as plain decimal text (7 places), never exponent form.
 
     A JSON number parsed straight into a string column comes out as
-    ``1.6632069589132204E9``; through ``decimal(20,7)`` it is
-    ``1663206958.9132204``.  A value that is no number, or too large for
+    ``1.6632432101234567E9``; through ``decimal(20,7)`` it is
+    ``1663243210.1234567``.  A value that is no number, or too large for
     the decimal, gives NULL instead of failing the job.
     """
     return _c(c).try_cast("decimal(20,7)").cast("string")

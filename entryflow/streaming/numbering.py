@@ -25,7 +25,7 @@ from pyspark.sql.utils import AnalysisException
 
 from entryflow.operators.numbering import assign_numbers, next_numbers
 from entryflow.sinks.tables import overwrite_batch
-from entryflow.streaming.queries import trigger_options
+from entryflow.streaming.queries import triggered
 
 EPOCH_SIZE = 100
 
@@ -111,5 +111,5 @@ def number_stream(df: DataFrame, group_col: str, order_cols: Sequence[str], out_
         finally:
             numbered.unpersist()
 
-    return (df.writeStream.option("checkpointLocation", checkpoint)
-            .trigger(**trigger_options(trigger)).foreachBatch(run).start())
+    return triggered(df.writeStream.option("checkpointLocation", checkpoint), trigger) \
+        .foreachBatch(run).start()

@@ -30,6 +30,12 @@ def trigger_options(trigger: str | None) -> dict:
     return {"processingTime": trigger}
 
 
+def triggered(writer, trigger: str | None):
+    """The writer with its trigger (None: the next micro-batch starts at once)."""
+    options = trigger_options(trigger)
+    return writer.trigger(**options) if options else writer
+
+
 def append_stream(df: DataFrame, target: str, checkpoint: str, trigger: str | None = "60 seconds",
                   fmt: str = "parquet", as_table: bool = False,
                   query_name: str | None = None, partition_by: Sequence[str] = (),
@@ -38,8 +44,8 @@ def append_stream(df: DataFrame, target: str, checkpoint: str, trigger: str | No
     (created from the stream's schema when missing).  With a ``schema`` the
     rows are conformed to it (see ``sinks.tables.conform``)."""
     df = conform(df, schema) if schema is not None else df
-    w = (df.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .trigger(**trigger_options(trigger)))
+    w = triggered(df.writeStream.outputMode("append").option("checkpointLocation", checkpoint),
+                  trigger)
     if query_name:
         w = w.queryName(query_name)
     if partition_by:
@@ -84,8 +90,8 @@ def tail_stream(df: DataFrame, name: str, checkpoint: str, rows: int = 1000,
             spark = batch.sparkSession
             spark.createDataFrame(latest, batch.schema).createOrReplaceGlobalTempView(name)
 
-    return (df.writeStream.option("checkpointLocation", checkpoint).queryName(name)
-            .trigger(**trigger_options(trigger)).foreachBatch(show).start())
+    return triggered(df.writeStream.option("checkpointLocation", checkpoint).queryName(name),
+                     trigger).foreachBatch(show).start()
 
 
 def with_taps(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
@@ -117,8 +123,7 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
         finally:
             batch.unpersist()
 
-    w = (df.writeStream.option("checkpointLocation", checkpoint)
-         .trigger(**trigger_options(trigger)).foreachBatch(run))
+    w = triggered(df.writeStream.option("checkpointLocation", checkpoint), trigger).foreachBatch(run)
     if query_name:
         w = w.queryName(query_name)
     return w.start()
@@ -166,8 +171,7 @@ def transcode_stream(df: DataFrame, target: str, checkpoint: str, fmt: str = "av
         from pyspark.sql.avro.functions import to_avro  # needs the spark-avro package
         rec = df.select(F.lit(None).cast("string").alias("key"),
                         to_avro(F.struct(*df.columns)).alias("value"))
-        w = rec.writeStream.option("checkpointLocation", checkpoint).trigger(
-            **trigger_options(trigger))
+        w = triggered(rec.writeStream.option("checkpointLocation", checkpoint), trigger)
         if topic:
             w = w.format("kafka").option("topic", topic)
             for k, v in (options or {}).items():

@@ -55,7 +55,7 @@ def test_kafka_source_options_not_printed(capsys):
 def test_flagged_job_from_cli(spark, tmp_dir):
     import datetime as dt
     write_json(f"{tmp_dir}/in", SAMPLE_RECORDS)
-    spark.createDataFrame([(dt.date(2022, 9, 15), 19499)], "day date, winnernumber long") \
+    spark.createDataFrame([(dt.date(2022, 9, 15), 4103)], "day date, winnernumber long") \
         .write.parquet(f"{tmp_dir}/dw")
     q = main(["flagged", "--source", "json", "--path", f"{tmp_dir}/in",
               "--daily-winners", f"{tmp_dir}/dw", "--as-of", "2022-09-15",
@@ -63,5 +63,35 @@ def test_flagged_job_from_cli(spark, tmp_dir):
               "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available_now"], spark=spark)
     q.awaitTermination()
     table = spark.read.parquet(f"{tmp_dir}/table")
-    assert table.count() == 6 and [r.participationnumber for r in table.where("winner").collect()] == [19499.0]
+    assert table.count() == 6 and [r.participationnumber for r in table.where("winner").collect()] == [4103.0]
     assert spark.read.json(f"{tmp_dir}/records").count() == 6
+
+
+def test_topic_options_reach_source_and_sink():
+    from entryflow.cli import _source
+    from entryflow.sinks.topics import kafka_sink
+    a = build_parser().parse_args(["entries", "--bootstrap", "b:9092", "--topic", "t", "--target", "x",
+                                   "--checkpoint", "y", "--max-offsets-per-trigger", "500",
+                                   "--option", "kafka.request.timeout.ms=60000",
+                                   "--option", "groupIdPrefix=g=1"])
+    options = _source(a)["options"]
+    assert options["maxOffsetsPerTrigger"] == "500" and options["groupIdPrefix"] == "g=1"
+    assert kafka_sink("out", options) == {"format": "kafka", "topic": "out", "options": {
+        "kafka.bootstrap.servers": "b:9092", "kafka.request.timeout.ms": "60000"}}
+    # a first micro-batch is bounded without asking for it
+    a = build_parser().parse_args(["entries", "--bootstrap", "b", "--topic", "t", "--target", "x",
+                                   "--checkpoint", "y"])
+    assert int(_source(a)["options"]["maxOffsetsPerTrigger"]) > 0
+
+
+def test_entries_job_fills_a_table_from_cli(spark, tmp_dir):
+    from entryflow.schemas import ENTRIES_TABLE
+    from entryflow.sinks.tables import create_table
+    write_json(f"{tmp_dir}/in", SAMPLE_RECORDS)
+    spark.sql("DROP TABLE IF EXISTS cli_entries")
+    create_table(spark, "cli_entries", ENTRIES_TABLE, location=f"{tmp_dir}/t")
+    main(["entries", "--source", "json", "--path", f"{tmp_dir}/in", "--target", "cli_entries",
+          "--as-table", "--checkpoint", f"{tmp_dir}/ck", "--trigger", "available_now"],
+         spark=spark).awaitTermination()
+    assert spark.table("cli_entries").count() == 6
+    spark.sql("DROP TABLE cli_entries")

@@ -55,42 +55,42 @@ def test_unique_by_error_and_first(spark):
 
 
 def test_flag_entries(spark):
-    winners = daily(spark, [(dt.date(2022, 9, 15), 19498), (dt.date(2022, 9, 15), 777)])
+    winners = daily(spark, [(dt.date(2022, 9, 15), 4102), (dt.date(2022, 9, 15), 777)])
     out = raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners)
     assert out.columns == ["entry_time", "winner", "name", "participationnumber", "day", "email"]
     rows = {r.participationnumber: r.winner for r in out.collect()}
     assert len(rows) == 6  # promotion-only key 777 gives no row
-    assert rows[19498.0] is True and sum(rows.values()) == 1
+    assert rows[4102.0] is True and sum(rows.values()) == 1
 
 
 def test_flag_entries_as_of(spark):
-    winners = daily(spark, [(dt.date(2022, 9, 15), 19498), (dt.date(2022, 9, 16), 19499)])
+    winners = daily(spark, [(dt.date(2022, 9, 15), 4102), (dt.date(2022, 9, 16), 4103)])
     out = raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners, as_of="2022-09-16")
-    assert out.where("winner").count() == 0  # 19499 wins on the 16th, the entry is the 15th
+    assert out.where("winner").count() == 0  # 4103 wins on the 16th, the entry is the 15th
 
 
 def test_flag_duplicate_winner_fails(spark):
-    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)] * 2)
+    winners = daily(spark, [(dt.date(2022, 9, 15), 4102)] * 2)
     with pytest.raises(Exception, match="duplicate rows for key"):
         raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners).collect()
 
 
 def test_flag_duplicate_entry_fails_when_asked(spark):
-    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)])
+    winners = daily(spark, [(dt.date(2022, 9, 15), 4102)])
     rows = SAMPLE_RECORDS + [SAMPLE_RECORDS[0]]
     assert raffle.flag_entries(kv(spark, rows), winners).count() == 7
-    with pytest.raises(Exception, match="duplicate rows for key 20220915_19497"):
+    with pytest.raises(Exception, match="duplicate rows for key 20220915_4101"):
         raffle.flag_entries(kv(spark, rows), winners, entries_unique=True).collect()
     assert raffle.flag_entries(kv(spark, SAMPLE_RECORDS), winners, entries_unique=True).count() == 6
 
 
 def test_flagged_records(spark):
-    winners = daily(spark, [(dt.date(2022, 9, 15), 19498)])
+    winners = daily(spark, [(dt.date(2022, 9, 15), 4102)])
     recs = raffle.flagged_records(kv(spark, SAMPLE_RECORDS), winners)
     dec = {r.key: r for r in raffle.decode_records(recs).collect()}
-    assert dec["20220915_19498"].winner is True
-    assert dec["20220915_19497"].winner is False
-    assert dec["20220915_19497"].participationnumber == 19497
+    assert dec["20220915_4102"].winner is True
+    assert dec["20220915_4101"].winner is False
+    assert dec["20220915_4101"].participationnumber == 4101
 
 
 def test_cogroup_summary(spark):

@@ -14,9 +14,8 @@ def test_matches_window(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet") \
         .withColumn("day", F.date_format("ts", "yyyyMMdd"))
     exp = window_numbers(ev, "day", ["ts", "event_id"])
-    for max_task_rows in (0, 10**6):  # range split, then window
-        got = assign_numbers(ev, "day", ["ts", "event_id"], out_col="n",
-                             max_task_rows=max_task_rows)
+    for slices in (None, 1, 64):
+        got = assign_numbers(ev, "day", ["ts", "event_id"], out_col="n", num_partitions=slices)
         j = got.join(exp, "event_id")
         assert got.count() == ev.count()
         assert j.where(F.col("n") != F.col("expected")).count() == 0
@@ -25,8 +24,7 @@ def test_matches_window(spark):
 def test_one_hot_group_spread(spark):
     # every row in one group: the numbering is still dense and in order
     ev = spark.read.parquet(f"{SF_MID}/events.parquet").withColumn("g", F.lit("hot"))
-    got = assign_numbers(ev, "g", ["ts", "event_id"], out_col="n", num_partitions=16,
-                         max_task_rows=1000)
+    got = assign_numbers(ev, "g", ["ts", "event_id"], out_col="n", num_partitions=16)
     exp = window_numbers(ev, "g", ["ts", "event_id"])
     assert got.join(exp, "event_id").where(F.col("n") != F.col("expected")).count() == 0
     agg = got.agg(F.min("n"), F.max("n"), F.countDistinct("n")).head()
@@ -37,8 +35,7 @@ def test_skewed_groups_and_null_group(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     ev = ev.withColumn("g", F.when(F.col("event_id") % 3 == 0, F.lit(None))
                        .when(F.col("event_id") % 10 < 7, F.lit("big")).otherwise(F.lit("small")))
-    got = assign_numbers(ev, "g", ["ts", "event_id"], out_col="n", num_partitions=8,
-                         max_task_rows=100)
+    got = assign_numbers(ev, "g", ["ts", "event_id"], out_col="n", num_partitions=8)
     exp = window_numbers(ev, "g", ["ts", "event_id"])
     assert got.count() == ev.count()
     assert got.join(exp, "event_id").where(~F.col("n").eqNullSafe(F.col("expected"))).count() == 0
@@ -48,20 +45,35 @@ def test_continue_from_stored(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet") \
         .withColumn("day", F.date_format("ts", "yyyyMMdd"))
     start = spark.createDataFrame([("20240101", 100)], "day string, next_number long")
-    for max_task_rows in (0, 10**6):
-        got = assign_numbers(ev, "day", ["ts", "event_id"], out_col="n", start=start,
-                             max_task_rows=max_task_rows)
-        firsts = {r.day: r.m for r in got.groupBy("day").agg(F.min("n").alias("m")).collect()}
-        assert firsts["20240101"] == 100 and firsts["20240102"] == 0
+    got = assign_numbers(ev, "day", ["ts", "event_id"], out_col="n", start=start)
+    firsts = {r.day: r.m for r in got.groupBy("day").agg(F.min("n").alias("m")).collect()}
+    assert firsts["20240101"] == 100 and firsts["20240102"] == 0
     nxt = {r.day: r.next_number for r in next_numbers(got, "day", "n").collect()}
     n0101 = ev.where("day = '20240101'").count()
     assert nxt["20240101"] == 100 + n0101
 
 
-def test_hot_group_takes_range_split(spark):
-    from entryflow.operators.numbering import group_stats
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").withColumn("g", F.lit("hot"))
-    assert group_stats(ev, "g") == (ev.count(), 1)
-    plan = assign_numbers(ev, "g", ["ts", "event_id"], out_col="n", max_task_rows=10) \
-        ._jdf.queryExecution().optimizedPlan().toString()
-    assert "row_number" not in plan  # no single-task window over the hot group
+def test_one_path_for_any_size(spark):
+    """No window over rows, no forced broadcast, and one evaluation of the input."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    for group in (F.lit("hot"), F.col("event_id")):
+        seen.value = 0
+        rows = ev.select(group.alias("g"), counted("event_id").alias("event_id"))
+        out = assign_numbers(rows, "g", ["event_id"], out_col="n")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "row_number" not in plan and "broadcast" not in plan
+        assert out.count() == ev.count()
+        # the range bounds are sampled from the sort key, the rows computed once
+        assert seen.value <= 2 * ev.count()
+
+
+def test_empty_input(spark):
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").limit(0)
+    assert assign_numbers(ev, "user_id", ["ts", "event_id"]).count() == 0

@@ -30,7 +30,7 @@ def at_volume(spark):
         spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("name,most", [("days_to_answer", 6), ("active_vs_total", 13),
+@pytest.mark.parametrize("name,most", [("days_to_answer", 7), ("active_vs_total", 15),
                                        ("posts_by_language", 3)])
 def test_exchange_budget_at_volume(at_volume, name, most):
     text = plan_text(catalog.QUERIES[name](at_volume, SF_SMALL))
@@ -47,11 +47,15 @@ def test_top_k_bound_reaches_the_scan(spark, tmp_dir):
 
 
 def test_entry_side_not_shuffled_for_promotions(spark):
-    text = plan_text(catalog.QUERIES["winners_inner"](spark, SF_SMALL))
-    # promotions are broadcast by the planner's size check; the only exchange
-    # on the entry side is the numbering window's, keyed by day
-    assert "BroadcastHashJoin" in text
-    assert text.count("Exchange hashpartitioning") == 1
+    df = catalog.QUERIES["winners_inner"](spark, SF_SMALL)
+    df.collect()
+    text = plan_text(df).split("Initial Plan")[0]
+    # promotions and slice offsets are broadcast by the planner's size checks:
+    # what is exchanged is per-slice counts, not entries
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    for line in text.splitlines():
+        if "Exchange hashpartitioning" in line:
+            assert "_nb_" in line or "day#" in line
 
 
 def test_json_parsed_once(spark):
@@ -67,3 +71,60 @@ def test_day_filter_prunes_partitions(spark, tmp_dir):
     text = plan_text(one_day, "formatted")
     assert "PartitionFilters: [isnotnull(day" in text and "2024-01-15" in text
     assert one_day.count() == 15
+
+
+@pytest.fixture()
+def skewed(spark):
+    """Two thirds of the questions on one title, two thirds of the answers on one
+    question; no broadcasts, and skew thresholds that this size reaches."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    n = spark.range(0, 200_000, 1, 8)
+    title = F.when(F.col("id") % 3 != 0, F.lit("hot")).otherwise(F.concat(F.lit("t"), F.col("id")))
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 900).cast("int"))
+    posts = n.select(title.alias("title"), F.lit("b").alias("body"),
+                     F.concat(F.lit("u"), F.col("id")).alias("url"), F.col("id").alias("view_count"),
+                     F.array(F.lit("python"), F.lit("mysql")).alias("tags"))
+    questions = n.select("id", title.alias("title"), day.alias("creation_date"),
+                         (F.col("id") % 5000).alias("owner_user_id"))
+    answers = n.select(F.when(F.col("id") % 3 != 0, F.lit(7).cast("long")).otherwise(F.col("id"))
+                       .alias("parent_id"), F.date_add(day, 3).alias("creation_date"),
+                       (F.col("id") % 7000).alias("owner_user_id"))
+    users = spark.range(6000).select("id", day.alias("creation_date"))
+    yield posts, questions, answers, users
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
+def skew_joins(df):
+    """Join lines of the final plan that AQE split."""
+    df.collect()
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    return [line for line in final.splitlines() if "skew=true" in line]
+
+
+def test_hot_title_is_split_in_days_to_answer(skewed):
+    posts, questions, answers, _ = skewed
+    assert any("title" in line for line in skew_joins(reports.days_to_answer(posts, questions, answers)))
+
+
+def test_hot_title_and_hot_question_are_split_in_active_users(skewed):
+    lines = skew_joins(reports.active_vs_total(*skewed))
+    assert any("title" in line and "LeftSemi" in line for line in lines)
+    assert any("parent_id" in line and "LeftSemi" in line for line in lines)
+
+
+def test_sql_reports_split_hot_keys_too(skewed):
+    from entryflow.plans import sql_reports
+    spark = skewed[0].sparkSession
+    sql_reports.register_report_views(spark, *skewed, prefix="sk_")
+    assert any("title" in x for x in skew_joins(sql_reports.run_report(spark, "days_to_answer", "sk_")))
+    lines = skew_joins(sql_reports.run_report(spark, "active_vs_total", "sk_"))
+    assert any("title" in x for x in lines) and any("parent_id" in x for x in lines)

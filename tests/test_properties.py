@@ -48,8 +48,7 @@ def test_range_split_equals_window(spark, rows, parts):
     from entryflow.operators.numbering import assign_numbers
     df = spark.createDataFrame([(i, g, t) for i, (g, t) in enumerate(rows)],
                                "id long, g string, t long")
-    split = assign_numbers(df, "g", ["t", "id"], out_col="n", num_partitions=parts,
-                           max_task_rows=0)
+    split = assign_numbers(df, "g", ["t", "id"], out_col="n", num_partitions=parts)
     w = Window.partitionBy("g").orderBy("t", "id")
     exp = {r.id: r.e for r in df.select("id", (F.row_number().over(w) - 1).alias("e")).collect()}
     got = {r.id: r.n for r in split.collect()}

@@ -73,7 +73,7 @@ def test_flagged_fan_out(spark, tmp_dir):
     inp, ck = f"{tmp_dir}/in", f"{tmp_dir}/ck"
     write_json(inp, "a", SAMPLE_RECORDS[:3])
     write_json(inp, "b", SAMPLE_RECORDS[3:])
-    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 19500)], "day date, winnernumber long")
+    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 4104)], "day date, winnernumber long")
     q = jobs.run_flagged(spark, src(inp), winners, f"{tmp_dir}/table",
                          {"format": "json", "path": f"{tmp_dir}/topic"}, ck,
                          trigger="available_now", as_of=None)
@@ -108,7 +108,7 @@ def test_transcode_declared_stream(spark, tmp_dir):
                                 "tags": ["python"]}))]
     write_json(f"{tmp_dir}/in", "a", posts)
     jobs.run_transcode(spark, src(f"{tmp_dir}/in"), POSTS_TABLE, f"{tmp_dir}/out",
-                       f"{tmp_dir}/ck", fmt="parquet", trigger="available_now").awaitTermination()
+                       f"{tmp_dir}/ck", "posts_stream", fmt="parquet", trigger="available_now").awaitTermination()
     row = spark.read.parquet(f"{tmp_dir}/out").head()
     assert row.title == "t" and row.tags == ["python"] and row.view_count == 3
 
@@ -149,10 +149,10 @@ def test_sync_to_table_and_tail(spark, tmp_dir):
     q.awaitTermination()
     assert spark.table("synced_entries").count() == 6
     spark.sql("DROP TABLE synced_entries")
-    t = tail_stream(parsed, "tail_entries")
+    t = tail_stream(parsed, "tail_entries", f"{tmp_dir}/tail", rows=4)
     t.processAllAvailable()
     t.stop()
-    assert spark.table("tail_entries").count() == 6
+    assert spark.table("global_temp.tail_entries").count() == 4
 
 
 def test_graceful_stop(spark, tmp_dir):
@@ -172,10 +172,95 @@ def test_flag_entries_on_stream_directly(spark, tmp_dir):
     import datetime as dt
     from entryflow.sources.topics import read_records_stream
     write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS)
-    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 19501)], "day date, winnernumber long")
+    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 4105)], "day date, winnernumber long")
     stream = read_records_stream(spark, "json", f"{tmp_dir}/in")
     q = (raffle.flag_entries(stream, winners).writeStream.format("memory")
          .queryName("flag_direct").trigger(availableNow=True).start())
     q.awaitTermination()
     got = {r.participationnumber: r.winner for r in spark.table("flag_direct").collect()}
-    assert len(got) == 6 and got[19501.0] is True and sum(got.values()) == 1
+    assert len(got) == 6 and got[4105.0] is True and sum(got.values()) == 1
+
+
+def test_jobs_fill_created_tables(spark, tmp_dir):
+    """Declared columns only, in both refresh modes; a retried batch adds nothing."""
+    from entryflow.schemas import ENTRIES_TABLE, WINNERS_TABLE
+    from entryflow.sinks.tables import create_table, replace_batch
+    write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS + [record("20220915", 5), ("bad", "not json")])
+    promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
+    for name, schema in (("made_entries", ENTRIES_TABLE), ("made_none", WINNERS_TABLE),
+                         ("made_batch", WINNERS_TABLE)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        create_table(spark, name, schema, location=f"{tmp_dir}/{name}")
+    jobs.run_entries(spark, src(f"{tmp_dir}/in"), "made_entries", f"{tmp_dir}/ck1", "available_now",
+                     as_table=True, dead_letters=f"{tmp_dir}/dead").awaitTermination()
+    assert spark.table("made_entries").count() == 7
+    assert [r.value for r in spark.read.parquet(f"{tmp_dir}/dead").collect()] == ["not json"]
+    for refresh in ("none", "batch"):
+        jobs.run_winners(spark, src(f"{tmp_dir}/in"), promos, f"made_{refresh}", f"{tmp_dir}/{refresh}",
+                         "available_now", refresh, as_table=True).awaitTermination()
+    none, batch = spark.table("made_none"), spark.table("made_batch")
+    assert none.columns == batch.columns == [f.name for f in WINNERS_TABLE]
+    assert none.collect() == batch.collect() and batch.count() == 1
+    rows = spark.createDataFrame(batch.collect(), batch.schema)
+    for _ in range(2):
+        replace_batch(rows, "made_batch", 7, as_table=True)
+    assert spark.table("made_batch").count() == 2
+    for name in ("made_entries", "made_none", "made_batch"):
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_dead_letters_of_the_flagged_job(spark, tmp_dir):
+    import datetime as dt
+    odd = ("k", '{"email": "a", "campaign": {"x": 1.5}, "participationnumber": 7.25}')
+    write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS[:2] + [odd, ("b1", "not json"), ("b2", "[1]")])
+    winners = spark.createDataFrame([(dt.date(2022, 9, 15), 4102)], "day date, winnernumber long")
+    jobs.run_flagged(spark, src(f"{tmp_dir}/in"), winners, f"{tmp_dir}/table",
+                     {"format": "json", "path": f"{tmp_dir}/topic"}, f"{tmp_dir}/ck",
+                     trigger="available_now", as_of=None,
+                     dead_letters=f"{tmp_dir}/dead").awaitTermination()
+    assert spark.read.parquet(f"{tmp_dir}/table").count() == 5
+    sent = {r.key: json.loads(r.value) for r in spark.read.json(f"{tmp_dir}/topic").collect()}
+    assert sent["k"] == {**json.loads(odd[1]), "winner": False} and len(sent) == 3
+    dead = spark.read.parquet(f"{tmp_dir}/dead").collect()
+    assert {r.key: r.value for r in dead} == {"b1": "not json", "b2": "[1]"}
+
+
+def test_one_bad_number_stops_neither_batch_nor_stream(spark, tmp_dir):
+    rows = [record("20220915", 5), record("20220915", 6, t=1663206958913220.4e12)]
+    batch = raffle.entries_table(spark.createDataFrame(rows, "key string, value string")).collect()
+    assert [r.entry_time for r in batch] == ["1663243200.5000000", None]
+    write_json(f"{tmp_dir}/in", "a", rows)
+    jobs.run_entries(spark, src(f"{tmp_dir}/in"), f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                     "available_now").awaitTermination()
+    assert sorted(map(str, spark.read.parquet(f"{tmp_dir}/out").collect())) == sorted(map(str, batch))
+
+
+def test_winner_metrics(spark, tmp_dir):
+    write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS + [record("20220915", n) for n in (5, 13, 55)])
+    promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
+    q = jobs.run_winners(spark, src(f"{tmp_dir}/in"), promos, f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                         "available_now")
+    q.awaitTermination()
+    taps = q.lastProgress["observedMetrics"]
+    assert int(taps["entries"]["records"]) == 9
+    assert (int(taps["winners"]["matches"]), int(taps["winners"]["promotions"])) == (3, 2)
+
+
+def test_broken_state_is_an_error(spark, tmp_dir):
+    import pytest
+    from entryflow.streaming.numbering import stored_next
+    assert stored_next(spark, f"{tmp_dir}/none", "day", 3) is None
+    os.makedirs(f"{tmp_dir}/state/epoch=0/batch_id=0")
+    with open(f"{tmp_dir}/state/epoch=0/batch_id=0/part-0.parquet", "w") as f:
+        f.write("no parquet")
+    with pytest.raises(Exception):
+        stored_next(spark, f"{tmp_dir}/state", "day", 3).collect()
+    os.makedirs(f"{tmp_dir}/empty/epoch=0")
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        stored_next(spark, f"{tmp_dir}/empty", "day", 3)
+
+
+def test_unique_check_keeps_records_without_key(spark):
+    rows = [("a", "1"), (None, "2"), (None, "3"), ("b", "4")]
+    df = spark.createDataFrame(rows, "key string, value string")
+    assert sorted(r.value for r in raffle.check_unique_entries(df).collect()) == ["1", "2", "3", "4"]

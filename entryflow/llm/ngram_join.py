@@ -16,12 +16,13 @@ If e tokens of x may be missing in a similar y, a prefix whose reach is e + 1
 keeps k common tokens of some class and bucket, whichever e are missing, and y's
 prefix holds them too, or x's holds those of y. So no link is lost.
 
-Candidates are not paired within a group. Every member is verified against
-its group's pivot; linked members are joined into components; only groups
-whose members still lie in different components are looked at again, in
-tiles, where parity bitmaps bound each intersection from above and only pairs
-of different components that can be similar are verified. All verification
-is exact on the sets.
+Candidates are not paired within a group. Parity bitmaps bound each
+intersection from above. Of the pairs that can be similar, only as many are
+taken as connect a group's members, fewer than members, and verified on the
+sets; similar ones are joined into components. This is done twice, the second
+time between components. What groups then still lie in several components
+give every pair across components that the bitmaps allow: once a group's
+copies are connected, few are left.
 """
 
 from __future__ import annotations
@@ -38,17 +39,19 @@ from entryflow.llm.common import (as_batch, expand, expand_keys, lower_words, ma
                                   shingle_hashes, squeeze, squeeze_keys, stage, word_hashes)
 from entryflow.llm.graph import components
 
-SHINGLE_WORDS, PERCENT = 4, 85
+SHINGLE_WORDS, PERCENT = 5, 80
 #: Tokens with a document frequency from these on are of class 2 and 3.
 FREQUENT, VERY_FREQUENT = 16, 256
 #: Share of hashes, in tenths, whose tokens come first in the order.
 FIRST_TENTHS = 4
-#: Sets with fewer tokens are similar to equal sets only (for 75 % or more).
+#: Sets with fewer tokens are similar to equal sets only (for more than 75 %).
 SMALLEST = 4
 #: Tokens gathered before a task hands them out, and tokens of a hash range.
 GATHER, RANGE_TOKENS = 2_000_000, 1_000_000
 #: Members of a tile's side, and bits of a parity bitmap.
 TILE, BITMAP = 2_000, 2048
+#: Pairs of a tile that are compared at a time, and 64-bit words of a bitmap compared first.
+PAIRS, COARSE = 1 << 15, 6
 
 
 # -- sets ------------------------------------------------------------------
@@ -330,64 +333,137 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     "a long, b long")
 
 
-def _open_pairs(groups: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in one group that the bitmaps don't rule out.
+def possible_pairs(label: np.ndarray, n: np.ndarray, bits: np.ndarray, chunk: np.ndarray,
+                   percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different labels that sizes and bitmaps allow to be similar.
 
-    ``groups``: ``sig, node``. A group is cut into chunks by node, and each pair
-    of chunks is a tile, so no task holds a whole large group.
+    Where members of two chunks are given, only pairs across the chunks count.
     """
-    members = stage(groups.join(labels.withColumnRenamed("label", "known"), "node", "left")
-                    .select("sig", "node", F.coalesce("known", "node").alias("label")), "members")
-    mixed = stage(members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"),
-                                             F.count(F.lit(1)).alias("m"))
-                  .where("x <> y").select("sig", F.ceil(F.col("m") / TILE).cast("int").alias("t")),
-                  "mixed")
+    m = len(label)
+    two = m > 0 and chunk.min() != chunk.max()
+    step, out = max(1, PAIRS // max(1, m)), [(np.empty(0, np.int64),) * 2]
+    for a in range(0, m, step):
+        rows = np.arange(a, min(m, a + step))[:, None]
+        ok = (np.arange(m) > rows) & (label != label[rows])
+        ok &= 100 * np.minimum(n, n[rows]) >= percent * np.maximum(n, n[rows])
+        if two:
+            ok &= chunk != chunk[rows]
+        i, j = np.nonzero(ok)
+        i += a
+        for words in (COARSE, bits.shape[1]):  # part of a bitmap bounds less tightly, but fast
+            total = n[i] + n[j]
+            apart = np.bitwise_count(bits[i, :words] ^ bits[j, :words]).sum(1, dtype=np.int64)
+            both = np.minimum((total - apart) // 2, np.minimum(n[i], n[j]))
+            stay = 100 * both >= percent * (total - both)
+            i, j = i[stay], j[stay]
+        out.append((i, j))
+    return np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
+
+
+def spanning(m: int, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewer than ``m`` of the pairs that connect all that they connect."""
+    a, b = np.concatenate([i, j]), np.concatenate([j, i])
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    start = np.searchsorted(a, np.arange(m + 1))
+    left = np.ones(m, dtype=bool)
+    one, many = [], []
+    for first in np.unique(a).tolist():
+        queue = [first] if left[first] else []
+        left[first] = False
+        while queue:
+            x = queue.pop()
+            near = b[start[x]:start[x + 1]]
+            near = near[left[near]]
+            if len(near):
+                left[near] = False
+                one.append(np.full(len(near), x))
+                many.append(near)
+                queue += near.tolist()
+    return np.concatenate(one or [i[:0]]), np.concatenate(many or [i[:0]])
+
+
+def _group_pairs(members: DataFrame, groups: DataFrame, sets: DataFrame, percent: int,
+                 connecting: bool) -> DataFrame:
+    """Distinct pairs ``a, b`` of one group, of different labels, that can be similar.
+
+    ``members``: ``sig, node, n, label``; ``groups``: ``sig, m``. A group is cut
+    into chunks by node, and each pair of chunks is a tile, so no task holds
+    a whole large group. ``connecting``: only as many pairs as connect a
+    tile's members.
+    """
+    parts = groups.select("sig", F.ceil(F.col("m") / TILE).cast("int").alias("t"))
     chunk = F.pmod(F.xxhash64("node"), F.col("t")).cast("int")
-    upto = F.sequence(F.lit(0), F.col("t") - 1)
-    tiled = (members.join(mixed, "sig").withColumn("chunk", chunk)
-             .withColumn("other", F.explode(upto))
-             .join(sets.select("node", "n", "bits"), "node")
-             .select("sig", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
-                     "chunk", "node", "label", "n", "bits"))
-
-    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        node, label, n, chunk = (group[c].to_numpy() for c in ("node", "label", "n", "chunk"))
-        i, j = key[1].as_py(), key[2].as_py()
-        bits = np.array([np.frombuffer(x, dtype=np.uint64) for x in group["bits"].to_pylist()])
-        rows, cols = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j)
-        out_a, out_b = [], []
-        for x in rows:
-            others = cols[(label[cols] != label[x]) & (node[cols] > node[x] if i == j else True)]
-            total = n[x] + n[others]
-            apart = np.bitwise_count(bits[others] ^ bits[x]).sum(1).astype(np.int64)
-            both = np.minimum((total - apart) // 2, np.minimum(n[x], n[others]))
-            can = others[100 * both >= percent * (total - both)]
-            out_a.append(np.minimum(node[x], node[can]))
-            out_b.append(np.maximum(node[x], node[can]))
-        return pa.table({"a": np.concatenate(out_a or [node[:0]]),
-                         "b": np.concatenate(out_b or [node[:0]])})
-
-    return tiled.groupBy("sig", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    rows = (members.join(parts, "sig").withColumn("chunk", chunk)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
+            .join(sets.select("node", "bits"), "node")
+            .select("sig", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                    "chunk", "node", "label", "n", "bits")
+            .repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        held = None
+        for b in _with_end(batches):
+            if b is not None:
+                held = pa.Table.from_batches([b]) if held is None else \
+                    pa.concat_tables([held, pa.Table.from_batches([b])])
+            if held is None or not held.num_rows:
+                continue
+            held = held.combine_chunks()
+            key = np.stack([held[c].to_numpy() for c in ("sig", "i", "j")])
+            cuts = np.flatnonzero(np.concatenate([[True], (key[:, 1:] != key[:, :-1]).any(0), [True]]))
+            if b is not None:
+                cuts = cuts[:-1]  # the last tile may go on
+            columns = [held[c].to_numpy() for c in ("node", "label", "n", "chunk")]
+            bits = np.frombuffer(b"".join(held["bits"].to_pylist()), dtype=np.uint64).reshape(len(key[0]), -1)
+            found = []
+            for a, z in zip(cuts[:-1], cuts[1:]):
+                node, label, n, chunk = (c[a:z] for c in columns)
+                i, j = possible_pairs(label, n, bits[a:z], chunk, percent)
+                if connecting and len(i):
+                    i, j = spanning(z - a, i, j)
+                found.append((np.minimum(node[i], node[j]), np.maximum(node[i], node[j])))
+            held = held.slice(cuts[-1])
+            if found:
+                yield as_batch({"a": np.concatenate([f[0] for f in found]),
+                                "b": np.concatenate([f[1] for f in found])}, schema)
+
+    return stage(rows.mapInArrow(run, "a long, b long").distinct(), "join_pairs")
+
+
+def _still_mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members under their component's label, and the groups that lie in several."""
+    members = stage(members.drop("label").join(labels.withColumnRenamed("label", "known"), "node", "left")
+                    .withColumn("label", F.coalesce("known", "node")).drop("known"), "join_labelled")
+    mixed = (members.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                                        F.count(F.lit(1)).alias("m"))
+             .where("x <> y").select("sig", "m"))
+    return members, stage(mixed, "join_mixed")
 
 
 # -- the join --------------------------------------------------------------
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    k: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
-    """``id long, n_shingles long, component_id long`` of every row.
+                    k: int = SHINGLE_WORDS, percent: int = PERCENT,
+                    row_col: str | None = None) -> DataFrame:
+    """``row long, id long, n_shingles long, component_id long`` of every row.
+
+    ``row`` is ``row_col``, or null.
 
     ``component_id`` is the least id reachable by links, its own included. A
     null or empty text, or one without words, has no shingles and no links.
     Rows with a null id have a null component and link nothing; repeated
     rows are returned repeatedly, in one component; an empty table gives no
-    rows. ``percent`` is 75 or more.
+    rows. ``percent`` is over 75.
     """
-    if percent < 75:
-        raise ValueError("sets of fewer than four tokens are not indexed below 75 percent")
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    if percent <= 75:
+        raise ValueError("sets of few tokens need a similarity of more than 75 percent")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
+                       (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"))
 
     def mark(cols):
-        out = {"id": cols["id"], "node": [], "n": [], "n_first": [], "n_index": []}
+        out = {"row": cols["row"], "id": cols["id"], "node": [], "n": [], "n_first": [], "n_index": []}
         for text in cols["text"]:
             tokens = token_set(text, k)
             index, first = indexable(tokens, percent)
@@ -396,7 +472,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 out[c].append(v)
         return out
 
-    marks = stage(map_rows(rows, mark, "id long, node long, n long, n_first long, n_index long"),
+    marks = stage(map_rows(rows, mark, "row long, id long, node long, n long, n_first long, "
+                                 "n_index long"),
                   "join_marks")
     with_id = rows.where("id is not null")
     heads = stage(marks.where("id is not null and node is not null").groupBy("node")
@@ -408,30 +485,29 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sigs = stage(_signature_rows(heads.where(F.col("n") >= SMALLEST), classes, percent), "join_sigs")
 
     # groups with the same members are one group
-    groups = (sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("node", "n")).alias("pivot"),
+    groups = (sigs.groupBy("sig").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("least"),
                                       F.bit_xor(F.xxhash64("node")).alias("x"))
-              .where("m > 1").groupBy("m", "pivot", "x").agg(F.min("sig").alias("sig")))
-    groups = stage(groups.select("sig", F.col("pivot.node").alias("pivot"),
-                                 F.col("pivot.n").alias("pivot_n")), "join_groups")
-    members = stage(sigs.join(groups, "sig"), "join_members")
+              .where("m > 1").groupBy("m", "least", "x").agg(F.min("sig").alias("sig")))
+    groups = stage(groups.select("sig", "m"), "join_groups")
+    members = stage(sigs.join(groups.select("sig"), "sig"), "join_members")
     needed = members.select("node").distinct().join(heads.select("node", "id"), "node").select("id")
     sets = stage(_sets(with_id.join(stage(needed, "join_needed"), "id", "left_semi"), k), "join_sets")
 
-    size_fits = 100 * F.least("n", "pivot_n") >= percent * F.greatest("n", "pivot_n")
-    star = members.where((F.col("node") != F.col("pivot")) & size_fits)
-    star = stage(star.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct(), "star")
-    links = stage(verified(star, sets, percent), "join_links")
-    rest = _open_pairs(members.select("sig", "node"), sets, components(links), percent)
-    more = stage(verified(stage(rest, "join_open"), sets, percent), "join_links")
-
-    labels = components(links.union(more))
+    members, links = members.withColumn("label", F.col("node")), None
+    for connecting in (True, True, False):
+        found = verified(_group_pairs(members, groups, sets, percent, connecting), sets, percent)
+        links = stage(found if links is None else links.union(found), "join_links")
+        labels = components(links)
+        if connecting:
+            members, groups = _still_mixed(members, labels)
     named = (heads.select("node", "id").join(labels, "node", "left")
              .select("node", "id", F.coalesce("label", "node").alias("label")))
     least = named.groupBy("label").agg(F.min("id").alias("component_id"))
     of_node = stage(named.join(least, "label").select("node", "component_id"), "join_named")
     joined = marks.join(of_node, "node", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return joined.select("id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    return joined.select("row", "id", F.col("n").alias("n_shingles"),
+                         component.alias("component_id"))
 
 
 def _sets(rows: DataFrame, k: int) -> DataFrame:

@@ -21,20 +21,14 @@ def utf8(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
-def words(text: str | None) -> list[bytes]:
-    """Maximal runs outside space, tab, LF, VT, FF and CR (what ``bytes.split`` cuts at)."""
-    return utf8(text).split()
-
-
-def lower_words(text: str | None) -> list[bytes]:
-    """``words`` with A-Z lower-cased and every other letter as it is."""
-    return utf8(text).lower().split()
-
-
 def ascii_lower(text: str) -> str:
     return text.translate(_ASCII_LOWER)
 
 
+#: Folders that ``stage`` wrote in this process, in order.
+STAGED: list[str] = []
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` below the shared scratch folder and read it back.
 
@@ -43,9 +37,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
+    STAGED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``stage`` wrote, wherever the scratch folder is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]],
              schema: str) -> DataFrame:
     """Apply ``fn`` to Arrow batches given as Python lists by column name.
@@ -82,28 +83,71 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, kept for the words seen last (a bounded memo)."""
+# Odd, so that it has an inverse modulo 2**64; any such number of many digits will do.
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+#: Bytes hashed at a time; a longer text is cut between words.
+_PIECE = 1 << 20
 
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) >= self.limit:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = h
-        return h
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(1, dtype=np.uint64)
+    while len(out) < n:  # double what is there
+        step = np.uint64(pow(base, len(out), 1 << 64))
+        out = np.concatenate([out, out * step])
+    return out[:n]
 
 
-WORD_HASHES = WordHashes()
+class _Powers:
+    """Powers of the base and of its inverse, as many as the texts so far needed."""
 
+    def __init__(self):
+        self.up, self.down = _powers(_BASE, 1 << 12), _powers(_BASE_INVERSE, 1 << 12)
 
-def word_hashes(ws: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(WORD_HASHES.__getitem__, ws), dtype=np.uint64, count=len(ws))
+    def get(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.up):
+            n = 1 << (n - 1).bit_length()
+            self.up, self.down = _powers(_BASE, n), _powers(_BASE_INVERSE, n)
+        return self.up, self.down
+
+
+_POWERS = _Powers()
+
+
+def word_hashes(data: bytes, lower: bool = False) -> np.ndarray:
+    """64-bit hashes of the words of a UTF-8 text (as ``bytes.split`` cuts it), in order.
+
+    A word's hash is a polynomial of its bytes, scrambled; differences of one
+    running sum give all words of a text at once. ``lower`` lower-cases A-Z.
+    """
+    raw = np.frombuffer(data, dtype=np.uint8)
+    if len(raw) <= _PIECE:
+        return _piece_hashes(raw, lower)
+    spaces = np.flatnonzero(_SPACE[raw])
+    cuts = [0]
+    while len(raw) - cuts[-1] > _PIECE:
+        i = np.searchsorted(spaces, cuts[-1] + _PIECE)
+        if i == len(spaces):
+            break
+        cuts.append(int(spaces[i]))
+    return np.concatenate([_piece_hashes(raw[a:z], lower) for a, z in zip(cuts, [*cuts[1:], len(raw)])])
+
+
+def _piece_hashes(raw: np.ndarray, lower: bool) -> np.ndarray:
+    inside = ~_SPACE[raw]
+    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    if not len(start):
+        return np.empty(0, dtype=np.uint64)
+    up, down = _POWERS.get(len(raw))
+    values = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(values * up[:len(raw)], out=sums[1:])
+    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 
 def shingle_hashes(h: np.ndarray, k: int) -> np.ndarray:

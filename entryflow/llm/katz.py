@@ -33,8 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import (as_batch, expand, expand_keys, lower_words, map_rows, mix64,
-                                  squeeze, squeeze_keys, stage, word_hashes)
+from entryflow.llm.common import (as_batch, expand, expand_keys, map_rows, mix64, squeeze,
+                                  squeeze_keys, stage, utf8, word_hashes)
 from entryflow.session import scratch_path
 
 BLOCK_TOKENS = 1 << 19
@@ -84,7 +84,7 @@ def encode_blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         held, tokens = [], 0
         for b in batches:
             for doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                h = np.append(word_hashes(lower_words(text)), _END)
+                h = np.append(word_hashes(utf8(text), lower=True), _END)
                 held.append((doc, h))
                 tokens += len(h)
                 if tokens >= BLOCK_TOKENS:

@@ -35,8 +35,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import (as_batch, expand, expand_keys, lower_words, map_rows, mix64,
-                                  shingle_hashes, squeeze, squeeze_keys, stage, word_hashes)
+from entryflow.llm.common import (as_batch, expand, expand_keys, map_rows, mix64, shingle_hashes,
+                                  squeeze, squeeze_keys, stage, utf8, word_hashes)
 from entryflow.llm.graph import components
 
 SHINGLE_WORDS, PERCENT = 5, 80
@@ -58,7 +58,7 @@ PAIRS, COARSE = 1 << 15, 6
 
 def token_set(text: str | None, k: int) -> np.ndarray:
     """Sorted distinct hashes of the text's shingles."""
-    return np.unique(shingle_hashes(word_hashes(lower_words(text)), k))
+    return np.unique(shingle_hashes(word_hashes(utf8(text), lower=True), k))
 
 
 def node_of(tokens: np.ndarray) -> int:

@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import map_rows, shingle_hashes, stage, utf8, word_hashes, words
+from entryflow.llm.common import map_rows, shingle_hashes, stage, utf8, word_hashes
 
 #: A line is boilerplate in more than this share of a host's documents ...
 MAX_SHARE = 0.1
@@ -52,23 +52,22 @@ def line_hashes(text: str | None) -> tuple[np.ndarray, list[int]]:
 
 def measures(text: str | None) -> dict[str, int]:
     """Words, their code points, signs, repeated lines, and words in repeated 3-word windows."""
-    ws = words(text)
+    h = word_hashes(utf8(text))
     seen, dup_lines = set(), 0
     for line in utf8(text).split(b"\n"):
         if line.split():
             dup_lines += line in seen
             seen.add(line)
     repeated = 0
-    if len(ws) >= 4:
-        h = word_hashes(ws)
+    if len(h) >= 4:
         _, inverse, counts = np.unique(shingle_hashes(h, 3), return_inverse=True,
                                        return_counts=True)
         twice = counts[inverse] > 1
-        inside = np.zeros(len(ws), dtype=bool)
+        inside = np.zeros(len(h), dtype=bool)
         for i in range(3):
             inside[i:i + len(twice)] |= twice
         repeated = int(inside.sum())
-    return {"n_words": len(ws),
+    return {"n_words": len(h),
             "word_chars": len(text or "") - sum(map((text or "").count, _SPACES)),
             "n_symbols": sum(map((text or "").count, _SYMBOLS)),
             "n_dup_lines": dup_lines, "n_repeat_words": repeated}
@@ -88,7 +87,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             for k, v in measures(text).items():
                 out[k].append(v)
             hashes, counts = line_hashes(text)
-            windows = shingle_hashes(word_hashes(utf8(text).lower().split()), 5)
+            windows = shingle_hashes(word_hashes(utf8(text), lower=True), 5)
             out["sketch"].append(int(windows.min().astype(np.int64)) if len(windows) else 0)
             out["lines"].append(hashes)
             out["line_words"].append(counts)

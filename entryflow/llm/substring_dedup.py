@@ -39,8 +39,8 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 RECALL, MAX_HASHES = 0.999, 32
 #: Words of a unit and of a region at least.
 UNIT_WORDS, REGION_WORDS = 5, 30
-#: Paragraphs that a task brings together at a time.
-GATHER = 200_000
+#: Paragraphs that a task brings together at a time, and shingles hashed at a time.
+GATHER, CACHED = 200_000, 1 << 15
 
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s)")
 
@@ -126,7 +126,7 @@ def line_shingles(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
     for _, sentences in paragraphs(text):
         ws = [x for _, _, s in sentences for x in s]
         if len(ws) >= UNIT_WORDS:
-            yield _hash(ws), np.unique(shingle_hashes(word_hashes(ws), SHINGLE_WORDS))
+            yield _hash(ws), np.unique(shingle_hashes(word_hashes(b" ".join(ws)), SHINGLE_WORDS))
 
 
 # -- banding ---------------------------------------------------------------
@@ -134,16 +134,23 @@ def line_shingles(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
 def band_keys(sets: list[np.ndarray], bands: int, rows: int, seed: int = 7) -> np.ndarray:
     """(paragraphs, bands) keys; a band's number is part of its keys."""
     factors = mix64(np.arange(1, bands * rows + 1, dtype=np.uint64) * np.uint64(seed)) | np.uint64(1)
-    flat = np.concatenate(sets)
-    starts = np.cumsum([0] + [len(s) for s in sets[:-1]])
     out = np.empty((len(sets), bands), dtype=np.uint64)
-    for b in range(bands):
-        acc = np.full(len(sets), b, dtype=np.uint64)
-        for f in factors[b * rows:(b + 1) * rows]:
-            scrambled = flat * f
-            scrambled ^= scrambled >> np.uint64(32)
-            acc = mix64(acc + np.minimum.reduceat(scrambled * f, starts))
-        out[:, b] = acc
+    sizes = np.cumsum([len(s) for s in sets])
+    a = 0
+    while a < len(sets):  # slices that stay in the processor's cache
+        done = sizes[a - 1] if a else 0
+        z = max(a + 1, int(np.searchsorted(sizes, done + CACHED, side="right")))
+        flat = np.concatenate(sets[a:z])
+        starts = np.concatenate([[0], sizes[a:z - 1] - done]).astype(np.int64)
+        for b in range(bands):
+            acc = np.full(z - a, b, dtype=np.uint64)
+            for f in factors[b * rows:(b + 1) * rows]:
+                scrambled = flat * f
+                scrambled ^= scrambled >> np.uint64(32)
+                scrambled *= f
+                acc = mix64(acc + np.minimum.reduceat(scrambled, starts))
+            out[a:z, b] = acc
+        a = z
     return out
 
 

@@ -67,7 +67,7 @@ def lost_words(texts, sources):
     documents_of, with_line, lines_of = defaultdict(set), defaultdict(set), {}
     for i, (text, host) in enumerate(zip(texts, sources)):
         ws = text.lower().split()
-        sketch = int(shingle_hashes(word_hashes([w.encode() for w in ws]), 5).min())
+        sketch = int(shingle_hashes(word_hashes(" ".join(ws).encode()), 5).min())
         documents_of[host].add(sketch)
         lines_of[i] = [" ".join(re.sub("[0-9]", "0", x).lower().split()) for x in text.split("\n")]
         for line in lines_of[i]:

@@ -12,10 +12,15 @@ documents; the last returns a row per piece, with its ids. ``n_chars`` follows
 the text. Where a stage joins verdicts to documents, it first writes the
 documents with row numbers, so ids may be null or repeated; documents without an
 id pass the stages that compare documents by id.
+
+A stage's result is written before the next stage begins (``run`` does so); the
+next one then deletes the intermediate tables that the stage left, unless its
+own input still reads them.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import pandas as pd
@@ -23,12 +28,31 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from entryflow.llm import ngram_join, packing, quality, secret_scan, substring_dedup
-from entryflow.llm.common import stage, table
+from entryflow.llm.common import STAGED, remove_folder, stage, table
 from entryflow.llm.queries import END_ID, SEQUENCE_TOKENS, vocabulary_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+#: Intermediate tables of the stages so far that are still there.
+_LEFT: list[str] = []
+
+
+def _clearing(fn: Stage) -> Stage:
+    """The stage, deleting what earlier stages left and ``docs`` does not read."""
+    @functools.wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        reads = docs.inputFiles()
+        for path in [p for p in _LEFT if not any(f"{p}/" in f for f in reads)]:
+            remove_folder(spark, path)
+            _LEFT.remove(path)
+        before = len(STAGED)
+        out = fn(spark, docs, sf_dir)
+        _LEFT.extend(STAGED[before:])
+        return out
+    return run_stage
+
+
 def _numbered(docs: DataFrame, name: str) -> DataFrame:
     """The documents as ``doc``, with a ``row`` number that stays."""
     return stage(docs.select(F.struct("*").alias("doc"),
@@ -65,12 +89,14 @@ def _redact(text: pd.Series, spans: pd.Series) -> pd.Series:
                       for t, s in zip(text, spans)])
 
 
+@_clearing
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs, "quality_docs")
     kept = quality.judge(_fields(rows), row_col="row").where("kept").select("row", "drop_lines")
     return _with_text(rows.join(kept, "row"), _drop_lines("doc.text", "drop_lines"))
 
 
+@_clearing
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs, "join_docs")
     found = stage(ngram_join.near_components(_fields(rows), row_col="row"), "join_components")
@@ -80,6 +106,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return rows.join(stay, "row", "left_semi").select("doc.*")
 
 
+@_clearing
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs, "passage_rows")
     regions = substring_dedup.repeated_regions(_fields(rows)).where("removed")
@@ -91,6 +118,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return _with_text(left.where("not was_cut or left <> ''"), F.col("left"))
 
 
+@_clearing
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs, "secret_docs")
     found = secret_scan.find_secrets(_fields(rows), row_col="row").where(F.size("redact") > 0)
@@ -98,6 +126,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(marked, _redact("doc.text", "redact"))
 
 
+@_clearing
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS, keep_ids=True)
     return packing.pack(pieces, SEQUENCE_TOKENS)

@@ -82,6 +82,22 @@ def test_odd_documents_pass_every_stage(spark):
         assert not staged(spark, fn(spark, docs.limit(0), "")).collect()
 
 
+def test_stages_clear_what_the_last_one_left(spark, corpus):
+    texts, _ = corpus
+    docs = documents(spark, list(texts.values()), ids=list(texts))
+    stages = dict(P.STAGES)
+    lazy = stages["quality rules"](spark, docs, "")
+    left = set(P._LEFT)
+    assert left
+    # not written yet: the next stage reads what is left, so it stays
+    two = stages["secret scans"](spark, lazy, "")
+    assert set(P._LEFT) > left - {p for p in left if "quality_scan" in p or "quality_lines" in p}
+    assert two.count() == len(texts) - 2
+    written = staged(spark, two)
+    stages["packing"](spark, written, "").collect()
+    assert not left & set(P._LEFT)
+
+
 def test_whole_run(spark):
     got = P.run(spark, "/root/testdata/sf0.001")
     assert got.count() > 0

@@ -63,6 +63,8 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
         for b in batches:
             cols = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
             yield as_batch(cols, out)
+        # a worker lives on for other stages; what Arrow keeps for itself counts as theirs
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

@@ -47,7 +47,7 @@ FIRST_TENTHS = 4
 #: Sets with fewer tokens are similar to equal sets only (for more than 75 %).
 SMALLEST = 4
 #: Tokens gathered before a task hands them out, and tokens of a hash range.
-GATHER, RANGE_TOKENS = 2_000_000, 1_000_000
+GATHER, RANGE_TOKENS = 1_000_000, 1_000_000
 #: Members of a tile's side, and bits of a parity bitmap.
 TILE, BITMAP = 2_000, 2048
 #: Pairs of a tile that are compared at a time, and 64-bit words of a bitmap compared first.

@@ -25,6 +25,8 @@ from entryflow.llm.common import as_batch, stage
 from entryflow.llm.word_merge import WordMerger, simple_words
 
 GROUP_PIECES = 20_000
+#: Tokens of pieces that a task holds before it hands them on.
+HELD_TOKENS = 250_000
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -76,7 +78,7 @@ class ChunkIds:
     """
 
     #: Chunks remembered, and bytes of text cut at a time.
-    MEMO, SLICE = 500_000, 8_000_000
+    MEMO, SLICE = 120_000, 2_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -181,14 +183,20 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
+            rows, held = [], 0
             for doc, ids in zip(batch.column(0).to_pylist(), coder(path).encode(batch.column(1))):
                 ids = np.append(ids, np.uint32(end_id))
                 for start in range(0, len(ids), capacity):
                     part = ids[start:start + capacity]
                     row = (doc, start, len(part), zlib.crc32(part), len(ids))
                     rows.append(row + (part.astype(np.int32),) if keep_ids else row)
-            yield as_batch(dict(zip(schema.names, list(zip(*rows)) or [[]] * len(schema))), schema)
+                held += len(ids)
+                if held >= HELD_TOKENS:
+                    yield as_batch(dict(zip(schema.names, zip(*rows))), schema)
+                    rows, held = [], 0
+            if rows:
+                yield as_batch(dict(zip(schema.names, zip(*rows))), schema)
+            pa.default_memory_pool().release_unused()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.col(text_col).cast("string").alias("text"))

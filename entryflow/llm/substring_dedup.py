@@ -40,7 +40,7 @@ RECALL, MAX_HASHES = 0.999, 32
 #: Words of a unit and of a region at least.
 UNIT_WORDS, REGION_WORDS = 5, 30
 #: Paragraphs that a task brings together at a time, and shingles hashed at a time.
-GATHER, CACHED = 200_000, 1 << 15
+GATHER, CACHED = 50_000, 1 << 15
 
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s)")
 

@@ -7,6 +7,12 @@ paragraphs are verified by exact Jaccard similarity of their shingles and
 clustered into components. A passage can also stand inside a longer
 paragraph; so sentences are units too, matched by their whole hash.
 
+A passage may begin and end anywhere, without any punctuation. So windows of
+``RUN_WORDS`` words are matched, too: of any ``RUN_WINDOW`` successive ones the
+least hash is picked, hence an equal run of ``RUN_WORDS + RUN_WINDOW - 1`` words
+holds a pick in every document. Around picks that repeat, all windows are
+compared, which finds the run's first and last word.
+
 Units of one component that stand in different documents are repeats. Those
 that follow each other in a document form a region, and regions of
 ``REGION_WORDS`` words or more are reported; short phrases that happen to
@@ -31,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from entryflow.llm.common import (as_batch, expand_keys, map_rows, mix64, shingle_hashes,
-                                  squeeze_keys, stage, word_hashes)
+                                  squeeze_keys, stage, utf8, word_hashes)
 from entryflow.llm.graph import components
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
@@ -39,10 +45,18 @@ SHINGLE_WORDS, SIMILARITY = 5, 0.8
 RECALL, MAX_HASHES = 0.999, 32
 #: Words of a unit and of a region at least.
 UNIT_WORDS, REGION_WORDS = 5, 30
+#: Words of a window of a run, and successive windows of which one is picked.
+RUN_WORDS, RUN_WINDOW = 8, 18
+#: Words on each side of a repeated pick whose windows are compared.
+REACH = 50
+#: Words between two parts of a region at most, if no unit stands between them.
+GAP_WORDS = UNIT_WORDS - 1
 #: Paragraphs that a task brings together at a time, and shingles hashed at a time.
 GATHER, CACHED = 50_000, 1 << 15
 
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s)")
+# Sentence ends before white space that parts no words; there, a word ends nevertheless.
+_ODD_END = re.compile(r"[.!?]+(?=[^\S \t\n\v\f\r])")
 
 
 def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL,
@@ -255,6 +269,118 @@ def similar_pairs(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFr
                     "a long, b long")
 
 
+# -- runs ------------------------------------------------------------------
+
+def run_hashes(text: str | None) -> np.ndarray:
+    """Hashes of all windows of ``RUN_WORDS`` words; the words are those of ``paragraphs``."""
+    h = word_hashes(utf8(_ODD_END.sub(lambda m: m[0] + " ", text or "")), lower=True)
+    return shingle_hashes(h, RUN_WORDS) if len(h) >= RUN_WORDS else h[:0]
+
+
+def word_places(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words, in code points."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    inside = (points != 32) & ((points < 9) | (points > 13))
+    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    odd = np.array([m.end() for m in _ODD_END.finditer(text)], dtype=edges.dtype)
+    return np.sort(np.concatenate([edges[::2], odd])), np.sort(np.concatenate([edges[1::2], odd]))
+
+
+def picked(windows: np.ndarray) -> np.ndarray:
+    """Places of the least of any ``RUN_WINDOW`` successive windows, or of all if there are fewer."""
+    if len(windows) <= RUN_WINDOW:
+        return np.array([windows.argmin()] if len(windows) else [], dtype=np.int64)
+    view = np.lib.stride_tricks.sliding_window_view(windows, RUN_WINDOW)
+    return np.unique(np.arange(len(view)) + view.argmin(1))
+
+
+def _of_rows(ids: list[int], parts: list[np.ndarray]) -> np.ndarray:
+    return np.repeat(np.array(ids, dtype=np.int64), [len(p) for p in parts])
+
+
+def _joined(parts: list[np.ndarray], dtype) -> np.ndarray:
+    return np.concatenate(parts).astype(dtype, copy=False) if parts else np.empty(0, dtype)
+
+
+def run_pieces(at: np.ndarray, first: np.ndarray, cut: np.ndarray) -> list[tuple[int, int]]:
+    """[a, z) of the successive windows (by place) that go on with an equal document and fate."""
+    new = np.flatnonzero((np.diff(at) != 1) | (first[1:] != first[:-1]) | (cut[1:] != cut[:-1])) + 1
+    return list(zip([0, *new.tolist()], [*new.tolist(), len(at)])) if len(at) else []
+
+
+RUN = "id long, w_start int, w_end int, start int, end int, first long, kept boolean"
+
+
+def shared_runs(rows: DataFrame) -> DataFrame:
+    """Runs of words that stand in several documents, cut where their first document changes."""
+    def pick(cols):
+        hashes, places = [], []
+        for text in cols["text"]:
+            windows = run_hashes(text)
+            places.append(picked(windows))
+            hashes.append(windows[places[-1]])
+        return {"id": _of_rows(cols["id"], places),
+                "hash": _joined(hashes, np.uint64).view(np.int64), "at": _joined(places, np.int32)}
+
+    def around(cols):
+        hashes, places, again = [], [], []
+        for text, near in zip(cols["text"], cols["near"]):
+            windows = run_hashes(text)
+            near = np.unique([x for x in near if x < len(windows)]).astype(np.int64)
+            change = np.zeros(len(windows) + 1, dtype=np.int64)
+            np.add.at(change, np.maximum(near - REACH, 0), 1)
+            np.add.at(change, np.minimum(near + REACH + 1, len(windows)), -1)
+            at = np.flatnonzero(np.cumsum(change[:-1]))
+            _, least = np.unique(windows[at], return_index=True)
+            later = np.ones(len(at), dtype=bool)
+            later[least] = False
+            hashes.append(windows[at])
+            places.append(at)
+            again.append(later)
+        return {"id": _of_rows(cols["id"], places), "hash": _joined(hashes, np.uint64).view(np.int64),
+                "at": _joined(places, np.int32), "again": _joined(again, bool)}
+
+    def repeated(windows):
+        return (windows.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+                .where("first <> last").select("hash", "first"))
+
+    out = pa.schema([(n, {"long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[t])
+                     for n, t in (c.split() for c in RUN.split(", "))])
+
+    def place(batches):
+        for batch in batches:
+            found = {f.name: [] for f in out}
+            shared = batch.column(2)
+            ends = shared.offsets.to_numpy()
+            fields = [shared.values.field(i).to_numpy(zero_copy_only=False) for i in range(3)]
+            for i, (doc, text) in enumerate(zip(*(batch.column(k).to_pylist() for k in (0, 1)))):
+                at, first, again = (f[ends[i]:ends[i + 1]] for f in fields)
+                starts, stops = word_places(text)
+                at, order = np.unique(at, return_index=True)
+                order = order[at + RUN_WORDS <= len(starts)]  # rows of an equal id may differ
+                at = at[:len(order)]
+                first, cut = first[order], again[order] | (first[order] != doc)
+                for a, z in run_pieces(at, first, cut):
+                    w, w_end = int(at[a]), int(at[z - 1]) + RUN_WORDS
+                    for name, x in (("id", doc), ("w_start", w), ("w_end", w_end),
+                                    ("start", int(starts[w])), ("end", int(stops[w_end - 1])),
+                                    ("first", int(first[a])), ("kept", not cut[a])):
+                        found[name].append(x)
+            yield as_batch(found, out)
+
+    picks = stage(map_rows(rows, pick, "id long, hash long, at int"), "passage_picks")
+    # written, so that both sides of the joins are plain shuffles that AQE can split
+    common = stage(repeated(picks).select("hash"), "passage_common")
+    near = stage(picks.join(common, "hash").groupBy("id").agg(F.collect_set("at").alias("near")),
+                 "passage_near")
+    windows = stage(map_rows(rows.join(near, "id").select("id", "text", "near"), around,
+                             "id long, hash long, at int, again boolean"), "passage_windows")
+    firsts = stage(repeated(windows), "passage_firsts")
+    shared = stage(windows.join(firsts, "hash").groupBy("id").agg(
+        F.collect_list(F.struct("at", "first", "again")).alias("shared")), "passage_shared")
+    return rows.join(shared, "id").select("id", "text", "shared").mapInArrow(place, RUN).distinct()
+
+
 # -- regions ---------------------------------------------------------------
 
 def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -286,12 +412,16 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     repeats = stage(nodes.select("hash", "label").join(clusters, "label").select("hash", "first"),
                     "passage_repeats")
     kept = (F.col("id") == F.col("first.id")) & (F.col("ord") == F.col("first.ord"))
-    marked = (found.join(repeats, "hash").withColumn("kept", kept)
-              .dropDuplicates(["id", "ord", "hash", "line"]))
-
-    earlier = Window.partitionBy("id").orderBy("ord", "n", "start")
-    reach = F.max(F.col("ord") + F.col("n")).over(earlier.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.when(F.col("ord") <= F.coalesce(reach, F.lit(-1)), 0).otherwise(1)
+    of_units = (found.join(repeats, "hash").withColumn("kept", kept)
+                .dropDuplicates(["id", "ord", "hash", "line"]).withColumn("first", F.col("first.id")))
+    of_runs = shared_runs(rows).withColumns({c: F.lit(None).cast("int") for c in ("ord", "n")})
+    columns = ["id", "ord", "n", "w_start", "w_end", "start", "end", "first", "kept"]
+    marked = of_units.select(columns).union(of_runs.select(columns))
+
+    earlier = Window.partitionBy("id").orderBy("w_start", "w_end", "ord", "n", "first", "kept")
+    before = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    opens = (F.when(F.col("ord") <= F.max(F.col("ord") + F.col("n")).over(before), 0)
+             .when(F.col("w_start") <= F.max("w_end").over(before) + GAP_WORDS, 0).otherwise(1))
     islands = (marked.withColumn("opens", opens)
                .withColumn("island", F.sum("opens").over(earlier.rowsBetween(
                    Window.unboundedPreceding, Window.currentRow))))
@@ -299,7 +429,7 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return (islands.groupBy("id", "island")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                  (F.max("w_end") - F.min("w_start")).cast("long").alias("n_words"),
-                 F.min("first.id").alias("component_id"),
+                 F.min("first").alias("component_id"),
                  F.array_sort(F.collect_list(cut)).alias("cuts"))
             .where(F.col("n_words") >= region_words)
             .select("id", "start", "end", "n_words", "component_id",

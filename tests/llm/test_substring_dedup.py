@@ -103,3 +103,43 @@ def test_small_tables(spark):
     df = documents(spark, ["a b c d e f", None])
     assert S.repeated_regions(df).count() == 0
     assert S.repeated_regions(df.limit(0)).count() == 0
+
+
+def bare(rng, n):
+    return " ".join(f"w{rng.randrange(9000)}" for _ in range(n))
+
+
+def test_passages_at_any_word_without_punctuation(spark):
+    rng = random.Random(8)
+    texts, planted = {}, {}
+    for i in range(0, 60, 2):
+        inside = bare(rng, rng.randrange(50, 70))
+        for j in (i, i + 1):
+            before, after = bare(rng, rng.randrange(1, 90)), bare(rng, rng.randrange(1, 90))
+            if i % 4:  # sentences that begin and end inside the passage
+                before, after = sentence(rng, 9) + " " + before, after + ". " + sentence(rng, 9)
+            texts[j] = f"{before} {inside} {after}"
+            planted[j] = (len(before) + 1, len(before) + 1 + len(inside))
+    got = S.repeated_regions(documents(spark, list(texts.values()), list(texts))).collect()
+    assert {(r.id, r.start, r.end) for r in got} == {(i, a, z) for i, (a, z) in planted.items()}
+    assert all(r.component_id == r.id // 2 * 2 and r.removed == bool(r.id % 2) for r in got)
+
+
+def test_a_changed_word_splits_no_passage(spark):
+    rng = random.Random(9)
+    ws = bare(rng, 50).split()
+    for at in (9, 25, 40):
+        changed = " ".join([*ws[:at], "changed", *ws[at + 1:]])
+        df = documents(spark, [f"{bare(rng, 70)} {x} {bare(rng, 70)}" for x in (" ".join(ws), changed)])
+        assert [r.n_words for r in S.repeated_regions(df).collect()] == [50, 50]
+
+
+def test_words_of_runs_are_those_of_units():
+    rng = random.Random(10)
+    for text in [t for t in ODD if t] + ["".join(rng.choice("ab.! \n\u3000\x85\x1ct\u00e9") for _ in range(300))
+                                         for _ in range(50)]:
+        ws = [w for _, sentences in S.paragraphs(text) for _, _, s in sentences for w in s]
+        starts, ends = S.word_places(text)
+        assert [text[a:z].encode().lower() for a, z in zip(starts, ends)] == ws
+        want = S.shingle_hashes(S.word_hashes(b" ".join(ws)), S.RUN_WORDS) if len(ws) >= S.RUN_WORDS else []
+        assert list(S.run_hashes(text)) == list(want)

@@ -22,7 +22,9 @@ place) is kept, the others are removed.
 A band's key is first brought together within a task: only the task's pivot of
 the key goes into the exchange, the other members are paired with it at once.
 So equal paragraphs of very many documents cost the exchange a row per task,
-and nothing pairs all members of a bucket. Verification reads the documents
+and nothing pairs all members of a bucket. Members that are not similar to their
+pivot can be so to each other: keys whose members lie in several components are
+then compared across components, in tiles. Verification reads the documents
 that hold a colliding paragraph's first occurrence, once each.
 """
 
@@ -39,6 +41,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from entryflow.llm.common import (as_batch, expand_keys, map_rows, mix64, shingle_hashes,
                                   squeeze_keys, stage, utf8, word_hashes)
 from entryflow.llm.graph import components
+from entryflow.llm.ngram_join import spanning
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Chance that two paragraphs of that similarity collide, and hash values to spend on it.
@@ -53,6 +56,8 @@ REACH = 50
 GAP_WORDS = UNIT_WORDS - 1
 #: Paragraphs that a task brings together at a time, and shingles hashed at a time.
 GATHER, CACHED = 50_000, 1 << 15
+#: Members of a tile's side, and shingles of a tile that are compared at a time.
+TILE, SLICE = 500, 4096
 
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s)")
 # Sentence ends before white space that parts no words; there, a word ends nevertheless.
@@ -233,8 +238,8 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def similar_pairs(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs whose exact Jaccard similarity is ``SIMILARITY`` or more."""
+def shingle_sets(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``hash long, shingles binary`` of the paragraphs in pairs."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct()
     at = (lines.join(wanted, "hash").groupBy("hash").agg(F.min("id").alias("id"))
           .groupBy("id").agg(F.collect_list("hash").alias("hashes")))
@@ -250,9 +255,12 @@ def similar_pairs(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFr
                     out["shingles"].append(squeeze_keys(s))
         return out
 
-    sets = stage(map_rows(rows.join(stage(at, "passage_docs"), "id").select("text", "hashes"), sets_of,
+    return stage(map_rows(rows.join(stage(at, "passage_docs"), "id").select("text", "hashes"), sets_of,
                           "hash long, shingles binary").dropDuplicates(["hash"]), "passage_sets")
 
+
+def similar_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs whose exact Jaccard similarity is ``SIMILARITY`` or more."""
     def verify(cols):
         out = {"a": [], "b": []}
         for a, b, sa, sb in zip(cols["a"], cols["b"], cols["sa"], cols["sb"]):
@@ -269,6 +277,77 @@ def similar_pairs(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFr
                     "a long, b long")
 
 
+def similar_in_tile(labels: np.ndarray, chunks: np.ndarray,
+                    sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that connect what is similar across labels (and chunks, if there are two)."""
+    sizes = np.array([len(x) for x in sets])
+    _, shingle, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(sets)), sizes)
+    shared = counts[shingle] > 1  # the others add to no intersection
+    shingle = (np.cumsum(counts > 1) - 1)[shingle[shared]]
+    member, order = member[shared], np.argsort(shingle, kind="stable")
+    shingle, member = shingle[order], member[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    for a in range(0, int(shingle[-1]) + 1 if len(shingle) else 0, SLICE):
+        x, y = np.searchsorted(shingle, [a, a + SLICE])
+        holds = np.zeros((len(sets), SLICE), dtype=np.float32)
+        holds[member[x:y], shingle[x:y] - a] = 1
+        both += holds @ holds.T
+    wanted = np.triu(both >= SIMILARITY * (sizes[:, None] + sizes - both), 1)
+    wanted &= labels[:, None] != labels
+    if len(np.unique(chunks)) > 1:
+        wanted &= chunks[:, None] != chunks
+    i, j = np.nonzero(wanted)
+    return spanning(len(sets), i, j) if len(i) else (i, j)
+
+
+def mixed_pairs(sets: DataFrame, labels: DataFrame, bands: int, band_rows: int) -> DataFrame:
+    """Similar pairs of different components that share a band's key.
+
+    With them, the components are those of all similar pairs that share a key.
+    A key's members are cut into chunks, and each pair of chunks is a tile.
+    """
+    def keys_of(cols):
+        found = band_keys([expand_keys(x) for x in cols["shingles"]], bands, band_rows)
+        return {"key": found.ravel().view(np.int64),
+                "hash": np.repeat(np.array(cols["hash"], dtype=np.int64), bands)}
+
+    members = stage(map_rows(sets, keys_of, "key long, hash long")
+                    .join(labels.withColumnRenamed("node", "hash"), "hash", "left")
+                    .withColumn("label", F.coalesce("label", "hash")), "passage_members")
+    mixed = stage(members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
+                                             F.count(F.lit(1)).alias("m"))
+                  .where("x <> y").select("key", F.ceil(F.col("m") / TILE).cast("int").alias("t")),
+                  "passage_mixed")
+    tiles = (members.join(mixed, "key")
+             .withColumn("chunk", F.pmod(F.xxhash64("hash"), F.col("t")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t") - 1)))
+             .join(sets, "hash")
+             .select("key", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"),
+                     "hash", "label", "chunk", "shingles")
+             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(held):
+        node, label, chunk = (np.array([x[k] for x in held], dtype=np.int64) for k in range(3))
+        i, j = similar_in_tile(label, chunk, [expand_keys(x[3]) for x in held])
+        return as_batch({"a": np.minimum(node[i], node[j]), "b": np.maximum(node[i], node[j])}, schema)
+
+    def run(batches):
+        tile, held = None, []
+        for batch in batches:
+            for *at, node, label, chunk, shingles in zip(*(c.to_pylist() for c in batch.columns)):
+                if at != tile:
+                    if len(held) > 1:
+                        yield compare(held)
+                    tile, held = at, []
+                held.append((node, label, chunk, shingles))
+        if len(held) > 1:
+            yield compare(held)
+
+    return tiles.mapInArrow(run, "a long, b long").distinct()
+
+
 # -- runs ------------------------------------------------------------------
 
 def run_hashes(text: str | None) -> np.ndarray:
@@ -399,8 +478,10 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     found = unit_rows(rows)
     bands, band_rows = tune_bands()
     pairs = stage(candidate_pairs(rows, bands, band_rows), "passage_pairs")
-    links = similar_pairs(rows, found.where("line").select("hash", "id"), pairs)
-    labels = components(links).withColumnRenamed("node", "hash")
+    sets = shingle_sets(rows, found.where("line").select("hash", "id"), pairs)
+    links = stage(similar_pairs(sets, pairs), "passage_links")
+    more = stage(mixed_pairs(sets, components(links), bands, band_rows), "passage_more")
+    labels = components(links.union(more)).withColumnRenamed("node", "hash")
 
     nodes = (found.groupBy("hash").agg(F.min(F.struct("id", "ord")).alias("first"),
                                        F.max("id").alias("last"))

@@ -143,3 +143,45 @@ def test_words_of_runs_are_those_of_units():
         assert [text[a:z].encode().lower() for a, z in zip(starts, ends)] == ws
         want = S.shingle_hashes(S.word_hashes(b" ".join(ws)), S.RUN_WORDS) if len(ws) >= S.RUN_WORDS else []
         assert list(S.run_hashes(text)) == list(want)
+
+
+def test_members_unlike_their_pivot_are_linked(spark, monkeypatch):
+    rng = random.Random(11)
+    template = bare(rng, 60).split()
+    texts = []
+    for _ in range(250):  # variants of a template, half of them once more with a changed word
+        ws = [w if rng.random() < 0.95 else f"v{rng.randrange(9000)}" for w in template]
+        texts.append(" ".join(ws))
+        if rng.random() < 0.5:
+            ws[rng.randrange(1, 59)] = "changed"
+            texts.append(" ".join(ws))
+    df = documents(spark, texts)
+    shingles = {h: s for t in texts for h, s in S.line_shingles(t)}
+    nodes = list(shingles)
+    bands, rows = S.tune_bands()
+    keys = dict(zip(nodes, S.band_keys(list(shingles.values()), bands, rows)))
+    root = {n: n for n in nodes}
+
+    def find(n):
+        return n if root[n] == n else find(root[n])
+
+    for i, a in enumerate(nodes):  # brute force: all pairs that share a key and are similar
+        for b in nodes[:i]:
+            x, y = set(shingles[a].tolist()), set(shingles[b].tolist())
+            if (keys[a] == keys[b]).any() and len(x & y) >= S.SIMILARITY * len(x | y):
+                root[max(find(a), find(b))] = min(find(a), find(b))
+    want = {n: find(n) for n in nodes}
+    lines = S.unit_rows(df.selectExpr("doc_id id", "text")).where("line").select("hash", "id")
+    rows_ = df.selectExpr("doc_id id", "text")
+    pairs = S.stage(S.candidate_pairs(rows_, bands, rows), "passage_pairs")
+    sets = S.shingle_sets(rows_, lines, pairs)
+    links = S.stage(S.similar_pairs(sets, pairs), "passage_links")
+
+    def labels(links):
+        return {n: n for n in nodes} | {r.node: r.label for r in S.components(links).collect()}
+
+    assert labels(links) != want  # pivots alone lose links
+    for tile in (500, 7):
+        monkeypatch.setattr(S, "TILE", tile)
+        more = S.mixed_pairs(sets, S.components(links), bands, rows)
+        assert labels(links.union(more)) == want

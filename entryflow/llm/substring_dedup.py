@@ -467,8 +467,11 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """Regions of repeated text: ``id, start, end, n_words, component_id, removed, cuts``.
 
     ``start`` and ``end`` (exclusive) count code points; ``component_id`` is the
-    least id of a document that holds one of the region's units; ``cuts`` are
-    the [start, end) of what goes, ``removed`` says whether there are any. A
+    first document (least id) that holds the repeated units. A region whose
+    units come from several first documents has a row for each of them, with
+    the part of the region that its units span (which may be less than
+    ``region_words``), so documents that share a passage have rows of one class;
+    ``cuts`` are the [start, end) of what goes, ``removed`` says whether there are any. A
     null, empty or unrepeated text has no regions; rows with a null id take no
     part; rows with an equal id are one document, so they don't repeat each
     other; an empty table gives no rows.
@@ -503,16 +506,17 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     before = earlier.rowsBetween(Window.unboundedPreceding, -1)
     opens = (F.when(F.col("ord") <= F.max(F.col("ord") + F.col("n")).over(before), 0)
              .when(F.col("w_start") <= F.max("w_end").over(before) + GAP_WORDS, 0).otherwise(1))
+    whole = Window.partitionBy("id", "island")
     islands = (marked.withColumn("opens", opens)
                .withColumn("island", F.sum("opens").over(earlier.rowsBetween(
                    Window.unboundedPreceding, Window.currentRow))))
+    words = F.max("w_end").over(whole) - F.min("w_start").over(whole)
     cut = F.when(~F.col("kept"), F.struct("start", "end"))
-    return (islands.groupBy("id", "island")
+    return (islands.withColumn("words", words).where(F.col("words") >= region_words)
+            .groupBy("id", "island", F.col("first").alias("component_id"))
             .agg(F.min("start").alias("start"), F.max("end").alias("end"),
                  (F.max("w_end") - F.min("w_start")).cast("long").alias("n_words"),
-                 F.min("first").alias("component_id"),
                  F.array_sort(F.collect_list(cut)).alias("cuts"))
-            .where(F.col("n_words") >= region_words)
             .select("id", "start", "end", "n_words", "component_id",
                     (F.size("cuts") > 0).alias("removed"), "cuts"))
 

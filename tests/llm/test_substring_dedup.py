@@ -185,3 +185,13 @@ def test_members_unlike_their_pivot_are_linked(spark, monkeypatch):
         monkeypatch.setattr(S, "TILE", tile)
         more = S.mixed_pairs(sets, S.components(links), bands, rows)
         assert labels(links.union(more)) == want
+
+
+def test_adjacent_passages_keep_their_classes(spark):
+    rng = random.Random(12)
+    a, b = bare(rng, 40), bare(rng, 45)
+    texts = {1: f"{bare(rng, 50)} {a} {bare(rng, 50)}", 20: f"{bare(rng, 50)} {b} {bare(rng, 50)}",
+             30: f"{bare(rng, 50)} {a} {b} {bare(rng, 50)}", 40: f"{bare(rng, 50)}\n{b}\n{a}"}
+    got = S.repeated_regions(documents(spark, list(texts.values()), list(texts))).collect()
+    assert {(r.id, r.component_id, texts[r.id][r.start:r.end].strip()) for r in got} == {
+        (1, 1, a), (30, 1, a), (40, 1, a), (20, 20, b), (30, 20, b), (40, 20, b)}

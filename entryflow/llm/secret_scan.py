@@ -2,15 +2,17 @@
 
 One pass finds the spans of three base kinds in every whole text, and bare
 tokens that might be credentials. The values are hashed, and the hashes
-aggregated over the corpus by distinct repositories and owners. A value held
-by many owners is a copied example; one held by few owners that also looks
-live (enough letters of different kinds, no placeholder) is a credential of
+aggregated over the corpus by distinct repositories and owners. Copies of one
+text count as one repository of one owner, so a copied document does not make
+its own credential an example; texts too short to be told from a quoted snippet
+count each for itself. A value held by many owners, or in very many
+repositories, is a copied example; another one that also looks live (enough letters of different kinds, no placeholder) is a credential of
 its owner. Base spans always stay and are only classified; a bare token
 becomes a span when it is owner-specific and looks live.
 
 The text is read once. What is written and shuffled is spans and hashes; a
 value that stands in a third of the documents is counted by (value, owner,
-repository), then (value, owner), then value, each with a map-side part.
+text), then (value, owner), then value, each with a map-side part.
 """
 
 from __future__ import annotations
@@ -26,6 +28,10 @@ from entryflow.llm.common import map_rows, stage
 
 #: Values with this many owners or more are copied examples.
 EXAMPLE_OWNERS = 5
+#: So are values in this many repositories or more, whoever owns them.
+EXAMPLE_REPOS = 100
+#: A text of this many words or more that stands in several sources is a copy of one document.
+COPY_WORDS = 20
 #: Bare tokens have this many characters at least.
 BARE_CHARS = 20
 #: Bits of entropy per character that a live-looking value has at least.
@@ -94,6 +100,16 @@ def span_text(spans) -> str:
     return ",".join(f"{s[0]}:{s[1]}:{s[2]}" for s in spans)
 
 
+def text_hash(text: str) -> int | None:
+    """Hash of the words, or null for a text too short to be a copied document."""
+    import xxhash
+    ws = text.split()
+    if len(ws) < COPY_WORDS:
+        return None
+    h = xxhash.xxh3_64_intdigest(" ".join(ws).encode("utf-8", "surrogatepass"))
+    return h - (1 << 64) if h >> 63 else h
+
+
 _SPAN = "array<struct<kind:string,start:int,end:int,value_hash:string,live:boolean>>"
 
 
@@ -104,9 +120,11 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Written to the shared folder. ``row`` numbers the rows, or is ``row_col``.
     """
     def run(cols):
-        out = {k: [] for k in ("n_assign", "n_access", "n_hex", "base", "base_sha256", "found")}
+        out = {k: [] for k in ("text_hash", "n_assign", "n_access", "n_hex", "base", "base_sha256",
+                               "found")}
         for text in cols["text"]:
             text = text or ""
+            out["text_hash"].append(text_hash(text))
             base = base_spans(text)
             kinds = Counter(s[0] for s in base)
             for k in ("assign", "access", "hex"):
@@ -122,7 +140,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
                        F.col(owner_col).cast("string").alias("owner"),
                        (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("at"))
-    found = map_rows(rows, run, "id long, owner string, at long, n_assign long, n_access long, "
+    found = map_rows(rows, run, "id long, owner string, at long, text_hash long, n_assign long, n_access long, "
                                 f"n_hex long, base string, base_sha256 string, found {_SPAN}")
     row = F.col("at") if row_col else F.monotonically_increasing_id()
     return stage(found.withColumn("row", row).drop("at"), "secret_scan")
@@ -131,14 +149,28 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def ownership(scanned: DataFrame) -> DataFrame:
     """Distinct repositories and owners of every candidate value.
 
-    A document stands for a repository. A null owner counts as one owner of
-    its own; a document without an id as a repository of its own.
+    A text stands for a repository, however many documents are copies of it, and
+    belongs to one of their owners (picked by hash, so that several texts that
+    were copied to the same owners are not all one's). A document with a text
+    too short for that (see ``text_hash``) stands for itself, by its id. A null
+    owner counts as one owner of its own; a document without an id as a
+    repository of its own.
     """
-    found = scanned.select(F.coalesce("owner", F.lit("\0")).alias("owner"),
-                           F.coalesce("id", -1 - F.col("row")).alias("repo"),
-                           F.explode("found.value_hash").alias("value_hash"))
-    return (found.distinct()
-            .groupBy("value_hash", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    held = scanned.where(F.size("found") > 0).select(
+        F.coalesce("owner", F.lit("\0")).alias("owner"), "text_hash",
+        F.coalesce("id", -1 - F.col("row")).alias("doc"),
+        F.array_distinct("found.value_hash").alias("values"))
+    # an owner's number; the least of a text's is its owner's
+    number = F.xxhash64("owner", "text_hash")
+    texts = (held.where("text_hash is not null")
+             .select("text_hash", number.alias("number"), F.explode("values").alias("value_hash"), "owner")
+             .groupBy("value_hash", "text_hash").agg(F.min_by("owner", "number").alias("owner"))
+             .select("value_hash", "owner", F.lit(1).alias("one")))
+    short = (held.where("text_hash is null")
+             .select(F.explode("values").alias("value_hash"), "owner", "doc").distinct()
+             .select("value_hash", "owner", F.lit(1).alias("one")))
+    return (texts.union(short)
+            .groupBy("value_hash", "owner").agg(F.sum("one").alias("repos"))
             .groupBy("value_hash").agg(F.sum("repos").alias("n_repos"),
                                        F.count(F.lit(1)).alias("n_owners")))
 
@@ -146,15 +178,16 @@ def ownership(scanned: DataFrame) -> DataFrame:
 def judged_spans(scanned: DataFrame, example_owners: int = EXAMPLE_OWNERS) -> DataFrame:
     """Every span with its value's ownership and verdict.
 
-    ``verdict``: ``copied`` (a value of ``example_owners`` owners or more),
-    ``live`` (of fewer owners and live-looking) or ``weak``. Bare tokens that
+    ``verdict``: ``copied`` (a value of ``example_owners`` owners or more, or in
+    ``EXAMPLE_REPOS`` repositories), ``live`` (of fewer and live-looking) or ``weak``. Bare tokens that
     are not live are left out.
     """
     # written, so that both sides of the join are plain shuffles that AQE can split
     owners = stage(ownership(scanned), "secret_owners")
     spans = (scanned.select("row", "id", F.explode("found").alias("s"))
              .select("row", "id", "s.*").join(owners, "value_hash"))
-    verdict = (F.when(F.col("n_owners") >= example_owners, "copied")
+    verdict = (F.when((F.col("n_owners") >= example_owners)
+                      | (F.col("n_repos") >= EXAMPLE_REPOS), "copied")
                .when(F.col("live"), "live").otherwise("weak"))
     return spans.withColumn("verdict", verdict).where("kind <> 'bare' or verdict = 'live'")
 
@@ -186,7 +219,7 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                    lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
                        .alias("redact")))
     none = F.lit(0).cast("long")
-    return (scanned.drop("base", "found").join(per_row, "row", "left")
+    return (scanned.drop("base", "found", "text_hash").join(per_row, "row", "left")
             .select("row", "id", "n_assign", "n_access", "n_hex", "base_sha256",
                     F.coalesce("spans", F.lit("")).alias("spans"),
                     F.coalesce("n_live", none).alias("n_live"),

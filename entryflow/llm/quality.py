@@ -13,8 +13,7 @@ copied document does not make its own lines boilerplate.
 Texts are read once and not shuffled. Line counts are aggregated by (host,
 line, sketch), then by (host, line), with map-side parts, so a host with a
 third of all rows is spread over its lines. Frequent lines are few: a host
-has at most (its lines / its documents / ``MAX_SHARE``) of them. They are
-joined by key, and a line that stands in many documents is a skewed key that
+has at most (its lines / ``MIN_DOCS``) of them. They are joined by key, and a line that stands in many documents is a skewed key that
 Spark splits.
 """
 
@@ -27,8 +26,10 @@ from entryflow.llm.common import map_rows, shingle_hashes, stage, utf8, word_has
 
 #: A line is boilerplate in more than this share of a host's documents ...
 MAX_SHARE = 0.1
-#: ... and in this many at least.
+#: ... and in this many at least,
 MIN_DOCS = 10
+#: or in this many of them, however large the host is.
+MAX_DOCS = 30
 #: A document that loses more than this share of its words is depleted.
 MAX_LOST = 0.5
 #: Base rules: fewest words, and the largest share of repeated words in percent.
@@ -102,9 +103,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return stage(map_rows(rows, run, schema).withColumn("row", row).drop("at"), "quality_scan")
 
 
-def frequent_lines(scanned: DataFrame, max_share: float = MAX_SHARE,
-                   min_docs: int = MIN_DOCS) -> DataFrame:
-    """(host, line) above the host's limit, with the distinct documents it stands in."""
+def frequent_lines(scanned: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
+                   max_docs: int = MAX_DOCS) -> DataFrame:
+    """(host, line) above one of the host's limits, with the distinct documents it stands in."""
     per_host = (scanned.groupBy("host", "sketch").agg(F.lit(1).alias("one"))
                 .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
     per_line = (scanned.select("host", "sketch", F.explode("lines").alias("line"))
@@ -112,7 +113,7 @@ def frequent_lines(scanned: DataFrame, max_share: float = MAX_SHARE,
                 .groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
                 .where(F.col("docs") >= min_docs))
     return (per_line.join(per_host, "host")
-            .where(F.col("docs") > max_share * F.col("host_docs"))
+            .where((F.col("docs") > max_share * F.col("host_docs")) | (F.col("docs") >= max_docs))
             .select("host", "line", "docs"))
 
 

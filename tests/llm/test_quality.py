@@ -100,3 +100,10 @@ def test_odd_rows(spark):
     assert sorted(str(r.id) for r in got) == sorted(map(str, ids))
     assert all(r.base_failed and not r.kept for r in got)
     assert judge(df.limit(0)).count() == 0
+
+
+def test_lines_of_a_large_host_have_an_absolute_limit(spark):
+    rng = random.Random(6)
+    texts = [words(rng, 60) + (f"\n{FOOT}" if i < 40 else "") for i in range(800)]
+    got = {r.id: r for r in judge(documents(spark, texts, sources=["hot"] * 800)).collect()}
+    assert all(got[i].drop_lines == ([1] if i < 40 else None) and got[i].kept for i in got)

@@ -92,7 +92,7 @@ def _redact(text: pd.Series, spans: pd.Series) -> pd.Series:
 @_clearing
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = _numbered(docs, "quality_docs")
-    kept = quality.judge(_fields(rows), row_col="row").where("kept").select("row", "drop_lines")
+    kept = quality.judge(_fields(rows), row_col="row", by_class=True).where("kept").select("row", "drop_lines")
     return _with_text(rows.join(kept, "row"), _drop_lines("doc.text", "drop_lines"))
 
 

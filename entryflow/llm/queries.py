@@ -38,7 +38,7 @@ def vocabulary_path() -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents"))
+    judged = quality.judge(table(spark, sf_dir, "documents"), by_class=True)
     return judged.drop("row", "drop_lines").withColumnRenamed("id", "doc_id")
 
 

@@ -301,18 +301,23 @@ def similar_in_tile(labels: np.ndarray, chunks: np.ndarray,
     return spanning(len(sets), i, j) if len(i) else (i, j)
 
 
+def band_members(sets: DataFrame, bands: int, band_rows: int) -> DataFrame:
+    """``key long, hash long``: every band's key of every set."""
+    def keys_of(cols):
+        found = band_keys([expand_keys(x) for x in cols["shingles"]], bands, band_rows)
+        return {"key": found.ravel().view(np.int64),
+                "hash": np.repeat(np.array(cols["hash"], dtype=np.int64), bands)}
+
+    return map_rows(sets, keys_of, "key long, hash long")
+
+
 def mixed_pairs(sets: DataFrame, labels: DataFrame, bands: int, band_rows: int) -> DataFrame:
     """Similar pairs of different components that share a band's key.
 
     With them, the components are those of all similar pairs that share a key.
     A key's members are cut into chunks, and each pair of chunks is a tile.
     """
-    def keys_of(cols):
-        found = band_keys([expand_keys(x) for x in cols["shingles"]], bands, band_rows)
-        return {"key": found.ravel().view(np.int64),
-                "hash": np.repeat(np.array(cols["hash"], dtype=np.int64), bands)}
-
-    members = stage(map_rows(sets, keys_of, "key long, hash long")
+    members = stage(band_members(sets, bands, band_rows)
                     .join(labels.withColumnRenamed("node", "hash"), "hash", "left")
                     .withColumn("label", F.coalesce("label", "hash")), "passage_members")
     mixed = stage(members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),

@@ -107,3 +107,20 @@ def test_lines_of_a_large_host_have_an_absolute_limit(spark):
     texts = [words(rng, 60) + (f"\n{FOOT}" if i < 40 else "") for i in range(800)]
     got = {r.id: r for r in judge(documents(spark, texts, sources=["hot"] * 800)).collect()}
     assert all(got[i].drop_lines == ([1] if i < 40 else None) and got[i].kept for i in got)
+
+
+def test_documents_of_a_template_count_one_by_one(spark):
+    rng = random.Random(7)
+    template = [words(rng, 10) for _ in range(14)]
+    texts = ["\n".join([*template, words(rng, 60)]) if i < 20 else words(rng, 60) for i in range(130)]
+    got = {r.id: r for r in judge(documents(spark, texts, sources=["h"] * 130), by_class=True).collect()}
+    assert all((r.kept, r.n_lost_words) == ((False, 140) if i < 20 else (True, 0))
+               for i, r in got.items())
+
+
+def test_near_copies_count_once(spark):
+    rng = random.Random(8)
+    text = ["\n".join(words(rng, 20) for _ in range(10)) for _ in range(2)]
+    texts = [f"{text[i % 2]}\n{words(rng, 6)}" for i in range(80)]
+    got = judge(documents(spark, texts, sources=["h"] * 80), by_class=True).collect()
+    assert all(r.kept and r.n_lost_words == 0 for r in got)

@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from entryflow.llm import (ann, bpe, katz, ngram_join, packing, quality, secret_scan, sharding,
-                           substring_dedup, url_filter)
+from entryflow.llm import (ann, bpe, conversations, divergence, katz, mixing, ngram_join, packing, quality,
+                           secret_scan, sharding, substring_dedup, url_filter)
 from entryflow.llm.common import table
 
 #: File name of the public vocabulary that the token queries use.
@@ -92,6 +92,19 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("cuts").withColumnRenamed("id", "doc_id")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.drop("copies").withColumnRenamed("id", "doc_id")
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_report(table(spark, sf_dir, "conversations"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_adaptive_scan": op2_adaptive_scan,
@@ -103,4 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_katz": op8_katz,
     "op9_packing": op9_packing,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_mixing": op11_mixing,
+    "op12_conversations": op12_conversations,
+    "op13_divergence": op13_divergence,
 }

@@ -1,0 +1,132 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+
+from entryflow.llm import divergence
+from helpers import ODD, with_clashing
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def terms(text):
+    return TERM.findall((text or "").translate(LOWER))
+
+
+def brute_force(docs, min_docs=10, top=10):
+    """docs: (lang, source, text)."""
+    docs = [(a or "", b or "", terms(t)) for a, b, t in docs]
+    out = []
+    for lang in {d[0] for d in docs}:
+        mine = [d for d in docs if d[0] == lang]
+        df = Counter(t for d in mine for t in set(d[2]))
+        kept = [t for t in df if df[t] >= min_docs]
+        counts = {s: Counter(t for d in mine if d[1] == s for t in d[2]) for s in {d[1] for d in mine}}
+        counts[None] = Counter(t for d in mine for t in d[2])
+        share = {}
+        for s, c in counts.items():
+            n = sum(c[t] for t in kept)
+            share[s] = {t: 1 + 10**9 * (c[t] + 2) // (n + 2 * len(kept)) for t in kept}
+        for s in counts.keys() - {None}:
+            pairs = [(sum((share[s][t] - share[o][t]) ** 2 // (share[s][t] + share[o][t]) for t in kept), o)
+                     for o in counts.keys() - {None, s}]
+            own = [((share[s][t] - share[None][t]) ** 2 // (share[s][t] + share[None][t]), t)
+                   for t in kept if counts[s][t] and share[s][t] > share[None][t]]
+            for part, found, limit in (("pair", pairs, None), ("term", own, top)):
+                ranked = sorted(found, key=lambda x: (-x[0], x[1].encode()))[:limit]
+                out += [(lang, s, part, item, v, i + 1) for i, (v, item) in enumerate(ranked)]
+    return sorted(out)
+
+
+def prose(rng, n, vocabulary):
+    return " ".join(f"{chr(97 + k % 26)}{'é' * (k // 26)}" for k in (rng.randrange(vocabulary) for _ in range(n)))
+
+
+def frame(spark, docs):
+    return spark.createDataFrame([(a, b, t) for a, b, t in docs], "lang string, source string, text string")
+
+
+def corpus(rng, n=240, vocabulary=60):
+    return [(rng.choice(("en", "fr")), "hot" if i % 3 == 0 else f"s{rng.randrange(6)}",
+             prose(rng, rng.choice((2, 9, 40)), vocabulary)) for i in range(n)]
+
+
+def test_terms():
+    for t in [*ODD, "aÀb Zz_9\x7fé\x85x", "ÉÀ", "İI ſs"]:
+        assert [x.decode() for x in divergence.terms(t)] == terms(t)
+
+
+def test_equal_stretches_share_nodes_and_prices_are_exact():
+    rng = np.random.default_rng(3)
+    leaves = rng.integers(0, 4, (5, 64)) * (rng.random((5, 64)) < 0.3)
+    leaves[3] = leaves[1]
+    leaves[2, 32:] = leaves[0, :32]
+    levels = divergence.build_trees(leaves)
+    assert [len(x[0]) for x in levels] == [64, 32, 16, 8, 4, 2, 1]
+    assert levels[-1][3] == levels[-1][1] != levels[-1][0]
+    assert levels[-2][2, 1] == levels[-2][0, 0]
+    for level, below in zip(levels[1:], levels):  # a name stands for one pair of children
+        kids = {}
+        for row, under in zip(level, below):
+            for i, name in enumerate(row):
+                assert kids.setdefault(name, (under[2 * i], under[2 * i + 1])) == (under[2 * i], under[2 * i + 1])
+        assert len(set(kids.values())) == len(kids)
+    children = divergence._Children(levels)
+    counts = np.unique(leaves)
+    p, q = 3 + 7 * counts, 5 + 2 * counts
+    for a in range(5):
+        for b in range(5):
+            want = sum(divergence.price(3 + 7 * int(x), 5 + 2 * int(y)) for x, y in zip(leaves[a], leaves[b]))
+            assert divergence.price_roots(a, b, levels, children, p, q) == want
+
+
+def test_brute_force(spark):
+    rng = random.Random(11)
+    docs = corpus(rng)
+    want = brute_force(docs)
+    rows = divergence.audit(frame(spark, docs))
+    assert rows.columns == ["lang", "source", "part", "item", "value", "rank"]
+    assert sorted(map(tuple, rows.collect())) == want
+    assert {r[2] for r in want} == {"pair", "term"}
+
+
+def test_many_sources_fill_several_tiles(spark):
+    rng = random.Random(2)
+    docs = [("en", f"s{i % 70}", prose(rng, 6, 20)) for i in range(280)]
+    assert sorted(map(tuple, divergence.audit(frame(spark, docs)).collect())) == brute_force(docs)
+
+
+def test_more_terms_than_a_block_holds(spark):
+    rng = random.Random(4)
+    vocabulary = [f"{a}{b}{c}" for a in "bcdfghjklmnpqrstvwxz" for b in "aeiouyäöüß" for c in "bcdfghjklmnpqrstvwxzëï"]
+    vocabulary = [w + x for w in vocabulary for x in ("", "q")][:5000]
+    docs = [("de", f"s{i % 3}", " ".join(rng.sample(vocabulary, 4000))) for i in range(16)]
+    docs.append(("de", "none", "1 2 3"))
+    assert sorted(map(tuple, divergence.audit(frame(spark, docs)).collect())) == brute_force(docs)
+
+
+def test_odd_documents(spark):
+    odd = [(None, None, t) for t in ODD] + [("", "", t) for t in ODD] + [("x", s, None) for s in ("a", "b", "c")]
+    odd += [("long", s, "abc " * 200_000 + "d" * 70_000) for s in ("a", "b")] + [("one", "a", "t")] * 12
+    got = divergence.audit(frame(spark, odd), min_docs=2)
+    assert sorted(map(tuple, got.collect())) == brute_force(odd, min_docs=2)
+
+
+def test_empty_and_clashing(spark):
+    docs = corpus(random.Random(7), 60, 12)
+    assert divergence.audit(frame(spark, docs).limit(0)).collect() == []
+    clash = with_clashing(frame(spark, docs))
+    for c in ("term", "n", "docs", "g", "total", "terms", "tile", "other"):
+        clash = clash.selectExpr("*", f"'x' as {c}")
+    assert sorted(map(tuple, divergence.audit(clash).collect())) == brute_force(docs)
+
+
+def test_counts_are_written_out_when_many():
+    held = divergence._Table()
+    for i in range(5):
+        held.add("en", "a", f"a b c{'x' * i} a")
+    rows = {t: (n, d) for b in held.rows() for _, _, t, n, d in zip(*(c.to_pylist() for c in b.columns))}
+    assert rows["a"] == (10, 5) and rows["b"] == (5, 5) and rows["cxx"] == (1, 1) and rows[""] == (0, 0)
+    assert held.size == 0 and held.groups == {}

@@ -77,3 +77,12 @@ def test_op8(spark, docs):
 def test_op10(spark, docs):
     for r in QUERIES["op10_substring_dedup"](spark, SF).collect():
         assert 0 <= r.start < r.end <= len(docs[r.doc_id].text) and r.component_id in docs
+
+
+def test_op12(spark):
+    from test_conversations import brute_force, damaged
+    rows = {}
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").collect():
+        rows.setdefault(r.conv_id, []).append(tuple(r))
+    got = QUERIES["op12_conversations"](spark, SF).collect()
+    assert {r.conv_id: tuple(r)[1:] for r in got} == {c: brute_force(damaged(x)) for c, x in rows.items()}

@@ -7,7 +7,8 @@ drops a schema-registry frame ahead of each value.
 
 A target is a folder, or with ``as_table`` a catalog table (see
 ``sinks.tables.create_table``), whose declared columns the rows are conformed
-to.  Every mode of a job writes the same columns.
+to.  Every mode of a job writes the same columns, in the same way: modes, jobs
+and batch appends may share a target, in any order.
 """
 
 from __future__ import annotations
@@ -65,7 +66,7 @@ def run_entries(spark: SparkSession, source: Mapping, target: str, checkpoint: s
 
     good = table_batch_sink(target, lambda b: raffle.entries_table(b, on_bad="drop"),
                             as_table=as_table, schema=ENTRIES_TABLE)
-    return fan_out(kv, [good, table_batch_sink(dead_letters, bad)], checkpoint, trigger)
+    return fan_out(kv, [good, table_batch_sink(dead_letters, bad, part="dead")], checkpoint, trigger)
 
 
 def run_winners(spark: SparkSession, source: Mapping, promotions, target: str,
@@ -76,8 +77,7 @@ def run_winners(spark: SparkSession, source: Mapping, promotions, target: str,
     ``refresh="none"``: a plain stream-static join; the promotions are the
     rows the static side listed when the query started.  ``refresh="batch"``:
     ``promotions`` (a frame or a function returning one) is re-read for every
-    micro-batch, so promotions added while the job runs are seen; a retried
-    batch replaces its files, so it writes no duplicates.  Metrics:
+    micro-batch, so promotions added while the job runs are seen.  Metrics:
     ``entries.records`` and, without refresh, ``winners.matches`` and
     ``winners.promotions`` (distinct promotions won, estimated).
     """
@@ -119,7 +119,7 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
                               schema=FLAGGED_TABLE),
              topic_batch_sink(topic_sink, raffle.flagged_to_records)]
     if dead_letters is not None:
-        sinks.append(table_batch_sink(dead_letters, raffle.unflaggable))
+        sinks.append(table_batch_sink(dead_letters, raffle.unflaggable, part="dead"))
     # one flag join per micro-batch, shared by all sinks
     return fan_out(_tapped_entries(_records(spark, source)), sinks, checkpoint, trigger,
                    prepare=lambda batch: raffle.flag_keys(batch, winners_now(), day))

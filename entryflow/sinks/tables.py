@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from entryflow.functions.keys import day_key, iso_day_key
 from entryflow.schemas import PROMOTIONS_TABLE, ddl
+from entryflow.sinks.commits import commit_rows
 
 
 def create_table(spark: SparkSession, name: str, schema: T.StructType, fmt: str = "parquet",
@@ -42,62 +43,31 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def append_table(df: DataFrame, target: str, schema: T.StructType | None = None,
                  fmt: str = "parquet", by_path: bool | None = None,
-                 partition_by: Sequence[str] = ()) -> None:
+                 partition_by: Sequence[str] = (), writer: str | None = None, number: int = 0) -> bool:
     """Append rows to a table (catalog name) or a folder (path).
 
     With a schema the rows are conformed first (see ``conform``); a missing
-    catalog table is created from the rows (create-if-needed, append).
+    catalog table is created from the rows (create-if-needed, append).  The
+    rows are one commit of the table's list (see ``commits``): a job that
+    gives its ``writer`` name and run ``number`` can be rerun and adds its
+    rows once.  Returns whether rows were added.
     """
     out = conform(df, schema) if schema is not None else df
     path_like = by_path if by_path is not None else ("/" in target or ":" in target)
-    w = out.write.mode("append").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    if path_like:
-        w.save(target)
-    else:
-        w.saveAsTable(target)
+    if not path_like:
+        create_table(df.sparkSession, target, schema or out.schema, fmt, partition_by=partition_by)
+    return commit_rows(out, target, writer, number, fmt, not path_like, partition_by)
 
 
 def overwrite_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parquet") -> str:
     """Write one micro-batch to ``target/batch_id=N`` replacing any earlier
     attempt of the same batch, so a retried batch does not duplicate rows.
-    Readers see the batch id as a column (see ``replace_batch`` for without)."""
+    Readers see the batch id as a column (see ``commits`` for tables without)."""
     path = f"{target.rstrip('/')}/batch_id={int(batch_id)}"
     df.write.mode("overwrite").format(fmt).save(path)
     return path
 
 
-def table_location(spark: SparkSession, name: str) -> str:
-    """Folder of a catalog table."""
-    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"]
-
-
-def replace_batch(df: DataFrame, target: str, batch_id: int, fmt: str = "parquet",
-                  as_table: bool = False) -> None:
-    """Write one micro-batch into a folder or catalog table of plain files.
-
-    The files carry the batch id in their names, not in a column, so the table
-    has the rows' columns only.  A retried batch first removes the files of
-    its earlier attempt: no duplicates.  The rows are written beside (in a
-    folder that readers skip) and then renamed.
-    """
-    spark = df.sparkSession
-    root = (table_location(spark, target) if as_table else target).rstrip("/")
-    beside, prefix = f"{root}/_writing-{int(batch_id)}", f"batch-{int(batch_id):012d}-"
-    df.write.mode("overwrite").format(fmt).save(beside)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    for old in fs.globStatus(path(f"{root}/{prefix}*")) or []:
-        fs.delete(old.getPath(), False)
-    for new in fs.globStatus(path(f"{beside}/part-*")) or []:
-        fs.rename(new.getPath(), path(f"{root}/{prefix}{new.getPath().getName()}"))
-    fs.delete(path(beside), True)
-    if as_table:
-        spark.catalog.refreshTable(target)
-
-
 def promotion_rows(spark: SparkSession, offers: Iterable[tuple[str, int]], day=None,
                    iso_week_year: bool = False) -> DataFrame:
     """Rows for the promotions table: one per (promotion, number) for ``day``

@@ -2,7 +2,9 @@
 
 Every sink writes with a checkpoint location that must stay the same for a
 query across restarts; a restart then resumes after the last committed
-micro-batch and writes no duplicates.
+micro-batch and writes no duplicates.  Tables are written one way only, by
+the table's commit list (``sinks.commits``), where a micro-batch is named by
+the query's id and its number.
 """
 
 from __future__ import annotations
@@ -10,10 +12,11 @@ from __future__ import annotations
 import time
 from typing import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from entryflow.sinks.tables import conform, overwrite_batch, replace_batch
+from entryflow.sinks.commits import commit_rows
+from entryflow.sinks.tables import conform, create_table, overwrite_batch
 from entryflow.sinks.topics import write_topic
 
 
@@ -42,17 +45,13 @@ def append_stream(df: DataFrame, target: str, checkpoint: str, trigger: str | No
                   schema: T.StructType | None = None) -> StreamingQuery:
     """Append each micro-batch to a folder (``fmt``) or a catalog table
     (created from the stream's schema when missing).  With a ``schema`` the
-    rows are conformed to it (see ``sinks.tables.conform``)."""
-    df = conform(df, schema) if schema is not None else df
-    w = triggered(df.writeStream.outputMode("append").option("checkpointLocation", checkpoint),
-                  trigger)
-    if query_name:
-        w = w.queryName(query_name)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+    rows are conformed to it (see ``sinks.tables.conform``).  Other streams
+    and batch jobs may write the same target."""
     if as_table:
-        return w.format(fmt).toTable(target)
-    return w.format(fmt).start(target)
+        create_table(df.sparkSession, target, schema or df.schema, fmt, partition_by=partition_by)
+    sink = table_batch_sink(target, fmt=fmt, as_table=as_table, schema=schema,
+                            partition_by=partition_by)
+    return fan_out(df, [sink], checkpoint, trigger, query_name)
 
 
 def sync_stream_to_table(df: DataFrame, table: str, checkpoint: str,
@@ -112,11 +111,15 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
     """One source, several sinks: each micro-batch (after ``prepare``) is
     computed once, persisted, and handed to every sink ``fn(batch_df, batch_id)``.
 
-    Sinks should replace by ``batch_id`` (see ``table_batch_sink``) so that a
+    Sinks should add a batch once (see ``table_batch_sink``), so that a
     retried batch does not duplicate rows.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = (prepare(batch) if prepare else batch).persist()
+        batch = prepare(batch) if prepare else batch
+        if len(sinks) == 1:
+            sinks[0](batch, batch_id)
+            return
+        batch = batch.persist()
         try:
             for sink in sinks:
                 sink(batch, batch_id)
@@ -129,15 +132,30 @@ def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
     return w.start()
 
 
+def query_id(batch: DataFrame) -> str:
+    """Id of the streaming query whose micro-batch this is; it is kept in the query's
+    checkpoint, so it outlives restarts and is new for a new checkpoint."""
+    found = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise ValueError("no micro-batch of a streaming query: name the writer")
+    return found
+
+
 def table_batch_sink(target: str, transform: Callable[[DataFrame], DataFrame] | None = None,
                      fmt: str = "parquet", as_table: bool = False,
-                     schema: T.StructType | None = None) -> BatchFn:
-    """Sink writing ``transform(batch)``, conformed to ``schema`` if given, to a
-    folder or catalog table; a retried batch replaces its files."""
+                     schema: T.StructType | None = None, partition_by: Sequence[str] = (),
+                     part: str = "rows", writer: str | None = None) -> BatchFn:
+    """Sink adding ``transform(batch)``, conformed to ``schema`` if given, to a
+    folder or catalog table, once per (query, batch).  Several sinks of a query
+    on one target need different names of their ``part``."""
+    session = SparkSession.getActiveSession()
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
-        replace_batch(conform(out, schema) if schema is not None else out, target, batch_id, fmt,
-                      as_table)
+        commit_rows(conform(out, schema) if schema is not None else out, target,
+                    f"{writer or query_id(batch)}.{part}", batch_id, fmt, as_table, partition_by)
+        if as_table and session is not None:  # a micro-batch has a session of its own
+            session.catalog.refreshTable(target)
     return sink
 
 

@@ -184,7 +184,8 @@ def test_flag_entries_on_stream_directly(spark, tmp_dir):
 def test_jobs_fill_created_tables(spark, tmp_dir):
     """Declared columns only, in both refresh modes; a retried batch adds nothing."""
     from entryflow.schemas import ENTRIES_TABLE, WINNERS_TABLE
-    from entryflow.sinks.tables import create_table, replace_batch
+    from entryflow.sinks.commits import commit_rows
+    from entryflow.sinks.tables import create_table
     write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS + [record("20220915", 5), ("bad", "not json")])
     promos = spark.createDataFrame(promotion_rows(), PROMO_SCHEMA)
     for name, schema in (("made_entries", ENTRIES_TABLE), ("made_none", WINNERS_TABLE),
@@ -203,7 +204,7 @@ def test_jobs_fill_created_tables(spark, tmp_dir):
     assert none.collect() == batch.collect() and batch.count() == 1
     rows = spark.createDataFrame(batch.collect(), batch.schema)
     for _ in range(2):
-        replace_batch(rows, "made_batch", 7, as_table=True)
+        commit_rows(rows, "made_batch", "again", 7, as_table=True)
     assert spark.table("made_batch").count() == 2
     for name in ("made_entries", "made_none", "made_batch"):
         spark.sql(f"DROP TABLE {name}")

@@ -95,14 +95,22 @@ def cogroup_summary(left: DataFrame, right: DataFrame, key: str,
     aggregated before the join, so no key's rows are ever gathered into one
     list.
     """
-    def side(df: DataFrame, value: str | None, name: str) -> DataFrame:
-        aggs = [F.count(F.lit(1)).alias(f"n_{name}")]
-        if value:
-            aggs.append(F.min(value).alias(f"only_{name}"))
-        return df.groupBy(F.col(key).alias(key)).agg(*aggs)
-
-    lhs = side(left, left_value, left_name)
-    rhs = side(right, right_value, right_name)
+    lhs = side_counts(left, [F.col(key).alias(key)], left_value, left_name)
+    rhs = side_counts(right, [F.col(key).alias(key)], right_value, right_name)
+    return join_sides(lhs, rhs, key, left_value, right_value, left_name, right_name)
+
+
+def side_counts(df: DataFrame, keys: Sequence[Column], value: str | None, name: str) -> DataFrame:
+    """One side of a cogroup: per key its row count ``n_<name>`` and least value ``only_<name>``."""
+    aggs = [F.count(F.lit(1)).alias(f"n_{name}")]
+    if value:
+        aggs.append(F.min(value).alias(f"only_{name}"))
+    return df.groupBy(*keys).agg(*aggs)
+
+
+def join_sides(lhs: DataFrame, rhs: DataFrame, key: str, left_value: str | None,
+               right_value: str | None, left_name: str, right_name: str) -> DataFrame:
+    """Two sides of a cogroup (one row per key each), every key of either."""
     out = lhs.join(rhs, lhs[key].eqNullSafe(rhs[key]), "full")
     cols = [F.coalesce(lhs[key], rhs[key]).alias(key),
             F.coalesce(lhs[f"n_{left_name}"], F.lit(0)).alias(f"n_{left_name}"),

@@ -21,10 +21,13 @@ from pyspark.sql.streaming import StreamingQuery
 from entryflow.operators.payload import parse_entries
 from entryflow.plans import raffle
 from entryflow.schemas import ENTRIES_TABLE, FLAGGED_TABLE, WINNERS_TABLE
+from entryflow.sinks.tables import create_table
 from entryflow.sinks.topics import kafka_sink
 from entryflow.sources.topics import declare_stream, read_records_stream
+from entryflow.streaming.keyed import count_stream, fail_on_repeats, mark_seen, split_repeats
+from entryflow.streaming.metrics import ObservedLog, Taps
 from entryflow.streaming.queries import (
-    append_stream, fan_out, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
+    fan_out, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
 )
 
 
@@ -47,56 +50,80 @@ def _tapped_winners(rows: DataFrame) -> DataFrame:
                      promotions=F.approx_count_distinct("promotion"))
 
 
+def _entries(taps: Taps, batch: DataFrame) -> DataFrame:
+    return taps.on(batch, "entries", records=F.count(F.lit(1)))
+
+
 def run_entries(spark: SparkSession, source: Mapping, target: str, checkpoint: str,
                 trigger: str | None = "60 seconds", as_table: bool = False,
-                dead_letters: str | None = None) -> StreamingQuery:
+                dead_letters: str | None = None, metrics_to: str | None = None) -> StreamingQuery:
     """Q1: entry records -> parsed rows appended to the entries table.
 
     Records that do not parse are appended as NULL rows (as the plain
     consumer does), or with ``dead_letters`` go to that folder as they came.
-    Metrics: ``entries.records``.
+    Metrics, in the query's progress and per micro-batch in the table
+    ``metrics_to``: ``entries.records``.
     """
-    kv = _tapped_entries(_records(spark, source))
-    if dead_letters is None:
-        return append_stream(raffle.entries_table(kv), target, checkpoint, trigger,
-                             as_table=as_table, schema=ENTRIES_TABLE)
-
-    def bad(batch: DataFrame) -> DataFrame:
-        return parse_entries(batch, keep=["key"], on_bad="split")[1]
-
-    good = table_batch_sink(target, lambda b: raffle.entries_table(b, on_bad="drop"),
-                            as_table=as_table, schema=ENTRIES_TABLE)
-    return fan_out(kv, [good, table_batch_sink(dead_letters, bad, part="dead")], checkpoint, trigger)
+    kv, taps = _tapped_entries(_records(spark, source)), Taps("entries", metrics_to)
+    on_bad = "keep" if dead_letters is None else "drop"
+    sinks = [table_batch_sink(target, lambda b: raffle.entries_table(b, on_bad=on_bad),
+                              as_table=as_table, schema=ENTRIES_TABLE)]
+    if as_table:
+        create_table(spark, target, ENTRIES_TABLE)
+    if dead_letters is not None:
+        sinks.append(table_batch_sink(
+            dead_letters, lambda b: parse_entries(b, keep=["key"], on_bad="split")[1], part="dead"))
+    return fan_out(kv, sinks, checkpoint, trigger, prepare=lambda b: _entries(taps, b), after=taps.commit)
 
 
 def run_winners(spark: SparkSession, source: Mapping, promotions, target: str,
                 checkpoint: str, trigger: str | None = "60 seconds",
-                refresh: str = "none", as_table: bool = False) -> StreamingQuery:
+                refresh: str = "none", as_table: bool = False,
+                metrics_to: str | None = None) -> StreamingQuery:
     """Q2: entry records matched with the promotions -> winners table.
 
-    ``refresh="none"``: a plain stream-static join; the promotions are the
-    rows the static side listed when the query started.  ``refresh="batch"``:
-    ``promotions`` (a frame or a function returning one) is re-read for every
-    micro-batch, so promotions added while the job runs are seen.  Metrics:
-    ``entries.records`` and, without refresh, ``winners.matches`` and
-    ``winners.promotions`` (distinct promotions won, estimated).
+    ``refresh="none"``: the promotions are the rows the static side listed
+    when the query started.  ``refresh="batch"``: ``promotions`` (a frame or a
+    function returning one) is re-read for every micro-batch, so promotions
+    added while the job runs are seen.  Metrics, per micro-batch in the table
+    ``metrics_to``: ``entries.records``, ``promotions.records`` (rows of the static
+    side), ``winners.matches`` and ``winners.promotions`` (distinct promotions
+    won, estimated); in the query's progress: ``entries.records`` and, without
+    refresh, the winners'.
     """
-    kv = _tapped_entries(_records(spark, source))
-    if refresh == "none":
-        rows = _tapped_winners(raffle.winners(kv, _static(promotions)))
-        return append_stream(rows, target, checkpoint, trigger, as_table=as_table,
-                             schema=WINNERS_TABLE)
+    if refresh not in ("none", "batch"):
+        raise ValueError("refresh must be none or batch")
+    if as_table:
+        create_table(spark, target, WINNERS_TABLE)
+    kv, taps, now = _tapped_entries(_records(spark, source)), Taps("winners", metrics_to), {}
+    metrics = {"matches": F.count(F.lit(1)), "promotions": F.approx_count_distinct("promotion")}
+
+    def match(batch: DataFrame) -> DataFrame:
+        now["promotions"] = _static(promotions)
+        return taps.on(raffle.winners(_entries(taps, batch), now["promotions"]), "winners", **metrics)
+
+    def count(batch: DataFrame, batch_id: int, written: bool) -> None:
+        known = {} if metrics_to is None else {"promotions.records": now["promotions"].count()}
+        taps.commit(batch, batch_id, written, **known)
+
     if refresh == "batch":
-        sink = table_batch_sink(target, lambda b: raffle.winners(b, _static(promotions)),
-                                as_table=as_table, schema=WINNERS_TABLE)
-        return fan_out(kv, [sink], checkpoint, trigger)
-    raise ValueError("refresh must be none or batch")
+        sink = table_batch_sink(target, match, as_table=as_table, schema=WINNERS_TABLE)
+        return fan_out(kv, [sink], checkpoint, trigger, after=count)
+    side = _static(promotions)
+    rows = _tapped_winners(raffle.winners(kv, side))
+    sink = table_batch_sink(target, as_table=as_table, schema=WINNERS_TABLE)
+    if metrics_to is None:
+        return fan_out(rows, [sink], checkpoint, trigger)
+    log = ObservedLog(spark, "winners", metrics_to, **{"promotions.records": side.count()})
+    spark.streams.addListener(log)
+    return log.follow(fan_out(rows, [sink], checkpoint, trigger))
 
 
 def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_target: str,
                 topic_sink: Mapping, checkpoint: str, trigger: str | None = "60 seconds",
                 as_of="today", as_table: bool = False,
-                dead_letters: str | None = None) -> StreamingQuery:
+                dead_letters: str | None = None, metrics_to: str | None = None,
+                entries_unique: bool = False, unique_delay: str = "3 days") -> StreamingQuery:
     """Q3: every entry with a ``winner`` flag -> flagged-entries table and
     outgoing topic, from one read of each micro-batch.
 
@@ -104,10 +131,18 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
     and restricted to ``as_of`` (``"today"`` = current date, None = all days),
     so the flag is computed against all winners known for the day.  Records
     that are no JSON objects reach the table as NULL rows but not the topic;
-    with ``dead_letters`` they are also written to that folder.  Metrics:
-    ``entries.records``.
+    with ``dead_letters`` they are also written to that folder.
+
+    ``entries_unique`` guards against a second entry record of one key, in the
+    same micro-batch or an earlier one (see ``streaming.keyed.mark_seen``): it goes
+    to ``dead_letters``, or without that folder fails the job.  Metrics, in the
+    query's progress: ``entries.records``; per micro-batch in the table
+    ``metrics_to``: that, ``promotions.records`` (winners rows looked up) and
+    ``winners.matches`` (entries flagged).
     """
-    day = None if as_of == "today" else as_of
+    day, taps, now = (None if as_of == "today" else as_of), Taps("flagged", metrics_to), {}
+    if as_table:
+        create_table(spark, table_target, FLAGGED_TABLE)
 
     def winners_now() -> DataFrame:
         dw = _static(daily_winners)
@@ -115,14 +150,42 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
             return dw.where(F.col("day") == F.current_date())
         return dw
 
+    def flag(batch: DataFrame) -> DataFrame:
+        batch = _entries(taps, batch)
+        now["promotions"] = raffle.promotion_keys(winners_now(), day)
+        if entries_unique:
+            batch, now["repeats"] = split_repeats(batch)
+            if dead_letters is None:
+                fail_on_repeats(now["repeats"])
+        flagged = raffle.flag_keys(batch, winners_now(), day)
+        return taps.on(flagged, "winners", matches=F.count(F.when(F.col("winner"), 1)))
+
+    def dead(rows: DataFrame) -> DataFrame:
+        bad = raffle.unflaggable(rows)
+        return bad.unionByName(now["repeats"].select("key", "value")) if entries_unique else bad
+
+    def count(batch: DataFrame, batch_id: int, written: bool) -> None:
+        known = {} if metrics_to is None else {"promotions.records": now["promotions"].count()}
+        taps.commit(batch, batch_id, written, **known)
+
     sinks = [table_batch_sink(table_target, raffle.flagged_rows, as_table=as_table,
                               schema=FLAGGED_TABLE),
              topic_batch_sink(topic_sink, raffle.flagged_to_records)]
     if dead_letters is not None:
-        sinks.append(table_batch_sink(dead_letters, raffle.unflaggable, part="dead"))
+        sinks.append(table_batch_sink(dead_letters, dead, part="dead"))
+    kv = _tapped_entries(_records(spark, source))
+    if entries_unique:
+        kv = mark_seen(kv, delay=unique_delay)
     # one flag join per micro-batch, shared by all sinks
-    return fan_out(_tapped_entries(_records(spark, source)), sinks, checkpoint, trigger,
-                   prepare=lambda batch: raffle.flag_keys(batch, winners_now(), day))
+    return fan_out(kv, sinks, checkpoint, trigger, prepare=flag, after=count)
+
+
+def run_cogroup(spark: SparkSession, source: Mapping, target: str, checkpoint: str,
+                trigger: str | None = "60 seconds", as_table: bool = False) -> StreamingQuery:
+    """Running count of entry records per key (the entry side of the cogroup), as a
+    table of changes; ``streaming.keyed.cogroup_view`` joins it with the promotions."""
+    return count_stream(_records(spark, source).select("key"), "key", target, checkpoint,
+                        name="entries", trigger=trigger, as_table=as_table)
 
 
 def run_transcode(spark: SparkSession, source: Mapping, schema, target: str, checkpoint: str,

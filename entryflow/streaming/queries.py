@@ -102,29 +102,32 @@ def with_taps(df: DataFrame, name: str, **metrics: Column) -> DataFrame:
     return df.observe(name, *[c.alias(k) for k, c in metrics.items()])
 
 
-BatchFn = Callable[[DataFrame, int], None]
+#: Writes a micro-batch; returns False if an earlier attempt had written it (None: it can't tell).
+BatchFn = Callable[[DataFrame, int], "bool | None"]
 
 
 def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
             trigger: str | None = "60 seconds", query_name: str | None = None,
-            prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
+            prepare: Callable[[DataFrame], DataFrame] | None = None,
+            after: Callable[[DataFrame, int, bool], None] | None = None) -> StreamingQuery:
     """One source, several sinks: each micro-batch (after ``prepare``) is
     computed once, persisted, and handed to every sink ``fn(batch_df, batch_id)``.
 
     Sinks should add a batch once (see ``table_batch_sink``), so that a
-    retried batch does not duplicate rows.
+    retried batch does not duplicate rows.  ``after`` is told whether every
+    sink wrote.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch = prepare(batch) if prepare else batch
-        if len(sinks) == 1:
-            sinks[0](batch, batch_id)
-            return
-        batch = batch.persist()
+        rows = prepare(batch) if prepare else batch
+        if len(sinks) > 1:
+            rows = rows.persist()
         try:
-            for sink in sinks:
-                sink(batch, batch_id)
+            written = [sink(rows, batch_id) for sink in sinks]
+            if after is not None:
+                after(batch, batch_id, False not in written)
         finally:
-            batch.unpersist()
+            if len(sinks) > 1:
+                rows.unpersist()
 
     w = triggered(df.writeStream.option("checkpointLocation", checkpoint), trigger).foreachBatch(run)
     if query_name:
@@ -150,12 +153,13 @@ def table_batch_sink(target: str, transform: Callable[[DataFrame], DataFrame] |
     on one target need different names of their ``part``."""
     session = SparkSession.getActiveSession()
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
+    def sink(batch: DataFrame, batch_id: int) -> bool:
         out = transform(batch) if transform else batch
-        commit_rows(conform(out, schema) if schema is not None else out, target,
-                    f"{writer or query_id(batch)}.{part}", batch_id, fmt, as_table, partition_by)
+        new = commit_rows(conform(out, schema) if schema is not None else out, target,
+                          f"{writer or query_id(batch)}.{part}", batch_id, fmt, as_table, partition_by)
         if as_table and session is not None:  # a micro-batch has a session of its own
             session.catalog.refreshTable(target)
+        return new
     return sink
 
 

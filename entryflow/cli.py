@@ -47,6 +47,7 @@ def _source_args(p: argparse.ArgumentParser) -> None:
 def _sink_args(p: argparse.ArgumentParser) -> None:
     p.add_argument("--target", required=True, help="output folder, or table with --as-table")
     p.add_argument("--as-table", action="store_true", help="the target is a catalog table")
+    p.add_argument("--metrics-to", help="folder of the table that counts each micro-batch")
     p.add_argument("--dead-letters", help="folder for records that do not parse")
     p.add_argument("--checkpoint", required=True, help="stable checkpoint folder")
     p.add_argument("--trigger", default="60 seconds",
@@ -94,6 +95,10 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--out-topic", help="kafka topic for flagged records")
     p.add_argument("--out-path", help="record folder for flagged records (instead of a topic)")
     p.add_argument("--as-of", default="today", help='"today", "all" or a yyyy-MM-dd day')
+    p.add_argument("--entries-unique", action="store_true",
+                   help="a second entry of a key goes to the dead letters, or fails the job")
+    p.add_argument("--record-ids", action="store_true",
+                   help="outgoing records carry an id that a retried batch repeats")
 
     p = sub.add_parser("transcode")
     _source_args(p)
@@ -127,18 +132,21 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None):
 
     if a.job == "entries":
         return jobs.run_entries(spark, _source(a), a.target, a.checkpoint, a.trigger,
-                                as_table=a.as_table, dead_letters=a.dead_letters)
+                                as_table=a.as_table, dead_letters=a.dead_letters,
+                                metrics_to=a.metrics_to)
     if a.job == "winners":
         return jobs.run_winners(spark, _source(a), lambda: _table(spark, a.promotions),
                                 a.target, a.checkpoint, a.trigger, refresh=a.refresh,
-                                as_table=a.as_table)
+                                as_table=a.as_table, metrics_to=a.metrics_to)
     if a.job == "flagged":
         sink = (kafka_sink(a.out_topic, _source(a).get("options"))
                 if a.out_topic else {"format": "json", "path": a.out_path})
         as_of = None if a.as_of == "all" else a.as_of
         return jobs.run_flagged(spark, _source(a), lambda: _table(spark, a.daily_winners),
                                 a.target, sink, a.checkpoint, a.trigger, as_of=as_of,
-                                as_table=a.as_table, dead_letters=a.dead_letters)
+                                as_table=a.as_table, dead_letters=a.dead_letters,
+                                metrics_to=a.metrics_to, entries_unique=a.entries_unique,
+                                record_ids=a.record_ids)
     if a.job == "transcode":
         return jobs.run_transcode(spark, _source(a), load_table_schema(a.schema_json), a.target,
                                   a.checkpoint, a.view, fmt=a.format, trigger=a.trigger,

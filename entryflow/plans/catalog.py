@@ -16,10 +16,12 @@ from entryflow.schemas import (
     ENTRIES_TABLE, FLAGGED_TABLE, POSTS_TABLE, PROMOTIONS_TABLE, WINNERS_TABLE,
 )
 from entryflow.session import scratch_path
+from entryflow.sinks.commits import compact, read_table
 from entryflow.sinks.tables import append_table, create_table, insert_promotions
 from entryflow.sinks.topics import write_topic
 from entryflow.sources import driver_tables as dt
 from entryflow.sources.topics import read_records_batch, read_records_stream
+from entryflow.streaming.keyed import cogroup_view
 from entryflow.streaming.queries import sync_stream_to_table
 
 AS_OF_DAY = "2024-01-15"
@@ -187,6 +189,76 @@ def synced_table(spark, sf):
     return spark.table(name)
 
 
+def _entries_batch(spark, name, kv):
+    append_table(raffle.entries_table(kv), name, ENTRIES_TABLE, by_path=False)
+
+
+def _mixed(name: str, *writers: str):
+    """A table that several writers fill one after the other; each adds every entry."""
+    def run(spark, sf):
+        kv = dt.entries_kv(spark, sf)
+        folder, src = _stream_run(spark, name, kv)
+        kv = read_records_batch(spark, src["source"], src["path"])
+        table = _created(spark, folder, ENTRIES_TABLE)
+        for writer in writers:
+            if writer == "batch":
+                _entries_batch(spark, table, kv)
+            else:
+                jobs.run_entries(spark, src, table, f"{folder}/checkpoint_{writer}", "available_now", as_table=True,
+                                 dead_letters=f"{folder}/dead" if writer == "dead" else None).awaitTermination()
+        return spark.table(table)
+    run.__name__, run.__doc__ = name, f"K1, K2, Q1: a table written by {', then '.join(writers)}."
+    return run
+
+
+def mixed_writers_refresh(spark, sf):
+    """Q2 on one folder in both of its modes, read by the folder's commit list."""
+    run, src = _stream_run(spark, "winners_mixed", dt.entries_kv(spark, sf))
+    for refresh in ("none", "batch"):
+        jobs.run_winners(spark, src, dt.promotions(spark, sf), f"{run}/out", f"{run}/checkpoint_{refresh}",
+                         "available_now", refresh).awaitTermination()
+    return read_table(spark, f"{run}/out")
+
+
+def compacted_entries(spark, sf):
+    """Q1 into a folder whose small files are then merged; a reader of the commit list gets the
+    merged ones before they replace the small ones."""
+    run, src = _stream_run(spark, "compacted", dt.entries_kv(spark, sf))
+    for i in range(2):
+        jobs.run_entries(spark, src, f"{run}/out", f"{run}/checkpoint_{i}", "available_now").awaitTermination()
+    compact(spark, f"{run}/out")
+    return read_table(spark, f"{run}/out")
+
+
+def cogroup_stream(spark, sf):
+    """J2 on a stream: running counts of entries per key over micro-batches and a restart, cogrouped
+    with the promotions."""
+    kv = dt.entries_kv(spark, sf)
+    run = scratch_path(spark, "runs", "cogroup")
+    src = {"source": "parquet", "path": f"{run}/input", "options": {"maxFilesPerTrigger": "1"}}
+    kv = kv.repartition(6, "key")
+    for half in (F.crc32("key") % 2 == 0, F.crc32("key") % 2 == 1):
+        kv.where(half).write.mode("append").parquet(f"{run}/input")
+        jobs.run_cogroup(spark, src, f"{run}/counts", f"{run}/checkpoint", "available_now").awaitTermination()
+    keys = raffle.promotion_keys(dt.daily_winners(spark, sf))
+    return cogroup_view(read_table(spark, f"{run}/counts"), keys, "key", left_name="entries", right_name="promotions")
+
+
+def unique_entries_stream(spark, sf):
+    """J4 on a stream: Q3 with every entry record sent twice, in different micro-batches; the guard
+    lets one of each through and puts the other to the dead letters."""
+    kv = dt.entries_kv(spark, sf)
+    run = scratch_path(spark, "runs", "unique")
+    src = {"source": "parquet", "path": f"{run}/input", "options": {"maxFilesPerTrigger": str(FILES_PER_BATCH)}}
+    for _ in range(2):
+        kv.write.mode("append").parquet(f"{run}/input")
+        jobs.run_flagged(spark, src, dt.daily_winners(spark, sf), f"{run}/table",
+                         {"format": "json", "path": f"{run}/topic"}, f"{run}/checkpoint", "available_now",
+                         as_of=None, dead_letters=f"{run}/dead", entries_unique=True,
+                         unique_delay="36500 days").awaitTermination()
+    return read_table(spark, f"{run}/table")
+
+
 def inserted_promotions(spark, sf):
     """K6, Q10: the offers of a day appended to a created promotions table, beside
     those of the days in the test tables."""
@@ -374,5 +446,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "flagged_stream": flagged_stream,
     "transcode_posts": transcode_posts,
     "numbered_stream": numbered_stream,
+    "mixed_writers_batch_first": _mixed("mixed_writers_batch_first", "batch", "stream"),
+    "mixed_writers_stream_first": _mixed("mixed_writers_stream_first", "stream", "batch"),
+    "mixed_writers_dead_letters": _mixed("mixed_writers_dead_letters", "stream", "dead"),
+    "mixed_writers_refresh": mixed_writers_refresh,
+    "compacted_entries": compacted_entries,
+    "cogroup_stream": cogroup_stream,
+    "unique_entries_stream": unique_entries_stream,
     **{f"{name}_sql": _sql_report(name) for name in sql_reports.REPORTS},
 }

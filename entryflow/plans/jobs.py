@@ -22,12 +22,12 @@ from entryflow.operators.payload import parse_entries
 from entryflow.plans import raffle
 from entryflow.schemas import ENTRIES_TABLE, FLAGGED_TABLE, WINNERS_TABLE
 from entryflow.sinks.tables import create_table
-from entryflow.sinks.topics import kafka_sink
+from entryflow.sinks.topics import kafka_sink, with_record_ids
 from entryflow.sources.topics import declare_stream, read_records_stream
 from entryflow.streaming.keyed import count_stream, fail_on_repeats, mark_seen, split_repeats
 from entryflow.streaming.metrics import ObservedLog, Taps
 from entryflow.streaming.queries import (
-    fan_out, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
+    fan_out, query_id, table_batch_sink, topic_batch_sink, transcode_stream, with_taps,
 )
 
 
@@ -73,7 +73,7 @@ def run_entries(spark: SparkSession, source: Mapping, target: str, checkpoint: s
     if dead_letters is not None:
         sinks.append(table_batch_sink(
             dead_letters, lambda b: parse_entries(b, keep=["key"], on_bad="split")[1], part="dead"))
-    return fan_out(kv, sinks, checkpoint, trigger, prepare=lambda b: _entries(taps, b), after=taps.commit)
+    return fan_out(kv, sinks, checkpoint, trigger, prepare=lambda b, _: _entries(taps, b), after=taps.commit)
 
 
 def run_winners(spark: SparkSession, source: Mapping, promotions, target: str,
@@ -123,7 +123,8 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
                 topic_sink: Mapping, checkpoint: str, trigger: str | None = "60 seconds",
                 as_of="today", as_table: bool = False,
                 dead_letters: str | None = None, metrics_to: str | None = None,
-                entries_unique: bool = False, unique_delay: str = "3 days") -> StreamingQuery:
+                entries_unique: bool = False, unique_delay: str = "3 days",
+                record_ids: bool = False) -> StreamingQuery:
     """Q3: every entry with a ``winner`` flag -> flagged-entries table and
     outgoing topic, from one read of each micro-batch.
 
@@ -135,7 +136,9 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
 
     ``entries_unique`` guards against a second entry record of one key, in the
     same micro-batch or an earlier one (see ``streaming.keyed.mark_seen``): it goes
-    to ``dead_letters``, or without that folder fails the job.  Metrics, in the
+    to ``dead_letters``, or without that folder fails the job.  ``record_ids``
+    gives outgoing records an id that a retried batch repeats, so that consumers
+    can read each once; it costs a sort of the batch.  Metrics, in the
     query's progress: ``entries.records``; per micro-batch in the table
     ``metrics_to``: that, ``promotions.records`` (winners rows looked up) and
     ``winners.matches`` (entries flagged).
@@ -150,13 +153,15 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
             return dw.where(F.col("day") == F.current_date())
         return dw
 
-    def flag(batch: DataFrame) -> DataFrame:
+    def flag(batch: DataFrame, batch_id: int) -> DataFrame:
         batch = _entries(taps, batch)
         now["promotions"] = raffle.promotion_keys(winners_now(), day)
         if entries_unique:
             batch, now["repeats"] = split_repeats(batch)
             if dead_letters is None:
                 fail_on_repeats(now["repeats"])
+        if record_ids:
+            batch = with_record_ids(batch, query_id(batch), batch_id)
         flagged = raffle.flag_keys(batch, winners_now(), day)
         return taps.on(flagged, "winners", matches=F.count(F.when(F.col("winner"), 1)))
 
@@ -177,7 +182,7 @@ def run_flagged(spark: SparkSession, source: Mapping, daily_winners, table_targe
     if entries_unique:
         kv = mark_seen(kv, delay=unique_delay)
     # one flag join per micro-batch, shared by all sinks
-    return fan_out(kv, sinks, checkpoint, trigger, prepare=flag, after=count)
+    return fan_out(kv, sinks, checkpoint, trigger, prepare=flag, after=count, stateful=entries_unique)
 
 
 def run_cogroup(spark: SparkSession, source: Mapping, target: str, checkpoint: str,

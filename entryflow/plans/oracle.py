@@ -232,6 +232,16 @@ SELECT day, promotion, participation_number FROM promotions
 UNION ALL
 SELECT '20310102', o.promotion, CAST(o.n AS BIGINT) FROM (VALUES {_OFFERS}) AS o(promotion, n)""",
                                         "promotions")
+# every writer adds all rows
+for _name in ("mixed_writers_batch_first", "mixed_writers_stream_first", "mixed_writers_dead_letters",
+              "compacted_entries"):
+    SQL[_name] = f"SELECT * FROM ({SQL['entries_parsed']}), (VALUES (1), (2)) AS twice(n)".replace(
+        "SELECT *", "SELECT email, name, entry_time, day, participation_number", 1)
+SQL["mixed_writers_refresh"] = (
+    "SELECT email, name, entry_time, day, participation_number, promotion "
+    f"FROM ({SQL['winners_inner']}), (VALUES (1), (2)) AS twice(n)")
+SQL["cogroup_stream"] = SQL["cogroup_counts"]
+SQL["unique_entries_stream"] = SQL["flagged_entries"]
 SQL["json_fields_kept"] = """
 SELECT CAST(event_id AS VARCHAR) AS key, event_id % 10 <> 3 AS kept,
        CASE WHEN event_id % 10 = 3 THEN 'not json'

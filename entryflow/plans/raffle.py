@@ -18,6 +18,7 @@ from entryflow.operators.payload import (
     add_json_field, parse_entries, parse_json, split_objects, to_records,
 )
 from entryflow.schemas import FLAGGED_TABLE  # noqa: F401  (re-exported)
+from entryflow.sinks.topics import RECORD_ID
 from entryflow.sources.tables import read_promotions_for_day
 
 # Payload fields of an entry record, in the order they are written.
@@ -107,7 +108,8 @@ def flagged_to_records(flagged: DataFrame) -> DataFrame:
     ``winner`` added and every other field kept.  Records whose value is no
     JSON object are left out; ``unflaggable`` has them."""
     good, _ = split_objects(flagged)
-    return good.select("key", add_json_field("value", "winner", F.col("winner")).alias("value"))
+    ids = [c for c in (RECORD_ID,) if c in flagged.columns]
+    return good.select("key", add_json_field("value", "winner", F.col("winner")).alias("value"), *ids)
 
 
 def unflaggable(flagged: DataFrame) -> DataFrame:

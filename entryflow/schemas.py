@@ -96,6 +96,14 @@ KV_SCHEMA = T.StructType([
     T.StructField("value", T.StringType(), True),
 ])
 
+# A record with headers and its time, as a topic has them.
+HEADED_SCHEMA = T.StructType([
+    *KV_SCHEMA.fields,
+    T.StructField("headers", T.ArrayType(T.StructType([
+        T.StructField("key", T.StringType(), True), T.StructField("value", T.BinaryType(), True)])), True),
+    T.StructField("timestamp", T.TimestampType(), True),
+])
+
 # Warehouse type names (as used in JSON table-schema files) -> Spark types.
 _WAREHOUSE_TYPES = {
     "STRING": T.StringType(),

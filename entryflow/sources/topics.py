@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from entryflow.operators.payload import kv_strings, parse_json
-from entryflow.schemas import KV_SCHEMA
+from entryflow.schemas import HEADED_SCHEMA, KV_SCHEMA
+from entryflow.sinks.topics import RECORD_ID
 
 
 def kafka_options(bootstrap_servers: str, topic: str, api_key: str | None = None,
@@ -57,27 +58,46 @@ def _file_reader(reader, fmt: str, schema: T.StructType, options: Mapping[str, s
     return r
 
 
+def _record_id(headers: str = "headers") -> Column:
+    """The id that a record's writer gave it (``sinks.topics``), NULL without one."""
+    named = F.filter(headers, lambda h: h["key"] == RECORD_ID)
+    return F.try_element_at(named, F.lit(1))["value"].cast("string")
+
+
 def read_records_stream(spark: SparkSession, source: str = "kafka", path: str | None = None,
                         options: Mapping[str, str] | None = None,
                         schema: T.StructType = KV_SCHEMA,
-                        value_header_bytes: int = 0) -> DataFrame:
+                        value_header_bytes: int = 0, once: str | None = None) -> DataFrame:
     """Streaming ``key, value`` strings from a topic (``source="kafka"``) or
     from a folder of ``json``/``parquet`` files (new files = new records).
-    ``value_header_bytes``: see ``operators.payload.kv_strings``."""
+    ``value_header_bytes``: see ``operators.payload.kv_strings``.
+
+    ``once`` (a time such as ``"1 hour"``) drops a record whose id came before,
+    written by a batch that was run twice; ids are remembered until the
+    record times are that far ahead, and records that come later still are
+    dropped as late.  Records without an id all stay.
+    """
     if source == "kafka":
         r = spark.readStream.format("kafka")
         for k, v in (options or {}).items():
             r = r.option(k, v)
-        return kv_strings(r.load(), value_header_bytes=value_header_bytes)
-    df = _file_reader(spark.readStream, source, schema, options).load(path)
+        df = (r.option("includeHeaders", "true") if once else r).load()
+    else:
+        df = _file_reader(spark.readStream, source, HEADED_SCHEMA if once else schema, options).load(path)
+    if once:
+        known = df.withColumn(RECORD_ID, _record_id())
+        df = (known.where(F.col(RECORD_ID).isNotNull()).withWatermark("timestamp", once)
+              .dropDuplicatesWithinWatermark([RECORD_ID]).select("key", "value")
+              .unionByName(known.where(F.col(RECORD_ID).isNull()).select("key", "value")))
     return kv_strings(df, value_header_bytes=value_header_bytes)
 
 
 def read_records_batch(spark: SparkSession, source: str = "kafka", path: str | None = None,
                        options: Mapping[str, str] | None = None,
                        schema: T.StructType = KV_SCHEMA,
-                       value_header_bytes: int = 0) -> DataFrame:
-    """Bounded read of everything in the topic (or files) from the start."""
+                       value_header_bytes: int = 0, once: bool = False) -> DataFrame:
+    """Bounded read of everything in the topic (or files) from the start.
+    ``once`` keeps one record of each id; records without an id all stay."""
     if source == "kafka":
         r = spark.read.format("kafka")
         opts = dict(options or {})
@@ -85,9 +105,14 @@ def read_records_batch(spark: SparkSession, source: str = "kafka", path: str | N
         opts.setdefault("endingOffsets", "latest")
         for k, v in opts.items():
             r = r.option(k, v)
-        return kv_strings(r.load(), value_header_bytes=value_header_bytes)
-    return kv_strings(_file_reader(spark.read, source, schema, options).load(path),
-                      value_header_bytes=value_header_bytes)
+        df = (r.option("includeHeaders", "true") if once else r).load()
+    else:
+        df = _file_reader(spark.read, source, HEADED_SCHEMA if once else schema, options).load(path)
+    if once:
+        known = df.select("key", "value", _record_id().alias(RECORD_ID))
+        df = (known.where(F.col(RECORD_ID).isNotNull()).dropDuplicates([RECORD_ID])
+              .unionByName(known.where(F.col(RECORD_ID).isNull())))
+    return kv_strings(df, value_header_bytes=value_header_bytes)
 
 
 def declare_stream(df: DataFrame, name: str, schema: T.StructType,

@@ -7,6 +7,7 @@ gathered.
 
 ``mark_seen`` remembers which keys came in earlier micro-batches, for the days that are
 still open: the state of a day's keys ends when the watermark passes the end of the day.
+This is the only Python code of the streams; it sees keys in Arrow batches, not rows.
 """
 
 from __future__ import annotations
@@ -76,7 +77,9 @@ def cogroup_view(changes: DataFrame, right: DataFrame, key: str, left_value: str
 
 # -- repeated keys --------------------------------------------------------------
 
-_SEEN = T.StructType([T.StructField("until", T.LongType())])
+_SEEN = T.StructType([T.StructField("keys", T.BinaryType())])
+#: Bytes of a key's hash, and parts that a day's keys are dealt into: each is one state.
+_HASH, BUCKETS = 16, 16
 
 
 def entry_day(key: str | Column = "key") -> Column:
@@ -87,33 +90,43 @@ def entry_day(key: str | Column = "key") -> Column:
 
 
 def mark_seen(df: DataFrame, key: str = "key", day: Column | None = None,
-              delay: str = "3 days") -> DataFrame:
+              delay: str = "3 days", buckets: int = BUCKETS) -> DataFrame:
     """The rows of a stream with ``seen``: whether their key came in an earlier micro-batch.
 
-    State is a mark per key of an open day; it ends when the watermark (``delay`` behind the
-    latest day) passes the day's end. Rows without a key or day are passed on with ``seen``
-    false. Rows of a closed day can not be checked; Spark drops them before the state and
-    counts them (``numRowsDroppedByWatermark``), so choose ``delay`` beyond what is late.
+    State is the 128-bit hashes of an open day's keys, dealt into ``buckets`` by hash, so a
+    day with most of the rows is spread over tasks (a state is read and written whole in each
+    micro-batch that touches it: give a day of very many keys more buckets). It ends when
+    the watermark (``delay`` behind the latest day) passes the day's end. Rows without a key
+    or day are passed on with ``seen`` false. Rows of a closed day can not be checked; Spark
+    drops them before the state and counts them (``numRowsDroppedByWatermark``), so choose
+    ``delay`` beyond what is late.
     """
     columns = df.columns
     timed = df.withColumn("_day", entry_day(key) if day is None else day)
-    checked = timed.where(F.col(key).isNotNull() & F.col("_day").isNotNull()).withWatermark("_day", delay)
+    checked = (timed.where(F.col(key).isNotNull() & F.col("_day").isNotNull())
+               .withColumn("_hash", F.unhex(F.md5(F.col(key).cast("string"))))
+               .withColumn("_bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+               .withWatermark("_day", delay))
     others = timed.where(F.col(key).isNull() | F.col("_day").isNull()).select(*columns, F.lit(False).alias("seen"))
     out = T.StructType([*df.schema.fields, T.StructField("seen", T.BooleanType())])
 
-    def look(_: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    def look(at: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        seen, until = state.exists, (state.get[0] if state.exists else 0)
-        for part in rows:  # a key's rows come in Arrow batches, one at a time
-            until = max(until, int(part["_day"].max().timestamp() * 1000) + DAY_MS)
-            part["seen"] = seen
+        old = bytes(state.get[0]) if state.exists else b""
+        seen = {old[i:i + _HASH] for i in range(0, len(old), _HASH)}
+        new: set[bytes] = set()
+        for part in rows:  # a state's rows come in Arrow batches, one at a time
+            hashes = [bytes(h) for h in part["_hash"]]
+            part["seen"] = [h in seen for h in hashes]
+            new.update(hashes)
             yield part[[*columns, "seen"]]
-        state.update((until,))
+        state.update((b"".join(sorted(seen | new)),))
+        until = int(pd.Timestamp(at[0]).timestamp() * 1000) + DAY_MS
         state.setTimeoutTimestamp(max(until, state.getCurrentWatermarkMs() + 1))
 
-    marked = checked.groupBy(key).applyInPandasWithState(
+    marked = checked.groupBy("_day", "_bucket").applyInPandasWithState(
         look, out, _SEEN, "append", GroupStateTimeout.EventTimeTimeout)
     return marked.unionByName(others)
 

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from entryflow.sinks.commits import commit_rows
 from entryflow.sinks.tables import conform, create_table, overwrite_batch
-from entryflow.sinks.topics import write_topic
+from entryflow.sinks.topics import folder_records, write_topic
 
 
 def trigger_options(trigger: str | None) -> dict:
@@ -108,26 +108,29 @@ BatchFn = Callable[[DataFrame, int], "bool | None"]
 
 def fan_out(df: DataFrame, sinks: Sequence[BatchFn], checkpoint: str,
             trigger: str | None = "60 seconds", query_name: str | None = None,
-            prepare: Callable[[DataFrame], DataFrame] | None = None,
-            after: Callable[[DataFrame, int, bool], None] | None = None) -> StreamingQuery:
+            prepare: Callable[[DataFrame, int], DataFrame] | None = None,
+            after: Callable[[DataFrame, int, bool], None] | None = None,
+            stateful: bool = False) -> StreamingQuery:
     """One source, several sinks: each micro-batch (after ``prepare``) is
     computed once, persisted, and handed to every sink ``fn(batch_df, batch_id)``.
 
     Sinks should add a batch once (see ``table_batch_sink``), so that a
     retried batch does not duplicate rows.  ``after`` is told whether every
-    sink wrote.
+    sink wrote.  The batch of a ``stateful`` stream is persisted before
+    ``prepare``, so that its state is updated in one pass.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        rows = prepare(batch) if prepare else batch
+        held = [batch.persist()] if stateful else []
+        rows = prepare(batch, batch_id) if prepare else batch
         if len(sinks) > 1:
-            rows = rows.persist()
+            held.append(rows.persist())
         try:
             written = [sink(rows, batch_id) for sink in sinks]
             if after is not None:
                 after(batch, batch_id, False not in written)
         finally:
-            if len(sinks) > 1:
-                rows.unpersist()
+            for frame in held:
+                frame.unpersist()
 
     w = triggered(df.writeStream.option("checkpointLocation", checkpoint), trigger).foreachBatch(run)
     if query_name:
@@ -169,16 +172,15 @@ def topic_batch_sink(sink: Mapping, transform: Callable[[DataFrame], DataFrame]
 
     Record folders: each batch goes to its own sub-folder, replaced on a
     retry (exactly once).  Kafka topics: a retried batch writes its records
-    again (at least once); consumers should treat the record key as the
-    identity.
+    again (at least once); records with ids (``sinks.topics.with_record_ids``)
+    are read once by ``sources.topics`` with ``once``.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         out = transform(batch) if transform else batch
         if sink.get("format", "kafka") == "kafka":
             write_topic(out, sink)
         else:
-            overwrite_batch(out.select("key", "value"), sink["path"], batch_id,
-                            sink.get("format", "json"))
+            overwrite_batch(folder_records(out), sink["path"], batch_id, sink.get("format", "json"))
     return write
 
 

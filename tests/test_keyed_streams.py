@@ -129,10 +129,22 @@ def test_state_of_past_days_is_gone(spark, tmp_dir):
     q = fan_out(kv, [lambda b, i: seen.extend(r.seen for r in b.collect())], f"{tmp_dir}/ck", "available_now")
     q.awaitTermination()
     totals = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress]
+    # a state per day and bucket; four keys a day are in four buckets at most
     assert max(totals) <= 16 and totals[-1] <= 12 and not any(seen)
     assert len(seen) == 4 * len(days) + len(days)  # a day to come closes none
 
 
+def test_every_key_of_a_large_batch_is_remembered(spark, tmp_dir):
+    kv = spark.range(3000).select(F.concat(F.lit("20220915_"), "id").alias("key"), F.lit("v").alias("value"))
+    seen = []
+    for i in range(2):
+        kv.write.mode("append").parquet(f"{tmp_dir}/in")
+        stream = keyed.mark_seen(read_records_stream(spark, "parquet", f"{tmp_dir}/in", {"maxFilesPerTrigger": "100"}))
+        fan_out(stream, [lambda b, i: seen.append({r.seen: r.n for r in b.groupBy("seen").agg(
+            F.count(F.lit(1)).alias("n")).collect()})], f"{tmp_dir}/ck", "available_now").awaitTermination()
+    assert [s for s in seen if s] == [{False: 3000}, {True: 3000}]  # a batch without data closes days
+
+
 def test_days_of_keys(spark):
     keys = ["20220915_1", "20221315_1", "x", None, "2022091_1", "99990101_2"]
     got = [r.d for r in spark.createDataFrame([(k,) for k in keys], "key string").select(

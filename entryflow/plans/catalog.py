@@ -16,13 +16,14 @@ from entryflow.schemas import (
     ENTRIES_TABLE, FLAGGED_TABLE, POSTS_TABLE, PROMOTIONS_TABLE, WINNERS_TABLE,
 )
 from entryflow.session import scratch_path
+from entryflow.sinks.bucketed import write_by_question
 from entryflow.sinks.commits import compact, read_table
 from entryflow.sinks.tables import append_table, create_table, insert_promotions
-from entryflow.sinks.topics import write_topic
+from entryflow.sinks.topics import with_record_ids, write_topic
 from entryflow.sources import driver_tables as dt
 from entryflow.sources.topics import read_records_batch, read_records_stream
 from entryflow.streaming.keyed import cogroup_view
-from entryflow.streaming.queries import sync_stream_to_table
+from entryflow.streaming.queries import append_stream, sync_stream_to_table
 
 AS_OF_DAY = "2024-01-15"
 #: A day without entries in the test tables.
@@ -338,6 +339,44 @@ def active_vs_total(spark, sf):
     return reports.active_vs_total(*_qa(spark, sf))
 
 
+#: Buckets of the tables stored by question, here; a cluster's would follow its cores.
+QA_BUCKETS = 8
+
+
+def _by_question(report):
+    """A report of questions and answers on tables stored by question."""
+    def run(spark, sf):
+        p, q, a, u = _qa(spark, sf)
+        names = [f"entryflow_{uuid.uuid4().hex}" for _ in range(2)]
+        write_by_question(spark, q, a, *names, buckets=QA_BUCKETS)
+        return report(p, *map(spark.table, names), u)
+    return run
+
+
+def records_once(spark, sf):
+    """K3, S7: flagged records of which every one was sent twice, by a batch that was run again,
+    each read once."""
+    run = scratch_path(spark, "runs", "once")
+    kv = with_record_ids(dt.entries_kv(spark, sf), "raffle", 0)
+    for _ in range(2):
+        flagged = raffle.flag_keys(kv, dt.daily_winners(spark, sf))
+        write_topic(raffle.flagged_to_records(flagged), {"format": "parquet", "path": f"{run}/topic"})
+    return raffle.decode_records(read_records_batch(spark, "parquet", f"{run}/topic", once=True))
+
+
+def records_once_stream(spark, sf):
+    """The same on a stream (S1), the ids remembered for an hour of record time."""
+    run = scratch_path(spark, "runs", "once_stream")
+    for _ in range(2):
+        kv = with_record_ids(dt.entries_kv(spark, sf), "raffle", 0)
+        flagged = raffle.flag_keys(kv, dt.daily_winners(spark, sf))
+        write_topic(raffle.flagged_to_records(flagged), {"format": "parquet", "path": f"{run}/topic"})
+    stream = read_records_stream(spark, "parquet", f"{run}/topic", {"maxFilesPerTrigger": str(FILES_PER_BATCH)},
+                                 once="1 hour")
+    append_stream(stream, f"{run}/out", f"{run}/checkpoint", "available_now").awaitTermination()
+    return raffle.decode_records(read_table(spark, f"{run}/out"))
+
+
 def _sql_report(name: str):
     def run(spark, sf):
         prefix = f"report_{uuid.uuid4().hex}_"
@@ -452,6 +491,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mixed_writers_refresh": mixed_writers_refresh,
     "compacted_entries": compacted_entries,
     "cogroup_stream": cogroup_stream,
+    "records_once": records_once,
+    "records_once_stream": records_once_stream,
+    "days_to_answer_bucketed": _by_question(
+        lambda p, q, a, _: reports.days_to_answer(p, q, a, buckets=QA_BUCKETS)),
+    "active_vs_total_bucketed": _by_question(reports.active_vs_total),
     "unique_entries_stream": unique_entries_stream,
     **{f"{name}_sql": _sql_report(name) for name in sql_reports.REPORTS},
 }

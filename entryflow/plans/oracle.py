@@ -240,6 +240,9 @@ for _name in ("mixed_writers_batch_first", "mixed_writers_stream_first", "mixed_
 SQL["mixed_writers_refresh"] = (
     "SELECT email, name, entry_time, day, participation_number, promotion "
     f"FROM ({SQL['winners_inner']}), (VALUES (1), (2)) AS twice(n)")
+SQL["records_once"] = SQL["records_once_stream"] = SQL["flagged_records"]
+SQL["days_to_answer_bucketed"] = SQL["days_to_answer"]
+SQL["active_vs_total_bucketed"] = SQL["active_vs_total"]
 SQL["cogroup_stream"] = SQL["cogroup_counts"]
 SQL["unique_entries_stream"] = SQL["flagged_entries"]
 SQL["json_fields_kept"] = """

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from entryflow.functions.classify import LANGUAGE_RULES, NO_LANGUAGE, classify
 from entryflow.operators.ranking import running_total, top_distinct
+from entryflow.sinks.bucketed import SLOT
 
 LANG = "programming_language"
 
@@ -69,8 +70,14 @@ def title_languages(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
             .select("title", LANG).distinct())
 
 
+def _question_keys(questions: DataFrame, answers: DataFrame) -> tuple[list[str], list[str]]:
+    """Columns of both that name a question: its id, and in tables stored by question its slot."""
+    slot = [SLOT] if SLOT in questions.columns and SLOT in answers.columns else []
+    return ["id", *slot], ["parent_id", *slot]
+
+
 def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame,
-                      rules=LANGUAGE_RULES) -> DataFrame:
+                      rules=LANGUAGE_RULES, buckets: int | None = None) -> DataFrame:
     """Per (question id, language): first post date, first answer date, and
     the calendar days between them (only pairs with days >= 0).
 
@@ -79,27 +86,34 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
     posts are reduced to the languages of each title and the answers to
     their first date per question before they are joined, so no join
     multiplies rows over a shared title or a question's answers.
+
+    Of tables stored by question (``sinks.bucketed``), the answers are reduced
+    and joined where they lie; give their number of buckets as ``buckets``.
     """
     langs = title_languages(posts, rules)
-    q = questions.select("id", "title", "creation_date").where(F.col("id").isNotNull())
+    ids, parents = _question_keys(questions, answers)
+    q = questions.select(*ids, "title", "creation_date").where(F.col("id").isNotNull())
     # partitioned by id once: both the (id, language) aggregate and the join
     # with the first answers (keyed by question id) use this partitioning
-    per_q = (q.join(langs, "title", "inner")
-             .select("id", "creation_date", LANG)
-             .repartition("id")
-             .groupBy("id", LANG).agg(F.min("creation_date").alias("post_date")))
+    per_q = q.join(langs, "title", "inner").select(*ids, "creation_date", LANG)
+    per_q = per_q.repartition(buckets, *ids) if buckets else per_q.repartition(*ids)
+    per_q = per_q.groupBy(*ids, LANG).agg(F.min("creation_date").alias("post_date"))
     first_answer = (answers.where(F.col("parent_id").isNotNull())
-                    .groupBy("parent_id").agg(F.min("creation_date").alias("answer_date")))
-    per_q = per_q.join(first_answer, per_q["id"] == first_answer["parent_id"], "inner") \
-        .drop("parent_id")
+                    .groupBy(*[F.col(c).alias(f"_{c}") for c in parents])
+                    .agg(F.min("creation_date").alias("answer_date")))
+    same = [per_q[i] == first_answer[f"_{p}"] for i, p in zip(ids, parents)]
+    per_q = per_q.join(first_answer, same, "inner").drop(*[f"_{p}" for p in parents])
+    if SLOT in ids:
+        per_q = (per_q.groupBy("id", LANG)
+                 .agg(F.min("post_date").alias("post_date"), F.min("answer_date").alias("answer_date")))
     days = F.datediff(F.col("answer_date"), F.col("post_date"))
     return (per_q.withColumn("days", days).where(F.col("days") >= 0))
 
 
 def days_to_answer(posts: DataFrame, questions: DataFrame, answers: DataFrame,
-                   rules=LANGUAGE_RULES) -> DataFrame:
+                   rules=LANGUAGE_RULES, buckets: int | None = None) -> DataFrame:
     """Mean calendar days from question to first answer, by language and year."""
-    per_q = first_answer_days(posts, questions, answers, rules)
+    per_q = first_answer_days(posts, questions, answers, rules, buckets)
     return (per_q.groupBy(LANG, F.year("post_date").cast("long").alias("year"))
                  .agg(F.avg("days").alias("average_number_of_days_for_answer"))
                  .orderBy(LANG, "year", "average_number_of_days_for_answer"))
@@ -124,8 +138,10 @@ def active_user_years(posts: DataFrame, questions: DataFrame, answers: DataFrame
     asked = questions.join(titles, "title", "left_semi")
     q_years = asked.select(F.year("creation_date").cast("long").alias("year"),
                            F.col("owner_user_id").alias("user_id"))
-    asked_ids = asked.select("id").where(F.col("id").isNotNull())
-    answered = answers.join(asked_ids, answers["parent_id"] == asked_ids["id"], "left_semi")
+    ids, parents = _question_keys(questions, answers)
+    asked_ids = asked.select(*[F.col(c).alias(f"_{c}") for c in ids]).where(F.col("_id").isNotNull())
+    same = [answers[p] == asked_ids[f"_{i}"] for p, i in zip(parents, ids)]
+    answered = answers.join(asked_ids, same, "left_semi")
     a_years = answered.select(F.year("creation_date").cast("long").alias("year"),
                               F.col("owner_user_id").alias("user_id"))
     # one shuffle keyed by user: each user's set of active years (at most one

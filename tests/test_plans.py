@@ -128,3 +128,45 @@ def test_sql_reports_split_hot_keys_too(skewed):
     assert any("title" in x for x in skew_joins(sql_reports.run_report(spark, "days_to_answer", "sk_")))
     lines = skew_joins(sql_reports.run_report(spark, "active_vs_total", "sk_"))
     assert any("title" in x for x in lines) and any("parent_id" in x for x in lines)
+
+
+@pytest.fixture()
+def by_question(skewed):
+    """The skewed tables stored by question, in 16 buckets."""
+    import uuid
+    from entryflow.sinks.bucketed import write_by_question
+    posts, questions, answers, users = skewed
+    spark = posts.sparkSession
+    names = [f"qa_{uuid.uuid4().hex}" for _ in range(2)]
+    write_by_question(spark, questions, answers, *names, buckets=16)
+    yield posts, spark.table(names[0]), spark.table(names[1]), users, names
+    for n in names:
+        spark.sql(f"DROP TABLE {n}")
+
+
+def exchanged(df, column):
+    """Hash exchanges of the final plan on a column (by its name), and the plan."""
+    final = plan_text(df).split("== Initial Plan ==")[0]
+    return [x for x in final.splitlines() if "Exchange hashpartitioning" in x and f"({column}#" in x], final
+
+
+def test_answers_stored_by_question_are_not_exchanged(by_question, skewed):
+    posts, questions, answers, users, names = by_question
+    days = reports.days_to_answer(posts, questions, answers, buckets=16)
+    active = reports.active_vs_total(posts, questions, answers, users)
+    for stored, plain in ((days, reports.days_to_answer(*skewed[:3])), (active, reports.active_vs_total(*skewed))):
+        assert stored.collect() == plain.collect()
+        moved, plan = exchanged(stored, "parent_id")
+        assert not moved and "Bucketed: true" in plan
+        assert exchanged(plain, "parent_id")[0]
+
+
+def test_a_hot_question_is_spread_over_buckets(by_question):
+    from pyspark.sql import functions as F
+    _, questions, answers, _, names = by_question
+    from entryflow.sinks.bucketed import SLOTS, buckets_of
+    assert buckets_of(answers.sparkSession, names[1]) == 16
+    files = [r.n for r in answers.groupBy(F.input_file_name()).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(files) == 16 and max(files) < 2 * sum(files) / 16
+    assert questions.where("id = 7").count() == SLOTS and questions.where("id <> 7").count() == 199_999
+    assert answers.where("parent_id <> 7 and slot <> 0").count() == 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +27,29 @@ def ascii_lower(text: str) -> str:
     return text.translate(_ASCII_LOWER)
 
 
-#: Folders that ``stage`` wrote in this process, in order.
-STAGED: list[str] = []
+class Staged(threading.local):
+    """Folders that ``stage`` writes, as told to those who watch (in the same thread)."""
+
+    def __init__(self):
+        self._lists: list[list[str]] = []
+
+    @contextmanager
+    def watched(self) -> Iterator[list[str]]:
+        """A list of the folders written, and not deleted again, while the block runs."""
+        self._lists.append([])
+        try:
+            yield self._lists[-1]
+        finally:
+            own = self._lists.pop()
+            for outer in self._lists[-1:]:
+                outer.extend(own)
+
+    def add(self, path: str) -> None:
+        for innermost in self._lists[-1:]:
+            innermost.append(path)
+
+
+STAGED = Staged()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -37,10 +60,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
-    STAGED.append(path)
+    STAGED.add(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def reads_from(df: DataFrame) -> set[str]:
+    """The folders that a DataFrame reads (not their files), as they were named."""
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    found = set()
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        if (leaf.getClass().getSimpleName() == "LogicalRelation"
+                and leaf.relation().getClass().getSimpleName() == "HadoopFsRelation"):
+            roots = leaf.relation().location().rootPaths()
+            found |= {roots.apply(k).toString() for k in range(roots.size())}
+    return {p for r in found for p in (r, r.removeprefix("file:"), r.replace("file:/", "file:///", 1))}
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder that ``stage`` wrote, wherever the scratch folder is."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

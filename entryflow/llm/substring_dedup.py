@@ -38,7 +38,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from entryflow.llm.common import (STAGED, as_batch, expand_keys, map_rows, mix64, remove_folder,
+from entryflow.llm.common import (STAGED, as_batch, expand_keys, map_rows, mix64, reads_from,
+                                  remove_folder,
                                   shingle_hashes, squeeze_keys, stage, utf8, word_hashes)
 from entryflow.llm.graph import components
 from entryflow.llm.ngram_join import spanning
@@ -452,30 +453,30 @@ def shared_runs(rows: DataFrame) -> DataFrame:
                         found[name].append(x)
             yield as_batch(found, out)
 
-    since = len(STAGED)
-    picks = stage(map_rows(rows, pick, "id long, hash long, at int"), "passage_picks")
-    # written, so that both sides of the joins are plain shuffles that AQE can split
-    common = stage(repeated(picks).select("hash"), "passage_common")
-    near = stage(picks.join(common, "hash").groupBy("id").agg(F.collect_set("at").alias("near")),
-                 "passage_near")
-    windows = stage(map_rows(rows.join(near, "id").select("id", "text", "near"), around,
-                             "id long, hash long, at int, again boolean"), "passage_windows")
-    _remove_since(since, windows)
-    firsts = stage(repeated(windows), "passage_firsts")
-    shared = stage(windows.join(firsts, "hash").groupBy("id").agg(
-        F.collect_list(F.struct("at", "first", "again")).alias("shared")), "passage_shared")
-    _remove_since(since, shared)
+    with STAGED.watched() as done:
+        picks = stage(map_rows(rows, pick, "id long, hash long, at int"), "passage_picks")
+        # written, so that both sides of the joins are plain shuffles that AQE can split
+        common = stage(repeated(picks).select("hash"), "passage_common")
+        near = stage(picks.join(common, "hash").groupBy("id").agg(F.collect_set("at").alias("near")),
+                     "passage_near")
+        windows = stage(map_rows(rows.join(near, "id").select("id", "text", "near"), around,
+                                 "id long, hash long, at int, again boolean"), "passage_windows")
+        _remove_all(done, windows)
+        firsts = stage(repeated(windows), "passage_firsts")
+        shared = stage(windows.join(firsts, "hash").groupBy("id").agg(
+            F.collect_list(F.struct("at", "first", "again")).alias("shared")), "passage_shared")
+        _remove_all(done, shared)
     return rows.join(shared, "id").select("id", "text", "shared").mapInArrow(place, RUN).distinct()
 
 
 # -- regions ---------------------------------------------------------------
 
-def _remove_since(since: int, *keep: DataFrame) -> None:
-    """Delete the tables staged from number ``since`` on that ``keep`` does not read."""
-    reads = [f for df in keep for f in df.inputFiles()]
-    for path in STAGED[since:]:
-        if not any(f"{path}/" in f for f in reads):
-            remove_folder(keep[0].sparkSession, path)
+def _remove_all(staged: list[str], *keep: DataFrame) -> None:
+    """Delete the listed tables that ``keep`` does not read, and take them off the list."""
+    needed = {p for df in keep for p in reads_from(df)}
+    for path in [p for p in staged if p not in needed]:
+        remove_folder(keep[0].sparkSession, path)
+        staged.remove(path)
 
 
 def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -494,25 +495,25 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     rows = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
             .where("id is not null"))
-    since = len(STAGED)
-    found = unit_rows(rows)
-    bands, band_rows = tune_bands()
-    pairs = stage(candidate_pairs(rows, bands, band_rows), "passage_pairs")
-    sets = shingle_sets(rows, found.where("line").select("hash", "id"), pairs)
-    links = stage(similar_pairs(sets, pairs), "passage_links")
-    more = stage(mixed_pairs(sets, components(links), bands, band_rows), "passage_more")
-    labels = components(links.union(more)).withColumnRenamed("node", "hash")
-
-    nodes = (found.groupBy("hash").agg(F.min(F.struct("id", "ord")).alias("first"),
-                                       F.max("id").alias("last"))
-             .join(labels, "hash", "left").where("first.id <> last or label is not null")
-             .withColumn("label", F.coalesce("label", "hash")))
-    nodes = stage(nodes, "passage_nodes")
-    clusters = (nodes.groupBy("label").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-                .where("first.id <> last").select("label", "first"))
-    repeats = stage(nodes.select("hash", "label").join(clusters, "label").select("hash", "first"),
-                    "passage_repeats")
-    _remove_since(since, found, repeats)
+    with STAGED.watched() as done:
+        found = unit_rows(rows)
+        bands, band_rows = tune_bands()
+        pairs = stage(candidate_pairs(rows, bands, band_rows), "passage_pairs")
+        sets = shingle_sets(rows, found.where("line").select("hash", "id"), pairs)
+        links = stage(similar_pairs(sets, pairs), "passage_links")
+        more = stage(mixed_pairs(sets, components(links), bands, band_rows), "passage_more")
+        labels = components(links.union(more)).withColumnRenamed("node", "hash")
+
+        nodes = (found.groupBy("hash").agg(F.min(F.struct("id", "ord")).alias("first"),
+                                           F.max("id").alias("last"))
+                 .join(labels, "hash", "left").where("first.id <> last or label is not null")
+                 .withColumn("label", F.coalesce("label", "hash")))
+        nodes = stage(nodes, "passage_nodes")
+        clusters = (nodes.groupBy("label").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+                    .where("first.id <> last").select("label", "first"))
+        repeats = stage(nodes.select("hash", "label").join(clusters, "label").select("hash", "first"),
+                        "passage_repeats")
+        _remove_all(done, found, repeats)
     kept = (F.col("id") == F.col("first.id")) & (F.col("ord") == F.col("first.ord"))
     of_units = (found.join(repeats, "hash").withColumn("kept", kept)
                 .dropDuplicates(["id", "ord", "hash", "line"]).withColumn("first", F.col("first.id")))

@@ -82,20 +82,62 @@ def test_odd_documents_pass_every_stage(spark):
         assert not staged(spark, fn(spark, docs.limit(0), "")).collect()
 
 
-def test_stages_clear_what_the_last_one_left(spark, corpus):
+def there(spark, paths):
+    from entryflow.sinks.commits import Folder
+    return {p for p in paths if Folder(spark, p).exists("")}
+
+
+def test_a_stage_deletes_what_the_one_before_left(spark, corpus):
     texts, _ = corpus
     docs = documents(spark, list(texts.values()), ids=list(texts))
     stages = dict(P.STAGES)
     lazy = stages["quality rules"](spark, docs, "")
-    left = set(P._LEFT)
-    assert left
-    # not written yet: the next stage reads what is left, so it stays
+    left = P._leaves(lazy)
+    assert left and there(spark, left) == left
+    # not written yet: the next stage reads some of what is left, so that stays
     two = stages["secret scans"](spark, lazy, "")
-    assert set(P._LEFT) > left - {p for p in left if "quality_scan" in p or "quality_lines" in p}
-    assert two.count() == len(texts) - 2
-    written = staged(spark, two)
-    stages["packing"](spark, written, "").collect()
-    assert not left & set(P._LEFT)
+    assert two.count() == len(texts) - 2 and there(spark, left)
+    written = staged(spark, lazy)
+    assert P._leaves(written) == left
+    five = stages["packing"](spark, written, "")
+    assert not there(spark, left) and not P._leaves(five) & left
+    assert len({r.doc_id for r in five.collect()}) == len(texts) - 2
+
+
+def test_two_results_at_once(spark, corpus):
+    texts, _ = corpus
+    docs = documents(spark, list(texts.values()), ids=list(texts))
+    for name in ("quality rules", "ngram join", "substring dedup", "secret scans"):
+        fn = dict(P.STAGES)[name]
+        a, b = fn(spark, docs, ""), fn(spark, docs.where("doc_id < 20"), "")
+        assert a.count() > b.count() > 0, name
+
+
+def test_rows_of_one_id_are_documents_of_their_own(spark):
+    rng = random.Random(12)
+    shared, one, two, three = (passage(rng, 8) for _ in range(4))
+    texts = [one + "\n" + shared, two, three, shared + "\n" + passage(rng, 5), two]
+    ids = [2, 2, 1, 3, 2]
+    docs = documents(spark, texts, ids, partitions=1)
+    joined = P.near_duplicates(spark, docs, "").collect()
+    assert sorted((r.doc_id, r.text) for r in joined) == sorted(set(zip(ids, texts)))
+    cut = sorted((r.doc_id, r.text) for r in P.repeated_passages(
+        spark, documents(spark, texts[:4], ids[:4], partitions=1), "").collect())
+    # only what repeats goes, and each row loses its own words
+    assert [t for _, t in cut if t in (two, three)] == [three, two]
+    assert len(cut) == 4 and sum(shared in t for _, t in cut) == 1
+    assert {t.replace("\n" + shared, "").replace(shared + "\n", "") for _, t in cut} == {
+        one, two, three, texts[3].replace(shared + "\n", "")}
+
+
+def test_largest_ids_and_many_rows_of_one_id(spark):
+    rng = random.Random(4)
+    texts = [passage(rng, 4) for _ in range(30)]
+    ids = [2**63 - 1] * 20 + [-2**62] * 9 + [None]
+    docs = documents(spark, texts, ids)
+    for fn in (P.near_duplicates, P.repeated_passages):
+        got = fn(spark, docs, "").collect()
+        assert sorted((str(r.doc_id), r.text) for r in got) == sorted(zip(map(str, ids), texts))
 
 
 def test_whole_run(spark):

@@ -10,12 +10,14 @@
 Each function takes what its predecessor kept and returns the columns of
 documents; the last returns a row per piece, with its ids. ``n_chars`` follows
 the text. Where a stage joins verdicts to documents, it first writes the
-documents with row numbers, so ids may be null or repeated; documents without an
-id pass the stages that compare documents by id.
-
-A stage's result is written before the next stage begins (``run`` does so); the
-next one then deletes the intermediate tables that the stage left, unless its
-own input still reads them.
+documents with row numbers, so ids may be null or repeated: rows with one id and
+different texts are documents of their own. Documents without an id pass the stages
+that compare documents.
+
+A stage's result is written before the next stage begins (``run`` does so). Its
+columns carry, as metadata that Parquet keeps, the names of the intermediate tables
+that the stage leaves; the next one deletes those, unless its input was not written
+and still reads them. No stage knows of any others.
 """
 
 from __future__ import annotations
@@ -28,28 +30,32 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from entryflow.llm import ngram_join, packing, quality, secret_scan, substring_dedup
-from entryflow.llm.common import STAGED, remove_folder, stage, table
+from entryflow.llm.common import STAGED, reads_from, remove_folder, stage, table
 from entryflow.llm.queries import END_ID, SEQUENCE_TOKENS, vocabulary_path
+from entryflow.operators.numbering import assign_numbers
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-#: Intermediate tables of the stages so far that are still there.
-_LEFT: list[str] = []
+#: Name of the columns' metadata that lists what a stage leaves.
+_LEAVES = "entryflow.leaves"
+
+
+def _leaves(docs: DataFrame) -> set[str]:
+    """Intermediate tables that the stage before left."""
+    return {p for f in docs.schema.fields for p in f.metadata.get(_LEAVES, [])}
 
 
 def _clearing(fn: Stage) -> Stage:
-    """The stage, deleting what earlier stages left and ``docs`` does not read."""
+    """The stage, deleting what the one before left, and telling what it leaves itself."""
     @functools.wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        reads = docs.inputFiles()
-        for path in [p for p in _LEFT if not any(f"{p}/" in f for f in reads)]:
+        for path in _leaves(docs) - reads_from(docs):
             remove_folder(spark, path)
-            _LEFT.remove(path)
-        before = len(STAGED)
-        out = fn(spark, docs, sf_dir)
-        _LEFT.extend(STAGED[before:])
-        return out
+        with STAGED.watched() as own:
+            out = fn(spark, docs, sf_dir)
+        first, *rest = out.columns
+        return out.select(F.col(first).alias(first, metadata={_LEAVES: own}), *rest)
     return run_stage
 
 
@@ -63,6 +69,25 @@ def _fields(rows: DataFrame) -> DataFrame:
     return rows.select("row", "doc.doc_id", "doc.text", "doc.source")
 
 
+def _own_ids(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The rows with ``own``, an id that no other row has, and ``row, own, doc_id`` of repeated ids.
+
+    The first row of an id keeps it; the others get numbers beyond all ids. They are few, as
+    a rule, and written, so the planner joins them by their size.
+    """
+    ids = rows.select("row", "doc.doc_id").where("doc_id is not null")
+    repeated = ids.groupBy("doc_id").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    others = ids.join(repeated, "doc_id").where("row <> first").select("row", "doc_id", F.lit(0).alias("all"))
+    ends = ids.agg(F.min("doc_id"), F.max("doc_id")).first()
+    beyond = F.col("n") + F.lit(ends[1] or 0) + 1
+    if (ends[1] or 0) > 1 << 62:  # no room above
+        beyond = F.lit(ends[0]) - 1 - F.col("n")
+    more = stage(assign_numbers(others, "all", ["doc_id", "row"], out_col="n")
+                 .select("row", beyond.alias("own"), "doc_id"), name)
+    own = F.coalesce("own", F.col("doc.doc_id").cast("long"))
+    return rows.join(more.select("row", "own"), "row", "left").withColumn("own", own), more
+
+
 def _with_text(rows: DataFrame, text: Column) -> DataFrame:
     doc = (F.col("doc").withField("text", text)
            .withField("n_chars", F.length(text).cast("long")))
@@ -98,21 +123,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 @_clearing
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs, "join_docs")
-    found = stage(ngram_join.near_components(_fields(rows), row_col="row"), "join_components")
-    first = (found.where("component_id is not null").groupBy("component_id")
-             .agg(F.min(F.struct("id", "row")).alias("first")).select("first.row"))
-    stay = first.union(found.where("component_id is null").select("row"))
+    """The least id of a group stays; of rows with one id and no words, one."""
+    rows, more = _own_ids(_numbered(docs, "join_docs"), "join_more_ids")
+    found = stage(ngram_join.near_components(rows.select("row", "own", "doc.text"), id_col="own", row_col="row"),
+                  "join_components")
+    first = found.where("n_shingles > 0 and id = component_id").select("row")
+    wordless = found.where("n_shingles = 0 and id is not null").join(more.select("row", "doc_id"), "row", "left")
+    empty = wordless.groupBy(F.coalesce("doc_id", "id").alias("of")).agg(F.min("row").alias("row")).select("row")
+    stay = first.union(empty).union(found.where("id is null").select("row"))
     return rows.join(stay, "row", "left_semi").select("doc.*")
 
 
 @_clearing
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = _numbered(docs, "passage_rows")
-    regions = substring_dedup.repeated_regions(_fields(rows)).where("removed")
+    rows, _ = _own_ids(_numbered(docs, "passage_rows"), "passage_more_ids")
+    regions = substring_dedup.repeated_regions(rows.select("own", "doc.text"), id_col="own").where("removed")
     cuts = stage(regions.groupBy("id").agg(F.flatten(F.collect_list("cuts")).alias("cuts")),
                  "passage_cuts")
-    marked = rows.join(cuts, rows["doc.doc_id"] == cuts["id"], "left")
+    marked = rows.join(cuts, rows["own"] == cuts["id"], "left")
     text = _cut_out("doc.text", "cuts")
     left = marked.select("doc", text.alias("left"), F.col("cuts").isNotNull().alias("was_cut"))
     return _with_text(left.where("not was_cut or left <> ''"), F.col("left"))
@@ -149,4 +177,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, fn in STAGES:
         docs = stage(fn(spark, docs, sf_dir), name.replace(" ", "_"))
+    for path in _leaves(docs):
+        remove_folder(spark, path)
     return docs

@@ -6,20 +6,18 @@ documents per host; a line above its host's limit is boilerplate. A document
 that loses more than ``MAX_LOST`` of its words with such lines is depleted and
 rejected; from the others the lines are removed.
 
-Distinct documents (``by_class``) are classes of near copies: texts are equal by a hash of all
-their lower-cased words, and near copies by the Jaccard similarity of their
-``SAMPLE`` least 5-word windows (exact for texts of that many windows or fewer).
-So a much copied document does not make its own lines boilerplate, while
-documents that share a template but are no near copies count one by one. Without
-``by_class``, documents are told apart by the least hash of their 5-word windows
-alone, which takes documents for one as often as their windows are shared.
-
-Texts are read once and not shuffled. Line counts are aggregated by (host,
-line, text), then by (host, line), with map-side parts, so a host with a
-third of all rows is spread over its lines; classes are looked up for lines of
-``MIN_DOCS`` texts only. Frequent lines are few: a host has at most (its lines /
-``MIN_DOCS``) of them. They are joined by key, and a line that stands in many documents is a skewed key that
-Spark splits.
+Distinct documents are texts told apart by a hash of all their lower-cased words, and
+near copies of one text count once: of the texts that hold a line of ``MIN_DOCS`` texts (no
+other text can matter), those with a Jaccard similarity of 0.8 or more of all their 5-word
+windows are one class, found by MinHash bands and verified. So a much copied document
+does not make its own lines boilerplate, while documents that share a template but are no
+near copies count one by one. A host's total counts its different texts.
+
+Texts are read once and not shuffled; the few that classes are made of are read again.
+Line counts are aggregated by (host, line, text), then by (host, line), with map-side
+parts, so a host with a third of all rows is spread over its lines. Frequent lines are
+few: a host has at most (its lines / ``MIN_DOCS``) of them. They are joined by key, and a
+line that stands in many documents is a skewed key that Spark splits.
 """
 
 from __future__ import annotations
@@ -30,7 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 from entryflow.llm.common import (map_rows, shingle_hashes, squeeze_keys, stage, utf8,
                                   word_hashes)
 from entryflow.llm.graph import components
-from entryflow.llm.substring_dedup import band_members, mixed_pairs, similar_pairs, tune_bands
+from entryflow.llm.substring_dedup import band_members, similar_pairs, tune_bands
 
 #: A line is boilerplate in more than this share of a host's documents ...
 MAX_SHARE = 0.1
@@ -38,8 +36,9 @@ MAX_SHARE = 0.1
 MIN_DOCS = 10
 #: or in this many of them, however large the host is.
 MAX_DOCS = 30
-#: Least windows of a text by which near copies are told.
-SAMPLE = 128
+#: Words of the windows by which near copies are told, and texts of a band's key that the
+#: others are compared with.
+WINDOW, PIVOTS = 5, 8
 #: A document that loses more than this share of its words is depleted.
 MAX_LOST = 0.5
 #: Base rules: fewest words, and the largest share of repeated words in percent.
@@ -61,19 +60,30 @@ def line_hashes(text: str | None) -> tuple[np.ndarray, list[int]]:
     return np.array(hashes, dtype=np.uint64).view(np.int64), counts
 
 
+def _twice(hashes: np.ndarray) -> np.ndarray | None:
+    """Which values stand there more than once; None if none does."""
+    ordered = np.sort(hashes)
+    if not (ordered[1:] == ordered[:-1]).any():
+        return None
+    order = np.argsort(hashes)
+    same = hashes[order[1:]] == hashes[order[:-1]]
+    out = np.zeros(len(hashes), dtype=bool)
+    out[order[1:][same]] = out[order[:-1][same]] = True
+    return out
+
+
 def measures(text: str | None) -> dict[str, int]:
     """Words, their code points, signs, repeated lines, and words in repeated 3-word windows."""
-    h = word_hashes(utf8(text))
+    data = utf8(text)
+    h = word_hashes(data)
     seen, dup_lines = set(), 0
-    for line in utf8(text).split(b"\n"):
-        if line.split():
+    for line in data.split(b"\n"):
+        if line.split(None, 1):
             dup_lines += line in seen
             seen.add(line)
     repeated = 0
-    if len(h) >= 4:
-        _, inverse, counts = np.unique(shingle_hashes(h, 3), return_inverse=True,
-                                       return_counts=True)
-        twice = counts[inverse] > 1
+    twice = _twice(shingle_hashes(h, 3)) if len(h) >= 4 else None
+    if twice is not None:
         inside = np.zeros(len(h), dtype=bool)
         for i in range(3):
             inside[i:i + len(twice)] |= twice
@@ -84,86 +94,92 @@ def measures(text: str | None) -> dict[str, int]:
             "n_dup_lines": dup_lines, "n_repeat_words": repeated}
 
 
-def text_sketch(text: str | None, by_class: bool) -> tuple[int, bytes | None]:
-    """Hash of the lower-cased words in order, and the ``SAMPLE`` least 5-word windows.
+def text_hash(text: str | None) -> int:
+    """Hash of the lower-cased words in order."""
+    import xxhash
+    h = xxhash.xxh3_64_intdigest(b" ".join(utf8(text).lower().split()))
+    return h - (1 << 64) if h >> 63 else h
 
-    Without ``by_class``, the least window only.
-    """
-    h = word_hashes(utf8(text), lower=True)
-    if not len(h):
-        return 0, None
-    if not by_class:
-        return int(shingle_hashes(h, 5).min().astype(np.int64)), None
-    windows = np.unique(shingle_hashes(h, 5))[:SAMPLE]
-    return int(shingle_hashes(h, len(h)).view(np.int64)[0]), squeeze_keys(windows)
+
+def _source_rows(docs: DataFrame, text_col: str, *columns) -> DataFrame:
+    """Texts with ``raw``, by which a second reading finds them again."""
+    return docs.select(*columns, F.col(text_col).alias("text"), F.xxhash64(text_col).alias("raw"))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-         host_col: str = "source", row_col: str | None = None,
-         by_class: bool = False) -> DataFrame:
-    """Measures, text hash (or least window), least windows and line hashes of every document, without its text.
+         host_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """Measures, text hash and line hashes of every document, without its text.
 
     Written to the shared folder. ``row`` numbers the rows, or is ``row_col``.
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
     def run(cols):
-        out = {k: [] for k in [*names, "sketch", "shingles", "lines", "line_words"]}
+        out = {k: [] for k in [*names, "sketch", "lines", "line_words"]}
         for text in cols["text"]:
             for k, v in measures(text).items():
                 out[k].append(v)
             hashes, counts = line_hashes(text)
-            hash_, windows = text_sketch(text, by_class)
-            out["sketch"].append(hash_)
-            out["shingles"].append(windows)
+            out["sketch"].append(text_hash(text))
             out["lines"].append(hashes)
             out["line_words"].append(counts)
-        return {"id": cols["id"], "host": cols["host"], "at": cols["at"], **out}
+        return {"id": cols["id"], "host": cols["host"], "at": cols["at"], "raw": cols["raw"], **out}
 
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"),
-                       F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"),
-                       (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("at"))
-    schema = ("id long, host string, at long, " + ", ".join(f"{n} long" for n in names)
-              + ", sketch long, shingles binary, lines array<long>, line_words array<int>")
+    rows = _source_rows(docs, text_col, F.col(id_col).cast("long").alias("id"),
+                        F.coalesce(F.col(host_col).cast("string"), F.lit("\0")).alias("host"),
+                        (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("at"))
+    schema = ("id long, host string, at long, raw long, " + ", ".join(f"{n} long" for n in names)
+              + ", sketch long, lines array<long>, line_words array<int>")
     row = F.col("at") if row_col else F.monotonically_increasing_id()
     return stage(map_rows(rows, run, schema).withColumn("row", row).drop("at"), "quality_scan")
 
 
-def near_classes(scanned: DataFrame) -> DataFrame:
-    """``sketch, label`` of the texts that have near copies."""
-    sets = stage(scanned.where("shingles is not null").select(F.col("sketch").alias("hash"), "shingles")
-                 .dropDuplicates(["hash"]), "quality_sets")
+def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
+    """``sketch, label`` of the texts ``wanted`` (``raw, sketch``, a row for each sketch) that have
+    near copies among them.
+
+    In each band, a key's texts are compared with ``PIVOTS`` of them at most, chosen by hashes
+    that differ from key to key, so that texts which one pivot does not connect meet others.
+    """
     bands, band_rows = tune_bands()
+
+    def windows(cols):
+        # copies of a text in one batch give one set
+        texts = dict(zip(cols["sketch"], cols["text"]))
+        sets = [np.unique(shingle_hashes(word_hashes(utf8(t), lower=True), WINDOW)) for t in texts.values()]
+        return {"hash": list(texts), "shingles": [squeeze_keys(s) for s in sets]}
+
+    texts = _source_rows(docs, text_col).join(wanted, "raw").where("text is not null").select("text", "sketch")
+    sets = stage(map_rows(texts, windows, "hash long, shingles binary").dropDuplicates(["hash"]), "quality_sets")
     members = stage(band_members(sets, bands, band_rows), "quality_members")
-    pivots = members.groupBy("key").agg(F.min("hash").alias("a"), F.count(F.lit(1)).alias("m"))
-    pairs = stage(members.join(pivots.where("m > 1"), "key").where("a <> hash")
-                  .select("a", F.col("hash").alias("b")).distinct(), "quality_pairs")
+    chosen = [F.min(F.struct(F.xxhash64("hash", "key", F.lit(i)).alias("by"), F.col("hash").alias("a")))
+              for i in range(PIVOTS)]
+    pivots = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.array(*chosen).alias("pivots"))
+                   .where("m > 1").select("key", F.explode(F.array_distinct("pivots.a")).alias("a")),
+                   "quality_pivots")
+    pairs = stage(members.join(pivots, "key").where("a <> hash")
+                  .select(F.least("a", "hash").alias("a"), F.greatest("a", "hash").alias("b")).distinct(),
+                  "quality_pairs")
     near = stage(similar_pairs(sets, pairs), "quality_links")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct()
-    more = stage(mixed_pairs(sets.join(wanted, "hash", "left_semi"), components(near), bands, band_rows),
-                 "quality_more")
-    return components(near.union(more)).withColumnRenamed("node", "sketch")
+    return components(near).withColumnRenamed("node", "sketch")
 
 
-def frequent_lines(scanned: DataFrame, max_share: float = MAX_SHARE, min_docs: int = MIN_DOCS,
-                   max_docs: int = MAX_DOCS, by_class: bool = False) -> DataFrame:
+def frequent_lines(scanned: DataFrame, docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE,
+                   min_docs: int = MIN_DOCS, max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, line) above one of the host's limits, with the distinct documents it stands in."""
-    labels = near_classes(scanned) if by_class else None
-
-    def classes(rows, *by):
-        """Number of classes of ``rows`` by columns."""
-        known = (rows.withColumn("class", F.col("sketch")) if labels is None else
-                 rows.join(labels, "sketch", "left").withColumn("class", F.coalesce("label", "sketch")))
-        return (known.groupBy(*by, "class").agg(F.lit(1).alias("one"))
-                .groupBy(*by).agg(F.count(F.lit(1)).alias("docs")))
-
-    per_host = classes(scanned.select("host", "sketch").distinct(), "host") \
-        .withColumnRenamed("docs", "host_docs")
-    lines = scanned.select("host", "sketch", F.explode("lines").alias("line"))
-    often = stage(lines.groupBy("host", "line", "sketch").agg(F.lit(1).alias("one"))
-                  .groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
+    per_host = (scanned.groupBy("host", "sketch").agg(F.lit(1).alias("one"))
+                .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
+    lines = (scanned.select("host", "sketch", F.explode("lines").alias("line"))
+             .groupBy("host", "line", "sketch").agg(F.lit(1).alias("one")))
+    often = stage(lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
                   .where(F.col("texts") >= min_docs).select("host", "line"), "quality_often")
-    per_line = (classes(lines.join(often, ["host", "line"]).distinct(), "host", "line")
+    holding = stage(lines.join(often, ["host", "line"]).select("host", "line", "sketch"), "quality_holding")
+    some = scanned.select("sketch", "raw").join(holding.select("sketch").distinct(), "sketch", "left_semi")
+    wanted = stage(some.groupBy("sketch").agg(F.min("raw").alias("raw")), "quality_wanted")
+    labels = near_classes(docs, wanted, text_col)
+    per_line = (holding.join(labels, "sketch", "left").withColumn("class", F.coalesce("label", "sketch"))
+                .groupBy("host", "line", "class").agg(F.lit(1).alias("one"))
+                .groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
                 .where(F.col("docs") >= min_docs))
     return (per_line.join(per_host, "host")
             .where((F.col("docs") > max_share * F.col("host_docs")) | (F.col("docs") >= max_docs))
@@ -171,8 +187,7 @@ def frequent_lines(scanned: DataFrame, max_share: float = MAX_SHARE, min_docs: i
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          host_col: str = "source", row_col: str | None = None,
-          by_class: bool = False) -> DataFrame:
+          host_col: str = "source", row_col: str | None = None) -> DataFrame:
     """Measures and verdict of every document, and the numbers of its lines to remove.
 
     Columns: ``row, id, n_words, word_chars, n_symbols, n_dup_lines,
@@ -182,9 +197,9 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     null ids and repeated rows are judged row by row (repeated texts count
     once in line counts); an empty table gives no rows.
     """
-    scanned = scan(docs, id_col, text_col, host_col, row_col, by_class)
+    scanned = scan(docs, id_col, text_col, host_col, row_col)
     # written, so that both sides of the join are plain shuffles that AQE can split
-    frequent = stage(frequent_lines(scanned, by_class=by_class), "quality_lines")
+    frequent = stage(frequent_lines(scanned, docs, text_col), "quality_lines")
     lines = scanned.select("row", "host", F.posexplode(F.arrays_zip("lines", "line_words"))
                            .alias("number", "l")).select("row", "host", "number", "l.*")
     lost = (lines.join(frequent, (lines["host"] == frequent["host"])
@@ -194,7 +209,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT * F.col("n_words"))
     n_lost = F.coalesce("n_lost", F.lit(0)).cast("long")
-    return (scanned.drop("host", "sketch", "shingles", "lines", "line_words").join(lost, "row", "left")
+    return (scanned.drop("host", "sketch", "raw", "lines", "line_words").join(lost, "row", "left")
             .select("row", "id", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                     "n_repeat_words", failed.alias("base_failed"),
                     (~failed & (n_lost <= MAX_LOST * F.col("n_words"))).alias("kept"),

@@ -2,7 +2,6 @@ import random
 import re
 from collections import defaultdict
 
-from entryflow.llm.common import shingle_hashes, word_hashes
 from entryflow.llm.quality import judge, measures, without_lines
 from helpers import ODD, documents, with_clashing, words
 
@@ -62,19 +61,38 @@ def fixture(rng):
     return texts, sources
 
 
+def windows_of(text):
+    ws = text.lower().split()
+    return {tuple(ws[i:i + 5]) for i in range(max(1, len(ws) - 4))}
+
+
+def classes_of(texts):
+    """Classes of texts by links of a Jaccard similarity of 0.8 or more; every pair is compared."""
+    sets, label = {t: windows_of(t) for t in texts}, {t: t for t in texts}
+    for a in texts:
+        for b in texts:
+            both = len(sets[a] & sets[b])
+            if a < b and label[a] != label[b] and both >= 0.8 * (len(sets[a]) + len(sets[b]) - both):
+                old, new = label[b], label[a]
+                label = {t: new if x == old else x for t, x in label.items()}
+    return label
+
+
 def lost_words(texts, sources):
-    """Words in lines of more than a tenth, and ten, of a host's distinct documents."""
-    documents_of, with_line, lines_of = defaultdict(set), defaultdict(set), {}
-    for i, (text, host) in enumerate(zip(texts, sources)):
-        ws = text.lower().split()
-        sketch = int(shingle_hashes(word_hashes(" ".join(ws).encode()), 5).min())
-        documents_of[host].add(sketch)
-        lines_of[i] = [" ".join(re.sub("[0-9]", "0", x).lower().split()) for x in text.split("\n")]
-        for line in lines_of[i]:
-            with_line[host, line].add(sketch)
-    return {i: sum(len(x.split()) for x in lines
-                   if len(with_line[sources[i], x]) >= max(10, 0.1 * len(documents_of[sources[i]]) + 1e-9))
-            for i, lines in lines_of.items()}
+    """Words in lines of more than a tenth, and ten, of a host's distinct documents, or of 30:
+    texts by their lower-cased words, near copies (of those with a line of ten texts) as one."""
+    plain = [" ".join(t.lower().split()) for t in texts]
+    lines_of = [[" ".join(re.sub("[0-9]", "0", x).lower().split()) for x in t.split("\n")] for t in texts]
+    texts_of, with_line = defaultdict(set), defaultdict(set)
+    for text, lines, host in zip(plain, lines_of, sources):
+        texts_of[host].add(text)
+        for line in filter(None, lines):
+            with_line[host, line].add(text)
+    often = {k: t for k, t in with_line.items() if len(t) >= 10}
+    label = classes_of(sorted(set().union(*often.values())) if often else [])
+    n = {k: len({label[t] for t in found}) for k, found in often.items()}
+    bad = {(h, x) for (h, x), m in n.items() if m >= 10 and (10 * m > len(texts_of[h]) or m >= 30)}
+    return [sum(len(x.split()) for x in lines if (host, x) in bad) for lines, host in zip(lines_of, sources)]
 
 
 def test_line_frequency_per_host(spark):
@@ -88,7 +106,7 @@ def test_line_frequency_per_host(spark):
         elif sources[i] != "h3":
             assert r.kept and r.n_lost_words == 0
     want = lost_words(texts, sources)
-    assert {i: r.n_lost_words for i, r in got.items()} == want
+    assert [got[i].n_lost_words for i in range(len(texts))] == want
     assert all(r.kept == (want[i] <= 0.5 * r.n_words) for i, r in got.items())
     assert sum(not r.kept for r in got.values()) > 30
 
@@ -113,7 +131,7 @@ def test_documents_of_a_template_count_one_by_one(spark):
     rng = random.Random(7)
     template = [words(rng, 10) for _ in range(14)]
     texts = ["\n".join([*template, words(rng, 60)]) if i < 20 else words(rng, 60) for i in range(130)]
-    got = {r.id: r for r in judge(documents(spark, texts, sources=["h"] * 130), by_class=True).collect()}
+    got = {r.id: r for r in judge(documents(spark, texts, sources=["h"] * 130)).collect()}
     assert all((r.kept, r.n_lost_words) == ((False, 140) if i < 20 else (True, 0))
                for i, r in got.items())
 
@@ -122,5 +140,31 @@ def test_near_copies_count_once(spark):
     rng = random.Random(8)
     text = ["\n".join(words(rng, 20) for _ in range(10)) for _ in range(2)]
     texts = [f"{text[i % 2]}\n{words(rng, 6)}" for i in range(80)]
-    got = judge(documents(spark, texts, sources=["h"] * 80), by_class=True).collect()
+    got = judge(documents(spark, texts, sources=["h"] * 80)).collect()
     assert all(r.kept and r.n_lost_words == 0 for r in got)
+
+
+def test_template_families_and_copies_by_brute_force(spark):
+    rng = random.Random(21)
+    lines = [words(rng, 12) for _ in range(12)]
+    texts, sources = [], []
+    for family in range(4):  # members of a family from far apart to nearly equal
+        base = [words(rng, 9) for _ in range(10)]
+        for i in range(30):
+            own = [words(rng, 9) if rng.random() < family / 6 else x for x in base]
+            texts.append("\n".join([*own, *rng.sample(lines, 2)]))
+            sources.append(rng.choice(("h", "h", "g")))
+    texts += texts[:15] + [t.upper() for t in texts[15:25]]
+    sources += ["h"] * 25
+    got = {r.id: r for r in judge(documents(spark, texts, sources=sources)).collect()}
+    want = lost_words(texts, sources)
+    assert [got[i].n_lost_words for i in range(len(texts))] == want and len(set(want)) > 3
+
+
+def test_long_texts(spark):
+    rng = random.Random(22)
+    foot = words(rng, 8)
+    texts = [f"{words(rng, 20_000)}\n{foot}" for _ in range(12)] + ["x" * 1_000_000, "a b " * 250_000]
+    got = {r.id: r for r in judge(documents(spark, texts, sources=["h"] * len(texts))).collect()}
+    assert all(got[i].drop_lines == [1] and got[i].kept for i in range(12))
+    assert got[12].base_failed and got[13].n_repeat_words == 500_000

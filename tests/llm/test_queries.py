@@ -8,7 +8,7 @@ from entryflow.llm.queries import QUERIES
 from entryflow.session import build_session  # noqa: F401  (the package's session helper stays importable)
 from test_katz import BruteForce
 from test_ngram_join import brute_force, shingles
-from test_quality import brute_force as measures
+from test_quality import brute_force as measures, lost_words
 from test_secret_scan import brute_force as spans
 
 SF = "/root/testdata/sf0.001"
@@ -36,6 +36,12 @@ def test_op1(spark, docs):
         assert {k: r[k] for k in want} == want
         assert r.base_failed == (r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words)
         assert not (r.base_failed and r.kept)
+    rows = list(docs.values())
+    lost = lost_words([r.text or "" for r in rows], [r.source for r in rows])
+    got = {r.doc_id: r for r in QUERIES["op1_quality_rules"](spark, SF).collect()}
+    assert [got[r.doc_id].n_lost_words for r in rows] == lost
+    assert all(got[r.doc_id].kept == (not got[r.doc_id].base_failed and n <= 0.5 * got[r.doc_id].n_words)
+               for r, n in zip(rows, lost))
 
 
 def test_op2(spark):

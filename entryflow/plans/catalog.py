@@ -237,7 +237,7 @@ def cogroup_stream(spark, sf):
     kv = dt.entries_kv(spark, sf)
     run = scratch_path(spark, "runs", "cogroup")
     src = {"source": "parquet", "path": f"{run}/input", "options": {"maxFilesPerTrigger": "1"}}
-    kv = kv.repartition(6, "key")
+    kv = kv.repartition(3, "key")
     for half in (F.crc32("key") % 2 == 0, F.crc32("key") % 2 == 1):
         kv.where(half).write.mode("append").parquet(f"{run}/input")
         jobs.run_cogroup(spark, src, f"{run}/counts", f"{run}/checkpoint", "available_now").awaitTermination()

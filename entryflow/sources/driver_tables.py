@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from entryflow.functions.keys import day_key, email_from_name, entry_key, epoch_seconds
 from entryflow.operators.numbering import assign_numbers
 from entryflow.operators.payload import to_records
+from entryflow.schemas import KV_SCHEMA
 from entryflow.session import scratch_path
 
 # The daily promotion offers (promotion text, participation
@@ -85,10 +86,22 @@ def entries(spark: SparkSession, sf_dir: str) -> DataFrame:
                            "event_id")
 
 
+_RECORDS_WRITTEN: dict[tuple[str, str], str] = {}
+
+
 def entries_kv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Entry records as a topic carries them: ``key, value`` strings."""
-    e = entries(spark, sf_dir).withColumnRenamed("participation_number", "participationnumber")
-    return to_records(e, entry_key("day", "participationnumber"), ENTRY_PAYLOAD_FIELDS)
+    """Entry records as a topic carries them: ``key, value`` strings.
+
+    A topic is stored: the records are numbered and written once per session and
+    source, and read back by whoever consumes them.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _RECORDS_WRITTEN:
+        e = entries(spark, sf_dir).withColumnRenamed("participation_number", "participationnumber")
+        path = scratch_path(spark, "tables", "entry_records")
+        to_records(e, entry_key("day", "participationnumber"), ENTRY_PAYLOAD_FIELDS).write.parquet(path)
+        _RECORDS_WRITTEN[key] = path
+    return spark.read.schema(KV_SCHEMA).parquet(_RECORDS_WRITTEN[key])
 
 
 def promotion_days(spark: SparkSession, sf_dir: str) -> DataFrame:

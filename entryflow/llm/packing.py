@@ -78,7 +78,7 @@ class ChunkIds:
     """
 
     #: Chunks remembered, and bytes of text cut at a time.
-    MEMO, SLICE = 120_000, 2_000_000
+    MEMO, SLICE = 120_000, 4_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer

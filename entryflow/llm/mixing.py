@@ -78,7 +78,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, share: fl
         sums = table.agg(F.sum(F.when(~free, F.col("limit"))).alias("held"),
                          F.sum(F.when(free, F.col("weight"))).alias("weight")).first()
         new = (share * whole - (sums["held"] or 0.0), sums["weight"] or 1.0)
-        if new == level:
+        # what is left for a unit of weight only grows; rounding must not turn it back
+        if level is not None and new[0] * level[1] <= level[0] * new[1]:
             break
         level = new
     target = F.when(_above(level), F.col("limit")).otherwise(_share(level))

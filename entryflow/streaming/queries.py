@@ -10,6 +10,7 @@ the query's id and its number.
 from __future__ import annotations
 
 import time
+from collections import deque
 from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -81,13 +82,18 @@ def stop_gracefully(query: StreamingQuery, timeout_s: float = 120.0, poll_s: flo
 
 def tail_stream(df: DataFrame, name: str, checkpoint: str, rows: int = 1000,
                 trigger: str | None = None) -> StreamingQuery:
-    """Push query: temp view ``name`` shows up to ``rows`` rows of the latest
-    micro-batch that had any.  Nothing piles up on the driver."""
+    """Push query: temp view ``name`` shows the last rows that came, ``rows`` of them at most,
+    over as many micro-batches as they span: rows of a quick micro-batch stay in view until
+    that many newer ones have come.  (Of a single micro-batch with more rows, some ``rows`` are
+    shown.)  The driver holds no more than these."""
+    latest: deque = deque(maxlen=rows)
+
     def show(batch: DataFrame, batch_id: int) -> None:
-        latest = batch.limit(rows).collect()
-        if latest:
+        new = batch.limit(rows).collect()
+        if new:
+            latest.extend(new)
             spark = batch.sparkSession
-            spark.createDataFrame(latest, batch.schema).createOrReplaceGlobalTempView(name)
+            spark.createDataFrame(list(latest), batch.schema).createOrReplaceGlobalTempView(name)
 
     return triggered(df.writeStream.option("checkpointLocation", checkpoint).queryName(name),
                      trigger).foreachBatch(show).start()

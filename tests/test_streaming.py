@@ -155,6 +155,19 @@ def test_sync_to_table_and_tail(spark, tmp_dir):
     assert spark.table("global_temp.tail_entries").count() == 4
 
 
+def test_tail_keeps_rows_of_quick_micro_batches(spark, tmp_dir):
+    from entryflow.sources.topics import read_records_stream
+    from entryflow.streaming.queries import tail_stream
+    for i, name in enumerate("abc"):
+        write_json(f"{tmp_dir}/in", name, SAMPLE_RECORDS[2 * i:2 * i + 2])
+    stream = read_records_stream(spark, "json", f"{tmp_dir}/in", {"maxFilesPerTrigger": "1"})
+    for rows, seen in ((10, 6), (3, 3)):
+        t = tail_stream(stream, f"tail_{rows}", f"{tmp_dir}/tail{rows}", rows=rows)
+        t.processAllAvailable()
+        t.stop()
+        assert spark.table(f"global_temp.tail_{rows}").count() == seen
+
+
 def test_graceful_stop(spark, tmp_dir):
     from entryflow.streaming.queries import run_until_stopped, stop_gracefully
     write_json(f"{tmp_dir}/in", "a", SAMPLE_RECORDS)

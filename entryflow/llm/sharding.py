@@ -18,6 +18,8 @@ per partition. A block is at most ``BLOCK_ROWS`` rows, whatever the shard's size
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -26,6 +28,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from entryflow.llm.common import stage
 
 BLOCK_ROWS = 20_000
+#: Tasks that blocks are dealt to at most; below that, about a block a task.
+MOST_TASKS = 50_000
 #: numpy draws hypergeometric numbers below this population only.
 NUMPY_LIMIT = 1_000_000_000
 
@@ -123,36 +127,45 @@ def shard(docs: DataFrame, shards: int, seed: int = 42, block_rows: int = BLOCK_
     place = StructType([StructField("block", LongType()), StructField("rank", LongType())])
 
     @F.pandas_udf(place)
-    def dealt(at: pd.Series) -> pd.DataFrame:
+    def dealt(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         index, starts, sizes, _, _ = shared.value
-        at = at.to_numpy()
-        out = np.empty((len(at), 2), dtype=np.int64)
-        for p in np.unique(at >> 33):
-            i = index[int(p)]
-            sent, before = matrix_row(seed, starts, sizes, i)
-            block = np.repeat(np.arange(len(sizes)), sent)
-            cell = np.repeat(np.cumsum(sent) - sent, sent)
-            rank = before[block] + np.arange(len(block)) - cell
-            order = np.random.default_rng([seed, 1, i]).permutation(len(block))
-            here = at >> 33 == p
-            pos = order[at[here] & ((1 << 33) - 1)]
-            out[here, 0], out[here, 1] = block[pos], rank[pos]
-        return pd.DataFrame({"block": out[:, 0], "rank": out[:, 1]})
+        drawn = None  # a partition's row of the matrix and its order are drawn once
+        for at in parts:
+            at = at.to_numpy()
+            out = np.empty((len(at), 2), dtype=np.int64)
+            for p in np.unique(at >> 33).tolist():
+                i = index[p]
+                if drawn is None or drawn[0] != i:
+                    sent, before = matrix_row(seed, starts, sizes, i)
+                    block = np.repeat(np.arange(len(sizes)), sent)
+                    cell = np.repeat(np.cumsum(sent) - sent, sent)
+                    rank = before[block] + np.arange(len(block)) - cell
+                    order = np.random.default_rng([seed, 1, i]).permutation(len(block))
+                    drawn = i, block[order], rank[order]
+                here = at >> 33 == p
+                pos = at[here] & ((1 << 33) - 1)
+                out[here, 0], out[here, 1] = drawn[1][pos], drawn[2][pos]
+            yield pd.DataFrame({"block": out[:, 0], "rank": out[:, 1]})
 
     spot = StructType([StructField("shard", IntegerType()), StructField("slot", LongType())])
 
     @F.pandas_udf(spot)
-    def permuted(block: pd.Series, rank: pd.Series) -> pd.DataFrame:
+    def permuted(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         _, _, sizes, firsts, of_shard = shared.value
-        block, rank = block.to_numpy(), rank.to_numpy()
-        slots = np.empty(len(block), dtype=np.int64)
-        for b in np.unique(block):
-            order = np.random.default_rng([seed, 2, int(b)]).permutation(int(sizes[b]))
-            slots[block == b] = firsts[b] + order[rank[block == b]]
-        return pd.DataFrame({"shard": of_shard[block], "slot": slots})
+        drawn = None  # rows come block by block
+        for block, rank in parts:
+            block, rank = block.to_numpy(), rank.to_numpy()
+            slots = np.empty(len(block), dtype=np.int64)
+            for b in np.unique(block).tolist():
+                if drawn is None or drawn[0] != b:
+                    drawn = b, np.random.default_rng([seed, 2, b]).permutation(int(sizes[b]))
+                here = block == b
+                slots[here] = firsts[b] + drawn[1][rank[here]]
+            yield pd.DataFrame({"shard": of_shard[block], "slot": slots})
 
     dealt_rows = rows.withColumn("to", dealt("at")).select("row", "to.block", "to.rank")
-    placed = (dealt_rows.repartition("block").sortWithinPartitions("block")
+    tasks = max(1, min(len(plan), MOST_TASKS))
+    placed = (dealt_rows.repartition(tasks, "block").sortWithinPartitions("block")
               .withColumn("spot", permuted("block", "rank")))
     return (placed.select("row", "spot.shard", "spot.slot")
             .sortWithinPartitions("shard", "slot"))

@@ -92,3 +92,16 @@ def test_op12(spark):
         rows.setdefault(r.conv_id, []).append(tuple(r))
     got = QUERIES["op12_conversations"](spark, SF).collect()
     assert {r.conv_id: tuple(r)[1:] for r in got} == {c: brute_force(damaged(x)) for c, x in rows.items()}
+
+
+def test_op6(spark, docs):
+    import zlib
+    rows = QUERIES["op6_sharding"](spark, SF).collect()
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    slots = {}
+    for r in rows:
+        data = (docs[r.doc_id].text or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 16, zlib.crc32(data), "rows", None)
+        slots.setdefault(r.shard, []).append(r.slot)
+    assert sorted(slots) == list(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1

@@ -73,3 +73,16 @@ def test_places_are_uniform(spark):
     for seed in range(40):
         seen.update((r.row.text, r.shard) for r in sharding.shard(df, 2, seed=seed).collect())
     assert all(6 <= seen[t, s] <= 34 for t in "abcdef" for s in (0, 1))
+
+
+def test_a_partition_is_drawn_once(spark):
+    """Several Arrow batches of one partition, several partitions of one task."""
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    df = documents(spark, [f"t{i}" for i in range(900)], partitions=4)
+    want = sorted((r.row.doc_id, r.shard, r.slot) for r in sharding.shard(df, 5, block_rows=50).collect())
+    try:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+        got = sorted((r.row.doc_id, r.shard, r.slot) for r in sharding.shard(df, 5, block_rows=50).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == want and len({(s, k) for _, s, k in got}) == 900

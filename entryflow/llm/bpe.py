@@ -37,6 +37,10 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in own else next(spare)) for b in range(256)]
 
 
+def _unassigned(letter: str) -> bool:
+    return unicodedata.category(letter) == "Cn"
+
+
 class _Memo(dict):
     """Results of ``make``; of older ones, those that are still used stay."""
 
@@ -61,7 +65,9 @@ class WordBpe:
 
     def __init__(self, path: str):
         import regex
+        from tokenizers import Tokenizer
 
+        self.coder = Tokenizer.from_file(path)  # for its normalizer and pre-tokenizer
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -84,6 +90,7 @@ class WordBpe:
         #: ids of the 256 bytes inside a word and at its end
         self.inner = [self.vocab.get(x) for x in letters]
         self.final = [self.vocab.get(x + self.suffix) for x in letters]
+        self.byte_of = {x: b for b, x in enumerate(letters)}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
         self.spaces = regex.compile(r"\s+")
@@ -93,8 +100,10 @@ class WordBpe:
         self.chunks = _Memo(self.encode_chunk)
 
     def merge_word(self, word: str) -> tuple[int, ...]:
+        return self.merge_bytes(word.encode("utf-8", "surrogatepass"))
+
+    def merge_bytes(self, data: bytes) -> tuple[int, ...]:
         """Ids of one word: lowest merge rank first, leftmost among equals."""
-        data = word.encode("utf-8", "surrogatepass")
         ids = [self.inner[b] for b in data]
         ids[-1] = self.final[data[-1]]
         if None in ids:
@@ -130,10 +139,19 @@ class WordBpe:
 
     def encode_chunk(self, chunk: str) -> tuple[int, ...]:
         """Ids of text without white space and special tokens."""
+        if not chunk.isascii() and any(map(_unassigned, chunk)):
+            return tuple(chain.from_iterable(map(self.merge_bytes, self.library_words(chunk))))
         # lower-casing goes letter by letter: a final sigma is no special case
         text = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
         return tuple(chain.from_iterable(map(self.words.__getitem__, self.pattern.findall(text))))
 
+    def library_words(self, chunk: str) -> list[bytes]:
+        """Words of a chunk with letters that Python's tables do not know: case, composition
+        and letter classes are the library's."""
+        text = self.coder.normalizer.normalize_str(chunk)
+        return [bytes(map(self.byte_of.__getitem__, piece))
+                for piece, _ in self.coder.pre_tokenizer.pre_tokenize_str(text)]
+
     def _cut(self, text: str) -> list[str]:
         # str.split() also cuts at U+001C to U+001F, which the pattern counts as signs
         if any(c in text for c in "\x1c\x1d\x1e\x1f"):

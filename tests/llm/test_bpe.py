@@ -63,3 +63,14 @@ def test_documents_round_trip(spark, library):
         assert digests[r.id].ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert digests[r.id].decoded_sha256 == hashlib.sha256(text.encode()).hexdigest()
     assert encode_digests(df.limit(0), PATH).count() == 0
+
+
+@pytest.mark.parametrize("form", ["{}", "a{}", "{}b", "A{}b"])
+def test_every_letter_equals_library(own, library, form):
+    """All code points of the planes with letters, and some of each other plane, alone and between
+    letters; many of them are unassigned in Python's tables or in the library's."""
+    points = [*range(1, 0xD800), *range(0xE000, 0x32400), *range(0xE0000, 0xE0200)]
+    points += [p * 0x10000 + i for p in range(4, 17) for i in (0, 1, 0xFFF, 0xFFFD)]
+    for i in range(0, len(points), 2000):
+        text = "\n".join(form.format(chr(c)) for c in points[i:i + 2000])
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids

@@ -105,3 +105,36 @@ def test_op6(spark, docs):
         slots.setdefault(r.shard, []).append(r.slot)
     assert sorted(slots) == list(range(40)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_op4_and_op9(spark, docs):
+    """Against the tokenizers library on every document."""
+    import hashlib
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    coder = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    ids = {d: coder.encode(r.text or "", add_special_tokens=False).ids for d, r in docs.items()}
+
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    for r in QUERIES["op4_bpe"](spark, SF).collect():
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids[r.doc_id]), digest(" ".join(map(str, ids[r.doc_id]))),
+            digest(coder.decode(ids[r.doc_id], skip_special_tokens=False)))
+    taken, filled = {}, {}
+    for r in QUERIES["op9_packing"](spark, SF).collect():
+        whole = np.array([*ids[r.doc_id], 2], dtype="<u4")
+        assert r.doc_tokens == len(whole) and r.ids_crc32 == zlib.crc32(whole[r.start:r.start + r.length].tobytes())
+        taken.setdefault(r.doc_id, []).append((r.start, r.length))
+        filled.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for pieces, ends in [(p, len(ids[d]) + 1) for d, p in taken.items()] + [(p, None) for p in filled.values()]:
+        at = 0
+        for start, length in sorted(pieces):
+            assert start == at
+            at += length
+        assert at == ends if ends is not None else at <= 4096
+    assert set(taken) == set(docs)

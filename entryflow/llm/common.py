@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import threading
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
@@ -99,12 +100,21 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
         for b in batches:
             cols = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
             yield as_batch(cols, out)
-        # a worker lives on for other stages; what Arrow keeps for itself counts as theirs
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on for other stages, and what
+    Arrow and the C library keep for themselves counts as theirs."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # no such call in this C library
+        pass
+
+
 def as_batch(cols: dict[str, Iterable], schema: pa.Schema) -> pa.RecordBatch:
     arrays = [pa.array(cols[f.name], type=f.type) for f in schema]
     return pa.RecordBatch.from_arrays(arrays, schema=schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import as_batch, stage
+from entryflow.llm.common import as_batch, give_back, stage
 from entryflow.llm.word_merge import WordMerger, simple_words
 
 GROUP_PIECES = 20_000
@@ -78,7 +78,7 @@ class ChunkIds:
     """
 
     #: Chunks remembered, and bytes of text cut at a time.
-    MEMO, SLICE = 120_000, 4_000_000
+    MEMO, SLICE = 120_000, 2_000_000
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -131,14 +131,14 @@ class ChunkIds:
             self._learn(new)
         return list(map(self.memo.__getitem__, chunks))
 
-    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+    def encode(self, texts: pa.Array, slice_bytes: int = SLICE) -> Iterator[np.ndarray]:
         """The ids of each text, in order (null: none)."""
         texts = texts.fill_null("")
         sizes = np.cumsum(pc.binary_length(texts).to_numpy())
         a = 0
         while a < len(texts):
             done = sizes[a - 1] if a else 0
-            z = max(a + 1, int(np.searchsorted(sizes, done + self.SLICE, side="right")))
+            z = max(a + 1, int(np.searchsorted(sizes, done + slice_bytes, side="right")))
             yield from self._slice(texts.slice(a, z - a))
             a = z
 
@@ -170,11 +170,14 @@ def coder(path: str) -> ChunkIds:
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_ids: bool = False,
-                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                 id_col: str = "doc_id", text_col: str = "text",
+                 slice_bytes: int = ChunkIds.SLICE) -> DataFrame:
     """Pieces of every document's ids and its end id, in order.
 
     A null or empty text has the end id alone. With ``keep_ids`` a row also
-    carries its ids as ``array<int>``.
+    carries its ids as ``array<int>``. Null ids and repeated rows stay as they are;
+    an empty table gives no rows; a longer text than ``slice_bytes`` is a slice of
+    its own. More bytes of text cut at a time cost memory and save some time.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
@@ -184,7 +187,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_id
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, held = [], 0
-            for doc, ids in zip(batch.column(0).to_pylist(), coder(path).encode(batch.column(1))):
+            for doc, ids in zip(batch.column(0).to_pylist(), coder(path).encode(batch.column(1), slice_bytes)):
                 ids = np.append(ids, np.uint32(end_id))
                 for start in range(0, len(ids), capacity):
                     part = ids[start:start + capacity]
@@ -197,6 +200,7 @@ def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_id
             if rows:
                 yield as_batch(dict(zip(schema.names, zip(*rows))), schema)
             pa.default_memory_pool().release_unused()
+        give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"),
                        F.col(text_col).cast("string").alias("text"))

@@ -18,6 +18,8 @@ from entryflow.llm.common import table
 VOCABULARY = "word_bpe_49k.json"
 #: Id after the last id of every packed document, and tokens of a sequence.
 END_ID, SEQUENCE_TOKENS = 2, 4096
+#: Bytes of text that packing cuts at a time in its own query, which has its workers to itself.
+PACKING_SLICE = 4_000_000
 
 SHARDS = 40
 
@@ -83,7 +85,7 @@ def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS)
+    pieces = packing.token_pieces(docs, vocabulary_path(), END_ID, SEQUENCE_TOKENS, slice_bytes=PACKING_SLICE)
     return packing.pack(pieces, SEQUENCE_TOKENS)
 
 

@@ -7,7 +7,7 @@ that loses more than ``MAX_LOST`` of its words with such lines is depleted and
 rejected; from the others the lines are removed.
 
 Distinct documents are texts told apart by a hash of all their lower-cased words, and
-near copies of one text count once: of the texts that hold a line of ``MIN_DOCS`` texts (no
+near copies of one text count once: of the texts that hold a line above a limit (no
 other text can matter), those with a Jaccard similarity of 0.8 or more of all their 5-word
 windows are one class, found by MinHash bands and verified. So a much copied document
 does not make its own lines boilerplate, while documents that share a template but are no
@@ -38,7 +38,9 @@ MIN_DOCS = 10
 MAX_DOCS = 30
 #: Words of the windows by which near copies are told, and texts of a band's key that the
 #: others are compared with.
-WINDOW, PIVOTS = 5, 8
+WINDOW, PIVOTS = 5, 3
+#: Rows of two hashes (16 MB) that are sent to all tasks at most.
+BROADCAST_ROWS = 1_000_000
 #: A document that loses more than this share of its words is depleted.
 MAX_LOST = 0.5
 #: Base rules: fewest words, and the largest share of repeated words in percent.
@@ -138,8 +140,9 @@ def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") ->
     """``sketch, label`` of the texts ``wanted`` (``raw, sketch``, a row for each sketch) that have
     near copies among them.
 
-    In each band, a key's texts are compared with ``PIVOTS`` of them at most, chosen by hashes
-    that differ from key to key, so that texts which one pivot does not connect meet others.
+    In each band, a key's texts are compared with ``PIVOTS`` of them at most, chosen by as many
+    orders, so that texts which one pivot does not connect meet others; the orders are the same
+    in all bands, so a group of copies meets few pivots in all.
     """
     bands, band_rows = tune_bands()
 
@@ -149,10 +152,13 @@ def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") ->
         sets = [np.unique(shingle_hashes(word_hashes(utf8(t), lower=True), WINDOW)) for t in texts.values()]
         return {"hash": list(texts), "shingles": [squeeze_keys(s) for s in sets]}
 
+    # the texts need not move to be found while the table of hashes is small
+    if wanted.count() <= BROADCAST_ROWS:
+        wanted = F.broadcast(wanted)
     texts = _source_rows(docs, text_col).join(wanted, "raw").where("text is not null").select("text", "sketch")
     sets = stage(map_rows(texts, windows, "hash long, shingles binary").dropDuplicates(["hash"]), "quality_sets")
     members = stage(band_members(sets, bands, band_rows), "quality_members")
-    chosen = [F.min(F.struct(F.xxhash64("hash", "key", F.lit(i)).alias("by"), F.col("hash").alias("a")))
+    chosen = [F.min(F.struct(F.xxhash64("hash", F.lit(i)).alias("by"), F.col("hash").alias("a")))
               for i in range(PIVOTS)]
     pivots = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.array(*chosen).alias("pivots"))
                    .where("m > 1").select("key", F.explode(F.array_distinct("pivots.a")).alias("a")),
@@ -167,23 +173,28 @@ def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") ->
 def frequent_lines(scanned: DataFrame, docs: DataFrame, text_col: str = "text", max_share: float = MAX_SHARE,
                    min_docs: int = MIN_DOCS, max_docs: int = MAX_DOCS) -> DataFrame:
     """(host, line) above one of the host's limits, with the distinct documents it stands in."""
-    per_host = (scanned.groupBy("host", "sketch").agg(F.lit(1).alias("one"))
-                .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")))
-    lines = (scanned.select("host", "sketch", F.explode("lines").alias("line"))
-             .groupBy("host", "line", "sketch").agg(F.lit(1).alias("one")))
-    often = stage(lines.groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
-                  .where(F.col("texts") >= min_docs).select("host", "line"), "quality_often")
-    holding = stage(lines.join(often, ["host", "line"]).select("host", "line", "sketch"), "quality_holding")
+    per_host = stage(scanned.groupBy("host", "sketch").agg(F.lit(1).alias("one"))
+                     .groupBy("host").agg(F.count(F.lit(1)).alias("host_docs")), "quality_hosts")
+
+    def above(docs):
+        """Lines with so many documents that they are above a limit."""
+        count = F.col(docs)
+        return (count >= min_docs) & ((count > max_share * F.col("host_docs")) | (count >= max_docs))
+
+    lines = scanned.select("host", "sketch", F.explode("lines").alias("line"))
+    # classes can only lower a line's count, so no other line matters
+    often = stage(lines.groupBy("host", "line", "sketch").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count(F.lit(1)).alias("texts"))
+                  .where(F.col("texts") >= min_docs).join(per_host, "host").where(above("texts"))
+                  .select("host", "line"), "quality_often")
+    holding = stage(lines.join(often, ["host", "line"]).select("host", "line", "sketch").distinct(),
+                    "quality_holding")
     some = scanned.select("sketch", "raw").join(holding.select("sketch").distinct(), "sketch", "left_semi")
     wanted = stage(some.groupBy("sketch").agg(F.min("raw").alias("raw")), "quality_wanted")
     labels = near_classes(docs, wanted, text_col)
     per_line = (holding.join(labels, "sketch", "left").withColumn("class", F.coalesce("label", "sketch"))
                 .groupBy("host", "line", "class").agg(F.lit(1).alias("one"))
-                .groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs"))
-                .where(F.col("docs") >= min_docs))
-    return (per_line.join(per_host, "host")
-            .where((F.col("docs") > max_share * F.col("host_docs")) | (F.col("docs") >= max_docs))
-            .select("host", "line", "docs"))
+                .groupBy("host", "line").agg(F.count(F.lit(1)).alias("docs")))
+    return per_line.join(per_host, "host").where(above("docs")).select("host", "line", "docs")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -80,7 +80,7 @@ def classes_of(texts):
 
 def lost_words(texts, sources):
     """Words in lines of more than a tenth, and ten, of a host's distinct documents, or of 30:
-    texts by their lower-cased words, near copies (of those with a line of ten texts) as one."""
+    texts by their lower-cased words, near copies (of those with such a line) as one."""
     plain = [" ".join(t.lower().split()) for t in texts]
     lines_of = [[" ".join(re.sub("[0-9]", "0", x).lower().split()) for x in t.split("\n")] for t in texts]
     texts_of, with_line = defaultdict(set), defaultdict(set)
@@ -88,7 +88,8 @@ def lost_words(texts, sources):
         texts_of[host].add(text)
         for line in filter(None, lines):
             with_line[host, line].add(text)
-    often = {k: t for k, t in with_line.items() if len(t) >= 10}
+    often = {(h, x): t for (h, x), t in with_line.items()
+             if len(t) >= 10 and (10 * len(t) > len(texts_of[h]) or len(t) >= 30)}
     label = classes_of(sorted(set().union(*often.values())) if often else [])
     n = {k: len({label[t] for t in found}) for k, found in often.items()}
     bad = {(h, x) for (h, x), m in n.items() if m >= 10 and (10 * m > len(texts_of[h]) or m >= 30)}

@@ -136,6 +136,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return stage(map_rows(rows, run, schema).withColumn("row", row).drop("at"), "quality_scan")
 
 
+def _sent(hashes: DataFrame) -> DataFrame:
+    """A written table of hashes, to be sent to the tasks that hold the texts, so that those need
+    not move, if it is small; if not, the planner chooses."""
+    return F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
+
+
 def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") -> DataFrame:
     """``sketch, label`` of the texts ``wanted`` (``raw, sketch``, a row for each sketch) that have
     near copies among them.
@@ -152,12 +158,10 @@ def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") ->
         sets = [np.unique(shingle_hashes(word_hashes(utf8(t), lower=True), WINDOW)) for t in texts.values()]
         return {"hash": list(texts), "shingles": [squeeze_keys(s) for s in sets]}
 
-    # the texts need not move to be found while the table of hashes is small
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = _source_rows(docs, text_col).join(wanted, "raw").where("text is not null").select("text", "sketch")
-    sets = stage(map_rows(texts, windows, "hash long, shingles binary").dropDuplicates(["hash"]), "quality_sets")
-    members = stage(band_members(sets, bands, band_rows), "quality_members")
+    texts = (_source_rows(docs, text_col).join(_sent(wanted), "raw").where("text is not null")
+             .select("text", "sketch"))
+    sets = stage(map_rows(texts, windows, "hash long, shingles binary"), "quality_sets")
+    members = stage(band_members(sets, bands, band_rows).distinct(), "quality_members")
     chosen = [F.min(F.struct(F.xxhash64("hash", F.lit(i)).alias("by"), F.col("hash").alias("a")))
               for i in range(PIVOTS)]
     pivots = stage(members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.array(*chosen).alias("pivots"))
@@ -166,6 +170,9 @@ def near_classes(docs: DataFrame, wanted: DataFrame, text_col: str = "text") ->
     pairs = stage(members.join(pivots, "key").where("a <> hash")
                   .select(F.least("a", "hash").alias("a"), F.greatest("a", "hash").alias("b")).distinct(),
                   "quality_pairs")
+    # most texts are in no pair; a set that several tasks made is needed once
+    paired = stage(pairs.select(F.explode(F.array("a", "b")).alias("hash")).distinct(), "quality_paired")
+    sets = stage(sets.join(_sent(paired), "hash", "left_semi").dropDuplicates(["hash"]), "quality_paired_sets")
     near = stage(similar_pairs(sets, pairs), "quality_links")
     return components(near).withColumnRenamed("node", "sketch")
 

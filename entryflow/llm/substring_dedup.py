@@ -141,12 +141,21 @@ def unit_rows(rows: DataFrame) -> DataFrame:
     return stage(map_rows(rows, run, UNIT), "units")
 
 
+def words_apart(text: str | None) -> bytes:
+    """The text in UTF-8, lower-cased, so that ``bytes.split`` cuts it into the words of ``paragraphs``."""
+    return utf8(_ODD_END.sub(lambda m: m[0] + " ", text or "")).lower()
+
+
 def line_shingles(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
-    """Hash and sorted distinct shingles of every line that is a unit."""
-    for _, sentences in paragraphs(text):
-        ws = [x for _, _, s in sentences for x in s]
+    """Hash and shingles, in order, of every line that is a unit (views of one array)."""
+    data = words_apart(text)
+    shingles = shingle_hashes(word_hashes(data), SHINGLE_WORDS)
+    at = 0
+    for line in data.split(b"\n"):
+        ws = line.split()
         if len(ws) >= UNIT_WORDS:
-            yield _hash(ws), np.unique(shingle_hashes(word_hashes(b" ".join(ws)), SHINGLE_WORDS))
+            yield _hash(ws), shingles[at:at + len(ws) - SHINGLE_WORDS + 1]
+        at += len(ws)
 
 
 # -- banding ---------------------------------------------------------------
@@ -191,7 +200,7 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
     schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
 
     def local(batches):
-        hashes, sets = {}, []
+        hashes, sets = {}, []  # minima need no distinct shingles
 
         def flush():
             keys = band_keys(sets, bands, band_rows).ravel()
@@ -200,14 +209,14 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             mine = pivot == member
             # a pair found here goes along with a key that spreads pairs evenly
             spread = np.where(mine, key, mix64(pivot.view(np.uint64) ^ mix64(member.view(np.uint64))))
-            return as_batch({"key": spread.view(np.int64), "a": pivot, "b": member}, schema)
+            return as_batch({"key": spread.view(np.int64), "a": pivot, "b": pivot ^ member}, schema)
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 for h, s in line_shingles(text):
                     if h not in hashes:
                         hashes[h] = None
-                        sets.append(s)
+                        sets.append(s.copy())
                 if len(sets) >= GATHER:
                     yield flush()
                     hashes, sets = {}, []
@@ -220,7 +229,8 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             key, a, b = (batch.column(i).to_numpy() for i in range(3))
             if not len(key):
                 continue
-            own = a == b
+            own = b == 0  # ``b`` is told apart from ``a``: zeros, the most of them, take no room
+            b = a ^ b
             k, m = key[own], a[own]
             first = np.ones(len(k), dtype=bool)
             first[1:] = k[1:] != k[:-1]
@@ -358,7 +368,7 @@ def mixed_pairs(sets: DataFrame, labels: DataFrame, bands: int, band_rows: int)
 
 def run_hashes(text: str | None) -> np.ndarray:
     """Hashes of all windows of ``RUN_WORDS`` words; the words are those of ``paragraphs``."""
-    h = word_hashes(utf8(_ODD_END.sub(lambda m: m[0] + " ", text or "")), lower=True)
+    h = word_hashes(words_apart(text))
     return shingle_hashes(h, RUN_WORDS) if len(h) >= RUN_WORDS else h[:0]
 
 
@@ -396,17 +406,66 @@ def run_pieces(at: np.ndarray, first: np.ndarray, cut: np.ndarray) -> list[tuple
 RUN = "id long, w_start int, w_end int, start int, end int, first long, kept boolean"
 
 
+def repeated_picks(rows: DataFrame) -> DataFrame:
+    """``id long, at int``: picked windows whose hash several documents hold.
+
+    One exchange by hash. What repeats within a batch of texts is known at once: a
+    single row of it goes to the hash's task, the others are spread evenly.
+    """
+    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("at", pa.int32()),
+                        ("known", pa.bool_())])
+    found = pa.schema([("id", pa.int64()), ("at", pa.int32())])
+
+    def pick(batches):
+        for batch in batches:
+            hashes, places = [], []
+            for text in batch.column(1).to_pylist():
+                windows = run_hashes(text)
+                places.append(picked(windows))
+                hashes.append(windows[places[-1]])
+            key, at = _joined(hashes, np.uint64).view(np.int64), _joined(places, np.int32)
+            doc = _of_rows(batch.column(0).to_pylist(), places)
+            if not len(key):
+                continue
+            order = np.lexsort((doc, key))
+            key, doc, at = key[order], doc[order], at[order]
+            starts, ends = _spans(key)
+            known = np.repeat(doc[starts] != doc[ends - 1], ends - starts)
+            apart = known.copy()
+            apart[starts] = False
+            key[apart] = mix64(key[apart].view(np.uint64) ^ mix64(doc[apart].view(np.uint64))).view(np.int64)
+            yield as_batch({"key": key, "id": doc, "at": at, "known": known}, schema)
+
+    def decide(batches):
+        undecided, repeats = None, None  # rows of the last key; the last key, if it repeats
+        for batch in batches:
+            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+            if undecided is not None:
+                cols = [np.concatenate(x) for x in zip(undecided, cols)]
+            key, doc, at, known = cols
+            if not len(key):
+                continue
+            starts, ends = _spans(key)
+            hit = np.logical_or.reduceat(known, starts) | (doc[starts] != doc[ends - 1])
+            hit[0] |= repeats is not None and key[0] == repeats
+            mine = np.repeat(hit, ends - starts)
+            undecided = None if hit[-1] else [x[starts[-1]:] for x in cols]
+            repeats = key[-1] if hit[-1] else None
+            yield as_batch({"id": doc[mine], "at": at[mine]}, found)
+
+    sent = rows.select("id", "text").mapInArrow(pick, "key long, id long, at int, known boolean")
+    return (sent.repartition("key").sortWithinPartitions("key", F.desc("known"), "id")
+            .mapInArrow(decide, "id long, at int"))
+
+
+def _spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of equal keys."""
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return starts, np.append(starts[1:], len(keys))
+
+
 def shared_runs(rows: DataFrame) -> DataFrame:
     """Runs of words that stand in several documents, cut where their first document changes."""
-    def pick(cols):
-        hashes, places = [], []
-        for text in cols["text"]:
-            windows = run_hashes(text)
-            places.append(picked(windows))
-            hashes.append(windows[places[-1]])
-        return {"id": _of_rows(cols["id"], places),
-                "hash": _joined(hashes, np.uint64).view(np.int64), "at": _joined(places, np.int32)}
-
     def around(cols):
         hashes, places, again = [], [], []
         for text, near in zip(cols["text"], cols["near"]):
@@ -454,11 +513,9 @@ def shared_runs(rows: DataFrame) -> DataFrame:
             yield as_batch(found, out)
 
     with STAGED.watched() as done:
-        picks = stage(map_rows(rows, pick, "id long, hash long, at int"), "passage_picks")
-        # written, so that both sides of the joins are plain shuffles that AQE can split
-        common = stage(repeated(picks).select("hash"), "passage_common")
-        near = stage(picks.join(common, "hash").groupBy("id").agg(F.collect_set("at").alias("near")),
+        near = stage(repeated_picks(rows).groupBy("id").agg(F.collect_set("at").alias("near")),
                      "passage_near")
+        # written, so that both sides of the joins are plain shuffles that AQE can split
         windows = stage(map_rows(rows.join(near, "id").select("id", "text", "near"), around,
                                  "id long, hash long, at int, again boolean"), "passage_windows")
         _remove_all(done, windows)

@@ -263,7 +263,7 @@ def shingle_sets(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFra
                 if h in wanted:
                     wanted.discard(h)
                     out["hash"].append(h)
-                    out["shingles"].append(squeeze_keys(s))
+                    out["shingles"].append(squeeze_keys(np.unique(s)))
         return out
 
     return stage(map_rows(rows.join(stage(at, "passage_docs"), "id").select("text", "hashes"), sets_of,

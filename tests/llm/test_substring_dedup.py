@@ -195,3 +195,39 @@ def test_adjacent_passages_keep_their_classes(spark):
     got = S.repeated_regions(documents(spark, list(texts.values()), list(texts))).collect()
     assert {(r.id, r.component_id, texts[r.id][r.start:r.end].strip()) for r in got} == {
         (1, 1, a), (30, 1, a), (40, 1, a), (20, 20, b), (30, 20, b), (40, 20, b)}
+
+
+def test_shingles_that_a_line_repeats_count_once(spark):
+    rng = random.Random(13)
+    ws, again = bare(rng, 60).split(), bare(rng, 6)
+    lines = [" ".join([*ws[:20], *mid, again, again, again, *ws[20:]]) for mid in (["left"] * 9, ["right"] * 9)]
+    rows = documents(spark, lines).selectExpr("doc_id id", "text")
+    pairs = S.stage(S.candidate_pairs(rows, 200, 1), "passage_pairs")
+    sets = S.shingle_sets(rows, S.unit_rows(rows).where("line").select("hash", "id"), pairs)
+    x, y = (set(s.tolist()) for t in lines for _, s in S.line_shingles(t))
+    assert len(x & y) < S.SIMILARITY * len(x | y)
+    assert pairs.count() == 1 and S.similar_pairs(sets, pairs).count() == 0
+    assert {tuple(np.unique(S.expand_keys(r.shingles))) for r in sets.collect()} == {tuple(sorted(x)), tuple(sorted(y))}
+    assert all(len(S.expand_keys(r.shingles)) in (len(x), len(y)) for r in sets.collect())
+
+
+def test_picks_of_hot_hashes_cross_batches_and_tasks(spark):
+    rng = random.Random(14)
+    hot = bare(rng, 40)
+    texts = [f"{bare(rng, 30)} {hot} {bare(rng, 30)}" for _ in range(90)] + [None, "", "a b", hot + " " + hot]
+    texts += [bare(rng, 50) + " " + bare(rng, 3) for _ in range(20)]
+    held = {}
+    for i, t in enumerate(texts):
+        windows = S.run_hashes(t)
+        for at in S.picked(windows):
+            held.setdefault(int(windows[at]), set()).add((i, int(at)))
+    want = {p for places in held.values() if len({i for i, _ in places}) > 1 for p in places}
+    size = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for records in ("7", "10000"):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+            rows = documents(spark, texts, partitions=4).selectExpr("doc_id id", "text")
+            got = [tuple(r) for r in S.repeated_picks(rows).collect()]
+            assert len(got) == len(set(got)) and set(got) == want
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)

@@ -13,7 +13,7 @@ where only existence matters, and no join that fans out over a shared title.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from entryflow.functions.classify import LANGUAGE_RULES, NO_LANGUAGE, classify
 from entryflow.operators.ranking import running_total, top_distinct
@@ -21,6 +21,9 @@ from entryflow.sinks.bucketed import SLOT
 
 LANG = "programming_language"
 
+#: Languages that a row of ``title_languages`` holds.
+WORD_BITS = 63
+
 #: Rows of a title that a semi join against titles sees at most.
 TITLE_COPIES = 8
 
@@ -58,16 +61,27 @@ def posts_by_language(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
                  .orderBy(F.col("total_num_of_posts").desc(), F.col(LANG)))
 
 
+def labels_of(rules=LANGUAGE_RULES) -> list[str]:
+    """The rules' distinct labels, in order; the place of one is its bit in ``title_languages``."""
+    return list(dict.fromkeys(label for _, label in rules if label != NO_LANGUAGE))
+
+
 def title_languages(posts: DataFrame, rules=LANGUAGE_RULES) -> DataFrame:
-    """Distinct ``title, programming_language`` (not NA) of a title's tags.
+    """``title, word, langs``: the languages of a title's tags, as bits.
 
-    At most one row per title and rule (10 a title), however many posts share
-    the title, built with a map-side partial step.  The rows are partitioned
-    by (title, language), so a join on title shuffles both of its sides, and
-    a hot title is a skewed key that AQE splits.
+    One row a title (and one for each further ``WORD_BITS`` labels, told apart by ``word``), however
+    many posts share the title, built with a map-side partial step.  The rows are partitioned by
+    more than the title, so a join on title shuffles both of its sides, and a hot title is a skewed
+    key that AQE splits.
     """
+    bit, word = F.lit(None).cast("long"), F.lit(0)
+    for i, label in reversed(list(enumerate(labels_of(rules)))):
+        this = F.col(LANG) == label
+        bit = F.when(this, F.lit(1 << i % WORD_BITS).cast("long")).otherwise(bit)
+        word = F.when(this, F.lit(i // WORD_BITS)).otherwise(word)
     return (label_tags(posts, rules).where((F.col(LANG) != NO_LANGUAGE) & F.col("title").isNotNull())
-            .select("title", LANG).distinct())
+            .groupBy("title", F.xxhash64("title").alias("spread"), word.alias("word"))
+            .agg(F.bit_or(bit).alias("langs")).select("title", "word", "langs"))
 
 
 def _question_keys(questions: DataFrame, answers: DataFrame) -> tuple[list[str], list[str]]:
@@ -87,27 +101,43 @@ def first_answer_days(posts: DataFrame, questions: DataFrame, answers: DataFrame
     their first date per question before they are joined, so no join
     multiplies rows over a shared title or a question's answers.
 
+    A question's languages stay one row, as bits, until the days are known. Of
+    several rows of an id, in order of date, each keeps the languages that are new:
+    a running OR over rows that the join sorts by id anyway, so no task holds a table
+    of its ids.
+
     Of tables stored by question (``sinks.bucketed``), the answers are reduced
     and joined where they lie; give their number of buckets as ``buckets``.
     """
     langs = title_languages(posts, rules)
     ids, parents = _question_keys(questions, answers)
-    q = questions.select(*ids, "title", "creation_date").where(F.col("id").isNotNull())
-    # partitioned by id once: both the (id, language) aggregate and the join
-    # with the first answers (keyed by question id) use this partitioning
-    per_q = q.join(langs, "title", "inner").select(*ids, "creation_date", LANG)
+    # without a date there are no days
+    q = (questions.select(*ids, "title", F.col("creation_date").alias("post_date"))
+         .where(F.col("id").isNotNull() & F.col("post_date").isNotNull()))
+    # partitioned and sorted by id once, for the running OR and the join with the
+    # first answers (keyed by question id)
+    per_q = q.join(langs, "title", "inner").select(*ids, "word", "post_date", "langs")
     per_q = per_q.repartition(buckets, *ids) if buckets else per_q.repartition(*ids)
-    per_q = per_q.groupBy(*ids, LANG).agg(F.min("creation_date").alias("post_date"))
+    before = (Window.partitionBy(*ids, "word").orderBy("post_date", "langs")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    seen = F.coalesce(F.bit_or("langs").over(before), F.lit(0).cast("long"))
+    per_q = (per_q.withColumn("langs", F.col("langs").bitwiseAND(F.bitwise_not(seen)))
+             .where(F.col("langs") != 0))
     first_answer = (answers.where(F.col("parent_id").isNotNull())
                     .groupBy(*[F.col(c).alias(f"_{c}") for c in parents])
                     .agg(F.min("creation_date").alias("answer_date")))
     same = [per_q[i] == first_answer[f"_{p}"] for i, p in zip(ids, parents)]
     per_q = per_q.join(first_answer, same, "inner").drop(*[f"_{p}" for p in parents])
     if SLOT in ids:
-        per_q = (per_q.groupBy("id", LANG)
-                 .agg(F.min("post_date").alias("post_date"), F.min("answer_date").alias("answer_date")))
+        # the rows of a question are the same in all of its slots
+        per_q = per_q.groupBy("id", "word", "post_date", "langs").agg(F.min("answer_date").alias("answer_date"))
     days = F.datediff(F.col("answer_date"), F.col("post_date"))
-    return (per_q.withColumn("days", days).where(F.col("days") >= 0))
+    named = [F.when((F.col("word") == i // WORD_BITS)
+                    & (F.col("langs").bitwiseAND(F.lit(1 << i % WORD_BITS).cast("long")) != 0), F.lit(label))
+             for i, label in enumerate(labels_of(rules))]
+    return (per_q.withColumn("days", days).where(F.col("days") >= 0)
+            .withColumn(LANG, F.explode(F.array_compact(F.array(*named).cast("array<string>"))))
+            .select("id", LANG, "post_date", "answer_date", "days"))
 
 
 def days_to_answer(posts: DataFrame, questions: DataFrame, answers: DataFrame,

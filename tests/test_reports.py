@@ -176,3 +176,58 @@ def test_active_pairs_keep_null_year(spark):
                    key=lambda r: (r.year is not None, r.year or 0, r.user_id))
     assert tuple(pairs[0]) == (None, 100)  # NULL year kept as its own pair, like DISTINCT
     assert len(pairs) == 6
+
+
+def _days_brute(posts, questions, answers, rules):
+    """{(id, language): (first post date, first answer date)} of what is answered on or after it."""
+    langs, first, asked = {}, {}, {}
+    for title, tags in posts:
+        for tag in tags or []:
+            label = next((name for word, name in rules if word in tag.lower()), "NA")
+            if title is not None and label != "NA":
+                langs.setdefault(title, set()).add(label)
+    for parent, day in answers:
+        if parent is not None and day is not None:
+            first[parent] = min(day, first.get(parent, day))
+    for qid, title, day in questions:
+        for label in langs.get(title, ()):
+            if qid in first and day is not None:
+                asked[qid, label] = min(day, asked.get((qid, label), day))
+    return {k: (day, first[k[0]]) for k, day in asked.items() if first[k[0]] >= day}
+
+
+def _odd_questions(rules):
+    """Repeated and null ids, titles and dates; titles of many languages."""
+    import random
+    rnd = random.Random(5)
+    day = lambda: rnd.choice([None, *(D(2020, 1, d) for d in range(1, 10))])
+    posts = [(rnd.choice([None, "a", "b", "c", "d"]), rnd.choices([w for w, _ in rules] + ["zzz"], k=rnd.randint(0, 3)))
+             for _ in range(60)]
+    questions = [(rnd.choice([None, *range(40)]), rnd.choice([None, "a", "b", "c", "d", "e"]), day()) for _ in range(200)]
+    answers = [(rnd.choice([None, *range(45)]), day()) for _ in range(150)]
+    return posts, questions, answers
+
+
+def _first_answer_days(spark, rows, rules):
+    posts, questions, answers = rows
+    p = spark.createDataFrame([(t, "b", "u", 1, tags) for t, tags in posts], POSTS)
+    q = spark.createDataFrame([(i, t, d, 1) for i, t, d in questions], QUESTIONS)
+    a = spark.createDataFrame([(i, d, 1) for i, d in answers], ANSWERS)
+    got = reports.first_answer_days(p, q, a, rules).collect()
+    found = {(r.id, r.programming_language): (r.post_date, r.answer_date) for r in got}
+    assert len(found) == len(got)
+    return found
+
+
+def test_repeated_questions_keep_the_first_date_of_each_language(spark):
+    rows = _odd_questions(reports.LANGUAGE_RULES)
+    want = _days_brute(*rows, reports.LANGUAGE_RULES)
+    assert want and _first_answer_days(spark, rows, reports.LANGUAGE_RULES) == want
+
+
+def test_any_number_of_languages(spark):
+    rules = [(f"tag{i:03d}", f"L{i}") for i in range(2 * reports.WORD_BITS + 5)]
+    rows = _odd_questions(rules)
+    want = _days_brute(*rows, rules)
+    assert want and _first_answer_days(spark, rows, rules) == want
+    assert _first_answer_days(spark, rows, []) == {}

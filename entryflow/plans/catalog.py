@@ -16,7 +16,7 @@ from entryflow.schemas import (
     ENTRIES_TABLE, FLAGGED_TABLE, POSTS_TABLE, PROMOTIONS_TABLE, WINNERS_TABLE,
 )
 from entryflow.session import scratch_path
-from entryflow.sinks.bucketed import write_by_question
+from entryflow.sinks.bucketed import buckets_for, write_by_question
 from entryflow.sinks.commits import compact, read_table
 from entryflow.sinks.tables import append_table, create_table, insert_promotions
 from entryflow.sinks.topics import with_record_ids, write_topic
@@ -339,7 +339,7 @@ def active_vs_total(spark, sf):
     return reports.active_vs_total(*_qa(spark, sf))
 
 
-#: Buckets of the tables stored by question, here; a cluster's would follow its cores.
+#: Buckets of the tables stored by question at least; more answers get more (``buckets_for``).
 QA_BUCKETS = 8
 
 
@@ -348,8 +348,9 @@ def _by_question(report):
     def run(spark, sf):
         p, q, a, u = _qa(spark, sf)
         names = [f"entryflow_{uuid.uuid4().hex}" for _ in range(2)]
-        write_by_question(spark, q, a, *names, buckets=QA_BUCKETS)
-        return report(p, *map(spark.table, names), u)
+        buckets = buckets_for(a, QA_BUCKETS)
+        write_by_question(spark, q, a, *names, buckets=buckets)
+        return report(p, *map(spark.table, names), u, buckets)
     return run
 
 
@@ -494,8 +495,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "records_once": records_once,
     "records_once_stream": records_once_stream,
     "days_to_answer_bucketed": _by_question(
-        lambda p, q, a, _: reports.days_to_answer(p, q, a, buckets=QA_BUCKETS)),
-    "active_vs_total_bucketed": _by_question(reports.active_vs_total),
+        lambda p, q, a, _, buckets: reports.days_to_answer(p, q, a, buckets=buckets)),
+    "active_vs_total_bucketed": _by_question(lambda p, q, a, u, _: reports.active_vs_total(p, q, a, u)),
     "unique_entries_stream": unique_entries_stream,
     **{f"{name}_sql": _sql_report(name) for name in sql_reports.REPORTS},
 }

@@ -15,6 +15,13 @@ SLOTS = 64
 SLOT = "slot"
 #: A question is hot with more answers than this part of an average bucket.
 HOT_PART = 0.25
+#: Answers of an average bucket at most; a task reads and sorts a bucket.
+BUCKET_ROWS = 2_000_000
+
+
+def buckets_for(answers: DataFrame, least: int, rows: int = BUCKET_ROWS) -> int:
+    """A number of buckets that grows with the answers, so that buckets do not."""
+    return max(least, -(-answers.count() // rows))
 
 
 def hot_questions(answers: DataFrame, buckets: int) -> DataFrame:

@@ -15,13 +15,18 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from entryflow.functions.classify import classify_sql as language_case
-from entryflow.plans.reports import TITLE_COPIES
+from entryflow.plans.reports import TITLE_COPIES, labels_of
 
 
 _TAGS = f"""
   SELECT title, {language_case('tag')} AS programming_language
   FROM posts LATERAL VIEW explode(tags) t AS tag"""
 
+# A title's languages are bits of one number, as in ``reports.title_languages``.
+_BIT = "CASE programming_language " + " ".join(
+    f"WHEN '{label}' THEN {1 << i}L" for i, label in enumerate(labels_of())) + " END"
+_NAMES = ", ".join(f"CASE WHEN langs & {1 << i}L <> 0 THEN '{label}' END" for i, label in enumerate(labels_of()))
+
 REPORTS: dict[str, str] = {
     "top_viewed": """
 WITH near_top AS (
@@ -43,23 +48,26 @@ GROUP BY programming_language
 ORDER BY total_num_of_posts DESC, programming_language""",
     "days_to_answer": f"""
 WITH langs AS (
-  SELECT DISTINCT title, programming_language FROM ({_TAGS})
-  WHERE programming_language <> 'NA' AND title IS NOT NULL),
+  SELECT title, bit_or({_BIT}) AS langs FROM ({_TAGS})
+  WHERE programming_language <> 'NA' AND title IS NOT NULL
+  GROUP BY title, xxhash64(title)),
 per_q AS (
-  SELECT id, programming_language, min(creation_date) AS post_date
-  FROM (SELECT /*+ REPARTITION(id) */ q.id, q.creation_date, l.programming_language
+  SELECT id, post_date, langs & ~coalesce(bit_or(langs) OVER (
+           PARTITION BY id ORDER BY post_date, langs
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS langs
+  FROM (SELECT /*+ REPARTITION(id) */ q.id, q.creation_date AS post_date, l.langs
         FROM questions q JOIN langs l ON q.title = l.title
-        WHERE q.id IS NOT NULL)
-  GROUP BY id, programming_language),
+        WHERE q.id IS NOT NULL AND q.creation_date IS NOT NULL)),
 first_answer AS (
   SELECT parent_id, min(creation_date) AS answer_date
   FROM answers WHERE parent_id IS NOT NULL GROUP BY parent_id),
 days AS (
-  SELECT p.programming_language, p.post_date, datediff(f.answer_date, p.post_date) AS days
-  FROM per_q p JOIN first_answer f ON p.id = f.parent_id)
+  SELECT p.langs, p.post_date, datediff(f.answer_date, p.post_date) AS days
+  FROM (SELECT * FROM per_q WHERE langs <> 0) p JOIN first_answer f ON p.id = f.parent_id)
 SELECT programming_language, CAST(year(post_date) AS BIGINT) AS year,
        avg(days) AS average_number_of_days_for_answer
-FROM days WHERE days >= 0
+FROM days LATERAL VIEW explode(array_compact(array({_NAMES}))) t AS programming_language
+WHERE days >= 0
 GROUP BY programming_language, year(post_date)
 ORDER BY programming_language, year, average_number_of_days_for_answer""",
     "active_vs_total": f"""

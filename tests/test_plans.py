@@ -170,3 +170,29 @@ def test_a_hot_question_is_spread_over_buckets(by_question):
     assert len(files) == 16 and max(files) < 2 * sum(files) / 16
     assert questions.where("id = 7").count() == SLOTS and questions.where("id <> 7").count() == 199_999
     assert answers.where("parent_id <> 7 and slot <> 0").count() == 0
+
+
+@pytest.mark.parametrize("name", ["days_to_answer", "days_to_answer_sql"])
+def test_a_question_is_one_row_until_its_days_are_known(at_volume, name):
+    # no table of (question, language): its size in a task would be a multiple of the questions'
+    text = plan_text(catalog.QUERIES[name](at_volume, SF_SMALL), "formatted")
+    keys = [line for line in text.splitlines() if line.startswith("Keys") and "[id#" in line]
+    assert not any("programming_language" in line for line in keys)
+    lines = plan_text(catalog.QUERIES[name](at_volume, SF_SMALL)).splitlines()
+    exploded = next(i for i, x in enumerate(lines) if "Generate explode(" in x)
+    assert any("SortMergeJoin [id#" in x for x in lines[exploded:])
+
+
+def test_buckets_grow_with_the_answers(spark):
+    from entryflow.sinks.bucketed import buckets_for
+    assert [buckets_for(spark.range(n), 2, rows=10) for n in (0, 20, 21, 95)] == [2, 2, 3, 10]
+
+
+def test_stored_tables_get_more_buckets_for_more_answers(spark, monkeypatch):
+    from entryflow.sinks import bucketed
+    seen = []
+    monkeypatch.setattr(catalog, "buckets_for", lambda a, least: bucketed.buckets_for(a, least, rows=500))
+    monkeypatch.setattr(catalog, "write_by_question",
+                        lambda *x, buckets: (seen.append(buckets), bucketed.write_by_question(*x, buckets=buckets)))
+    got = catalog.QUERIES["days_to_answer_bucketed"](spark, SF_SMALL).collect()
+    assert seen == [12] and got == catalog.QUERIES["days_to_answer"](spark, SF_SMALL).collect()

@@ -145,3 +145,15 @@ def test_whole_run(spark):
     assert got.count() > 0
     total = got.groupBy("sequence_id").agg(F.sum("length").alias("n")).agg(F.max("n")).first()[0]
     assert total <= 4096
+
+
+def test_only_marked_texts_go_to_python(spark):
+    import pandas as pd
+
+    def seen(text: pd.Series, marks: pd.Series) -> pd.Series:
+        return "seen " + text
+
+    rows = spark.createDataFrame([(("a",), [1]), (("b",), None), ((None,), None), (("",), [2])],
+                                 "doc struct<text: string>, marks array<int>")
+    got = [r[0] for r in rows.select(P._edited(F.pandas_udf(seen, "string"), "marks")).collect()]
+    assert got == ["seen a", "b", None, "seen "]

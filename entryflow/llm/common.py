@@ -136,8 +136,7 @@ _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[list(b" \t\n\v\f\r")] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
+_INSIDE = (~_SPACE).tobytes()
 #: Bytes hashed at a time; a longer text is cut between words.
 _PIECE = 1 << 20
 
@@ -166,35 +165,51 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def word_hashes(data: bytes, lower: bool = False) -> np.ndarray:
-    """64-bit hashes of the words of a UTF-8 text (as ``bytes.split`` cuts it), in order.
+def hashed_words(data: bytes, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and 64-bit hashes of the words of a UTF-8 text (as ``bytes.split`` cuts it), in order.
 
     A word's hash is a polynomial of its bytes, scrambled; differences of one
     running sum give all words of a text at once. ``lower`` lower-cases A-Z.
     """
-    raw = np.frombuffer(data, dtype=np.uint8)
-    if len(raw) <= _PIECE:
-        return _piece_hashes(raw, lower)
-    spaces = np.flatnonzero(_SPACE[raw])
+    if len(data) <= _PIECE:
+        return _piece_hashes(data, lower)
+    spaces = np.flatnonzero(_SPACE[np.frombuffer(data, dtype=np.uint8)])
     cuts = [0]
-    while len(raw) - cuts[-1] > _PIECE:
+    while len(data) - cuts[-1] > _PIECE:
         i = np.searchsorted(spaces, cuts[-1] + _PIECE)
         if i == len(spaces):
             break
         cuts.append(int(spaces[i]))
-    return np.concatenate([_piece_hashes(raw[a:z], lower) for a, z in zip(cuts, [*cuts[1:], len(raw)])])
+    found = [_piece_hashes(data[a:z], lower) for a, z in zip(cuts, [*cuts[1:], len(data)])]
+    return (np.concatenate([a + start for a, (start, _) in zip(cuts, found)]),
+            np.concatenate([h for _, h in found]))
+
 
+def word_hashes(data: bytes, lower: bool = False) -> np.ndarray:
+    """The hashes of ``hashed_words``."""
+    return hashed_words(data, lower)[1]
 
-def _piece_hashes(raw: np.ndarray, lower: bool) -> np.ndarray:
-    inside = ~_SPACE[raw]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+
+def _piece_hashes(data: bytes, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    inside = np.zeros(len(data) + 2, dtype=bool)
+    inside[1:-1] = np.frombuffer(data.translate(_INSIDE), dtype=bool)
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return np.empty(0, dtype=np.uint64)
-    up, down = _POWERS.get(len(raw))
-    values = (_LOWER[raw] if lower else raw).astype(np.uint64) + np.uint64(1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(values * up[:len(raw)], out=sums[1:])
+        return start, np.empty(0, dtype=np.uint64)
+    up, down = _POWERS.get(len(data))
+    values = np.add(np.frombuffer(data.lower() if lower else data, dtype=np.uint8), 1, dtype=np.uint64)
+    values *= up[:len(data)]
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(values, out=sums[1:])
+    return start, mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def span_hashes(h: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the sequences of words [start, end), of the words' hashes ``h``, in the same way."""
+    up, down = _POWERS.get(len(h) + 1)
+    sums = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(h * up[:len(h)], out=sums[1:])
     return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
 
 

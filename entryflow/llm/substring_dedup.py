@@ -38,9 +38,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from entryflow.llm.common import (STAGED, as_batch, expand_keys, map_rows, mix64, reads_from,
-                                  remove_folder,
-                                  shingle_hashes, squeeze_keys, stage, utf8, word_hashes)
+from entryflow.llm.common import (STAGED, as_batch, expand_keys, hashed_words, map_rows, mix64, reads_from,
+                                  remove_folder, shingle_hashes, span_hashes, squeeze_keys, stage, utf8,
+                                  word_hashes)
 from entryflow.llm.graph import components
 from entryflow.llm.ngram_join import spanning
 
@@ -57,10 +57,15 @@ REACH = 50
 GAP_WORDS = UNIT_WORDS - 1
 #: Paragraphs that a task brings together at a time, and shingles hashed at a time.
 GATHER, CACHED = 50_000, 1 << 15
+#: Characters of texts whose words are hashed together.
+TOGETHER = 1 << 15
 #: Members of a tile's side, and shingles of a tile that are compared at a time.
 TILE, SLICE = 500, 4096
 
 _SENTENCE_END = re.compile(r"[.!?]+(?=\s)")
+# Tables of bytes: sentence signs, white space, and what odd white space begins with.
+_SIGN, _SPACE = (bytes(b in x for b in range(256)) for x in (b".!?", b" \t\n\v\f\r"))
+_ODD = bytes(0x1c <= b <= 0x1f or b >= 0x80 for b in range(256))
 # Sentence ends before white space that parts no words; there, a word ends nevertheless.
 _ODD_END = re.compile(r"[.!?]+(?=[^\S \t\n\v\f\r])")
 
@@ -83,9 +88,8 @@ def tune_bands(similarity: float = SIMILARITY, recall: float = RECALL,
 # -- units -----------------------------------------------------------------
 
 def _hash(words: list[bytes]) -> int:
-    import xxhash
-    h = xxhash.xxh3_64_intdigest(b" ".join(words))
-    return h - (1 << 64) if h >> 63 else h
+    h = word_hashes(b" ".join(words))
+    return int(span_hashes(h, np.array([0]), np.array([len(h)])).view(np.int64)[0])
 
 
 def paragraphs(text: str | None) -> Iterator[tuple[int, list[tuple[int, int, list[bytes]]]]]:
@@ -103,6 +107,8 @@ def paragraphs(text: str | None) -> Iterator[tuple[int, list[tuple[int, int, lis
 
 
 UNIT = "id long, ord int, n int, w_start int, w_end int, start int, end int, hash long, line boolean"
+UNIT_FIELDS = [c.split()[0] for c in UNIT.split(", ")]
+_UNIT_TYPES = [{"long": np.int64, "int": np.int32, "boolean": bool}[c.split()[1]] for c in UNIT.split(", ")]
 
 
 def units(text: str | None) -> list[tuple]:
@@ -132,11 +138,10 @@ def units(text: str | None) -> list[tuple]:
 
 def unit_rows(rows: DataFrame) -> DataFrame:
     """All units of ``id, text`` rows, written to the shared folder."""
-    names = [c.split()[0] for c in UNIT.split(", ")]
-
     def run(cols):
-        found = [(doc, *u) for doc, text in zip(cols["id"], cols["text"]) for u in units(text)]
-        return dict(zip(names, zip(*found))) if found else {n: [] for n in names}
+        ids, names = np.array(cols["id"], dtype=np.int64), UNIT_FIELDS
+        found = [(ids[a + of], *fields) for a, texts in slices(cols["text"]) for of, *fields in [units_of(texts)]]
+        return dict(zip(names, map(np.concatenate, zip(*found)))) if found else {n: [] for n in names}
 
     return stage(map_rows(rows, run, UNIT), "units")
 
@@ -146,16 +151,123 @@ def words_apart(text: str | None) -> bytes:
     return utf8(_ODD_END.sub(lambda m: m[0] + " ", text or "")).lower()
 
 
+def slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
+    """The texts in slices of some ``TOGETHER`` characters, each with its first one's place."""
+    a, size = 0, 0
+    for i, text in enumerate(texts):
+        size += len(text or "")
+        if size >= TOGETHER or i == len(texts) - 1:
+            yield a, [t or "" for t in texts[a:i + 1]]
+            a, size = i + 1, 0
+
+
+def bytes_in(data: bytes, which: bytes) -> np.ndarray:
+    """Which bytes are marked in a table."""
+    return np.frombuffer(data.translate(which), dtype=bool)
+
+
+class SliceWords:
+    """The words of the texts of a slice, hashed together. A line break parts the texts.
+
+    ``data`` is what ``words_apart`` gives, ``plain`` says that it has the texts' own bytes;
+    ``ends`` are the texts' ends there, ``bounds`` their first words (and the end),
+    ``starts`` and ``hashes`` the words'.
+    """
+
+    def __init__(self, texts: list[str]):
+        whole = "\n".join(texts)
+        self.data = utf8(whole).lower()
+        self.ascii = whole.isascii()
+        sign, odd = (bytes_in(self.data, x) for x in (_SIGN, _ODD))
+        self.plain = not (sign[:-1] & odd[1:]).any() or _ODD_END.search(whole) is None
+        if self.plain:
+            sizes = [len(t) if self.ascii else len(utf8(t)) for t in texts]
+        else:
+            self.data = words_apart(whole)
+            sizes = [len(words_apart(t)) for t in texts]
+        self.ends = np.cumsum(np.array(sizes, dtype=np.int64) + 1) - 1
+        self.starts, self.hashes = hashed_words(self.data)
+        self.bounds = np.concatenate([[0], np.searchsorted(self.starts, self.ends)])
+
+    def before(self, places: np.ndarray) -> np.ndarray:
+        """Words that start before each place."""
+        return np.searchsorted(self.starts, places)
+
+
+def units_of(texts: list[str]) -> tuple[np.ndarray, ...]:
+    """The ``units`` of a slice, as columns; the first is the text's place in the slice."""
+    words = SliceWords(texts)
+    if not words.plain:  # rare
+        found = [(i, *u) for i, t in enumerate(texts) for u in units(t)]
+        return tuple(np.array(c, dtype=t) for c, t in zip(zip(*found) if found else [[]] * 9, _UNIT_TYPES))
+    data = words.data + b"\n"
+    raw = np.frombuffer(data, dtype=np.uint8)
+    # a sentence ends after its signs, before white space; a line at its break
+    cut = raw == 10
+    cut[1:] |= bytes_in(data, _SIGN)[:-1] & bytes_in(data, _SPACE)[1:]
+    cut = np.flatnonzero(cut)
+    breaks = raw[cut] == 10
+    last = np.concatenate([[0], cut[:-1] + breaks[:-1]])
+    w = words.before(cut)
+    w_before = np.concatenate([[0], w[:-1]])
+    line = np.cumsum(breaks) - breaks
+    some = np.flatnonzero(w > w_before)  # sentences with a word
+    if not len(some):
+        return tuple(np.empty(0, dtype=t) for t in _UNIT_TYPES)
+    start, end, a, z, line = last[some], cut[some], w_before[some], w[some], line[some]
+    of = np.searchsorted(words.ends, end)
+    if not words.ascii:
+        points = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        start, end = points[start], points[end]
+        offset = points[np.concatenate([[0], words.ends[:-1] + 1])]
+    else:
+        offset = np.concatenate([[0], words.ends[:-1] + 1])
+    start, end = start - offset[of], end - offset[of]
+    hit = z - a >= UNIT_WORDS
+    # the lines, by their first and last sentences
+    head = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
+    tail = np.append(head[1:], len(line)) - 1
+    size = np.diff(np.append(head, len(line)))
+    long_line = z[tail] - a[head] >= UNIT_WORDS
+    inside = np.add.reduceat(hit.astype(np.int64), head)
+    taken = inside + (long_line & (inside == 0))  # a line of short sentences takes a number, too
+    number = np.cumsum(taken) - taken
+    line_of = of[head]
+    new = np.concatenate([[True], line_of[1:] != line_of[:-1]])
+    number -= number[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
+    within = np.cumsum(hit) - hit
+    order = np.repeat(number - within[head], size) + within
+    one = np.flatnonzero(hit & (np.repeat(size, size) > 1))
+    whole = np.flatnonzero(long_line)
+    h, t = head[whole], tail[whole]
+    first, end_word = np.concatenate([a[one], a[h]]), np.concatenate([z[one], z[t]])
+    text = np.concatenate([of[one], of[h]])
+    columns = (text, np.concatenate([order[one], number[whole]]),
+               np.concatenate([np.ones(len(one), dtype=np.int64), taken[whole]]),
+               first - words.bounds[text], end_word - words.bounds[text],
+               np.concatenate([start[one], start[h]]), np.concatenate([end[one], end[t]]),
+               span_hashes(words.hashes, first, end_word).view(np.int64),
+               np.arange(len(text)) >= len(one))
+    return tuple(c.astype(t) for c, t in zip(columns, _UNIT_TYPES))
+
+
 def line_shingles(text: str | None) -> Iterator[tuple[int, np.ndarray]]:
     """Hash and shingles, in order, of every line that is a unit (views of one array)."""
-    data = words_apart(text)
-    shingles = shingle_hashes(word_hashes(data), SHINGLE_WORDS)
-    at = 0
-    for line in data.split(b"\n"):
-        ws = line.split()
-        if len(ws) >= UNIT_WORDS:
-            yield _hash(ws), shingles[at:at + len(ws) - SHINGLE_WORDS + 1]
-        at += len(ws)
+    return ((h, s) for _, h, s in lines_of([text or ""]))
+
+
+def lines_of(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """``line_shingles`` of a slice, each with its text's place."""
+    words = SliceWords(texts)
+    shingles = shingle_hashes(words.hashes, SHINGLE_WORDS)
+    cut = np.flatnonzero(np.frombuffer(words.data + b"\n", dtype=np.uint8) == 10)
+    z = words.before(cut)
+    a = np.concatenate([[0], z[:-1]])
+    hit = np.flatnonzero(z - a >= UNIT_WORDS)
+    a, z, of = a[hit], z[hit], np.searchsorted(words.ends, cut[hit])
+    hashes = span_hashes(words.hashes, a, z).view(np.int64)
+    for i, h, x, y in zip(of.tolist(), hashes.tolist(), a.tolist(), (z - SHINGLE_WORDS + 1).tolist()):
+        yield i, h, shingles[x:y]
 
 
 # -- banding ---------------------------------------------------------------
@@ -212,8 +324,8 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             return as_batch({"key": spread.view(np.int64), "a": pivot, "b": pivot ^ member}, schema)
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                for h, s in line_shingles(text):
+            for _, texts in slices(batch.column(0).to_pylist()):
+                for _, h, s in lines_of(texts):
                     if h not in hashes:
                         hashes[h] = None
                         sets.append(s.copy())
@@ -229,6 +341,8 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             key, a, b = (batch.column(i).to_numpy() for i in range(3))
             if not len(key):
                 continue
+            order = np.lexsort((a, key))
+            key, a, b = key[order], a[order], b[order]
             own = b == 0  # ``b`` is told apart from ``a``: zeros, the most of them, take no room
             b = a ^ b
             k, m = key[own], a[own]
@@ -245,7 +359,8 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
                            pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
     keyed = rows.select("text").mapInArrow(local, "key long, a long, b long")
-    joined = keyed.repartition("key").sortWithinPartitions("key", "a").mapInArrow(join, "a long, b long")
+    # sorted by one number only, which Spark does without comparing rows
+    joined = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(join, "a long, b long")
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -257,11 +372,11 @@ def shingle_sets(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFra
 
     def sets_of(cols):
         out = {"hash": [], "shingles": []}
-        for text, hashes in zip(cols["text"], cols["hashes"]):
-            wanted = set(hashes)
-            for h, s in line_shingles(text):
-                if h in wanted:
-                    wanted.discard(h)
+        for at, texts in slices(cols["text"]):
+            wanted = [set(hashes) for hashes in cols["hashes"][at:at + len(texts)]]
+            for i, h, s in lines_of(texts):
+                if h in wanted[i]:
+                    wanted[i].discard(h)
                     out["hash"].append(h)
                     out["shingles"].append(squeeze_keys(np.unique(s)))
         return out
@@ -273,10 +388,16 @@ def shingle_sets(rows: DataFrame, lines: DataFrame, pairs: DataFrame) -> DataFra
 def similar_pairs(sets: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs whose exact Jaccard similarity is ``SIMILARITY`` or more."""
     def verify(cols):
-        out = {"a": [], "b": []}
+        out, last = {"a": [], "b": []}, None
         for a, b, sa, sb in zip(cols["a"], cols["b"], cols["sa"], cols["sb"]):
-            x, y = expand_keys(sa), expand_keys(sb)
-            both = len(np.intersect1d(x, y, assume_unique=True))
+            if a != last:  # the join brings a pivot's pairs one after another
+                last, x = a, expand_keys(sa)
+            y = expand_keys(sb)
+            if min(len(x), len(y)) < SIMILARITY * max(len(x), len(y)):
+                continue
+            at = np.searchsorted(y, x)
+            at[at == len(y)] = 0
+            both = int((y[at] == x).sum())
             if both >= SIMILARITY * (len(x) + len(y) - both):
                 out["a"].append(a)
                 out["b"].append(b)
@@ -326,14 +447,15 @@ def mixed_pairs(sets: DataFrame, labels: DataFrame, bands: int, band_rows: int)
     """Similar pairs of different components that share a band's key.
 
     With them, the components are those of all similar pairs that share a key.
-    A key's members are cut into chunks, and each pair of chunks is a tile.
+    A key's members are cut into chunks, and each pair of chunks is a tile. Two members
+    alone are a pivot and its member, which were compared.
     """
     members = stage(band_members(sets, bands, band_rows)
                     .join(labels.withColumnRenamed("node", "hash"), "hash", "left")
                     .withColumn("label", F.coalesce("label", "hash")), "passage_members")
     mixed = stage(members.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"),
                                              F.count(F.lit(1)).alias("m"))
-                  .where("x <> y").select("key", F.ceil(F.col("m") / TILE).cast("int").alias("t")),
+                  .where("x <> y and m > 2").select("key", F.ceil(F.col("m") / TILE).cast("int").alias("t")),
                   "passage_mixed")
     tiles = (members.join(mixed, "key")
              .withColumn("chunk", F.pmod(F.xxhash64("hash"), F.col("t")).cast("int"))
@@ -389,6 +511,50 @@ def picked(windows: np.ndarray) -> np.ndarray:
     return np.unique(np.arange(len(view)) + view.argmin(1))
 
 
+def _pooled(values: np.ndarray, least: bool) -> np.ndarray:
+    """The least (largest) of every ``RUN_WINDOW`` successive values."""
+    f, size = np.minimum if least else np.maximum, 1
+    while size < RUN_WINDOW:
+        step = min(size, RUN_WINDOW - size)
+        values, size = f(values[:-step], values[step:]), size + step
+    return values
+
+
+def runs_of(texts: list[str]) -> Iterator[np.ndarray]:
+    """``run_hashes`` of every text of a slice (views of one array)."""
+    words = SliceWords(texts)
+    windows = shingle_hashes(words.hashes, RUN_WORDS)
+    for a, z in zip(words.bounds[:-1].tolist(), words.bounds[1:].tolist()):
+        yield windows[a:max(a, z - RUN_WORDS + 1)]
+
+
+def picks_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place and hash of all ``picked`` windows of a slice."""
+    words = SliceWords(texts)
+    windows = shingle_hashes(words.hashes, RUN_WORDS)
+    a, count = words.bounds[:-1], np.maximum(np.diff(words.bounds) - RUN_WORDS + 1, 0)
+    alone = count <= RUN_WINDOW
+    at = np.empty(0, dtype=np.int64)
+    if not alone.all():
+        least = _pooled(windows, True)
+        change = np.zeros(len(least) + 1, dtype=np.int64)
+        change[a[~alone]] += 1
+        change[(a + count - RUN_WINDOW + 1)[~alone]] -= 1
+        least[np.cumsum(change[:-1]) == 0] = 0  # a stretch that goes over a text's end
+        margin = np.zeros(RUN_WINDOW - 1, dtype=np.uint64)
+        # a window is the least of some stretch around it if the largest of their least ones is no less
+        at = np.flatnonzero(_pooled(np.concatenate([margin, least, margin]), False) == windows)
+        of = np.searchsorted(words.bounds, at, side="right") - 1
+        # of equal ones the first is picked; that is left to ``picked``
+        again = (windows[at[1:]] == windows[at[:-1]]) & (np.diff(at) < RUN_WINDOW) & (of[1:] == of[:-1])
+        alone[of[1:][again]] = True
+        at = at[~alone[of]]
+    rest = [a[i] + picked(windows[a[i]:a[i] + count[i]]) for i in np.flatnonzero(alone & (count > 0))]
+    at = np.concatenate([at, *rest])
+    of = np.searchsorted(words.bounds, at, side="right") - 1
+    return of, at - a[of], windows[at]
+
+
 def _of_rows(ids: list[int], parts: list[np.ndarray]) -> np.ndarray:
     return np.repeat(np.array(ids, dtype=np.int64), [len(p) for p in parts])
 
@@ -418,13 +584,15 @@ def repeated_picks(rows: DataFrame) -> DataFrame:
 
     def pick(batches):
         for batch in batches:
+            docs, ids = [], batch.column(0).to_numpy()
             hashes, places = [], []
-            for text in batch.column(1).to_pylist():
-                windows = run_hashes(text)
-                places.append(picked(windows))
-                hashes.append(windows[places[-1]])
+            for a, texts in slices(batch.column(1).to_pylist()):
+                of, at, found_here = picks_of(texts)
+                docs.append(ids[a + of])
+                places.append(at)
+                hashes.append(found_here)
             key, at = _joined(hashes, np.uint64).view(np.int64), _joined(places, np.int32)
-            doc = _of_rows(batch.column(0).to_pylist(), places)
+            doc = _joined(docs, np.int64)
             if not len(key):
                 continue
             order = np.lexsort((doc, key))
@@ -446,7 +614,8 @@ def repeated_picks(rows: DataFrame) -> DataFrame:
             if not len(key):
                 continue
             starts, ends = _spans(key)
-            hit = np.logical_or.reduceat(known, starts) | (doc[starts] != doc[ends - 1])
+            hit = np.logical_or.reduceat(known, starts)
+            hit |= np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
             hit[0] |= repeats is not None and key[0] == repeats
             mine = np.repeat(hit, ends - starts)
             undecided = None if hit[-1] else [x[starts[-1]:] for x in cols]
@@ -454,8 +623,7 @@ def repeated_picks(rows: DataFrame) -> DataFrame:
             yield as_batch({"id": doc[mine], "at": at[mine]}, found)
 
     sent = rows.select("id", "text").mapInArrow(pick, "key long, id long, at int, known boolean")
-    return (sent.repartition("key").sortWithinPartitions("key", F.desc("known"), "id")
-            .mapInArrow(decide, "id long, at int"))
+    return sent.repartition("key").sortWithinPartitions("key").mapInArrow(decide, "id long, at int")
 
 
 def _spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -468,8 +636,8 @@ def shared_runs(rows: DataFrame) -> DataFrame:
     """Runs of words that stand in several documents, cut where their first document changes."""
     def around(cols):
         hashes, places, again = [], [], []
-        for text, near in zip(cols["text"], cols["near"]):
-            windows = run_hashes(text)
+        runs = (windows for _, texts in slices(cols["text"]) for windows in runs_of(texts))
+        for windows, near in zip(runs, cols["near"]):
             near = np.unique([x for x in near if x < len(windows)]).astype(np.int64)
             change = np.zeros(len(windows) + 1, dtype=np.int64)
             np.add.at(change, np.maximum(near - REACH, 0), 1)
@@ -520,7 +688,7 @@ def shared_runs(rows: DataFrame) -> DataFrame:
                                  "id long, hash long, at int, again boolean"), "passage_windows")
         _remove_all(done, windows)
         firsts = stage(repeated(windows), "passage_firsts")
-        shared = stage(windows.join(firsts, "hash").groupBy("id").agg(
+        shared = stage(windows.join(firsts.hint("shuffle_hash"), "hash").groupBy("id").agg(
             F.collect_list(F.struct("at", "first", "again")).alias("shared")), "passage_shared")
         _remove_all(done, shared)
     return rows.join(shared, "id").select("id", "text", "shared").mapInArrow(place, RUN).distinct()
@@ -572,8 +740,9 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                         "passage_repeats")
         _remove_all(done, found, repeats)
     kept = (F.col("id") == F.col("first.id")) & (F.col("ord") == F.col("first.ord"))
-    of_units = (found.join(repeats, "hash").withColumn("kept", kept)
-                .dropDuplicates(["id", "ord", "hash", "line"]).withColumn("first", F.col("first.id")))
+    # a hash has one row there, so its parts of an exchange are small whatever the texts repeat
+    of_units = (found.join(repeats.hint("shuffle_hash"), "hash").withColumn("kept", kept)
+                .withColumn("first", F.col("first.id")).dropDuplicates(["id", "ord", "hash", "line"]))
     of_runs = shared_runs(rows).withColumns({c: F.lit(None).cast("int") for c in ("ord", "n")})
     columns = ["id", "ord", "n", "w_start", "w_end", "start", "end", "first", "kept"]
     marked = of_units.select(columns).union(of_runs.select(columns))

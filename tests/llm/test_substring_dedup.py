@@ -231,3 +231,47 @@ def test_picks_of_hot_hashes_cross_batches_and_tasks(spark):
             assert len(got) == len(set(got)) and set(got) == want
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+
+
+def odd_texts(rng):
+    texts = ODD + ["\n".join(t for t in ODD if t), "a " * 300, "ha. " * 90 + "\n" + "x y " * 200, bare(rng, 600)]
+    for signs in ("ab.! \n　\x85\x1cté", "ab.!?  \n\tÉあ\U0001f600", "ab.  \n"):
+        texts += ["".join(rng.choice(signs) for _ in range(rng.randrange(500))) for _ in range(60)]
+    texts += [" ".join(rng.choice(["a", "b", "c.", "\ud800"]) for _ in range(rng.randrange(150))) for _ in range(60)]
+    rng.shuffle(texts)
+    return texts
+
+
+def test_texts_of_a_slice_are_read_as_alone(monkeypatch):
+    rng = random.Random(15)
+    texts = odd_texts(rng)
+    for together in (1, 2000, 1 << 20):
+        monkeypatch.setattr(S, "TOGETHER", together)
+        got, picks, runs, lines = [], [], [], []
+        for a, some in S.slices(texts):
+            got += [(a + of, *u) for of, *u in zip(*(c.tolist() for c in S.units_of(some)))]
+            picks += [(a + of, at, h) for of, at, h in zip(*(c.tolist() for c in S.picks_of(some)))]
+            runs += [w.tolist() for w in S.runs_of(some)]
+            lines += [(a + i, h, s.tolist()) for i, h, s in S.lines_of(some)]
+        assert sorted(got) == sorted((i, *u) for i, t in enumerate(texts) for u in S.units(t))
+        windows = [S.run_hashes(t) for t in texts]
+        assert runs == [w.tolist() for w in windows]
+        assert sorted(picks) == sorted((i, int(at), int(w[at])) for i, w in enumerate(windows) for at in S.picked(w))
+        assert lines == [(i, h, s.tolist()) for i, t in enumerate(texts) for h, s in S.line_shingles(t)]
+        # a line's hash is that of its unit
+        assert {(i, h) for i, h, _ in lines} == {(u[0], u[7]) for u in got if u[8]}
+
+
+def test_keys_of_two_members_make_no_tiles(spark, monkeypatch):
+    rng = random.Random(16)
+    a = bare(rng, 60).split()
+    lines = [" ".join(a), " ".join([*a[:30], *bare(rng, 30).split()])]  # share keys, but are not similar
+    rows = documents(spark, lines).selectExpr("doc_id id", "text")
+    pairs = S.stage(S.candidate_pairs(rows, 200, 1), "passage_pairs")
+    sets = S.shingle_sets(rows, S.unit_rows(rows).where("line").select("hash", "id"), pairs)
+    links = S.stage(S.similar_pairs(sets, pairs), "passage_links")
+    assert (pairs.count(), sets.count(), links.count()) == (1, 2, 0)
+    with S.STAGED.watched() as written:
+        assert S.mixed_pairs(sets, S.components(links), 200, 1).count() == 0
+    mixed = [p for p in written if "/passage_mixed/" in p]
+    assert len(mixed) == 1 and spark.read.parquet(mixed[0]).count() == 0

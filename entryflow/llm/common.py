@@ -97,14 +97,33 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            cols = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
-            yield as_batch(cols, out)
+        if MODELS:
+            MODELS.clear()
+            give_back()
+        for batch in batches:
+            for b in parts(batch):
+                cols = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
+                yield as_batch(cols, out)
         give_back()
 
     return df.mapInArrow(run, schema)
 
 
+#: Large models that a Python worker keeps for the next task of the same step; the first
+#: task of another step, in a worker that it takes over, drops them.
+MODELS: dict[tuple[str, str], object] = {}
+
+#: Bytes of an Arrow batch that are Python objects at a time, about.
+PART_BYTES = 4_000_000
+
+
+def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of some ``PART_BYTES``: Arrow's hold many rows, however long those are."""
+    step = max(1, batch.num_rows // max(1, -(-batch.nbytes // PART_BYTES)))
+    for a in range(0, batch.num_rows, step):
+        yield batch.slice(a, step)
+
+
 def give_back() -> None:
     """Return freed memory to the system: a Python worker lives on for other stages, and what
     Arrow and the C library keep for themselves counts as theirs."""

@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import as_batch, give_back, stage
+from entryflow.llm.common import MODELS, as_batch, give_back, stage
 from entryflow.llm.word_merge import WordMerger, simple_words
 
 GROUP_PIECES = 20_000
@@ -159,14 +159,12 @@ class ChunkIds:
             yield ids[a:z]
 
 
-_CODERS: dict[str, ChunkIds] = {}
-
-
 def coder(path: str) -> ChunkIds:
     """The encoder of a file, loaded once in a Python worker."""
-    if path not in _CODERS:
-        _CODERS[path] = ChunkIds(path)
-    return _CODERS[path]
+    key = "packing", path
+    if key not in MODELS:
+        MODELS[key] = ChunkIds(path)
+    return MODELS[key]
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int, capacity: int, keep_ids: bool = False,

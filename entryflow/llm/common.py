@@ -97,9 +97,7 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
     out = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if MODELS:
-            MODELS.clear()
-            give_back()
+        drop_models()
         for batch in batches:
             for b in parts(batch):
                 cols = fn({n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)})
@@ -113,6 +111,13 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
 #: task of another step, in a worker that it takes over, drops them.
 MODELS: dict[tuple[str, str], object] = {}
 
+
+def drop_models() -> None:
+    if MODELS:
+        MODELS.clear()
+        give_back()
+
+
 #: Bytes of an Arrow batch that are Python objects at a time, about.
 PART_BYTES = 4_000_000
 

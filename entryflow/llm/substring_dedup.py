@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +57,8 @@ REACH = 50
 GAP_WORDS = UNIT_WORDS - 1
 #: Paragraphs that a task brings together at a time, and shingles hashed at a time.
 GATHER, CACHED = 50_000, 1 << 15
+#: Rows of a range of keys, about, and ranges where their number is not known.
+RANGE_ROWS, RANGES = 200_000, 16
 #: Characters of texts whose words are hashed together.
 TOGETHER = 1 << 15
 #: Members of a tile's side, and shingles of a tile that are compared at a time.
@@ -307,10 +309,37 @@ def _runs(keys: np.ndarray, members: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return k, m[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))], m
 
 
-def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
-    """Distinct ``a long, b long``: paragraphs that share a band's key with its pivot."""
-    schema = pa.schema([("key", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+def by_ranges(rows: DataFrame, make: Callable, columns: dict[str, str], ranges: int, use: Callable,
+              schema: str) -> DataFrame:
+    """What ``use`` makes of the columns that ``make`` yields of its batches, a range of ``key`` at a time.
 
+    A row per number would cost more to move than to use; a row holds a batch's numbers of a range.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+    held_schema = pa.schema([("part", pa.int32()), *((n, pa.binary()) for n in columns)])
+    used_schema = to_arrow_schema(StructType.fromDDL(schema))
+
+    def hand_out(batches):
+        for cols in make(batches):
+            part = ((cols["key"].view(np.uint64) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(part, kind="stable")
+            starts, ends = _spans(part[order])
+            held = {n: cols[n][order] for n in columns}
+            yield as_batch({"part": part[order][starts],
+                            **{n: [c[a:z].tobytes() for a, z in zip(starts, ends)] for n, c in held.items()}},
+                           held_schema)
+
+    def take(group: pa.Table) -> pa.Table:
+        cols = {n: np.frombuffer(b"".join(group[n].to_pylist()), dtype=t) for n, t in columns.items()}
+        return pa.Table.from_batches([as_batch(use(cols), used_schema)])
+
+    return (rows.mapInArrow(hand_out, "part int, " + ", ".join(f"{n} binary" for n in columns))
+            .groupBy("part").applyInArrow(take, schema))
+
+
+def candidate_pairs(rows: DataFrame, bands: int, band_rows: int, ranges: int = RANGES) -> DataFrame:
+    """Distinct ``a long, b long``: paragraphs that share a band's key with its pivot."""
     def local(batches):
         hashes, sets = {}, []  # minima need no distinct shingles
 
@@ -321,7 +350,7 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
             mine = pivot == member
             # a pair found here goes along with a key that spreads pairs evenly
             spread = np.where(mine, key, mix64(pivot.view(np.uint64) ^ mix64(member.view(np.uint64))))
-            return as_batch({"key": spread.view(np.int64), "a": pivot, "b": pivot ^ member}, schema)
+            return {"key": spread.view(np.int64), "a": pivot, "b": pivot ^ member}
 
         for batch in batches:
             for _, texts in slices(batch.column(0).to_pylist()):
@@ -335,32 +364,19 @@ def candidate_pairs(rows: DataFrame, bands: int, band_rows: int) -> DataFrame:
         if sets:
             yield flush()
 
-    def join(batches):
-        pivot_key, pivot = None, None
-        for batch in batches:
-            key, a, b = (batch.column(i).to_numpy() for i in range(3))
-            if not len(key):
-                continue
-            order = np.lexsort((a, key))
-            key, a, b = key[order], a[order], b[order]
-            own = b == 0  # ``b`` is told apart from ``a``: zeros, the most of them, take no room
-            b = a ^ b
-            k, m = key[own], a[own]
-            first = np.ones(len(k), dtype=bool)
-            first[1:] = k[1:] != k[:-1]
-            lead = m[np.maximum.accumulate(np.where(first, np.arange(len(k)), 0))]
-            if len(k):
-                if pivot_key is not None:  # the last key of the batch before goes on
-                    lead[k == pivot_key] = pivot
-                pivot_key, pivot = k[-1], lead[-1]
-            found = lead != m
-            yield as_batch({"a": np.concatenate([a[~own], lead[found]]),
-                            "b": np.concatenate([b[~own], m[found]])},
-                           pa.schema([("a", pa.int64()), ("b", pa.int64())]))
-
-    keyed = rows.select("text").mapInArrow(local, "key long, a long, b long")
-    # sorted by one number only, which Spark does without comparing rows
-    joined = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(join, "a long, b long")
+    def join(cols):
+        key, a, b = (cols[n] for n in ("key", "a", "b"))
+        own = b == 0  # ``b`` is told apart from ``a``: zeros, the most of them, take no room
+        order = np.lexsort((a[own], key[own]))
+        k, m = key[own][order], a[own][order]
+        starts, ends = _spans(k)
+        lead = np.repeat(m[starts], ends - starts)
+        found = lead != m
+        return {"a": np.concatenate([a[~own], lead[found]]),
+                "b": np.concatenate([a[~own] ^ b[~own], m[found]])}
+
+    joined = by_ranges(rows.select("text"), local, {"key": "i8", "a": "i8", "b": "i8"}, ranges, join,
+                       "a long, b long")
     return joined.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -572,16 +588,12 @@ def run_pieces(at: np.ndarray, first: np.ndarray, cut: np.ndarray) -> list[tuple
 RUN = "id long, w_start int, w_end int, start int, end int, first long, kept boolean"
 
 
-def repeated_picks(rows: DataFrame) -> DataFrame:
+def repeated_picks(rows: DataFrame, ranges: int = RANGES) -> DataFrame:
     """``id long, at int``: picked windows whose hash several documents hold.
 
     One exchange by hash. What repeats within a batch of texts is known at once: a
     single row of it goes to the hash's task, the others are spread evenly.
     """
-    schema = pa.schema([("key", pa.int64()), ("id", pa.int64()), ("at", pa.int32()),
-                        ("known", pa.bool_())])
-    found = pa.schema([("id", pa.int64()), ("at", pa.int32())])
-
     def pick(batches):
         for batch in batches:
             docs, ids = [], batch.column(0).to_numpy()
@@ -602,37 +614,28 @@ def repeated_picks(rows: DataFrame) -> DataFrame:
             apart = known.copy()
             apart[starts] = False
             key[apart] = mix64(key[apart].view(np.uint64) ^ mix64(doc[apart].view(np.uint64))).view(np.int64)
-            yield as_batch({"key": key, "id": doc, "at": at, "known": known}, schema)
+            yield {"key": key, "id": doc, "at": at, "known": known}
 
-    def decide(batches):
-        undecided, repeats = None, None  # rows of the last key; the last key, if it repeats
-        for batch in batches:
-            cols = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-            if undecided is not None:
-                cols = [np.concatenate(x) for x in zip(undecided, cols)]
-            key, doc, at, known = cols
-            if not len(key):
-                continue
-            starts, ends = _spans(key)
-            hit = np.logical_or.reduceat(known, starts)
-            hit |= np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
-            hit[0] |= repeats is not None and key[0] == repeats
-            mine = np.repeat(hit, ends - starts)
-            undecided = None if hit[-1] else [x[starts[-1]:] for x in cols]
-            repeats = key[-1] if hit[-1] else None
-            yield as_batch({"id": doc[mine], "at": at[mine]}, found)
+    def decide(cols):
+        order = np.argsort(cols["key"])
+        key, doc, at, known = (cols[n][order] for n in ("key", "id", "at", "known"))
+        starts, ends = _spans(key)
+        hit = np.logical_or.reduceat(known, starts)
+        hit |= np.minimum.reduceat(doc, starts) != np.maximum.reduceat(doc, starts)
+        mine = np.repeat(hit, ends - starts)
+        return {"id": doc[mine], "at": at[mine]}
 
-    sent = rows.select("id", "text").mapInArrow(pick, "key long, id long, at int, known boolean")
-    return sent.repartition("key").sortWithinPartitions("key").mapInArrow(decide, "id long, at int")
+    return by_ranges(rows.select("id", "text"), pick, {"key": "i8", "id": "i8", "at": "i4", "known": "?"}, ranges,
+                     decide, "id long, at int")
 
 
 def _spans(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of equal keys."""
-    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return starts, np.append(starts[1:], len(keys))
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return starts, np.append(starts[1:], len(keys))[:len(starts)]
 
 
-def shared_runs(rows: DataFrame) -> DataFrame:
+def shared_runs(rows: DataFrame, ranges: int = RANGES) -> DataFrame:
     """Runs of words that stand in several documents, cut where their first document changes."""
     def around(cols):
         hashes, places, again = [], [], []
@@ -681,7 +684,7 @@ def shared_runs(rows: DataFrame) -> DataFrame:
             yield as_batch(found, out)
 
     with STAGED.watched() as done:
-        near = stage(repeated_picks(rows).groupBy("id").agg(F.collect_set("at").alias("near")),
+        near = stage(repeated_picks(rows, ranges).groupBy("id").agg(F.collect_set("at").alias("near")),
                      "passage_near")
         # written, so that both sides of the joins are plain shuffles that AQE can split
         windows = stage(map_rows(rows.join(near, "id").select("id", "text", "near"), around,
@@ -723,7 +726,8 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with STAGED.watched() as done:
         found = unit_rows(rows)
         bands, band_rows = tune_bands()
-        pairs = stage(candidate_pairs(rows, bands, band_rows), "passage_pairs")
+        lines, n_words = found.where("line").agg(F.count(F.lit(1)), F.sum(F.col("w_end") - F.col("w_start"))).first()
+        pairs = stage(candidate_pairs(rows, bands, band_rows, 1 + lines * bands // RANGE_ROWS), "passage_pairs")
         sets = shingle_sets(rows, found.where("line").select("hash", "id"), pairs)
         links = stage(similar_pairs(sets, pairs), "passage_links")
         more = stage(mixed_pairs(sets, components(links), bands, band_rows), "passage_more")
@@ -743,7 +747,8 @@ def repeated_regions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     # a hash has one row there, so its parts of an exchange are small whatever the texts repeat
     of_units = (found.join(repeats.hint("shuffle_hash"), "hash").withColumn("kept", kept)
                 .withColumn("first", F.col("first.id")).dropDuplicates(["id", "ord", "hash", "line"]))
-    of_runs = shared_runs(rows).withColumns({c: F.lit(None).cast("int") for c in ("ord", "n")})
+    # of random windows, one in half a stretch is picked
+    of_runs = shared_runs(rows, 1 + (n_words or 0) * 2 // (RUN_WINDOW + 1) // RANGE_ROWS).withColumns({c: F.lit(None).cast("int") for c in ("ord", "n")})
     columns = ["id", "ord", "n", "w_start", "w_end", "start", "end", "first", "kept"]
     marked = of_units.select(columns).union(of_runs.select(columns))
 

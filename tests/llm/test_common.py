@@ -36,3 +36,32 @@ def test_shingles():
     h = word_hashes(b"a b c a b c")
     assert len(shingle_hashes(h, 3)) == 4 and len(np.unique(shingle_hashes(h, 3))) == 3
     assert len(shingle_hashes(h[:2], 4)) == 1 and len(shingle_hashes(h[:0], 4)) == 0
+
+
+def test_batches_become_objects_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    long, short = pa.record_batch({"t": ["x" * 100_000] * 300}), pa.record_batch({"t": ["x"] * 5000})
+    for batch, most in ((long, 45), (short, 5000), (short.slice(0, 0), 0)):
+        got = list(common.parts(batch))
+        assert sum(b.num_rows for b in got) == batch.num_rows
+        assert all(b.num_rows <= most for b in got)
+    assert len(list(common.parts(short))) == 1
+    rows = spark.range(3000).selectExpr("id", "repeat(string(id), 2000) t").coalesce(1)
+    sizes = common.map_rows(rows, lambda cols: {"id": cols["id"], "n": [len(cols["id"])] * len(cols["id"])},
+                            "id long, n long").collect()
+    assert [r.id for r in sizes] == list(range(3000))
+    assert max(r.n for r in sizes) < 1000
+
+
+def test_another_step_drops_the_models_of_a_worker(spark):
+    def keep(batches):
+        common.MODELS["test", "x"] = object()
+        yield from batches
+
+    def held(cols):
+        return {"n": [len(common.MODELS)] * len(cols["id"])}
+
+    rows = spark.range(100).coalesce(1)
+    assert rows.mapInArrow(keep, "id long").count() == 100
+    assert {r.n for r in common.map_rows(rows, held, "n long").collect()} == {0}

@@ -275,3 +275,18 @@ def test_keys_of_two_members_make_no_tiles(spark, monkeypatch):
         assert S.mixed_pairs(sets, S.components(links), 200, 1).count() == 0
     mixed = [p for p in written if "/passage_mixed/" in p]
     assert len(mixed) == 1 and spark.read.parquet(mixed[0]).count() == 0
+
+
+def test_ranges_of_keys_leave_nothing_out(spark):
+    rng = random.Random(17)
+    hot = bare(rng, 40)
+    texts = [f"{bare(rng, 30)} {hot}" for _ in range(20)] + [bare(rng, 20) + "\n" + bare(rng, 9) for _ in range(20)]
+    rows = documents(spark, [*texts, None, ""]).selectExpr("doc_id id", "text")
+    bands, band_rows = S.tune_bands()
+    found = [(S.repeated_picks(rows, n).collect(), S.candidate_pairs(rows, bands, band_rows, n).collect())
+             for n in (1, 2, 97)]
+    picks, pairs = ([sorted(map(tuple, x)) for x in y] for y in zip(*found))
+    assert picks[0] == picks[1] == picks[2] and len(picks[0]) >= 40
+    assert pairs[0] == pairs[1] == pairs[2]
+    none = rows.where("text is null")
+    assert S.repeated_picks(none).count() == S.candidate_pairs(none, bands, band_rows).count() == 0

@@ -23,14 +23,15 @@ and still reads them. No stage knows of any others.
 from __future__ import annotations
 
 import functools
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType
 
 from entryflow.llm import ngram_join, packing, quality, secret_scan, substring_dedup
-from entryflow.llm.common import STAGED, reads_from, remove_folder, stage, table
+from entryflow.llm.common import (PART_BYTES, STAGED, drop_models, give_back, reads_from, remove_folder,
+                                  stage, table)
 from entryflow.llm.queries import END_ID, SEQUENCE_TOKENS, vocabulary_path
 from entryflow.operators.numbering import assign_numbers
 
@@ -94,24 +95,34 @@ def _with_text(rows: DataFrame, text: Column) -> DataFrame:
     return rows.select(doc.alias("doc")).select("doc.*")
 
 
-@F.pandas_udf(StringType())
-def _drop_lines(text: pd.Series, numbers: pd.Series) -> pd.Series:
-    return pd.Series([t if n is None else quality.without_lines(t, n)
-                      for t, n in zip(text, numbers)])
+def _edit(edited: Callable[[str, object], str]) -> Callable[[Column, Column], Column]:
+    """A function of columns that gives ``edited(text, marks)`` of rows with marks, some
+    ``PART_BYTES`` of texts at a time, and leaves no models and little memory with its worker."""
+    @F.pandas_udf(StringType())
+    def edit(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        drop_models()
+        for texts, marks in batches:
+            out, held = [], 0
+            for t, m in zip(texts, marks):
+                out.append(t if m is None else edited(t, m))
+                held += len(out[-1] or "")
+                if held >= PART_BYTES:
+                    yield pd.Series(out, dtype=object)
+                    out, held = [], 0
+            if out:
+                yield pd.Series(out, dtype=object)
+        give_back()
 
+    return edit
 
-@F.pandas_udf(StringType())
-def _cut_out(text: pd.Series, cuts: pd.Series) -> pd.Series:
-    return pd.Series([t if c is None else
-                      substring_dedup.cut_out(t, [(x["start"], x["end"]) for x in c])
-                      for t, c in zip(text, cuts)])
 
+def _spans(marks: object) -> list[tuple[int, int]]:
+    return [(x["start"], x["end"]) for x in marks]
 
-@F.pandas_udf(StringType())
-def _redact(text: pd.Series, spans: pd.Series) -> pd.Series:
-    return pd.Series([t if s is None else
-                      secret_scan.redact(t, [(x["start"], x["end"]) for x in s])
-                      for t, s in zip(text, spans)])
+
+_drop_lines = _edit(quality.without_lines)
+_cut_out = _edit(lambda text, cuts: substring_dedup.cut_out(text, _spans(cuts)))
+_redact = _edit(lambda text, spans: secret_scan.redact(text, _spans(spans)))
 
 
 def _edited(edit: Callable[[Column, Column], Column], marks: str) -> Column:

@@ -107,6 +107,16 @@ def map_rows(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, Iterable]]
     return df.mapInArrow(run, schema)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run`` of ``mapInArrow`` in a worker that first drops other steps' models, and gives memory back."""
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_models()
+        yield from run(batches)
+        give_back()
+
+    return tidied
+
+
 #: Large models that a Python worker keeps for the next task of the same step; the first
 #: task of another step, in a worker that it takes over, drops them.
 MODELS: dict[tuple[str, str], object] = {}

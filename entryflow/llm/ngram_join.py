@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from entryflow.llm.common import (as_batch, expand, expand_keys, map_rows, mix64, shingle_hashes,
-                                  squeeze, squeeze_keys, stage, utf8, word_hashes)
+                                  squeeze, squeeze_keys, stage, tidy, utf8, word_hashes)
 from entryflow.llm.graph import components
 
 SHINGLE_WORDS, PERCENT = 5, 80
@@ -215,7 +215,7 @@ def token_classes(docs: DataFrame, n_tokens: int, k: int, percent: int) -> DataF
             yield flush()
 
     handed = docs.select("text").mapInArrow(
-        run, "part int, tokens binary, owners binary, nodes binary, marks binary, weights binary")
+        tidy(run), "part int, tokens binary, owners binary, nodes binary, marks binary, weights binary")
     return handed.groupBy("part").applyInArrow(lambda g: _classes(g, ranges),
                                                "node long, token long, kind int")
 
@@ -299,7 +299,7 @@ def _signature_rows(heads: DataFrame, classes: DataFrame, percent: int) -> DataF
                 yield as_batch({"sig": np.concatenate(sig), "node": np.concatenate(of),
                                 "n": np.concatenate(size)}, schema)
 
-    return rows.mapInArrow(run, "sig long, node long, n long")
+    return rows.mapInArrow(tidy(run), "sig long, node long, n long")
 
 
 def _with_end(batches):
@@ -429,7 +429,7 @@ def _group_pairs(members: DataFrame, groups: DataFrame, sets: DataFrame, percent
                 yield as_batch({"a": np.concatenate([f[0] for f in found]),
                                 "b": np.concatenate([f[1] for f in found])}, schema)
 
-    return stage(rows.mapInArrow(run, "a long, b long").distinct(), "join_pairs")
+    return stage(rows.mapInArrow(tidy(run), "a long, b long").distinct(), "join_pairs")
 
 
 def _still_mixed(members: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:

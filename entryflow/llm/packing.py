@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from entryflow.llm.common import MODELS, as_batch, give_back, stage
+from entryflow.llm.common import MODELS, as_batch, drop_models, give_back, stage
 from entryflow.llm.word_merge import WordMerger, simple_words
 
 GROUP_PIECES = 20_000
@@ -220,6 +220,7 @@ def pack(pieces: DataFrame, capacity: int, seed: int = 42,
     keyed = rows.withColumn("grp", F.pmod(F.xxhash64("at", F.lit(seed)), F.lit(groups)))
 
     def packed(part: pd.DataFrame) -> pd.DataFrame:
+        drop_models()  # all pieces are written
         part = part.sort_values("at")
         spots = first_fit_decreasing(part["length"].tolist(), capacity)
         first = int(part["grp"].iloc[0]) << 32

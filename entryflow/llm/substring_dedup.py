@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from entryflow.llm.common import (STAGED, as_batch, expand_keys, hashed_words, map_rows, mix64, reads_from,
-                                  remove_folder, shingle_hashes, span_hashes, squeeze_keys, stage, utf8,
+                                  remove_folder, shingle_hashes, span_hashes, squeeze_keys, stage, tidy, utf8,
                                   word_hashes)
 from entryflow.llm.graph import components
 from entryflow.llm.ngram_join import spanning
@@ -334,7 +334,7 @@ def by_ranges(rows: DataFrame, make: Callable, columns: dict[str, str], ranges:
         cols = {n: np.frombuffer(b"".join(group[n].to_pylist()), dtype=t) for n, t in columns.items()}
         return pa.Table.from_batches([as_batch(use(cols), used_schema)])
 
-    return (rows.mapInArrow(hand_out, "part int, " + ", ".join(f"{n} binary" for n in columns))
+    return (rows.mapInArrow(tidy(hand_out), "part int, " + ", ".join(f"{n} binary" for n in columns))
             .groupBy("part").applyInArrow(take, schema))
 
 
@@ -499,7 +499,7 @@ def mixed_pairs(sets: DataFrame, labels: DataFrame, bands: int, band_rows: int)
         if len(held) > 1:
             yield compare(held)
 
-    return tiles.mapInArrow(run, "a long, b long").distinct()
+    return tiles.mapInArrow(tidy(run), "a long, b long").distinct()
 
 
 # -- runs ------------------------------------------------------------------
@@ -694,7 +694,7 @@ def shared_runs(rows: DataFrame, ranges: int = RANGES) -> DataFrame:
         shared = stage(windows.join(firsts.hint("shuffle_hash"), "hash").groupBy("id").agg(
             F.collect_list(F.struct("at", "first", "again")).alias("shared")), "passage_shared")
         _remove_all(done, shared)
-    return rows.join(shared, "id").select("id", "text", "shared").mapInArrow(place, RUN).distinct()
+    return rows.join(shared, "id").select("id", "text", "shared").mapInArrow(tidy(place), RUN).distinct()
 
 
 # -- regions ---------------------------------------------------------------

@@ -157,3 +157,21 @@ def test_only_marked_texts_go_to_python(spark):
                                  "doc struct<text: string>, marks array<int>")
     got = [r[0] for r in rows.select(P._edited(F.pandas_udf(seen, "string"), "marks")).collect()]
     assert got == ["seen a", "b", None, "seen "]
+
+
+def test_edits_leave_no_models_and_return_texts_in_parts(spark, monkeypatch):
+    from entryflow.llm import common
+
+    def keep(batches):
+        common.MODELS["test", "x"] = object()
+        yield from batches
+
+    def held(text, marks):
+        return f"{text} {len(common.MODELS)}"
+
+    monkeypatch.setattr(P, "PART_BYTES", 10)  # several parts a batch
+    rows = (spark.range(100).coalesce(1).mapInArrow(keep, "id long")
+            .selectExpr("named_struct('text', string(id)) doc", "if(id % 3 = 0, array(1), null) marks"))
+    rows = staged(spark, rows)
+    got = [r[0] for r in rows.select(P._edited(P._edit(held), "marks")).collect()]
+    assert got == [f"{i} 0" if i % 3 == 0 else str(i) for i in range(100)]
